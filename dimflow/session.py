@@ -11,6 +11,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -23,10 +24,9 @@ def build_session(master: str | None = None, **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder that the session names and go on
-    from there.  Rows then keep their partition and position on a retry."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that the session names; all executors reach it.
+    A local session without one gets a temporary folder."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -35,4 +35,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="dimflow-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and go on from there.  Rows
+    then keep their partition and position on a retry."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
