@@ -436,14 +436,12 @@ STAR = (
         "daily_return decimal(12,8)",
         key=("date_id", "fund_id"),
         mode=INSERT,
-        span="date_id",
     ),
     TableContract(
         "fact_aum_monthly",
         f"date_id int, fund_id int, {STAR_KEYS}, aum_value bigint, total_units decimal(18,4)",
         key=("date_id", "fund_id"),
         mode=INSERT,
-        span="date_id",
     ),
     TableContract(
         "fact_manager_aum_monthly",
@@ -451,7 +449,6 @@ STAR = (
         "total_units decimal(20,4)",
         key=("date_id", "manager_id"),
         mode=INSERT,
-        span="date_id",
     ),
     TableContract(
         "latest_nav",

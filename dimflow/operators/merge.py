@@ -28,25 +28,30 @@ def upsert(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     return untouched.unionByName(state.select(*old.columns))
 
 
+def span_of(df: DataFrame, column: str) -> tuple | None:
+    """Column with its lowest and highest value, or None without rows.  Call it
+    on a stored table, of which it reads this one column."""
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    return None if low is None else (column, low, high)
+
+
 def absent_rows(
     old: DataFrame,
     new: DataFrame,
     key: list[str],
     order: list[Column] | None = None,
-    span: str | None = None,
+    span: tuple | None = None,
 ) -> DataFrame:
     """Rows of ``new`` to append: full key, not in ``old``, the first per key.
 
-    ``span`` names a key column, such as the date.  Only the part of ``old``
-    between its lowest and highest new value is read then, so a daily batch
+    ``span`` is the range of one key column in ``new``, such as its dates (see
+    :func:`span_of`).  Only that part of ``old`` is read then, so a daily batch
     does not shuffle the whole history.
     """
     complete = with_full_key(new, key)
     if span:
-        low, high = complete.agg(F.min(span), F.max(span)).first()
-        if low is None:
-            return complete.limit(0)
-        old = old.filter(F.col(span).between(F.lit(low), F.lit(high)))
+        column, low, high = span
+        old = old.filter(F.col(column).between(F.lit(low), F.lit(high)))
     single = first_per_key(complete, key, order) if order else complete
     return single.join(old.select(*key), key, "left_anti")
 
@@ -56,7 +61,7 @@ def insert_if_absent(
     new: DataFrame,
     key: list[str],
     order: list[Column] | None = None,
-    span: str | None = None,
+    span: tuple | None = None,
 ) -> DataFrame:
     """``old`` with the absent rows added; old rows never change."""
     return old.unionByName(absent_rows(old, new, key, order, span).select(*old.columns))

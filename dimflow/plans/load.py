@@ -27,7 +27,7 @@ from dimflow.functions import checks, text
 from dimflow.operators.dedup import distinct_names, first_per_key, keep_first_code, last_per_key
 from dimflow.operators.history import change_audit
 from dimflow.operators.keys import highest, number_absent, number_rows, resolve_keys
-from dimflow.operators.merge import absent_rows, replace_children, stamp, upsert
+from dimflow.operators.merge import absent_rows, replace_children, span_of, stamp, upsert
 from dimflow.operators.quality import (
     accepted,
     drop_zero_rows,
@@ -131,7 +131,8 @@ def merge_table(
         fresh = number_absent(old, good.drop(contract.surrogate), key, contract.surrogate)
         published.append(name, fresh, batch)
     elif contract.mode == INSERT:
-        fresh = absent_rows(old, good, key, span=contract.span)
+        span = span_of(new, contract.span) if contract.span else None
+        fresh = absent_rows(old, good, key, span=span)
         if contract.surrogate:
             start = highest(old, contract.surrogate) + 1
             fresh = number_rows(fresh.drop(contract.surrogate), key, contract.surrogate, start)

@@ -82,7 +82,7 @@ def load_mart(published: Published, batch: str, effective: date) -> None:
     def append(name: str, rows: DataFrame) -> None:
         contract = CONTRACTS[name]
         typed = conform(rows, contract)
-        fresh = absent_rows(published.read(name), typed, list(contract.key), span=contract.span)
+        fresh = absent_rows(published.read(name), typed, list(contract.key))
         published.append(name, fresh, batch)
 
     append("dim_date", calendar([nav, aum], "record_date"))

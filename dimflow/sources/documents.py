@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LANDED = "file_name string, file_key string, status string, body string"
+LANDED = "file_name string, file_key string, body string"
 
 # The years whose quarterly documents are wanted.
 QUARTERLY_YEARS = (2022, 2023, 2024, 2025, 2026)
@@ -49,35 +49,34 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     return files.select(
         name.alias("file_name"),
         F.regexp_replace(name, r"\.json$", "").alias("file_key"),
-        document_status(F.col("value")).alias("status"),
         F.col("value").alias("body"),
     )
 
 
-def _starts_with(mark: str) -> Column:
-    return F.ltrim(F.col("body")).startswith(mark)
+def _elements(documents: DataFrame, opening: str, schema: str) -> DataFrame:
+    """Elements of the documents that start with ``opening``.
+
+    An object parses as an array of one; a null, broken or empty document has
+    no element.  Filters sit behind the generator and name only its output, so
+    Spark cannot copy the parser into them and each text is parsed once.
+    """
+    shape = T.StructType.fromDDL(schema).add("_error", T.VariantType())
+    held = documents.filter(F.ltrim("body").startswith(opening))
+    parsed = F.from_json("body", T.ArrayType(shape).simpleString())
+    rows = held.select("file_name", "file_key", F.posexplode_outer(parsed).alias("pos", "d"))
+    found = F.col("d").isNotNull() & F.col("d._error").isNull()
+    return rows.filter(found).select("file_name", "file_key", "pos", "d.*").drop("_error")
 
 
 def parse_objects(documents: DataFrame, schema: str) -> DataFrame:
-    """Fields of the documents that hold one object."""
-    held = documents.filter((F.col("status") == "data") & _starts_with("{"))
-    return held.select("file_name", "file_key", F.from_json("body", schema).alias("d")).select(
-        "file_name", "file_key", "d.*"
-    )
+    """Fields of the documents that hold one object; failed fetches, which carry
+    an ``_error`` field, are left out."""
+    return _elements(documents, "{", schema).drop("pos")
 
 
 def parse_arrays(documents: DataFrame, schema: str) -> DataFrame:
     """Elements of the documents that hold an array, with their position."""
-    held = documents.filter((F.col("status") == "data") & _starts_with("["))
-    elements = F.from_json("body", _as_array(schema))
-    return held.select("file_name", "file_key", F.posexplode(elements).alias("pos", "d")).select(
-        "file_name", "file_key", "pos", "d.*"
-    )
-
-
-def _as_array(schema: str) -> str:
-    fields = T.StructType.fromDDL(schema)
-    return T.ArrayType(fields).simpleString()
+    return _elements(documents, "[", schema)
 
 
 def composite_key(file_key: Column) -> tuple[Column, Column]:
@@ -100,7 +99,10 @@ def pending(wanted: DataFrame, landed: DataFrame, key: list[str], force: bool =
 
 
 def landing_status(documents: DataFrame, source: Column) -> DataFrame:
-    return documents.groupBy(source.alias("source"), "status").agg(F.count("*").alias("n_documents"))
+    """Number of documents per source and status."""
+    status = document_status(F.col("body")).alias("status")
+    stated = documents.select(source.alias("source"), status)
+    return stated.groupBy("source", "status").agg(F.count("*").alias("n_documents"))
 
 
 def first_entities(df: DataFrame, order: list[str], n: int) -> DataFrame:

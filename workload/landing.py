@@ -30,7 +30,7 @@ def landing_status(t):
         .when(url.contains(".net"), F.col("html"))
         .otherwise(F.to_json(F.struct("page_id", "html")))
     )
-    landed = t.pages.select("url", docs.document_status(body).alias("status"))
+    landed = t.pages.select("url", body.alias("body"))
     return docs.landing_status(landed, F.regexp_extract("url", "//[^/]+/([a-z]+)/", 1))
 
 

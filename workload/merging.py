@@ -70,7 +70,7 @@ def insert_if_absent(t):
     old = old.agg(F.min("o_orderkey").alias("o_orderkey"))
     new = rows.filter("o_orderdate >= '1997-01-01'")
     order = [F.desc("o_orderkey")]
-    return merge.insert_if_absent(old, new, key, order, span="o_orderdate")
+    return merge.insert_if_absent(old, new, key, order, merge.span_of(new, "o_orderdate"))
 
 
 @query(

@@ -6,22 +6,33 @@ the sources have, then parsed and shredded as a landing folder would be.
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.operators import shred
 from dimflow.operators.keys import number_rows
+from dimflow.plans.transform import Clean
+from dimflow.session import shared_folder
 from dimflow.sources import documents as docs
 from workload.tables import Tables, day, query
 
 def landed(df: DataFrame, file_key, body) -> DataFrame:
-    """Rows as landed documents: file key and JSON text."""
+    """Rows as landed documents: file key and JSON text.  A document is many
+    times as wide as its row, so rows are spread before they are written out."""
+    spread = df.repartition(file_key)
     key = file_key.cast("string")
-    return df.select(
+    return spread.select(
         F.concat(key, F.lit(".json")).alias("file_name"),
         key.alias("file_key"),
         body.alias("body"),
-    ).withColumn("status", docs.document_status(F.col("body")))
+    )
+
+
+def stored(t: Tables, name: str, df: DataFrame) -> DataFrame:
+    """Parsed rows that several tables are made from, written out once."""
+    return Clean(t.spark, f"{shared_folder(t.spark)}/{uuid4().hex}").save(name, df)
 
 
 def text_day(column: str, days: int = 0):
@@ -261,7 +272,8 @@ def shred_nav_series(t):
 )
 def shred_two_arrays(t):
     """Values with the last units of the same date, from two arrays."""
-    return shred.aum(snapshots_of(t)).select(
+    parsed = stored(t, "parsed_snapshot", snapshots_of(t))
+    return shred.aum(parsed).select(
         "fund_id", "record_date", "published_date", "aum_value", "total_units", "reject_reason"
     )
 
@@ -406,7 +418,7 @@ PORTFOLIO_SQL = """
 def shred_typed_array(t):
     """Instruments of a mixed array, numbered in code order.  Few codes fill the
     table: lines are added up per portfolio and code before the join."""
-    lines = portfolio_lines(t)
+    lines = stored(t, "portfolio_line", portfolio_lines(t))
     security = number_rows(shred.securities(lines), ["code"], "security_id")
     held = shred.holdings(lines).join(security.select("code", "security_id"), "code")
     value = F.col("value_pct").cast("double").alias("value_pct")

@@ -115,7 +115,7 @@ def fact_monthly(t):
     facts = mart.fact_rows(monthly_amounts(t), star_keys(t), "fund_id", "record_date")
     facts = facts.select(*columns)
     loaded = facts.filter("date_id < 19980101")
-    return insert_if_absent(loaded, facts, ["date_id", "fund_id"], span="date_id")
+    return insert_if_absent(loaded, facts, ["date_id", "fund_id"])
 
 
 @query(
