@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.functions.checks import differs, row_image
-from dimflow.operators.keys import highest, number_absent, number_rows
+from dimflow.operators.keys import number_absent, number_rows
 
 
 def change_audit(
@@ -86,7 +86,7 @@ def scd2_merge(
         .withColumn("valid_to", F.lit(None).cast("date"))
         .withColumn("is_current", F.lit(True))
     )
-    numbered = number_rows(opened, key, surrogate, start=highest(dim, surrogate) + 1)
+    numbered = number_rows(opened, key, surrogate, after=dim)
     return history.unionByName(numbered.select(*dim.columns))
 
 

@@ -10,23 +10,27 @@ from dimflow.session import cut_lineage
 ROW_BITS = 33  # monotonically_increasing_id keeps the row position in these low bits
 
 
-def number_rows(df: DataFrame, order: list[str], out: str, start: int = 1) -> DataFrame:
-    """Number rows ``start, start+1, …`` in the order of ``order``.
+def number_rows(
+    df: DataFrame, order: list[str], out: str, after: DataFrame | None = None
+) -> DataFrame:
+    """Number rows 1, 2, … in the order of ``order``, or on from the highest
+    number in column ``out`` of ``after``.
 
     One range-partitioned sort; no window over all rows.  The sorted rows are
-    checkpointed so that a lost executor cannot move a row to another
-    partition between counting and numbering.  Only one count per partition
-    reaches the driver.
+    stored first, so that a lost executor cannot move a row to another
+    partition between counting and numbering.  Only one count per partition of
+    the sort reaches the driver.
     """
     placed = cut_lineage(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftright("_at", ROW_BITS)
-    counts = placed.groupBy(part.alias("_part")).count().collect()
-    offsets, total = [], start
-    for row in sorted(counts):
-        offsets.append((row["_part"], total))
-        total += row["count"]
-    if not offsets:
-        return placed.withColumn(out, F.col("_at")).drop("_at")
+    counts = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    if after is not None:
+        known = after.agg(F.lit(-1).cast("bigint").alias("part"), F.max(out).alias("n"))
+        counts = counts.unionByName(known)
+    offsets, total = [], 1
+    for row in sorted(counts.filter("n IS NOT NULL").collect()):
+        offsets.append((row["part"], total))
+        total += row["n"]
     base = df.sparkSession.createDataFrame(offsets, "_part bigint, _base bigint")
     row_in_part = F.col("_at").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     return (
@@ -37,15 +41,11 @@ def number_rows(df: DataFrame, order: list[str], out: str, start: int = 1) -> Da
     )
 
 
-def highest(df: DataFrame, column: str) -> int:
-    return df.agg(F.max(column).alias("m")).first()["m"] or 0
-
-
 def number_absent(known: DataFrame, incoming: DataFrame, key: list[str], out: str) -> DataFrame:
     """Rows of ``incoming`` whose key is not in ``known``, numbered on from the
     highest number that ``known`` holds.  Known keys keep their number."""
     absent = incoming.join(known.select(*key), key, "left_anti")
-    return number_rows(absent, key, out, start=highest(known, out) + 1)
+    return number_rows(absent, key, out, after=known)
 
 
 def resolve_keys(

@@ -26,7 +26,7 @@ from dimflow.contracts import (
 from dimflow.functions import checks, text
 from dimflow.operators.dedup import distinct_names, first_per_key, keep_first_code, last_per_key
 from dimflow.operators.history import change_audit
-from dimflow.operators.keys import highest, number_absent, number_rows, resolve_keys
+from dimflow.operators.keys import number_absent, number_rows, resolve_keys
 from dimflow.operators.merge import absent_rows, replace_children, span_of, stamp, upsert
 from dimflow.operators.quality import (
     accepted,
@@ -122,10 +122,8 @@ def merge_table(
     bad = reject_rows(rejected(marked), name, key, batch)
     old, audit = published.read(name), None
     if contract.mode == CHILDREN:
-        numbered = number_rows(
-            good.drop(contract.surrogate), good.columns[1:], contract.surrogate,
-            start=highest(old, contract.surrogate) + 1,
-        )
+        rows = good.drop(contract.surrogate)
+        numbered = number_rows(rows, rows.columns, contract.surrogate, after=old)
         published.replace(name, replace_children(old, numbered, contract.key[0]), batch)
     elif contract.mode == KEYED:
         fresh = number_absent(old, good.drop(contract.surrogate), key, contract.surrogate)
@@ -134,8 +132,7 @@ def merge_table(
         span = span_of(new, contract.span) if contract.span else None
         fresh = absent_rows(old, good, key, span=span)
         if contract.surrogate:
-            start = highest(old, contract.surrogate) + 1
-            fresh = number_rows(fresh.drop(contract.surrogate), key, contract.surrogate, start)
+            fresh = number_rows(fresh.drop(contract.surrogate), key, contract.surrogate, after=old)
         published.append(name, fresh, batch)
     else:
         if contract.audited:

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -39,7 +42,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there.  Rows
-    then keep their partition and position on a retry."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared checkpoint folder and go on from the stored
+    rows.  Unlike an RDD checkpoint this computes ``df`` once, and the planner
+    knows the size of what it reads back."""
+    folder = f"{shared_folder(df.sparkSession)}/{uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def empty_table(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
+    """No rows, in a form that lets the optimizer drop joins with it."""
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+    return spark.range(1).filter(F.lit(False)).select(*columns)

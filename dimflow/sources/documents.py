@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimflow.session import empty_table
+
 LANDED = "file_name string, file_key string, body string"
 
 # The years whose quarterly documents are wanted.
@@ -44,7 +46,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], LANDED)
+        return empty_table(spark, LANDED)
     name = F.col("_metadata.file_name")
     return files.select(
         name.alias("file_name"),

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dimflow.contracts import CONTRACTS, TableContract
+from dimflow.session import empty_table
 
 LINE = "seq bigint, batch string, folders string, counts string"
 
@@ -42,7 +43,7 @@ class Published:
         schema = CONTRACTS[name].schema
         folders = self.folders.get(name)
         if not folders:
-            return self.spark.createDataFrame([], schema)
+            return empty_table(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*folders)
 
     def _write(self, contract: TableContract, df: DataFrame, batch: str) -> tuple[str, int]:

@@ -6,9 +6,10 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
+from dimflow.functions import labels
 from dimflow.operators import history
+from dimflow.session import empty_table
 from workload.cleaning import LABEL_SQL, typed_orders
-from dimflow.functions import labels
 from workload.merging import EARLY, LATE, NEW_SQL, OLD_SQL, buyer_states
 from workload.tables import query
 
@@ -75,7 +76,7 @@ VERSIONS_SQL = f"""
 
 @query(VERSIONS_SQL)
 def scd2_merge(t):
-    dim = t.spark.createDataFrame([], EMPTY)
+    dim = empty_table(t.spark, EMPTY)
     for where, day in ((EARLY, FIRST_DAY), (LATE, SECOND_DAY)):
         state = buyer_states(t, where)
         dim = history.scd2_merge(
@@ -111,7 +112,7 @@ def scd1_dimension(t):
     rows = typed_orders(t).select(
         "o_orderdate", label.alias("label"), F.col("fund_type").cast("int").alias("fund_type_code")
     )
-    dim = t.spark.createDataFrame([], "category_id bigint, label string, fund_type_code int")
+    dim = empty_table(t.spark, "category_id bigint, label string, fund_type_code int")
     for batch in (rows.filter("o_orderdate < '1995-01-05'"), rows):
         dim = history.scd1_insert(dim, batch, ["label", "fund_type_code"], "category_id")
     return dim
