@@ -31,6 +31,11 @@ def magnitude_below(c: Column, limit) -> Column:
     return F.when(F.abs(c) < limit, c)
 
 
+def given(columns: list[str]) -> Column:
+    """True where no column is null; reaches the file scan, unlike ``dropna``."""
+    return reduce(and_, [F.col(c).isNotNull() for c in columns])
+
+
 def all_zero(columns: list[Column]) -> Column:
     """True only where every column is zero; a null is not a zero."""
     return F.coalesce(reduce(and_, [c == 0 for c in columns]), F.lit(False))

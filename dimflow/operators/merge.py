@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dimflow.functions.checks import given
 from dimflow.operators.dedup import first_per_key
 
 
@@ -16,7 +17,7 @@ def stamp(df: DataFrame, batch_ts: datetime, column: str = "scraped_at") -> Data
 
 
 def with_full_key(df: DataFrame, key: list[str]) -> DataFrame:
-    return df.dropna(subset=key)
+    return df.filter(given(key))
 
 
 def upsert(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:

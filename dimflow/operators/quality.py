@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimflow.functions.checks import all_zero
+from dimflow.functions.checks import all_zero, given
 
 # Tolerances of the source checks, in percent.
 ALLOCATION_TOLERANCE_PCT = 5
@@ -56,7 +56,7 @@ def fits_width(c: Column, width: int) -> Column:
 def duplicate_keys(df: DataFrame, key: list[str], where: Column | None = None) -> DataFrame:
     """Keys that occur more than once; a key with a null part is exempt."""
     rows = df if where is None else df.filter(where)
-    counts = rows.dropna(subset=key).groupBy(*key).agg(F.count("*").alias("n_rows"))
+    counts = rows.filter(given(key)).groupBy(*key).agg(F.count("*").alias("n_rows"))
     return counts.filter("n_rows > 1")
 
 
@@ -66,7 +66,7 @@ def orphans(
     """Foreign keys without a parent and their row counts.  Children are counted
     per key first, so the join sees each key once however hot it is."""
     counts = (
-        children.dropna(subset=foreign_key)
+        children.filter(given(foreign_key))
         .groupBy(*foreign_key)
         .agg(F.count("*").alias("n_rows"))
     )
@@ -120,16 +120,16 @@ def sum_checkpoint(
     allocations: DataFrame, holdings: DataFrame, key: list[str], value: str
 ) -> DataFrame:
     """One row of counts over the snapshots that have lines at all."""
-    off = F.abs(F.col("s") - FULL_PCT) > ALLOCATION_TOLERANCE_PCT
-    allocation = _line_sums(allocations, key, value, "s").agg(
+    off = F.abs(F.col("_sum") - FULL_PCT) > ALLOCATION_TOLERANCE_PCT
+    allocation = _line_sums(allocations, key, value, "_sum").agg(
         F.count("*").alias("allocation_snapshots"),
         F.count_if(off).alias("allocation_off"),
         F.count_if(~off).alias("allocation_near_full"),
     )
-    holding = _line_sums(holdings, key, value, "s").agg(
+    holding = _line_sums(holdings, key, value, "_sum").agg(
         F.count("*").alias("holding_snapshots"),
-        F.min("s").alias("holding_min"),
-        F.max("s").alias("holding_max"),
+        F.min("_sum").alias("holding_min"),
+        F.max("_sum").alias("holding_max"),
     )
     return allocation.join(holding, F.lit(True))  # one row by one row
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimflow.functions.checks import ratio
+from dimflow.functions.checks import given, ratio
 
 
 def with_previous(
@@ -18,8 +18,9 @@ def with_previous(
     tasks.  The first row of a slot takes the last value of the owner's
     previous slot, which comes from a small combined aggregate of one row per
     owner and slot; the join back on (key, slot) reuses the window's shuffle.
+    Rows without an owner or a date belong to no series and are left out.
     """
-    rows = df.withColumn("_slot", F.trunc(order, slot))
+    rows = df.filter(given([*keys, order])).withColumn("_slot", F.trunc(order, slot))
     group = [*keys, "_slot"]
     lasts = rows.groupBy(*group).agg(F.max_by(value, order).alias("_last"))
     by_owner = Window.partitionBy(*keys).orderBy("_slot")
@@ -47,6 +48,26 @@ def period_return(
     return known.withColumn(out, change)
 
 
+def latest_return(
+    df: DataFrame, keys: list[str], order: str, value: str, out: str = "daily_return"
+) -> DataFrame:
+    """Newest row per key with its change against the row before.
+
+    Equal to :func:`period_return` followed by the newest row per key, but only
+    two rows per key and task leave the scan: the rank limit is applied before
+    the shuffle.
+    """
+    newest_first = Window.partitionBy(*keys).orderBy(F.desc(order))
+    two = (
+        df.filter(given([*keys, order]))
+        .withColumn("_rank", F.row_number().over(newest_first))
+        .filter("_rank <= 2")
+    )
+    before = two.withColumn("_before", F.lead(value).over(newest_first)).filter("_rank = 1")
+    change = ratio(F.col(value) - F.col("_before"), F.col("_before"))
+    return before.select(*keys, order, value, change.alias(out))
+
+
 def nav_return(nav: DataFrame) -> DataFrame:
     series = nav.select("fund_id", "record_date", "nav_value")
     return period_return(series, ["fund_id"], "record_date", "nav_value", "prev_nav_value")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from dimflow.contracts import METRIC_COLUMNS
 from dimflow.functions import dates, labels, text
+from dimflow.functions.checks import given
 from dimflow.operators.dedup import first_per_key, last_per_key
 from dimflow.operators.merge import sum_duplicates
 from dimflow.operators.quality import mark_rejects
@@ -463,7 +464,7 @@ def performance(snapshots: DataFrame) -> DataFrame:
         *[F.col(f"m.{source}").alias(out) for out, source in METRIC_FIELDS.items()],
         "pos",
     )
-    return rows.dropna(subset=["period_code", "as_of_date"])
+    return rows.filter(given(["period_code", "as_of_date"]))
 
 
 def ranking(snapshots: DataFrame, rating_field: str = "ProviderRating") -> DataFrame:
@@ -483,7 +484,7 @@ def ranking(snapshots: DataFrame, rating_field: str = "ProviderRating") -> DataF
         F.col("m.AllRiskRating").alias("all_risk_rating"),
         "pos",
     )
-    return rows.dropna(subset=["period_code", "as_of_date"])
+    return rows.filter(given(["period_code", "as_of_date"]))
 
 
 def fund_benchmarks(snapshots: DataFrame) -> DataFrame:
@@ -524,7 +525,7 @@ def benchmark_points(mentions: DataFrame) -> DataFrame:
         "pos",
         "point",
     )
-    dated = points.dropna(subset=["record_date", "value"])
+    dated = points.filter(given(["record_date", "value"]))
     order = [F.col("file_name"), F.col("pos"), F.col("point")]
     return first_per_key(dated, ["benchmark_id", "record_date"], order).select(
         "benchmark_id", "record_date", "value"

@@ -11,8 +11,7 @@ from dimflow.contracts import CONTRACTS, conform
 from dimflow.functions import dates, labels
 from dimflow.operators.history import current_versions, scd1_insert, scd2_merge
 from dimflow.operators.merge import absent_rows
-from dimflow.operators.series import nav_return
-from dimflow.operators.dedup import latest_per_key
+from dimflow.operators.series import latest_return, nav_return
 from dimflow.sources.published import Published
 
 FUND_TRACKED = [
@@ -151,5 +150,5 @@ def load_mart(published: Published, batch: str, effective: date) -> None:
         "fact_manager_aum_monthly",
         fact_rows(manager_aum, manager_keys, "manager_id", "record_date"),
     )
-    newest = latest_per_key(returns, ["fund_id"], "record_date", ["nav_value", "daily_return"])
+    newest = latest_return(nav, ["fund_id"], "record_date", "nav_value")
     published.replace("latest_nav", conform(newest, CONTRACTS["latest_nav"]), batch)

@@ -9,6 +9,7 @@ from dimflow.functions import labels
 from dimflow.operators.dedup import last_per_key, latest_per_key as newest_per_key
 from dimflow.operators.quality import fingerprint
 from dimflow.operators.series import batch_coverage as coverage
+from dimflow.operators.series import latest_return
 from dimflow.operators.series import period_return as with_return
 from dimflow.plans import reports
 from dimflow.plans.mart import calendar
@@ -132,9 +133,7 @@ LATEST_RETURN_SQL = f"""
 
 @query(LATEST_RETURN_SQL)
 def latest_return_per_key(t):
-    newest = newest_per_key(
-        daily_returns(t), ["fund_id"], "record_date", ["nav_value", "daily_return"]
-    )
+    newest = latest_return(daily_values(t), ["fund_id"], "record_date", "nav_value")
     return newest.select("fund_id", "record_date", rounded("nav_value", 2), rounded("daily_return"))
 
 
