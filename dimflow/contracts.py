@@ -208,6 +208,7 @@ RELATIONAL = (
         widths={"name": 255, "title": 100},
         parents=TO_MANAGER,
         surrogate="personnel_id",
+        cluster=("manager_id", "name"),
     ),
     TableContract(
         "manager_shareholder",
@@ -219,6 +220,7 @@ RELATIONAL = (
         widths={"shareholder_name": 255},
         parents=TO_MANAGER,
         surrogate="shareholder_id",
+        cluster=("manager_id", "shareholder_name"),
     ),
     TableContract(
         "manager_aum_record",
@@ -383,7 +385,7 @@ AUDIT_LOG = TableContract(
 REJECT_LOG = TableContract(
     "reject_log",
     "table_name string, record_pk string, reject_reason string, batch string",
-    key=("batch", "table_name"),
+    key=("batch", "table_name", "record_pk"),
     mode=INSERT,
 )
 
@@ -472,15 +474,24 @@ def contract_checks(contract: TableContract) -> dict[str, Column]:
     return checks
 
 
-def conform(df: DataFrame, contract: TableContract) -> DataFrame:
-    """Columns of the contract in order and type; a number that does not fit its
-    type becomes null, which the contract's checks then report."""
+def conform(
+    df: DataFrame, contract: TableContract, keep: tuple[str, ...] = (), *more: Column
+) -> DataFrame:
+    """Columns of the contract in order and type, the columns to keep as they
+    are, and more.  A value that does not fit its type becomes null."""
     present = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in present else F.lit(None))
-            .try_cast(f.dataType)
-            .alias(f.name)
-            for f in contract.schema
-        ]
-    )
+    typed = [
+        (F.col(f.name) if f.name in present else F.lit(None)).try_cast(f.dataType).alias(f.name)
+        for f in contract.schema
+    ]
+    return df.select(*typed, *[c for c in keep if c in present], *more)
+
+
+def misfits(df: DataFrame, contract: TableContract) -> dict[str, Column]:
+    """Conditions under which a given value is lost by :func:`conform`."""
+    return {
+        f"{f.name} does not fit": F.col(f.name).isNotNull()
+        & F.col(f.name).try_cast(f.dataType).isNull()
+        for f in contract.schema
+        if f.name in df.columns and df.schema[f.name].dataType != f.dataType
+    }

@@ -13,10 +13,14 @@ LABEL_TOLERANCE_PCT = 5
 FULL_PCT = 100
 
 
+def first_reason(reasons: dict[str, Column]) -> Column:
+    """Name of the first condition that holds, else null."""
+    named = [F.when(bad, F.lit(name)) for name, bad in reasons.items()]
+    return F.coalesce(*named, F.lit(None).cast("string"))
+
+
 def mark_rejects(df: DataFrame, reasons: dict[str, Column]) -> DataFrame:
-    """Add ``reject_reason``: the first reason whose condition holds, else null."""
-    reason = F.coalesce(*[F.when(bad, F.lit(name)) for name, bad in reasons.items()])
-    return df.withColumn("reject_reason", reason)
+    return df.withColumn("reject_reason", first_reason(reasons))
 
 
 def accepted(marked: DataFrame) -> DataFrame:

@@ -9,7 +9,13 @@ from dimflow.functions.checks import given, ratio
 
 
 def with_previous(
-    df: DataFrame, keys: list[str], order: str, value: str, out: str, slot: str = "year"
+    df: DataFrame,
+    keys: list[str],
+    order: str,
+    value: str,
+    out: str,
+    slot: str = "year",
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """Add the value of the preceding row per key, in the order of a date.
 
@@ -19,16 +25,27 @@ def with_previous(
     previous slot, which comes from a small combined aggregate of one row per
     owner and slot; the join back on (key, slot) reuses the window's shuffle.
     Rows without an owner or a date belong to no series and are left out.
+
+    ``wanted`` names rows (keys and date) to which the result is restricted:
+    only the slots they fall in are shuffled then, not the whole history.
     """
     rows = df.filter(given([*keys, order])).withColumn("_slot", F.trunc(order, slot))
     group = [*keys, "_slot"]
-    lasts = rows.groupBy(*group).agg(F.max_by(value, order).alias("_last"))
+    if wanted is not None:
+        touched = wanted.select(*keys, F.trunc(order, slot).alias("_slot")).distinct()
+        history = rows.join(touched.select(*keys).distinct(), keys, "left_semi")
+        rows = rows.join(touched, group, "left_semi")
+    else:
+        history = rows
+    lasts = history.groupBy(*group).agg(F.max_by(value, order).alias("_last"))
     by_owner = Window.partitionBy(*keys).orderBy("_slot")
     carried = lasts.select(*group, F.lag("_last").over(by_owner).alias("_carried"))
     in_slot = Window.partitionBy(*group).orderBy(order)
     placed = rows.withColumn("_n", F.row_number().over(in_slot)).withColumn(
         "_before", F.lag(value).over(in_slot)
     )
+    if wanted is not None:
+        placed = placed.join(wanted.select(*keys, order), [*keys, order], "left_semi")
     previous = F.when(F.col("_n") == 1, F.col("_carried")).otherwise(F.col("_before"))
     return placed.join(carried, group, "left").select(*df.columns, previous.alias(out))
 
@@ -41,9 +58,10 @@ def period_return(
     previous: str,
     out: str = "daily_return",
     slot: str = "year",
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """Relative change against the preceding row; null on the first row."""
-    known = with_previous(df, keys, order, value, previous, slot)
+    known = with_previous(df, keys, order, value, previous, slot, wanted)
     change = ratio(F.col(value) - F.col(previous), F.col(previous))
     return known.withColumn(out, change)
 
@@ -68,9 +86,11 @@ def latest_return(
     return before.select(*keys, order, value, change.alias(out))
 
 
-def nav_return(nav: DataFrame) -> DataFrame:
-    series = nav.select("fund_id", "record_date", "nav_value")
-    return period_return(series, ["fund_id"], "record_date", "nav_value", "prev_nav_value")
+def nav_return(nav: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    series, key = nav.select("fund_id", "record_date", "nav_value"), ["fund_id"]
+    return period_return(
+        series, key, "record_date", "nav_value", "prev_nav_value", wanted=wanted
+    )
 
 
 def benchmark_return(points: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ write mode of each table's contract, parents before children."""
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from dimflow.contracts import (
     TableContract,
     conform,
     contract_checks,
+    misfits,
 )
 from dimflow.functions import checks, text
 from dimflow.operators.dedup import distinct_names, first_per_key, keep_first_code, last_per_key
@@ -31,17 +32,24 @@ from dimflow.operators.merge import absent_rows, replace_children, span_of, stam
 from dimflow.operators.quality import (
     accepted,
     drop_zero_rows,
-    mark_rejects,
+    first_reason,
     rejected,
     sum_anomalies,
     sum_checkpoint,
 )
 from dimflow.plans.transform import Clean
+from dimflow.session import cut_lineage, run_together
 from dimflow.sources.published import Published
 
 # Categories whose source name is wrong.
 CATEGORY_NAMES = {9: "Real Estate"}
 SOURCE_ORDER = ("file_name", "pos")
+# Above this number of columns the checked rows are stored before they are
+# filtered: what the optimizer infers from a filter over typed columns doubles
+# with each of them.  The long series tables are all narrow.
+WIDE = 8
+# Tables whose rows carry numbers that another table gives out.
+NUMBERED_PARENTS = {"portfolio_allocation", "portfolio_holding"}
 
 
 def corrected(name: str, df: DataFrame) -> DataFrame:
@@ -113,13 +121,18 @@ def merge_table(
 ) -> tuple[DataFrame | None, DataFrame]:
     """Write one table; returns its audit rows, if any, and the rejected rows."""
     contract = CONTRACTS[name]
-    rows = one_per_key(new, contract)
-    if contract.stamped:
-        rows = stamp(rows, batch_ts)
-    rules = {rule: ~condition for rule, condition in contract_checks(contract).items()}
-    marked = mark_rejects(conform(rows, contract), rules)
-    good, key = accepted(marked), list(contract.key)
+    key = list(contract.key)
+    rows = stamp(new, batch_ts) if contract.stamped else new
+    lost = first_reason(misfits(rows, contract)).alias("_misfit")
+    typed = conform(rows, contract, SOURCE_ORDER, lost)
+    rules = {rule: ~holds for rule, holds in contract_checks(contract).items()}
+    reason = F.coalesce("_misfit", first_reason(rules))
+    marked = typed.withColumn("reject_reason", reason).drop("_misfit")
+    if len(contract.schema) > WIDE:
+        marked = cut_lineage(marked)
+    # Rejects are found before rows are compared, so listing them takes no shuffle.
     bad = reject_rows(rejected(marked), name, key, batch)
+    good = one_per_key(accepted(marked), contract).select(*contract.schema.fieldNames())
     old, audit = published.read(name), None
     if contract.mode == CHILDREN:
         rows = good.drop(contract.surrogate)
@@ -150,19 +163,23 @@ def load(
     batch_ts: datetime,
     actor: str = "dimflow",
 ) -> None:
-    """Merge the named clean tables, in the order of their references."""
+    """Merge the named clean tables.  Lines that need the number of a portfolio
+    or a security come after those; the others do not wait for each other."""
     audits, rejects = [], []
-    for contract in RELATIONAL:
-        if contract.name in names:
-            new, lost = prepared(contract.name, clean, published)
-            if lost is not None:
-                lost = lost.withColumn("reject_reason", F.lit("no portfolio"))
-                lost_key = ["fund_id", "date_based"]
-                rejects.append(reject_rows(lost, contract.name, lost_key, batch))
-            audit, bad = merge_table(published, contract.name, new, batch, batch_ts, actor)
-            rejects.append(bad)
-            if audit is not None:
-                audits.append(audit)
+
+    def merge(name: str) -> None:
+        new, lost = prepared(name, clean, published)
+        if lost is not None:
+            lost = lost.withColumn("reject_reason", F.lit("no portfolio"))
+            rejects.append(reject_rows(lost, name, ["fund_id", "date_based"], batch))
+        audit, bad = merge_table(published, name, new, batch, batch_ts, actor)
+        rejects.append(bad)
+        if audit is not None:
+            audits.append(audit)
+
+    ordered = [c.name for c in RELATIONAL if c.name in names]
+    run_together([partial(merge, n) for n in ordered if n not in NUMBERED_PARENTS])
+    run_together([partial(merge, n) for n in ordered if n in NUMBERED_PARENTS])
     if audits:
         published.append("audit_log", reduce(DataFrame.unionByName, audits), batch)
     if rejects:

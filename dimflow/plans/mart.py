@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.contracts import CONTRACTS, conform
 from dimflow.functions import dates, labels
 from dimflow.operators.history import current_versions, scd1_insert, scd2_merge
-from dimflow.operators.merge import absent_rows
+from dimflow.operators.merge import absent_rows, span_of
 from dimflow.operators.series import latest_return, nav_return
+from dimflow.session import run_together
 from dimflow.sources.published import Published
 
 FUND_TRACKED = [
@@ -64,74 +65,65 @@ def fact_rows(measures: DataFrame, keys: DataFrame, owner: str, day: str) -> Dat
     return measures.join(keys, owner).withColumn("date_id", dates.date_key(F.col(day)))
 
 
-def _source_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    return df.select(*[c.alias(name) for name, c in columns.items()])
-
-
-def load_mart(published: Published, batch: str, effective: date) -> None:
+def load_mart(published: Published, batch: str, effective: date, full: bool = False) -> None:
     """Dimensions first, then facts on their natural grain, then the stored
-    latest value per fund."""
+    latest value per fund.
+
+    Facts are made of the rows that this run has appended to the relational
+    tables.  A fact table that is not there yet, or ``full``, looks at all rows.
+    """
     funds = published.read("mutual_fund")
-    nav, aum = published.read("nav_record"), published.read("aum_record")
-
-    def dimension(name: str, merged: DataFrame) -> DataFrame:
-        published.replace(name, merged, batch)
-        return published.read(name)
-
-    def append(name: str, rows: DataFrame) -> None:
-        contract = CONTRACTS[name]
-        typed = conform(rows, contract)
-        fresh = absent_rows(published.read(name), typed, list(contract.key))
-        published.append(name, fresh, batch)
-
-    append("dim_date", calendar([nav, aum], "record_date"))
-    dim_category = dimension(
-        "dim_category",
-        scd1_insert(
-            published.read("dim_category"),
-            funds.select(
-                F.col("conservative_label").alias("label"),
-                F.col("fund_type").alias("fund_type_code"),
+    nav = published.read("nav_record")
+
+    run_together(
+        [
+            lambda: _append(
+                published,
+                "dim_date",
+                calendar([nav, published.read("aum_record")], "record_date"),
+                batch,
             ),
-            ["label", "fund_type_code"],
-            "category_id",
-        ),
-    )
-    dim_fund = dimension(
-        "dim_fund",
-        scd2_merge(
-            published.read("dim_fund"),
-            funds.withColumn("currency_code", labels.currency_code(F.col("currency"))),
-            ["fund_id"],
-            FUND_TRACKED,
-            ["ipo_date"],
-            effective,
-            "dim_fund_key",
-        ),
-    )
-    dim_manager = dimension(
-        "dim_manager",
-        scd2_merge(
-            published.read("dim_manager"),
-            published.read("investment_manager"),
-            ["manager_id"],
-            ["name", "ojk_code", "is_active"],
-            [],
-            effective,
-            "dim_manager_key",
-        ),
-    )
-    dim_custodian = dimension(
-        "dim_custodian",
-        scd2_merge(
-            published.read("dim_custodian"),
-            published.read("custodian_bank"),
-            ["bank_id"],
-            ["name", "ownership_status"],
-            [],
-            effective,
-            "dim_custodian_key",
-        ),
+            lambda: published.replace("dim_category", _categories(published, funds), batch),
+            lambda: published.replace(
+                "dim_fund",
+                scd2_merge(
+                    published.read("dim_fund"),
+                    funds.withColumn("currency_code", labels.currency_code(F.col("currency"))),
+                    ["fund_id"],
+                    FUND_TRACKED,
+                    ["ipo_date"],
+                    effective,
+                    "dim_fund_key",
+                ),
+                batch,
+            ),
+            lambda: published.replace(
+                "dim_manager",
+                scd2_merge(
+                    published.read("dim_manager"),
+                    published.read("investment_manager"),
+                    ["manager_id"],
+                    ["name", "ojk_code", "is_active"],
+                    [],
+                    effective,
+                    "dim_manager_key",
+                ),
+                batch,
+            ),
+            lambda: published.replace(
+                "dim_custodian",
+                scd2_merge(
+                    published.read("dim_custodian"),
+                    published.read("custodian_bank"),
+                    ["bank_id"],
+                    ["name", "ownership_status"],
+                    [],
+                    effective,
+                    "dim_custodian_key",
+                ),
+                batch,
+            ),
+        ]
     )
     owners = funds.select(
         "fund_id",
@@ -140,15 +132,67 @@ def load_mart(published: Published, batch: str, effective: date) -> None:
         F.col("conservative_label").alias("label"),
         F.col("fund_type").alias("fund_type_code"),
     )
-    keys = star_keys(owners, dim_fund, dim_manager, dim_custodian, dim_category)
-    returns = nav_return(nav)
-    append("fact_nav_daily", fact_rows(returns, keys, "fund_id", "record_date"))
-    append("fact_aum_monthly", fact_rows(aum, keys, "fund_id", "record_date"))
+    dim_manager = published.read("dim_manager")
+    keys = star_keys(
+        owners,
+        published.read("dim_fund"),
+        dim_manager,
+        published.read("dim_custodian"),
+        published.read("dim_category"),
+    )
     manager_keys = current_versions(dim_manager).select("manager_id", "dim_manager_key")
-    manager_aum = published.read("manager_aum_record")
-    append(
-        "fact_manager_aum_monthly",
-        fact_rows(manager_aum, manager_keys, "manager_id", "record_date"),
+
+    def new_rows(source: str, fact: str) -> DataFrame | None:
+        everything = full or fact not in published.folders
+        return published.read(source) if everything else published.read_added(source)
+
+    def nav_facts() -> None:
+        rows = new_rows("nav_record", "fact_nav_daily")
+        if rows is not None:
+            known = "fact_nav_daily" in published.folders and not full
+            returns = nav_return(nav, wanted=rows if known else None)
+            facts = fact_rows(returns, keys, "fund_id", "record_date")
+            _append(published, "fact_nav_daily", facts, batch, rows)
+
+    def monthly_facts(source: str, fact: str, owner: str, owner_keys: DataFrame) -> None:
+        rows = new_rows(source, fact)
+        if rows is not None:
+            facts = fact_rows(rows, owner_keys, owner, "record_date")
+            _append(published, fact, facts, batch, rows)
+
+    def latest() -> None:
+        newest = latest_return(nav, ["fund_id"], "record_date", "nav_value")
+        published.replace("latest_nav", conform(newest, CONTRACTS["latest_nav"]), batch)
+
+    run_together(
+        [
+            nav_facts,
+            lambda: monthly_facts("aum_record", "fact_aum_monthly", "fund_id", keys),
+            lambda: monthly_facts(
+                "manager_aum_record", "fact_manager_aum_monthly", "manager_id", manager_keys
+            ),
+            latest,
+        ]
+    )
+
+
+def _categories(published: Published, funds: DataFrame) -> DataFrame:
+    labelled = funds.select(
+        F.col("conservative_label").alias("label"), F.col("fund_type").alias("fund_type_code")
     )
-    newest = latest_return(nav, ["fund_id"], "record_date", "nav_value")
-    published.replace("latest_nav", conform(newest, CONTRACTS["latest_nav"]), batch)
+    key = ["label", "fund_type_code"]
+    return scd1_insert(published.read("dim_category"), labelled, key, "category_id")
+
+
+def _append(
+    published: Published, name: str, rows: DataFrame, batch: str, dated: DataFrame | None = None
+) -> None:
+    """Append the absent rows; ``dated`` gives the dates they can have, outside
+    of which the stored facts need not be read."""
+    contract = CONTRACTS[name]
+    span = None
+    if dated is not None:
+        span = span_of(dated.select(dates.date_key(F.col("record_date")).alias("date_id")), "date_id")
+    typed = conform(rows, contract)
+    fresh = absent_rows(published.read(name), typed, list(contract.key), span=span)
+    published.append(name, fresh, batch)

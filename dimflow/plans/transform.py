@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dimflow.operators import shred
+from dimflow.session import run_together
 from dimflow.sources import documents as docs
 
 # Which landed sources each clean table is made from.
@@ -17,7 +20,7 @@ TABLE_SOURCES = {
     "custodian_bank": {"banks"},
     "sales_company": {"sales"},
     "mutual_fund": {"fund_index", "snapshot", "products"},
-    "fund_class": {"fund_index", "products"},
+    "fund_class": {"fund_index", "snapshot", "products"},
     "nav_record": {"snapshot"},
     "aum_record": {"snapshot"},
     "fund_performance": {"snapshot"},
@@ -146,47 +149,51 @@ def transform(
     names = tables_of(scope)
     wanted = set(names)
 
-    def make(name: str, build) -> None:
-        if name in wanted:
-            clean.save(name, build())
-
-    make("investment_manager", lambda: shred.managers(found.managers()))
-    make("manager_personnel", lambda: shred.personnel(found.managers()))
-    make("manager_shareholder", lambda: shred.shareholders(found.managers()))
-    make("manager_aum_record", lambda: shred.manager_aum(found.manager_aum()))
-    make("custodian_bank", lambda: shred.banks(found.banks()))
-    make("sales_company", lambda: shred.sales_companies(found.sales()))
-
+    jobs = {
+        "investment_manager": lambda: shred.managers(found.managers()),
+        "manager_personnel": lambda: shred.personnel(found.managers()),
+        "manager_shareholder": lambda: shred.shareholders(found.managers()),
+        "manager_aum_record": lambda: shred.manager_aum(found.manager_aum()),
+        "custodian_bank": lambda: shred.banks(found.banks()),
+        "sales_company": lambda: shred.sales_companies(found.sales()),
+        "fund_quarterly_return": lambda: shred.quarterly_returns(found.quarterly(), found.valid),
+        "fund_sales_company": lambda: shred.fund_sales(found.fund_sales(), found.valid),
+    }
     if wanted & _made_from("snapshot", "fund_index", "products"):
         snapshots = clean.save("parsed_snapshot", found.snapshots())
-        if wanted & {"mutual_fund", "fund_class"}:
-            classes = shred.class_map(found.products())
-            fund_rows = clean.save("mutual_fund", shred.funds(found.fund_index, snapshots, classes))
-            make("fund_class", lambda: shred.fund_classes(fund_rows))
-        make("nav_record", lambda: shred.nav(snapshots))
-        make("aum_record", lambda: shred.aum(snapshots))
-        make("fund_performance", lambda: shred.performance(snapshots))
-        make("fund_ranking", lambda: shred.ranking(snapshots, rating_field))
-        if wanted & {"benchmark", "benchmark_data_point", "fund_benchmark"}:
-            mentions = shred.fund_benchmarks(snapshots)
-            make("benchmark", lambda: shred.benchmarks(mentions))
-            make("benchmark_data_point", lambda: shred.benchmark_points(mentions))
-            make("fund_benchmark", lambda: shred.benchmark_links(mentions))
-
+        mentions = shred.fund_benchmarks(snapshots)
+        jobs |= {
+            "mutual_fund": lambda: shred.funds(
+                found.fund_index, snapshots, shred.class_map(found.products())
+            ),
+            "nav_record": lambda: shred.nav(snapshots),
+            "aum_record": lambda: shred.aum(snapshots),
+            "fund_performance": lambda: shred.performance(snapshots),
+            "fund_ranking": lambda: shred.ranking(snapshots, rating_field),
+            "benchmark": lambda: shred.benchmarks(mentions),
+            "benchmark_data_point": lambda: shred.benchmark_points(mentions),
+            "fund_benchmark": lambda: shred.benchmark_links(mentions),
+        }
     if wanted & _made_from("portfolio"):
         nested = shred.portfolio_snapshots(found.portfolios(), found.valid)
         nested = clean.save("parsed_portfolio", nested)
-        clean.save("portfolio_snapshot", nested.drop("Assets"))
         lines = clean.save("portfolio_line", shred.portfolio_lines(nested))
-        clean.save("asset_category", shred.categories(lines))
-        clean.save("security", shred.securities(lines))
-        clean.save("portfolio_allocation", shred.allocations(lines))
-        clean.save("portfolio_holding", shred.holdings(lines))
-
-    make("fund_quarterly_return", lambda: shred.quarterly_returns(found.quarterly(), found.valid))
-    make("fund_sales_company", lambda: shred.fund_sales(found.fund_sales(), found.valid))
+        jobs |= {
+            "portfolio_snapshot": lambda: nested.drop("Assets"),
+            "asset_category": lambda: shred.categories(lines),
+            "security": lambda: shred.securities(lines),
+            "portfolio_allocation": lambda: shred.allocations(lines),
+            "portfolio_holding": lambda: shred.holdings(lines),
+        }
+    run_together([partial(_save, clean, n, job) for n, job in jobs.items() if n in wanted])
+    if "fund_class" in wanted:
+        clean.save("fund_class", shred.fund_classes(clean.read("mutual_fund")))
     return names
 
 
+def _save(clean: Clean, name: str, build) -> None:
+    clean.save(name, build())
+
+
 def _made_from(*sources: str) -> set[str]:
     return {name for name, made_from in TABLE_SOURCES.items() if made_from & set(sources)}

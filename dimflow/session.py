@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from concurrent.futures import ThreadPoolExecutor
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def run_together(jobs: list, workers: int = 4) -> list:
+    """Run independent writes at the same time, so that small tables fill the
+    executors a large one leaves idle.  The first failure is raised."""
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        return [done.result() for done in [pool.submit(job) for job in jobs]]
+
+
 def empty_table(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
     """No rows, in a form that lets the optimizer drop joins with it."""
     fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema

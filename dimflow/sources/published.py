@@ -25,6 +25,7 @@ class Published:
         self.root = root.rstrip("/")
         self._list = f"{self.root}/published"
         self.seq, self.folders, self.counts = self._newest()
+        self.added: dict[str, str] = {}
 
     def _newest(self) -> tuple[int, dict, dict]:
         try:
@@ -71,8 +72,15 @@ class Published:
         if n:
             self.folders[name] = [f for f in self.folders.get(name, []) if f != folder] + [folder]
             self.counts[name] = self.counts.get(name, 0) + n
+            self.added[name] = folder
         return n
 
+    def read_added(self, name: str) -> DataFrame | None:
+        """The rows that this object has appended to the table, if any."""
+        if name not in self.added:
+            return None
+        return self.spark.read.schema(CONTRACTS[name].schema).parquet(self.added[name])
+
     def publish(self, batch: str) -> None:
         """Make everything written so far visible, in one line."""
         self.seq += 1

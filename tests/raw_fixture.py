@@ -96,7 +96,7 @@ def write_raw(root: Path, rename: bool = False, more_days: bool = False) -> Path
         (None, 5.0),
     ]
     if more_days:
-        nav = [*nav, ("2026-02-02T00:00:00", 60.5)]
+        nav = [*nav, ("2026-02-02T00:00:00", 60.5), ("2026-01-01T00:00:00", 130.0)]
     _dump(
         root / "snapshot" / "101.json",
         snapshot(
