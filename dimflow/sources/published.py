@@ -81,6 +81,10 @@ class Published:
             return None
         return self.spark.read.schema(CONTRACTS[name].schema).parquet(self.added[name])
 
+    def compact(self, name: str, batch: str) -> int:
+        """Rewrite a table that has grown by many small folders as one."""
+        return self.replace(name, self.read(name), batch)
+
     def publish(self, batch: str) -> None:
         """Make everything written so far visible, in one line."""
         self.seq += 1
