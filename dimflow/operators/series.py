@@ -6,16 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimflow.functions.checks import given, ratio
+from dimflow.operators.merge import span_of
 
 
 def with_previous(
-    df: DataFrame,
-    keys: list[str],
-    order: str,
-    value: str,
-    out: str,
-    slot: str = "year",
-    wanted: DataFrame | None = None,
+    df: DataFrame, keys: list[str], order: str, value: str, out: str, slot: str = "year"
 ) -> DataFrame:
     """Add the value of the preceding row per key, in the order of a date.
 
@@ -25,29 +20,74 @@ def with_previous(
     previous slot, which comes from a small combined aggregate of one row per
     owner and slot; the join back on (key, slot) reuses the window's shuffle.
     Rows without an owner or a date belong to no series and are left out.
-
-    ``wanted`` names rows (keys and date) to which the result is restricted:
-    only the slots they fall in are shuffled then, not the whole history.
     """
     rows = df.filter(given([*keys, order])).withColumn("_slot", F.trunc(order, slot))
+    lasts = rows.groupBy(*keys, "_slot").agg(F.max_by(value, order).alias("_last"))
+    return _before_each(rows, lasts, keys, order, value, out).select(*df.columns, out)
+
+
+def _before_each(
+    rows: DataFrame, lasts: DataFrame, keys: list[str], order: str, value: str, out: str
+) -> DataFrame:
+    """Previous value of slotted rows, given the last value of each slot."""
     group = [*keys, "_slot"]
-    if wanted is not None:
-        touched = wanted.select(*keys, F.trunc(order, slot).alias("_slot")).distinct()
-        history = rows.join(touched.select(*keys).distinct(), keys, "left_semi")
-        rows = rows.join(touched, group, "left_semi")
-    else:
-        history = rows
-    lasts = history.groupBy(*group).agg(F.max_by(value, order).alias("_last"))
     by_owner = Window.partitionBy(*keys).orderBy("_slot")
     carried = lasts.select(*group, F.lag("_last").over(by_owner).alias("_carried"))
     in_slot = Window.partitionBy(*group).orderBy(order)
     placed = rows.withColumn("_n", F.row_number().over(in_slot)).withColumn(
         "_before", F.lag(value).over(in_slot)
     )
-    if wanted is not None:
-        placed = placed.join(wanted.select(*keys, order), [*keys, order], "left_semi")
     previous = F.when(F.col("_n") == 1, F.col("_carried")).otherwise(F.col("_before"))
-    return placed.join(carried, group, "left").select(*df.columns, previous.alias(out))
+    return placed.join(carried, group, "left").withColumn(out, previous)
+
+
+def previous_of(
+    new: DataFrame,
+    history: DataFrame,
+    keys: list[str],
+    order: str,
+    value: str,
+    out: str,
+    slot: str = "year",
+) -> DataFrame:
+    """:func:`with_previous` of ``history``, for its rows in ``new`` alone.
+
+    ``new`` is a stored table of keys and dates, such as the rows of one batch.
+    Only its slots and the slot before are read; the rest of the history is
+    read, without a shuffle of it, just for owners that have no row in those.
+    """
+    span = span_of(new, order)
+    if span is None:
+        return history.limit(0).withColumn(out, F.col(value))
+    _, low, high = span
+    start = F.trunc(F.lit(low), slot)
+    near_start = F.trunc(F.date_sub(start, 1), slot)
+    day = F.col(order)
+    slotted = history.filter(given([*keys, order])).withColumn("_slot", F.trunc(order, slot))
+    near = slotted.filter((day >= near_start) & (day <= F.lit(high)))
+
+    touched = new.select(*keys, F.trunc(order, slot).alias("_slot")).distinct()
+    owners = touched.groupBy(*keys).agg(F.min("_slot").alias("_first_slot"))
+    near_lasts = near.join(owners.select(*keys), keys, "left_semi")
+    lasts = near_lasts.groupBy(*keys, "_slot").agg(F.max_by(value, order).alias("_last"))
+    led = lasts.join(owners, keys).filter("_slot < _first_slot").select(*keys).distinct()
+    unled = owners.join(led, keys, "left_anti").select(*keys)
+    if not unled.isEmpty():
+        far = slotted.filter(day < near_start).join(unled, keys, "left_semi")
+        ends = far.groupBy(*keys).agg(
+            F.max("_slot").alias("_slot"), F.max_by(value, order).alias("_last")
+        )
+        lasts = lasts.unionByName(ends)
+    rows = near.filter(day >= start).join(touched, [*keys, "_slot"], "left_semi")
+    found = _before_each(rows, lasts, keys, order, value, out)
+    return found.select(*history.columns, out).join(
+        new.select(*keys, order), [*keys, order], "left_semi"
+    )
+
+
+def with_return(df: DataFrame, value: str, previous: str, out: str) -> DataFrame:
+    change = ratio(F.col(value) - F.col(previous), F.col(previous))
+    return df.withColumn(out, change)
 
 
 def period_return(
@@ -58,12 +98,9 @@ def period_return(
     previous: str,
     out: str = "daily_return",
     slot: str = "year",
-    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """Relative change against the preceding row; null on the first row."""
-    known = with_previous(df, keys, order, value, previous, slot, wanted)
-    change = ratio(F.col(value) - F.col(previous), F.col(previous))
-    return known.withColumn(out, change)
+    return with_return(with_previous(df, keys, order, value, previous, slot), value, previous, out)
 
 
 def latest_return(
@@ -86,11 +123,14 @@ def latest_return(
     return before.select(*keys, order, value, change.alias(out))
 
 
-def nav_return(nav: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
-    series, key = nav.select("fund_id", "record_date", "nav_value"), ["fund_id"]
-    return period_return(
-        series, key, "record_date", "nav_value", "prev_nav_value", wanted=wanted
-    )
+def nav_return(nav: DataFrame, new: DataFrame | None = None) -> DataFrame:
+    """Prices with their daily return; of the rows in ``new`` alone when given."""
+    series = nav.select("fund_id", "record_date", "nav_value")
+    names = (["fund_id"], "record_date", "nav_value", "prev_nav_value")
+    if new is None:
+        return period_return(series, *names)
+    known = previous_of(new, series, *names)
+    return with_return(known, "nav_value", "prev_nav_value", "daily_return")
 
 
 def benchmark_return(points: DataFrame) -> DataFrame:

@@ -33,6 +33,7 @@ from dimflow.operators.quality import (
     accepted,
     drop_zero_rows,
     first_reason,
+    label_consistency,
     rejected,
     sum_anomalies,
     sum_checkpoint,
@@ -195,3 +196,13 @@ def portfolio_report(clean: Clean) -> tuple[DataFrame, DataFrame]:
         sum_anomalies(snapshots, allocations, holdings, key, "value_pct"),
         sum_checkpoint(allocations, holdings, key, "value_pct"),
     )
+
+
+def label_report(clean: Clean) -> DataFrame:
+    """How far the derived fund labels agree with those the source gives."""
+    return label_consistency(
+        clean.read("mutual_fund"),
+        F.col("conservative_label"),
+        F.col("source_label"),
+        F.col("fund_type").isNotNull(),
+    )

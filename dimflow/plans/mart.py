@@ -150,7 +150,7 @@ def load_mart(published: Published, batch: str, effective: date, full: bool = Fa
         rows = new_rows("nav_record", "fact_nav_daily")
         if rows is not None:
             known = "fact_nav_daily" in published.folders and not full
-            returns = nav_return(nav, wanted=rows if known else None)
+            returns = nav_return(nav, rows if known else None)
             facts = fact_rows(returns, keys, "fund_id", "record_date")
             _append(published, "fact_nav_daily", facts, batch, rows)
 

@@ -197,3 +197,18 @@ def _save(clean: Clean, name: str, build) -> None:
 
 def _made_from(*sources: str) -> set[str]:
     return {name for name, made_from in TABLE_SOURCES.items() if made_from & set(sources)}
+
+
+FOLDERS = ("manager_aum", "products", "snapshot", "portfolio", "quarterly", "sales_companies")
+
+
+def landing_report(spark: SparkSession, raw: str) -> DataFrame:
+    """Number of landed documents per folder and status."""
+    parts = [
+        docs.landing_status(docs.read_documents(spark, f"{raw.rstrip('/')}/{name}"), F.lit(name))
+        for name in FOLDERS
+    ]
+    report = parts[0]
+    for part in parts[1:]:
+        report = report.unionByName(part)
+    return report

@@ -152,8 +152,8 @@ def write_raw(root: Path, rename: bool = False, more_days: bool = False) -> Path
                     {"Type": 0, "SpesificType": 7, "Name": "Pasar Uang", "Value": 8.3},
                     {"Type": 0, "SpesificType": 9, "Name": "Pasar Uang", "Value": 120},
                     {"Type": 1, "Name": "x", "Value": 5.5, "fkStockId": 3,
-                     "Stock": {"Code": "BBCA", "Name": "Bank C"}},
-                    {"Type": 1, "Name": "x", "Value": 1.5, "Stock": {"Code": "BBCA"}},
+                     "Stock": {"Code": "ABCD", "Name": "Company"}},
+                    {"Type": 1, "Name": "x", "Value": 1.5, "Stock": {"Code": "ABCD"}},
                     {"Type": 2, "Name": "Bond Z", "Value": 3.0, "fkStockId": 9},
                     {"Type": 1, "Name": "no stock", "Value": 3.0, "Stock": None},
                 ],

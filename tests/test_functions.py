@@ -87,7 +87,7 @@ def test_latest_date(spark):
 @pytest.mark.parametrize(
     "name, base, suffix",
     [
-        ("Ashmore Dana Kelas A", "Ashmore Dana", "Kelas A"),
+        ("Some Fund Kelas A", "Some Fund", "Kelas A"),
         ("X  KELAS  b 2", "X", "Kelas b 2"),
         ("Plain", "Plain", None),
         ("Kelas A", "Kelas A", None),

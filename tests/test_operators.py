@@ -159,10 +159,12 @@ def test_previous_value_over_gaps_and_a_hot_owner(spark):
         assert len(found) == len(want)
         for owner, d, previous, change in want:
             assert found[owner, d] == (previous, pytest.approx(change) if change is not None else None)
-    wanted = df.filter("day(record_date) = 3 OR fund_id = 2").select("fund_id", "record_date")
-    part = series.nav_return(df, wanted)
-    whole = series.nav_return(df).join(wanted, ["fund_id", "record_date"], "left_semi")
-    assert sorted(map(str, part.collect())) == sorted(map(str, whole.collect()))
+    whole = series.nav_return(df)
+    for some in ("day(record_date) = 3", "fund_id = 2", "fund_id = 3", "record_date >= '2025-06-01'", "false"):
+        new = df.filter(some).select("fund_id", "record_date")
+        part = series.nav_return(df, new)
+        wanted = whole.join(new, ["fund_id", "record_date"], "left_semi")
+        assert sorted(map(str, part.collect())) == sorted(map(str, wanted.collect())), some
     newest = {r["fund_id"]: r for r in series.latest_return(df, ["fund_id"], "record_date", "nav_value").collect()}
     for owner, points in data.items():
         owner_rows = [w for w in want if w[0] == owner]

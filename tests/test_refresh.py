@@ -7,9 +7,11 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from dimflow.plans.load import portfolio_report
+from dimflow.operators.series import batch_coverage
+from dimflow.plans import reports
+from dimflow.plans.load import label_report, portfolio_report
 from dimflow.plans.refresh import counts, integrity_report, refresh
-from dimflow.plans.transform import Clean, tables_of
+from dimflow.plans.transform import Clean, landing_report, tables_of
 from dimflow.sources import documents as docs
 from dimflow.sources.published import Published
 from dimflow.streaming.landing import land_new
@@ -112,6 +114,30 @@ def test_portfolio_report(spark, first):
     assert totals.first()["allocation_near_full"] == 1
 
 
+def test_reports(spark, first):
+    base, p = first
+    funds, aum, nav = (p.read(n) for n in ("mutual_fund", "aum_record", "nav_record"))
+    totals = reports.class_totals(funds, aum).first()
+    assert (totals["class_group_id"], totals["class_total_aum"], totals["n_classes"]) == (5, 1210, 1)
+    unit = reports.unit_integrity(aum, nav).first()
+    assert unit["total_units"] == 10 and unit["derived_units"] is None  # no price on 31 January
+    facts = p.read("fact_nav_daily")
+    (row,) = reports.category_volatility(facts, p.read("dim_category"), p.read("dim_date"), 2025).collect()
+    assert (row["label"], row["n_fund"], row["ann_volatility"]) == ("Saham", 1, None)
+    holders = reports.holders_of(
+        "ABCD", p.read("security"), p.read("portfolio_holding"), p.read("portfolio_snapshot"), funds
+    )
+    assert [(r["name"], r["value_pct"]) for r in holders.collect()] == [("Alpha Kelas A", 7)]
+    newest = batch_coverage(nav, "record_date", "scraped_at", 2).collect()
+    assert [(str(r["record_date"]), r["n_rows"]) for r in newest] == [("2026-01-02", 2), ("2025-12-31", 1)]
+    clean = Clean(spark, str(base / "work" / "20260701T080000"))
+    labels = label_report(clean).first()
+    assert (labels["checked"], labels["mismatches"], labels["rule_holds"]) == (4, 2, False)
+    landed = {(r["source"], r["status"]): r["n_documents"] for r in landing_report(spark, str(base / "raw")).collect()}
+    assert landed["portfolio", "empty"] == 1 and landed["snapshot", "failed"] == 1
+    assert {r[0] for r in p.read("reject_log").select("table_name").collect()} == set()
+
+
 def test_second_run_changes_nothing(spark, first):
     base, p = first
     again = refresh(spark, str(base / "raw"), str(base / "work"), str(base / "root"), datetime(2026, 7, 2, 8))

@@ -10,7 +10,7 @@ from dimflow.operators.dedup import last_per_key, latest_per_key as newest_per_k
 from dimflow.operators.quality import fingerprint
 from dimflow.operators.series import batch_coverage as coverage
 from dimflow.operators.series import latest_return
-from dimflow.operators.series import period_return as with_return
+from dimflow.operators.series import period_return as returns_of
 from dimflow.plans import reports
 from dimflow.plans.mart import calendar
 from dimflow.session import shared_folder
@@ -40,7 +40,7 @@ def daily_values(t: Tables) -> DataFrame:
 
 def daily_returns(t: Tables) -> DataFrame:
     keys = ["fund_id"]
-    return with_return(
+    return returns_of(
         daily_values(t), keys, "record_date", "nav_value", "prev_nav_value", slot=SLOT
     )
 
@@ -93,7 +93,7 @@ def benchmark_return(t):
     points = t.events.groupBy(
         F.col("event_type").alias("benchmark_id"), day("ts").alias("record_date")
     ).agg(F.sum(cents("value")).cast("decimal(18,4)").alias("value"))
-    returns = with_return(points, ["benchmark_id"], "record_date", "value", "prev", slot=SLOT)
+    returns = returns_of(points, ["benchmark_id"], "record_date", "value", "prev", slot=SLOT)
     return returns.select("benchmark_id", "record_date", rounded("value", 2), rounded("daily_return"))
 
 
