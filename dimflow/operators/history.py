@@ -66,41 +66,31 @@ def scd2_merge(
     change in ``carried`` columns alone makes no version.
     """
     today = F.lit(effective).cast("date")
-    incoming = source.select(*key, *tracked, *carried)
-    changes = _changed_keys(dim, incoming, key, tracked)
-    ends = F.col("is_current") & F.col("_changed").isNotNull()
-    history = dim.join(changes, key, "left").select(
-        *[
-            F.when(ends, today).otherwise(F.col(c)).alias(c)
-            if c == "valid_to"
-            else (F.col(c) & ~ends).alias(c)
-            if c == "is_current"
-            else F.col(c)
-            for c in dim.columns
-        ]
+    closed = dim.filter(~F.col("is_current"))
+    current = dim.filter("is_current").alias("cur")
+    incoming = source.select(*key, *tracked, *carried).alias("src")
+    same_key = [F.col(f"cur.{k}") == F.col(f"src.{k}") for k in key]
+    changed = differs(_of("cur", tracked), _of("src", tracked))
+    ends = F.col(f"src.{key[0]}").isNotNull() & changed
+
+    def kept(name: str) -> Column:
+        if name == "valid_to":
+            return F.when(ends, today)
+        if name == "is_current":
+            return ~ends
+        return F.col(f"cur.{name}")
+
+    versions = current.join(incoming, same_key, "left").select(
+        *[kept(c).alias(c) for c in dim.columns]
     )
-    standing = dim.filter("is_current").join(changes, key, "left_anti").select(*key)
     opened = (
-        incoming.join(standing, key, "left_anti")
+        incoming.join(current, [*same_key, ~changed], "left_anti")
         .withColumn("valid_from", today)
         .withColumn("valid_to", F.lit(None).cast("date"))
         .withColumn("is_current", F.lit(True))
     )
     numbered = number_rows(opened, key, surrogate, after=dim)
-    return history.unionByName(numbered.select(*dim.columns))
-
-
-def _changed_keys(
-    dim: DataFrame, incoming: DataFrame, key: list[str], tracked: list[str]
-) -> DataFrame:
-    current = dim.filter("is_current").alias("cur")
-    fresh = incoming.alias("src")
-    same_key = [F.col(f"cur.{k}") == F.col(f"src.{k}") for k in key]
-    return (
-        current.join(fresh, same_key)
-        .filter(differs(_of("cur", tracked), _of("src", tracked)))
-        .select(*[F.col(f"cur.{k}") for k in key], F.lit(True).alias("_changed"))
-    )
+    return closed.unionByName(versions).unionByName(numbered.select(*dim.columns))
 
 
 def current_versions(dim: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.contracts import CONTRACTS, RELATIONAL, STAR, contract_checks
+from dimflow.contracts import RELATIONAL, STAR, contract_checks
 from dimflow.operators.quality import duplicate_keys, orphans, violations
 from dimflow.plans.load import load
 from dimflow.plans.mart import load_mart
@@ -77,6 +77,3 @@ def integrity_report(published: Published) -> DataFrame:
         report = report.unionByName(part)
     return report.filter("n_rows > 0")
 
-
-def known_tables() -> list[str]:
-    return list(CONTRACTS)

@@ -51,16 +51,45 @@ def tables_of(scope: str) -> list[str]:
     return [name for name, sources in TABLE_SOURCES.items() if sources & SCOPES[scope]]
 
 
+class Clean:
+    """Writer and reader of the clean tables of one run."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.counts: dict[str, int] = {}
+        self.rejects: dict[str, int] = {}
+
+    def save(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a table, count it on the way and return it as read back."""
+        seen = Observation()
+        bad = F.col("reject_reason").isNotNull() if "reject_reason" in df.columns else F.lit(False)
+        counted = df.observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("rejects")
+        )
+        counted.write.mode("overwrite").parquet(f"{self.root}/{name}")
+        self.counts[name] = seen.get["rows"] - seen.get["rejects"]
+        self.rejects[name] = seen.get["rejects"]
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
+
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{name}")
+
+
 class Documents:
     """Parsed documents of a landing folder, restricted to a subset of funds
     when ``subset`` gives their number."""
 
-    def __init__(self, spark: SparkSession, raw: str, subset: int | None, rating_field: str):
+    def __init__(
+        self, spark: SparkSession, raw: str, clean: Clean, subset: int | None, rating_field: str
+    ):
         self.spark = spark
         self.raw = raw.rstrip("/")
         self.rating_field = rating_field
         index = shred.real_funds(self._master("fund_index", shred.FUND_INDEX))
-        self.fund_index = docs.first_entities(index, ["pos"], subset) if subset else index
+        index = docs.first_entities(index, ["pos"], subset) if subset else index
+        # Stored, so that the planner knows how small the list of funds is.
+        self.fund_index = clean.save("parsed_fund_index", index)
         self.valid = self.fund_index.select(F.col("Id").alias("fund_id"))
         self._subset = subset
 
@@ -106,31 +135,6 @@ class Documents:
         return docs.parse_arrays(self._folder("sales_companies"), shred.FUND_SALES)
 
 
-class Clean:
-    """Writer and reader of the clean tables of one run."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.counts: dict[str, int] = {}
-        self.rejects: dict[str, int] = {}
-
-    def save(self, name: str, df: DataFrame) -> DataFrame:
-        """Write a table, count it on the way and return it as read back."""
-        seen = Observation()
-        bad = F.col("reject_reason").isNotNull() if "reject_reason" in df.columns else F.lit(False)
-        counted = df.observe(
-            seen, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("rejects")
-        )
-        counted.write.mode("overwrite").parquet(f"{self.root}/{name}")
-        self.counts[name] = seen.get["rows"] - seen.get["rejects"]
-        self.rejects[name] = seen.get["rejects"]
-        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
-
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
-
-
 def transform(
     spark: SparkSession,
     raw: str,
@@ -145,7 +149,7 @@ def transform(
     (``parsed_…``); every table that is made from them reads only its own
     nested columns of that.
     """
-    found = Documents(spark, raw, subset, rating_field)
+    found = Documents(spark, raw, clean, subset, rating_field)
     names = tables_of(scope)
     wanted = set(names)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dimflow.operators.series import batch_coverage
 from dimflow.plans import reports
-from dimflow.plans.load import label_report, portfolio_report
+from dimflow.plans.load import label_report, merge_table, portfolio_report
 from dimflow.plans.refresh import counts, integrity_report, refresh
 from dimflow.plans.transform import Clean, landing_report, tables_of
 from dimflow.sources import documents as docs
@@ -212,3 +212,31 @@ def test_new_documents_land_once(spark, tmp_path):
     assert sorted(r[0] for r in spark.read.parquet(landed).select("file_key").collect()) == [
         "101", "102", "103", "104", "105", "106",
     ]
+
+
+def test_rows_that_break_a_contract_are_logged(spark, tmp_path):
+    published = Published(spark, str(tmp_path))
+    rows = [(1, "fine", 0), (2, None, 1), (3, "x" * 101, 2), (None, "no key", 3), (1, "second", 4)]
+    new = spark.createDataFrame(rows, "benchmark_id int, name string, pos int")
+    audit, bad = merge_table(published, "benchmark", new, "b1", datetime(2026, 7, 1), "me")
+    assert audit is None and table(published, "benchmark") == [(1, "fine")]
+    assert sorted(r["reject_reason"] for r in bad.collect()) == [
+        "benchmark_id given", "name fits 100", "name given",
+    ]
+    wide = spark.createDataFrame([(1, 7, 5, "123456789012.5")], "fund_id int, period_code int, beta int, cagr string")
+    wide = wide.withColumn("as_of_date", F.lit("2026-01-01"))
+    _, bad = merge_table(published, "fund_performance", wide, "b1", datetime(2026, 7, 1), "me")
+    assert [r["reject_reason"] for r in bad.collect()] == ["cagr does not fit"]
+    assert published.counts["fund_performance"] == 0
+
+
+def test_compact_keeps_the_rows(spark, tmp_path):
+    published = Published(spark, str(tmp_path))
+    for i, batch in enumerate(("a", "b")):
+        published.append("benchmark", spark.createDataFrame([(i, batch)], "benchmark_id int, name string"), batch)
+        published.publish(batch)
+    assert len(published.folders["benchmark"]) == 2
+    published.compact("benchmark", "c")
+    published.publish("c")
+    again = Published(spark, str(tmp_path))
+    assert len(again.folders["benchmark"]) == 1 and table(again, "benchmark") == [(0, "a"), (1, "b")]
