@@ -23,10 +23,19 @@ def with_full_key(df: DataFrame, key: list[str]) -> DataFrame:
 def upsert(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """The last state wins per key.  Columns that ``new`` does not carry keep
     their old value.  ``new`` holds one row per key."""
-    kept = [c for c in old.columns if c not in new.columns]
-    state = new.join(old.select(*key, *kept), key, "left") if kept else new
-    untouched = old.join(new.select(*key), key, "left_anti")
-    return untouched.unionByName(state.select(*old.columns))
+    if set(old.columns) <= set(new.columns):
+        untouched = old.join(new.select(*key), key, "left_anti")
+        return untouched.unionByName(new.select(*old.columns))
+    marked = new.withColumn("_given", F.lit(True)).alias("new")
+    same_key = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in key]
+
+    def state(name: str) -> Column:
+        if name not in new.columns:
+            return F.col(f"old.{name}")
+        return F.when(F.col("new._given"), F.col(f"new.{name}")).otherwise(F.col(f"old.{name}"))
+
+    joined = old.alias("old").join(marked, same_key, "full_outer")
+    return joined.select(*[state(c).alias(c) for c in old.columns])
 
 
 def span_of(df: DataFrame, column: str) -> tuple | None:

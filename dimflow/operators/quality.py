@@ -94,8 +94,15 @@ def label_consistency(df: DataFrame, derived: Column, given: Column, counted: Co
     )
 
 
-def _line_sums(lines: DataFrame, key: list[str], value: str, out: str) -> DataFrame:
-    return lines.groupBy(*key).agg(F.sum(value).alias(out))
+def _tagged_lines(
+    allocations: DataFrame, holdings: DataFrame, key: list[str], value: str
+) -> DataFrame:
+    """Both kinds of lines in one table, so that they are shuffled once."""
+    parts = [
+        lines.select(*key, F.col(value).alias("_value"), F.lit(tag).alias("_allocates"))
+        for lines, tag in ((allocations, True), (holdings, False))
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 def sum_anomalies(
@@ -107,35 +114,38 @@ def sum_anomalies(
 ) -> DataFrame:
     """Snapshots whose allocation sum is off 100 by more than the tolerance, or
     whose holdings exceed 100.  A snapshot without lines has a sum of zero."""
+    lines = _tagged_lines(allocations, holdings, key, value)
+    per_kind = {"allocation_sum": F.col("_allocates"), "holding_sum": ~F.col("_allocates")}
+    sums = lines.groupBy(*key).agg(
+        *[F.sum(F.when(kind, F.col("_value"))).alias(name) for name, kind in per_kind.items()]
+    )
     zero = F.lit(0).cast("int")
-    sums = (
-        snapshots.select(*key)
-        .join(_line_sums(allocations, key, value, "allocation_sum"), key, "left")
-        .join(_line_sums(holdings, key, value, "holding_sum"), key, "left")
-        .withColumn("allocation_sum", F.coalesce("allocation_sum", zero))
-        .withColumn("holding_sum", F.coalesce("holding_sum", zero))
+    filled = snapshots.select(*key).join(sums, key, "left").withColumns(
+        {name: F.coalesce(name, zero) for name in per_kind}
     )
     off = F.abs(F.col("allocation_sum") - FULL_PCT) > ALLOCATION_TOLERANCE_PCT
     over = F.col("holding_sum") > FULL_PCT
-    return sums.withColumn("allocation_off", off).withColumn("holding_over", over).filter(off | over)
+    marked = filled.withColumn("allocation_off", off).withColumn("holding_over", over)
+    return marked.filter(off | over)
 
 
 def sum_checkpoint(
     allocations: DataFrame, holdings: DataFrame, key: list[str], value: str
 ) -> DataFrame:
     """One row of counts over the snapshots that have lines at all."""
-    off = F.abs(F.col("_sum") - FULL_PCT) > ALLOCATION_TOLERANCE_PCT
-    allocation = _line_sums(allocations, key, value, "_sum").agg(
-        F.count("*").alias("allocation_snapshots"),
-        F.count_if(off).alias("allocation_off"),
-        F.count_if(~off).alias("allocation_near_full"),
-    )
-    holding = _line_sums(holdings, key, value, "_sum").agg(
-        F.count("*").alias("holding_snapshots"),
-        F.min("_sum").alias("holding_min"),
-        F.max("_sum").alias("holding_max"),
+    lines = _tagged_lines(allocations, holdings, key, value)
+    sums = lines.groupBy(*key, "_allocates").agg(F.sum("_value").alias("_sum"))
+    allocates, total = F.col("_allocates"), F.col("_sum")
+    off = F.abs(total - FULL_PCT) > ALLOCATION_TOLERANCE_PCT
+    held = F.when(~allocates, total)
+    return sums.agg(
+        F.count_if(allocates).alias("allocation_snapshots"),
+        F.count_if(allocates & off).alias("allocation_off"),
+        F.count_if(allocates & ~off).alias("allocation_near_full"),
+        F.count_if(~allocates).alias("holding_snapshots"),
+        F.min(held).alias("holding_min"),
+        F.max(held).alias("holding_max"),
     )
-    return allocation.join(holding, F.lit(True))  # one row by one row
 
 
 def fingerprint(df: DataFrame, columns: list[Column]) -> DataFrame:

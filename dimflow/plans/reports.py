@@ -48,10 +48,16 @@ def category_volatility(
     facts: DataFrame, dim_category: DataFrame, dim_date: DataFrame, year: int
 ) -> DataFrame:
     """Yearly volatility and return per category; one-row groups, whose
-    deviation is null, come first as null sorts high."""
+    deviation is null, come first as null sorts high.
+
+    Date keys of a year are one range, which prunes the stored facts.  The days
+    of one year are at most 366 rows and are broadcast.
+    """
     days = dim_date.filter(F.col("year") == year).select("date_id")
+    in_year = F.col("date_id").between(year * 10000, year * 10000 + 9999)
     return (
-        facts.join(days, "date_id")
+        facts.filter(in_year)
+        .join(F.broadcast(days), "date_id")
         .join(dim_category.select("category_id", "label"), "category_id")
         .groupBy("label")
         .agg(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.functions import labels
+from dimflow.functions.dates import date_key
 from dimflow.operators.dedup import last_per_key, latest_per_key as newest_per_key
 from dimflow.operators.quality import fingerprint
 from dimflow.operators.series import batch_coverage as coverage
@@ -208,7 +209,7 @@ def category_volatility(t):
         F.col("c_custkey").alias("fund_id"), F.col("c_mktsegment").alias("category_id")
     )
     facts = returns.join(owners, "fund_id").withColumn(
-        "date_id", F.date_format("record_date", "yyyyMMdd").cast("int")
+        "date_id", date_key(F.col("record_date"))
     )
     categories = t.customer.select(
         F.col("c_mktsegment").alias("category_id"), F.col("c_mktsegment").alias("label")
