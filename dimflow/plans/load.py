@@ -168,15 +168,18 @@ def load(
     or a security come after those; the others do not wait for each other."""
     audits, rejects = [], []
 
+    def note(log: list, rows: DataFrame | None) -> None:
+        if rows is not None and not rows.isEmpty():
+            log.append(rows)
+
     def merge(name: str) -> None:
         new, lost = prepared(name, clean, published)
         if lost is not None:
             lost = lost.withColumn("reject_reason", F.lit("no portfolio"))
-            rejects.append(reject_rows(lost, name, ["fund_id", "date_based"], batch))
+            note(rejects, reject_rows(lost, name, ["fund_id", "date_based"], batch))
         audit, bad = merge_table(published, name, new, batch, batch_ts, actor)
-        rejects.append(bad)
-        if audit is not None:
-            audits.append(audit)
+        note(rejects, bad)
+        note(audits, audit)
 
     ordered = [c.name for c in RELATIONAL if c.name in names]
     run_together([partial(merge, n) for n in ordered if n not in NUMBERED_PARENTS])

@@ -153,45 +153,63 @@ def transform(
     names = tables_of(scope)
     wanted = set(names)
 
-    jobs = {
-        "investment_manager": lambda: shred.managers(found.managers()),
-        "manager_personnel": lambda: shred.personnel(found.managers()),
-        "manager_shareholder": lambda: shred.shareholders(found.managers()),
-        "manager_aum_record": lambda: shred.manager_aum(found.manager_aum()),
-        "custodian_bank": lambda: shred.banks(found.banks()),
-        "sales_company": lambda: shred.sales_companies(found.sales()),
-        "fund_quarterly_return": lambda: shred.quarterly_returns(found.quarterly(), found.valid),
-        "fund_sales_company": lambda: shred.fund_sales(found.fund_sales(), found.valid),
-    }
-    if wanted & _made_from("snapshot", "fund_index", "products"):
+    def save_all(jobs: dict) -> None:
+        run_together([partial(_save, clean, n, job) for n, job in jobs.items() if n in wanted])
+
+    def from_masters() -> None:
+        save_all(
+            {
+                "investment_manager": lambda: shred.managers(found.managers()),
+                "manager_personnel": lambda: shred.personnel(found.managers()),
+                "manager_shareholder": lambda: shred.shareholders(found.managers()),
+                "manager_aum_record": lambda: shred.manager_aum(found.manager_aum()),
+                "custodian_bank": lambda: shred.banks(found.banks()),
+                "sales_company": lambda: shred.sales_companies(found.sales()),
+                "fund_quarterly_return": lambda: shred.quarterly_returns(
+                    found.quarterly(), found.valid
+                ),
+                "fund_sales_company": lambda: shred.fund_sales(found.fund_sales(), found.valid),
+            }
+        )
+
+    def from_snapshots() -> None:
+        if not wanted & _made_from("snapshot", "fund_index", "products"):
+            return
         snapshots = clean.save("parsed_snapshot", found.snapshots())
         mentions = shred.fund_benchmarks(snapshots)
-        jobs |= {
-            "mutual_fund": lambda: shred.funds(
-                found.fund_index, snapshots, shred.class_map(found.products())
-            ),
-            "nav_record": lambda: shred.nav(snapshots),
-            "aum_record": lambda: shred.aum(snapshots),
-            "fund_performance": lambda: shred.performance(snapshots),
-            "fund_ranking": lambda: shred.ranking(snapshots, rating_field),
-            "benchmark": lambda: shred.benchmarks(mentions),
-            "benchmark_data_point": lambda: shred.benchmark_points(mentions),
-            "fund_benchmark": lambda: shred.benchmark_links(mentions),
-        }
-    if wanted & _made_from("portfolio"):
+        save_all(
+            {
+                "mutual_fund": lambda: shred.funds(
+                    found.fund_index, snapshots, shred.class_map(found.products())
+                ),
+                "nav_record": lambda: shred.nav(snapshots),
+                "aum_record": lambda: shred.aum(snapshots),
+                "fund_performance": lambda: shred.performance(snapshots),
+                "fund_ranking": lambda: shred.ranking(snapshots, rating_field),
+                "benchmark": lambda: shred.benchmarks(mentions),
+                "benchmark_data_point": lambda: shred.benchmark_points(mentions),
+                "fund_benchmark": lambda: shred.benchmark_links(mentions),
+            }
+        )
+        save_all({"fund_class": lambda: shred.fund_classes(clean.read("mutual_fund"))})
+
+    def from_portfolios() -> None:
+        if not wanted & _made_from("portfolio"):
+            return
         nested = shred.portfolio_snapshots(found.portfolios(), found.valid)
         nested = clean.save("parsed_portfolio", nested)
         lines = clean.save("portfolio_line", shred.portfolio_lines(nested))
-        jobs |= {
-            "portfolio_snapshot": lambda: nested.drop("Assets"),
-            "asset_category": lambda: shred.categories(lines),
-            "security": lambda: shred.securities(lines),
-            "portfolio_allocation": lambda: shred.allocations(lines),
-            "portfolio_holding": lambda: shred.holdings(lines),
-        }
-    run_together([partial(_save, clean, n, job) for n, job in jobs.items() if n in wanted])
-    if "fund_class" in wanted:
-        clean.save("fund_class", shred.fund_classes(clean.read("mutual_fund")))
+        save_all(
+            {
+                "portfolio_snapshot": lambda: nested.drop("Assets"),
+                "asset_category": lambda: shred.categories(lines),
+                "security": lambda: shred.securities(lines),
+                "portfolio_allocation": lambda: shred.allocations(lines),
+                "portfolio_holding": lambda: shred.holdings(lines),
+            }
+        )
+
+    run_together([from_snapshots, from_portfolios, from_masters])
     return names
 
 

@@ -51,7 +51,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def run_together(jobs: list, workers: int = 4) -> list:
+def run_together(jobs: list, workers: int = 8) -> list:
     """Run independent writes at the same time, so that small tables fill the
     executors a large one leaves idle.  The first failure is raised."""
     with ThreadPoolExecutor(max_workers=workers) as pool:
