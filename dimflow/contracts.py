@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 UPSERT = "upsert"
 INSERT = "insert if absent"
 CHILDREN = "replace children"
-KEYED = "key only"
 
 
 @dataclass(frozen=True)
@@ -295,7 +294,7 @@ RELATIONAL = (
         "domestic_allocation_pct decimal(5,2), foreign_allocation_pct decimal(5,2), "
         "scraped_at timestamp",
         key=("fund_id", "date_based"),
-        mode=KEYED,
+        mode=INSERT,
         unique=(("snapshot_id",),),
         checks=_pct("domestic_allocation_pct", "foreign_allocation_pct"),
         parents=TO_FUND,

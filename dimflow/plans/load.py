@@ -14,7 +14,6 @@ from dimflow.contracts import (
     CONTRACTS,
     FEE_COLUMNS,
     INSERT,
-    KEYED,
     POLICY_COLUMNS,
     RANK_COLUMNS,
     RATING_COLUMNS,
@@ -25,7 +24,7 @@ from dimflow.contracts import (
     misfits,
 )
 from dimflow.functions import checks, text
-from dimflow.operators.dedup import distinct_names, first_per_key, keep_first_code, last_per_key
+from dimflow.operators.dedup import distinct_names, keep_first_code, last_per_key
 from dimflow.operators.history import change_audit
 from dimflow.operators.keys import number_absent, number_rows, resolve_keys
 from dimflow.operators.merge import absent_rows, replace_children, span_of, stamp, upsert
@@ -97,15 +96,8 @@ def prepared(
     return df, None
 
 
-def one_per_key(df: DataFrame, contract: TableContract) -> DataFrame:
-    """One row per key in source order: the first for insert-only tables, whose
-    old rows stand, the last for the others."""
-    order = [c for c in SOURCE_ORDER if c in df.columns]
-    if contract.mode == CHILDREN or not order:
-        return df
-    if contract.mode in (INSERT, KEYED):
-        return first_per_key(df, list(contract.key), [F.col(c) for c in order])
-    return last_per_key(df, list(contract.key), order)
+def source_order(df: DataFrame) -> list[str]:
+    return [c for c in SOURCE_ORDER if c in df.columns]
 
 
 def reject_rows(bad: DataFrame, name: str, key: list[str], batch: str) -> DataFrame:
@@ -133,27 +125,26 @@ def merge_table(
         marked = cut_lineage(marked)
     # Rejects are found before rows are compared, so listing them takes no shuffle.
     bad = reject_rows(rejected(marked), name, key, batch)
-    good = one_per_key(accepted(marked), contract).select(*contract.schema.fieldNames())
-    old, audit = published.read(name), None
+    good, old = accepted(marked), published.read(name)
+    order, columns = source_order(good), contract.schema.fieldNames()
     if contract.mode == CHILDREN:
-        rows = good.drop(contract.surrogate)
+        rows = good.select(*columns).drop(contract.surrogate)
         numbered = number_rows(rows, rows.columns, contract.surrogate, after=old)
         published.replace(name, replace_children(old, numbered, contract.key[0]), batch)
-    elif contract.mode == KEYED:
-        fresh = number_absent(old, good.drop(contract.surrogate), key, contract.surrogate)
-        published.append(name, fresh, batch)
-    elif contract.mode == INSERT:
+        return None, bad
+    if contract.mode == INSERT:
         span = span_of(new, contract.span) if contract.span else None
-        fresh = absent_rows(old, good, key, span=span)
+        fresh = absent_rows(old, good, key, [F.col(c) for c in order], span).select(*columns)
         if contract.surrogate:
             fresh = number_rows(fresh.drop(contract.surrogate), key, contract.surrogate, after=old)
         published.append(name, fresh, batch)
-    else:
-        if contract.audited:
-            ignore = ("scraped_at",) if contract.stamped else ()
-            audit = change_audit(old, good, key, name, batch_ts, actor, ignore)
-        published.replace(name, upsert(old, good, key), batch)
-    return audit, bad
+        return None, bad
+    state = (last_per_key(good, key, order) if order else good).select(*columns)
+    published.replace(name, upsert(old, state, key), batch)
+    if not contract.audited:
+        return None, bad
+    ignore = ("scraped_at",) if contract.stamped else ()
+    return change_audit(old, state, key, name, batch_ts, actor, ignore), bad
 
 
 def load(

@@ -14,7 +14,7 @@ from dimflow.operators.series import latest_return
 from dimflow.operators.series import period_return as returns_of
 from dimflow.plans import reports
 from dimflow.plans.mart import calendar
-from dimflow.session import shared_folder
+from dimflow.session import cut_lineage
 from workload.tables import Tables, cents, day, query, rounded
 
 SLOT = "week"  # the events span one month
@@ -141,11 +141,7 @@ def latest_return_per_key(t):
 @query(LATEST_RETURN_SQL + " ORDER BY fund_id")
 def persisted_latest(t):
     """The same rows through a stored table, which a dashboard reads."""
-    spark = t.spark
-    folder = f"{shared_folder(spark)}/latest_return"
-    stored = latest_return_per_key(t)
-    stored.write.mode("overwrite").parquet(folder)
-    return spark.read.schema(stored.schema).parquet(folder).orderBy("fund_id")
+    return cut_lineage(latest_return_per_key(t)).orderBy("fund_id")
 
 
 @query(
