@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+SCHEMAS: dict[str, T.StructType] = {}  # read from each file's footer once
 
 
 class Tables:
@@ -20,7 +22,10 @@ class Tables:
         self._folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        path = f"{self._folder}/{name}.parquet"
+        if path not in SCHEMAS:
+            SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(SCHEMAS[path]).parquet(path)
 
 
 def query(sql: str | None = None):
