@@ -55,30 +55,31 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _elements(documents: DataFrame, opening: str, schema: str) -> DataFrame:
-    """Elements of the documents that start with ``opening``.
+def _elements(documents: DataFrame, opening: str, shape: T.StructType) -> DataFrame:
+    """Elements of the documents that start with ``opening``, as column ``d``.
 
     An object parses as an array of one; a null, broken or empty document has
     no element.  Filters sit behind the generator and name only its output, so
     Spark cannot copy the parser into them and each text is parsed once.
     """
-    shape = T.StructType.fromDDL(schema).add("_error", T.VariantType())
     held = documents.filter(F.ltrim("body").startswith(opening))
     parsed = F.from_json("body", T.ArrayType(shape).simpleString())
     rows = held.select("file_name", "file_key", F.posexplode_outer(parsed).alias("pos", "d"))
-    found = F.col("d").isNotNull() & F.col("d._error").isNull()
-    return rows.filter(found).select("file_name", "file_key", "pos", "d.*").drop("_error")
+    return rows.filter(F.col("d").isNotNull())
 
 
 def parse_objects(documents: DataFrame, schema: str) -> DataFrame:
     """Fields of the documents that hold one object; failed fetches, which carry
     an ``_error`` field, are left out."""
-    return _elements(documents, "{", schema).drop("pos")
+    shape = T.StructType.fromDDL(schema).add("_error", T.VariantType())
+    found = _elements(documents, "{", shape).filter(F.col("d._error").isNull())
+    return found.select("file_name", "file_key", "d.*").drop("_error")
 
 
 def parse_arrays(documents: DataFrame, schema: str) -> DataFrame:
     """Elements of the documents that hold an array, with their position."""
-    return _elements(documents, "[", schema)
+    found = _elements(documents, "[", T.StructType.fromDDL(schema))
+    return found.select("file_name", "file_key", "pos", "d.*")
 
 
 def composite_key(file_key: Column) -> tuple[Column, Column]:

@@ -14,19 +14,21 @@ from pyspark.sql import functions as F
 from dimflow.operators import shred
 from dimflow.operators.keys import number_rows
 from dimflow.plans.transform import Clean
-from dimflow.session import shared_folder
+from dimflow.session import cut_lineage, shared_folder
 from dimflow.sources import documents as docs
 from workload.tables import Tables, day, query
 
 def landed(df: DataFrame, file_key, body) -> DataFrame:
-    """Rows as landed documents: file key and JSON text.  A document is many
-    times as wide as its row, so rows are spread before they are written out."""
+    """Rows as landed documents: file key and JSON text, stored before they are
+    read.  A document is many times as wide as its row, so rows are spread first."""
     spread = df.repartition(file_key)
     key = file_key.cast("string")
-    return spread.select(
-        F.concat(key, F.lit(".json")).alias("file_name"),
-        key.alias("file_key"),
-        body.alias("body"),
+    return cut_lineage(
+        spread.select(
+            F.concat(key, F.lit(".json")).alias("file_name"),
+            key.alias("file_key"),
+            body.alias("body"),
+        )
     )
 
 
