@@ -54,8 +54,8 @@ def absent_rows(
 ) -> DataFrame:
     """Rows of ``new`` to append: full key, not in ``old``, the first per key.
 
-    Known keys go first, so that only what is left is ranked; both steps use the
-    same partitioning.
+    Copies of a key are dropped first, as that happens before the shuffle; the
+    join that follows uses the same partitioning.
     ``span`` is the range of one key column in ``new``, such as its dates (see
     :func:`span_of`).  Only that part of ``old`` is read then, so a daily batch
     does not shuffle the whole history.
@@ -63,8 +63,9 @@ def absent_rows(
     if span:
         column, low, high = span
         old = old.filter(F.col(column).between(F.lit(low), F.lit(high)))
-    absent = with_full_key(new, key).join(old.select(*key), key, "left_anti")
-    return first_per_key(absent, key, order) if order else absent
+    complete = with_full_key(new, key)
+    single = first_per_key(complete, key, order) if order else complete
+    return single.join(old.select(*key), key, "left_anti")
 
 
 def insert_if_absent(

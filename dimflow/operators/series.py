@@ -68,16 +68,16 @@ def previous_of(
 
     touched = new.select(*keys, F.trunc(order, slot).alias("_slot")).distinct()
     owners = touched.groupBy(*keys).agg(F.min("_slot").alias("_first_slot"))
-    near_lasts = near.join(owners.select(*keys), keys, "left_semi")
-    lasts = near_lasts.groupBy(*keys, "_slot").agg(F.max_by(value, order).alias("_last"))
+    ends = near.groupBy(*keys, "_slot").agg(F.max_by(value, order).alias("_last"))
+    lasts = ends.join(owners.select(*keys), keys, "left_semi")
     led = lasts.join(owners, keys).filter("_slot < _first_slot").select(*keys).distinct()
     unled = owners.join(led, keys, "left_anti").select(*keys)
     if not unled.isEmpty():
         far = slotted.filter(day < near_start).join(unled, keys, "left_semi")
-        ends = far.groupBy(*keys).agg(
+        far_ends = far.groupBy(*keys).agg(
             F.max("_slot").alias("_slot"), F.max_by(value, order).alias("_last")
         )
-        lasts = lasts.unionByName(ends)
+        lasts = lasts.unionByName(far_ends)
     rows = near.filter(day >= start).join(touched, [*keys, "_slot"], "left_semi")
     found = _before_each(rows, lasts, keys, order, value, out)
     return found.select(*history.columns, out).join(

@@ -572,7 +572,9 @@ def fund_sales(documents: DataFrame, valid: DataFrame) -> DataFrame:
         "pos",
         "link_pos",
     )
-    known = links.join(valid.select("fund_id"), "fund_id", "left_semi")
-    return last_per_key(
-        known, ["fund_id", "company_id"], ["file_name", "pos", "link_pos"]
-    ).select("fund_id", "company_id", "commission_fee")
+    # One link per fund and company before the join on the fund alone, which
+    # would gather all links of a fund in one task.
+    order = ["file_name", "pos", "link_pos"]
+    single = last_per_key(links, ["fund_id", "company_id"], order)
+    known = single.join(valid.select("fund_id"), "fund_id", "left_semi")
+    return known.select("fund_id", "company_id", "commission_fee")

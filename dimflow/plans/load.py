@@ -18,7 +18,6 @@ from dimflow.contracts import (
     RANK_COLUMNS,
     RATING_COLUMNS,
     RELATIONAL,
-    TableContract,
     conform,
     contract_checks,
     misfits,

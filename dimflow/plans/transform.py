@@ -234,3 +234,16 @@ def landing_report(spark: SparkSession, raw: str) -> DataFrame:
     for part in parts[1:]:
         report = report.unionByName(part)
     return report
+
+
+def pending_quarters(spark: SparkSession, raw: str, force: bool = False) -> DataFrame:
+    """Fund and year pairs whose quarterly document has not landed yet."""
+    raw = raw.rstrip("/")
+    index = docs.read_documents(spark, f"{raw}/fund_index.json")
+    ids = docs.parse_arrays(index, "Id int").select(F.col("Id").alias("fund_id"))
+    entity, period = docs.composite_key(F.col("file_key"))
+    landed = docs.read_documents(spark, f"{raw}/quarterly").select(
+        entity.alias("fund_id"), period.alias("year")
+    )
+    wanted = docs.expected_keys(ids, list(docs.QUARTERLY_YEARS), "year")
+    return docs.pending(wanted, landed, ["fund_id", "year"], force)

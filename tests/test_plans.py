@@ -129,3 +129,11 @@ def test_documents_are_parsed_once(spark, tmp_path):
     parsed = docs.parse_arrays(docs.read_documents(spark, str(tmp_path)), "Date string, Value double")
     assert plan(parsed).count("from_json") == 1
     assert len(parsed.collect()) == 1
+
+
+def test_copies_of_a_key_go_before_the_shuffle(spark, no_broadcast, hot):
+    known = spark.range(3).select(F.col("id").alias("k"))
+    fresh = merge.absent_rows(known, hot, ["k"], [F.col("v")])
+    text = plan(fresh)
+    assert "WindowGroupLimit" in text.split("Exchange hashpartitioning")[1]
+    assert sorted(r["k"] for r in fresh.collect())[:3] == [3, 5, 7]

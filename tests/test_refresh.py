@@ -11,7 +11,7 @@ from dimflow.operators.series import batch_coverage
 from dimflow.plans import reports
 from dimflow.plans.load import label_report, merge_table, portfolio_report
 from dimflow.plans.refresh import counts, integrity_report, refresh
-from dimflow.plans.transform import Clean, landing_report, tables_of
+from dimflow.plans.transform import Clean, landing_report, pending_quarters, tables_of
 from dimflow.sources import documents as docs
 from dimflow.sources.published import Published
 from dimflow.streaming.landing import land_new
@@ -135,6 +135,8 @@ def test_reports(spark, first):
     assert (labels["checked"], labels["mismatches"], labels["rule_holds"]) == (4, 2, False)
     landed = {(r["source"], r["status"]): r["n_documents"] for r in landing_report(spark, str(base / "raw")).collect()}
     assert landed["portfolio", "empty"] == 1 and landed["snapshot", "failed"] == 1
+    assert pending_quarters(spark, str(base / "raw")).count() == 5 * 5 - 1
+    assert pending_quarters(spark, str(base / "raw"), force=True).count() == 25
     assert {r[0] for r in p.read("reject_log").select("table_name").collect()} == set()
 
 
