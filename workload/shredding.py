@@ -18,10 +18,11 @@ from dimflow.session import cut_lineage, shared_folder
 from dimflow.sources import documents as docs
 from workload.tables import Tables, day, query
 
-def landed(df: DataFrame, file_key, body) -> DataFrame:
+def landed(df: DataFrame, row: list[str], file_key, body) -> DataFrame:
     """Rows as landed documents: file key and JSON text, stored before they are
-    read.  A document is many times as wide as its row, so rows are spread first."""
-    spread = df.repartition(file_key)
+    read.  A document is many times as wide as its row, so rows are spread first,
+    by what identifies a row and not by a file key that many rows may share."""
+    spread = df.repartition(*row)
     key = file_key.cast("string")
     return cut_lineage(
         spread.select(
@@ -56,7 +57,7 @@ def manager_documents(t: Tables) -> DataFrame:
         F.when(F.col("c_acctbal") >= 0, staff).alias("Personnel"),
         F.when(F.col("c_nationkey") != 0, share).alias("Share"),
     )
-    return landed(t.customer, F.col("c_custkey"), F.to_json(F.array(manager)))
+    return landed(t.customer, ["c_custkey"], F.col("c_custkey"), F.to_json(F.array(manager)))
 
 
 @query(
@@ -97,7 +98,7 @@ def index_documents(t: Tables) -> DataFrame:
         (F.col("c_acctbal") < 0).alias("Index"),
         F.lit("18-08-2023").alias("IpoDate"),
     )
-    return landed(t.customer, F.col("c_custkey"), F.to_json(F.array(fund)))
+    return landed(t.customer, ["c_custkey"], F.col("c_custkey"), F.to_json(F.array(fund)))
 
 
 def detail_documents(t: Tables) -> DataFrame:
@@ -115,7 +116,7 @@ def detail_documents(t: Tables) -> DataFrame:
         .when(F.col("c_mktsegment") == "BUILDING", F.lit('{"_error": "timeout"}'))
         .otherwise(good)
     )
-    return landed(t.customer, F.col("c_custkey"), body)
+    return landed(t.customer, ["c_custkey"], F.col("c_custkey"), body)
 
 
 def product_documents(t: Tables) -> DataFrame:
@@ -124,7 +125,7 @@ def product_documents(t: Tables) -> DataFrame:
             F.col("c_custkey").alias("Id"), F.col("c_nationkey").alias("FkClassFundId")
         ).alias("Fund")
     )
-    return landed(t.customer, F.col("c_custkey"), F.to_json(F.array(product)))
+    return landed(t.customer, ["c_custkey"], F.col("c_custkey"), F.to_json(F.array(product)))
 
 
 @query(
@@ -225,7 +226,7 @@ def series_documents(t: Tables) -> DataFrame:
         F.when(pending, F.struct(digit.alias("Id"))).alias("Benchmark"),
         F.array(benchmark, other, benchmark).alias("Benchmarks"),
     )
-    return landed(t.orders, F.col("o_orderkey"), F.to_json(snapshot))
+    return landed(t.orders, ["o_orderkey"], F.col("o_orderkey"), F.to_json(snapshot))
 
 
 def snapshots_of(t: Tables) -> DataFrame:
@@ -386,7 +387,7 @@ def portfolio_documents(t: Tables) -> DataFrame:
             line(1, F.lit(None), F.lit("no code"), F.lit(1), 6, none),
         ).alias("Assets"),
     )
-    return landed(t.orders, F.col("o_custkey"), F.to_json(F.array(body)))
+    return landed(t.orders, ["o_orderkey"], F.col("o_custkey"), F.to_json(F.array(body)))
 
 
 def portfolio_lines(t: Tables) -> DataFrame:
@@ -458,7 +459,7 @@ def shred_keyed_periods(t):
     # A null field must be written, as the source does.
     body = F.to_json(F.array(quarter), {"ignoreNullFields": "false"})
     key = F.concat_ws("_", F.col("o_custkey"), F.year("o_orderdate"))
-    found = docs.parse_arrays(landed(t.orders, key, body), shred.QUARTERLY)
+    found = docs.parse_arrays(landed(t.orders, ["o_orderkey"], key, body), shred.QUARTERLY)
     valid = t.customer.filter("c_acctbal >= 0").select(
         F.col("c_custkey").cast("int").alias("fund_id")
     )
@@ -500,7 +501,9 @@ def shred_sales_links(t):
     nested = F.struct(F.struct(F.array(link).alias("FundSalesCompanyFunds")).alias("FundSalesCompany"))
     price = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     key = F.concat_ws("_", "l_orderkey", "l_linenumber", price)
-    found = docs.parse_arrays(landed(t.lineitem, key, F.to_json(F.array(nested))), shred.FUND_SALES)
+    row = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    documents = landed(t.lineitem, row, key, F.to_json(F.array(nested)))
+    found = docs.parse_arrays(documents, shred.FUND_SALES)
     valid = t.part.filter("p_size <= 40").select(F.col("p_partkey").cast("int").alias("fund_id"))
     return shred.fund_sales(found, valid)
 
@@ -527,7 +530,7 @@ def master_projection(t):
         code,
         active,
     )
-    found = docs.parse_arrays(landed(t.supplier, F.col("s_suppkey"), body), shred.BANKS)
+    found = docs.parse_arrays(landed(t.supplier, ["s_suppkey"], F.col("s_suppkey"), body), shred.BANKS)
     return shred.banks(found).select("bank_id", "name", "ojk_code", "is_active", "data_last_update")
 
 
@@ -547,7 +550,7 @@ def shred_manager_series(t):
         F.col("c_acctbal").alias("Aum"),
     )
     body = F.to_json(F.array(row))
-    found = docs.parse_arrays(landed(t.customer, F.col("c_custkey"), body), shred.MANAGER_AUM)
+    found = docs.parse_arrays(landed(t.customer, ["c_custkey"], F.col("c_custkey"), body), shred.MANAGER_AUM)
     return shred.manager_aum(found).select(
         "manager_id", "record_date", "aum_value", "reject_reason"
     )

@@ -10,7 +10,7 @@ from dimflow.operators.history import scd2_merge
 from dimflow.operators.keys import number_rows
 from dimflow.operators.merge import insert_if_absent
 from dimflow.plans import mart
-from dimflow.session import cut_lineage, empty_table
+from dimflow.session import cut_lineage, empty_table, run_together
 from workload.series import MONTHLY_SQL, RETURN_SQL, daily_returns, monthly_amounts
 from workload.tables import cents, day, query, rounded
 
@@ -64,13 +64,15 @@ def star_keys(t):
         managers.select("manager_id", F.col("n_regionkey").alias("bank_id")), "manager_id"
     )
     category = ["label", "fund_type_code"]
-    keys = mart.star_keys(
-        owners,
-        _versions(t, funds, "fund_id", ["name"], "dim_fund_key"),
-        _versions(t, managers, "manager_id", ["n_name"], "dim_manager_key"),
-        _versions(t, custodians, "bank_id", ["r_name"], "dim_custodian_key"),
-        number_rows(funds.select(*category).distinct(), category, "category_id"),
+    dimensions = run_together(
+        [
+            lambda: _versions(t, funds, "fund_id", ["name"], "dim_fund_key"),
+            lambda: _versions(t, managers, "manager_id", ["n_name"], "dim_manager_key"),
+            lambda: _versions(t, custodians, "bank_id", ["r_name"], "dim_custodian_key"),
+            lambda: number_rows(funds.select(*category).distinct(), category, "category_id"),
+        ]
     )
+    keys = mart.star_keys(owners, *dimensions)
     return cut_lineage(keys)  # dimensions are stored tables when facts are loaded
 
 
