@@ -24,19 +24,20 @@ def refresh(
     scope: str = "full",
     subset: int | None = None,
     rating_field: str = "ProviderRating",
+    full: bool = False,
 ) -> Published:
     """Documents to clean tables, to published tables, to the star schema.
 
     Readers see the new state only when the whole run is done.  Running it
     again on the same documents changes nothing but the batch time of upserted
-    rows.
+    rows.  ``full`` checks all rows for missing facts, not only the new ones.
     """
     batch = batch_ts.strftime("%Y%m%dT%H%M%S")
     clean = Clean(spark, f"{work.rstrip('/')}/{batch}")
     names = transform(spark, raw, clean, scope, subset, rating_field)
     published = Published(spark, root)
     load(published, clean, names, batch, batch_ts)
-    load_mart(published, batch, batch_ts.date())
+    load_mart(published, batch, batch_ts.date(), full)
     published.publish(batch)
     return published
 

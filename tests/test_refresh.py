@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from dimflow.operators.series import batch_coverage
+from dimflow.operators.series import batch_coverage, benchmark_return
 from dimflow.plans import reports
 from dimflow.plans.load import label_report, merge_table, portfolio_report
 from dimflow.plans.refresh import counts, integrity_report, refresh
@@ -133,6 +133,8 @@ def test_reports(spark, first):
     clean = Clean(spark, str(base / "work" / "20260701T080000"))
     labels = label_report(clean).first()
     assert (labels["checked"], labels["mismatches"], labels["rule_holds"]) == (4, 2, False)
+    points = benchmark_return(p.read("benchmark_data_point")).collect()
+    assert [(r["benchmark_id"], r["daily_return"]) for r in points] == [(79, None)]
     landed = {(r["source"], r["status"]): r["n_documents"] for r in landing_report(spark, str(base / "raw")).collect()}
     assert landed["portfolio", "empty"] == 1 and landed["snapshot", "failed"] == 1
     assert pending_quarters(spark, str(base / "raw")).count() == 5 * 5 - 1
@@ -142,7 +144,7 @@ def test_reports(spark, first):
 
 def test_second_run_changes_nothing(spark, first):
     base, p = first
-    again = refresh(spark, str(base / "raw"), str(base / "work"), str(base / "root"), datetime(2026, 7, 2, 8))
+    again = refresh(spark, str(base / "raw"), str(base / "work"), str(base / "root"), datetime(2026, 7, 2, 8), full=True)
     assert again.counts == p.counts
     for name in p.folders:
         columns = [c for c in p.read(name).columns if c not in ("scraped_at", "personnel_id", "shareholder_id")]
@@ -242,3 +244,13 @@ def test_compact_keeps_the_rows(spark, tmp_path):
     published.publish("c")
     again = Published(spark, str(tmp_path))
     assert len(again.folders["benchmark"]) == 1 and table(again, "benchmark") == [(0, "a"), (1, "b")]
+
+
+def test_nothing_landed(spark, tmp_path):
+    (tmp_path / "raw" / "snapshot").mkdir(parents=True)
+    run = refresh(spark, str(tmp_path / "raw"), str(tmp_path / "work"), str(tmp_path / "root"), datetime(2026, 7, 1))
+    assert set(run.counts.values()) == {0}
+    assert integrity_report(run).collect() == []
+    write_raw(tmp_path / "raw")
+    run = refresh(spark, str(tmp_path / "raw"), str(tmp_path / "work"), str(tmp_path / "root"), datetime(2026, 7, 2))
+    assert run.counts["fact_nav_daily"] == run.counts["nav_record"] == 4
