@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import bpe, packing, token_files
-from dimflow.llm.storage import new_folder
+from dimflow.llm import bpe, langid, packing, quality, simhash, suffixes, token_files
+from dimflow.llm.storage import Stored, new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,111 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    with Stored(spark) as held:
+        found = suffixes.remove_repeats(docs, held, span=200).select(
+            F.col("row.doc_id").alias("doc_id"),
+            "n_bytes",
+            "n_removed",
+            F.size("spans").cast("bigint").alias("n_spans"),
+            F.sha2("kept", 256).alias("kept_sha256"),
+        )
+        return held.keep(found, last=True)
+
+
+@query(
+    r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '') AS host,
+            coalesce(text, '') AS text FROM documents
+    ), w AS (
+        SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d
+    ), windows AS (
+        SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS win
+        FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM w)
+    ), twice AS (
+        SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS n FROM windows)
+        WHERE n > 1
+    ), repeated AS (
+        SELECT r, count(DISTINCT i + k) AS n FROM twice, range(3) t(k) GROUP BY r
+    ), split AS (
+        SELECT r, host, text, doc_id, unnest(string_split(text, chr(10))) AS line FROM d
+    ), lines AS (
+        SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+            translate(array_to_string(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), ' '),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
+        FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+    ), dups AS (
+        SELECT r, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY r
+    ), frequent AS (
+        SELECT host, norm, arg_min(text, doc_id) AS first_text
+        FROM (SELECT host, norm, text, min(doc_id) AS doc_id FROM lines GROUP BY ALL)
+        JOIN (SELECT host, count(DISTINCT text) AS docs FROM d GROUP BY host) USING (host)
+        GROUP BY host, norm
+        HAVING count(*) > 20 AND count(*) * 100 > any_value(docs)
+    ), gone AS (
+        SELECT r, sum(n) AS n FROM lines JOIN frequent USING (host, norm)
+        WHERE text <> first_text GROUP BY r
+    ), base AS (
+        SELECT d.doc_id, len(words)::BIGINT AS n_words,
+            length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+            len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+            coalesce(dups.n, 0)::BIGINT AS n_dup_lines,
+            coalesce(repeated.n, 0)::BIGINT AS n_repeat_words,
+            coalesce(gone.n, 0)::BIGINT AS removed_words
+        FROM d JOIN w USING (r) LEFT JOIN dups USING (r) LEFT JOIN repeated USING (r)
+        LEFT JOIN gone USING (r)
+    )
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+            AND 100 * (n_words - removed_words) >= 30 * n_words AS kept
+    FROM base
+    """
+)
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Stored(spark) as held:
+        verdicts = quality.judge(table(spark, sf_dir, "documents"), held).select(
+            F.col("key").alias("doc_id"),
+            "n_words",
+            "word_chars",
+            "n_symbols",
+            "n_dup_lines",
+            "n_repeat_words",
+            "removed_words",
+            "base_failed",
+            "kept",
+        )
+        return held.keep(verdicts, last=True)
+
+
+@query()
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(~langid.held_out("doc_id")), "text", "lang")
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select(
+        F.col("key").alias("doc_id"), langid.held_out("key").alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query()
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Stored(spark) as held:
+        found = simhash.near_duplicates(
+            table(spark, sf_dir, "documents"), held, shingle=3, radius=3
+        )
+        return held.keep(
+            found.select(
+                F.col("key").alias("doc_id"),
+                F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"),
+                F.col("component").alias("component_id"),
+            ),
+            last=True,
+        )
+
+
 @query()
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_and_decode(table(spark, sf_dir, "documents"), WORD_BPE)
