@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import bpe, langid, packing, quality, simhash, suffixes, token_files
+from dimflow.llm import (
+    bpe,
+    embeddings,
+    langid,
+    packing,
+    quality,
+    simhash,
+    suffixes,
+    token_files,
+)
 from dimflow.llm.storage import Stored, new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +178,20 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder).select(
         F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
+
+
+@query()
+def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Stored(spark) as held:
+        found = embeddings.near_duplicates(
+            table(spark, sf_dir, "embeddings"), held, threshold=0.95
+        )
+        return held.keep(
+            found.select(
+                F.col("key").alias("vec_id"),
+                "n_links",
+                F.col("component").alias("component_id"),
+                F.col("key").eqNullSafe(F.col("component")).alias("kept"),
+            ),
+            last=True,
+        )
