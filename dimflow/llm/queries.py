@@ -13,10 +13,12 @@ from dimflow.llm import (
     embeddings,
     langid,
     packing,
+    preferences,
     quality,
     simhash,
     suffixes,
     token_files,
+    urls,
 )
 from dimflow.llm.storage import Stored, new_folder
 
@@ -69,6 +71,70 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         return held.keep(found, last=True)
 
 
+@query(
+    r"""
+    WITH turns AS (
+        SELECT row_number() OVER () AS r, conv_id, turn, role, text FROM conversations
+    ), grouped AS (
+        SELECT conv_id, list(struct_pack(r := role, t := text)
+            ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS l
+        FROM turns GROUP BY conv_id, CASE WHEN conv_id IS NULL THEN r END
+    ), said AS (
+        SELECT *, list_filter(range(1, len(l) + 1), lambda i: coalesce(l[i].r, '') = 'assistant') AS s
+        FROM grouped
+    ), pairs AS (
+        SELECT conv_id, l[1:s[-1]] AS c, list_append(l[1:s[-1] - 1], struct_pack(r := 'assistant',
+            t := CASE WHEN len(s) > 1 THEN coalesce(l[s[-2]].t, '') ELSE '' END)) AS j
+        FROM said WHERE len(s) > 0
+    ), common AS (
+        SELECT *, coalesce(list_position(list_transform(range(1, len(c) + 1),
+            lambda i: c[i] IS NOT DISTINCT FROM j[i]), false) - 1, len(c)) AS n FROM pairs
+    ), heads AS (
+        SELECT conv_id, n,
+            list_transform(c, lambda x: '<|' || replace(coalesce(x.r, ''), '<|', '< |') || '|>' || chr(10)) AS ch,
+            list_transform(c, lambda x: replace(coalesce(x.t, ''), '<|', '< |') || '<|end|>' || chr(10)) AS cb,
+            list_transform(j, lambda x: '<|' || replace(coalesce(x.r, ''), '<|', '< |') || '|>' || chr(10)) AS jh,
+            list_transform(j, lambda x: replace(coalesce(x.t, ''), '<|', '< |') || '<|end|>' || chr(10)) AS jb,
+            list_transform(c, lambda x: coalesce(x.r, '') = 'assistant') AS ca,
+            list_transform(j, lambda x: coalesce(x.r, '') = 'assistant') AS ja
+        FROM common
+    )
+    SELECT conv_id, n::INTEGER AS common_turns,
+        coalesce(list_aggregate(list_transform(range(1, n + 1), lambda i: ch[i] || cb[i]), 'string_agg', ''), '') AS prompt,
+        coalesce(list_aggregate(list_transform(range(n + 1, len(ch) + 1), lambda i: ch[i] || cb[i]), 'string_agg', ''), '') AS chosen,
+        coalesce(list_aggregate(list_transform(range(n + 1, len(jh) + 1), lambda i: jh[i] || jb[i]), 'string_agg', ''), '') AS rejected,
+        coalesce(list_aggregate(list_transform(range(n + 1, len(ch) + 1),
+            lambda i: length(ch[i]) || ':0 ' || length(cb[i]) || CASE WHEN ca[i] THEN ':1' ELSE ':0' END), 'string_agg', ' '), '') AS chosen_mask,
+        coalesce(list_aggregate(list_transform(range(n + 1, len(jh) + 1),
+            lambda i: length(jh[i]) || ':0 ' || length(jb[i]) || CASE WHEN ja[i] THEN ':1' ELSE ':0' END), 'string_agg', ' '), '') AS rejected_mask
+    FROM heads
+    """
+)
+def op3_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = preferences.reply_pairs(table(spark, sf_dir, "conversations"))
+    found = preferences.format_pairs(pairs, "key", "chosen", "rejected")
+
+    def text(column: str):
+        return F.array_join(F.transform(column, lambda s: s["text"]), "")
+
+    def mask(column: str):
+        """Lengths of the segments with 1 for those that are trained on."""
+        marks = F.transform(
+            column, lambda s: F.concat_ws(":", F.length(s["text"]), s["train"].cast("int"))
+        )
+        return F.array_join(marks, " ")
+
+    return found.select(
+        F.col("key").alias("conv_id"),
+        F.col("common").alias("common_turns"),
+        "prompt",
+        text("chosen").alias("chosen"),
+        text("rejected").alias("rejected"),
+        mask("chosen").alias("chosen_mask"),
+        mask("rejected").alias("rejected_mask"),
+    )
+
+
 @query(
     r"""
     WITH d AS (
@@ -160,6 +226,22 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
 
+URL_RULES = [
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+]
+
+
+@query(urls.judge_sql(URL_RULES))
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Stored(spark) as held:
+        found = urls.judge(table(spark, sf_dir, "pages"), URL_RULES, held)
+        return held.keep(found.withColumnRenamed("key", "page_id"), last=True)
+
+
 @query()
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_and_decode(table(spark, sf_dir, "documents"), WORD_BPE)
