@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimflow.llm.components import components
 from dimflow.llm.storage import Stored
@@ -67,8 +68,9 @@ def fingerprints(docs: DataFrame, shingle: int, key: str, text: str) -> DataFram
                     [part.column("key"), pa.array(signed)], names=["key", "print"]
                 )
 
-    chosen = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
-    return chosen.mapInArrow(run, "key bigint, print bigint")
+    chosen = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    schema = T.StructType([chosen.schema["key"], T.StructField("print", T.LongType())])
+    return chosen.mapInArrow(run, schema)
 
 
 def masks(radius: int) -> list[tuple[int, int]]:
@@ -173,6 +175,7 @@ def near_duplicates(
 ) -> DataFrame:
     """Fingerprint and component of each document: ``key``, ``print`` (signed),
     ``component`` (lowest key reachable over links of ``radius`` bits or fewer).
+    Keys may be of any type that has an order, a struct too.
 
     Null, empty and blank texts have fingerprint zero, linked like any other.
     Texts of fewer words than a shingle are one shingle.  Repeated rows and keys
