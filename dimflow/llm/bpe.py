@@ -23,13 +23,10 @@ from pyspark.sql import functions as F
 
 from dimflow.llm.tokens import (
     CONTRACTIONS,
-    NOT_LATIN,
-    REMEMBERED_CHUNKS,
-    REMEMBERED_PIECES,
     WORD_PIECES,
-    Remembered,
+    Pieces,
     byte_letters,
-    gather_chunks,
+    gather,
     slices,
 )
 
@@ -55,8 +52,9 @@ class WordBpe:
         self.names = [names.get(i, "").encode() for i in range(max(names) + 1)]
         self.letters = byte_letters()
         self._special = regex.compile("|".join(map(regex.escape, self.specials)) or r"\b\B")
-        self.pieces = Remembered(self._piece, REMEMBERED_PIECES)
-        self.chunks = Remembered(self._chunk, REMEMBERED_CHUNKS)
+        self.pieces = Pieces(
+            WORD_PIECES, True, list(self.specials), np.dtype("<u4"), self._piece, self._whole
+        )
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Ids of a piece from the ids of its single symbols."""
@@ -89,23 +87,20 @@ class WordBpe:
         return np.array(self.merge([self.ids[x] for x in letters]), "<u4").tobytes()
 
     def _plain(self, text: str) -> bytes:
-        if not NOT_LATIN.search(text):
-            found = WORD_PIECES.findall(text.lower())
-        else:
-            normal = "".join(map(str.lower, unicodedata.normalize("NFC", text)))
-            found = ANY_WORD_PIECES.findall(normal)
-        return b"".join(map(self.pieces.__getitem__, found))
-
-    def _chunk(self, chunk: str) -> bytes:
+        normal = "".join(map(str.lower, unicodedata.normalize("NFC", text)))
+        return b"".join(map(self._piece, ANY_WORD_PIECES.findall(normal)))
+
+    def _whole(self, text: str) -> bytes:
+        """Ids of any text: special symbols first, then what lies between them."""
         out, at = [], 0
-        for hit in self._special.finditer(chunk):
-            out.append(self._plain(chunk[at : hit.start()]))
+        for hit in self._special.finditer(text):
+            out.append(self._plain(text[at : hit.start()]))
             out.append(np.array([self.specials[hit.group()]], "<u4").tobytes())
             at = hit.end()
-        return b"".join([*out, self._plain(chunk[at:])])
+        return b"".join([*out, self._plain(text[at:])])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        return gather_chunks(texts, self.chunks.__getitem__, True, np.dtype("<u4"))
+        return gather(texts, self.pieces, True)
 
 
 class Decoder:

@@ -10,7 +10,8 @@ and penalties:
 
 Padding is ``length - (j - i)``, so the least ``cost(i) + i`` of a sliding range
 is wanted, which a monotone queue yields in constant time; a window whose length
-is a power of two is not padded, and those few ``i`` are looked at one by one.
+is a power of two is not padded, and the ``i`` for half and a quarter of
+``length`` are looked at one by one.
 
 Nothing is shuffled: a partition packs itself, and only its last sequence can be
 short.  The stream is solved in blocks; the last window of a block is opened
@@ -19,7 +20,6 @@ again with the next one, so memory does not grow with the partition.
 
 from __future__ import annotations
 
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,31 +50,35 @@ def padding(n: int, length: int) -> int:
 def best_cuts(places: np.ndarray, penalties: np.ndarray, length: int) -> list[int]:
     """Indexes into ``places`` of the best window ends.  ``places`` rise from 0
     in steps of at most ``length``; the last is always a cut."""
-    powers = [1 << k for k in range(length.bit_length()) if 1 << k <= length]
-    wanted = places[:, None] - np.array(powers)
-    found = np.searchsorted(places, wanted)
-    exact = (wanted >= 0) & (places[np.minimum(found, len(places) - 1)] == wanted)
-    rows, columns = np.nonzero(exact)
-    even = found[rows, columns].tolist()
-    first_even = np.searchsorted(rows, np.arange(len(places) + 1)).tolist()
-    at, penalty = places.tolist(), penalties.tolist()
-    cost, back = [0] * len(at), [0] * len(at)
-    queue: deque[int] = deque([0])  # indexes with rising cost + place
-    key = [0] * len(at)
-    for j in range(1, len(at)):
+    index = np.full(int(places[-1]) + 1, -1, np.int32)
+    index[places] = np.arange(len(places))
+    powers = np.array([p for p in (length // 2, length // 4) if p & (p - 1) == 0])
+    wanted = places[:, None] - powers
+    found = index[np.maximum(wanted, 0)]
+    found[wanted < 0] = -1
+    rows, columns = np.nonzero(found >= 0)
+    even: dict[int, list[int]] = {}
+    for j, i in zip(rows.tolist(), found[rows, columns].tolist(), strict=True):
+        even.setdefault(j, []).append(i)
+    at, penalty = places.tolist(), (penalties + WINDOW).tolist()
+    n = len(at)
+    cost, back, key = [0] * n, [0] * n, [0] * n
+    queue, head = [0], 0  # indexes with rising cost + place, from ``head`` on
+    for j in range(1, n):
         here = at[j]
         low = here - length
-        while at[queue[0]] < low:
-            queue.popleft()
-        i = queue[0]
+        while at[queue[head]] < low:
+            head += 1
+        i = queue[head]
         best = key[i] + length - here
-        for k in even[first_even[j] : first_even[j + 1]]:
-            if cost[k] < best:
-                best, i = cost[k], k
-        cost[j] = best = best + penalty[j] + WINDOW
-        back[j] = i
+        if j in even:
+            for k in even[j]:
+                if cost[k] < best:
+                    best, i = cost[k], k
+        best += penalty[j]
+        cost[j], back[j] = best, i
         mine = key[j] = best + here
-        while queue and key[queue[-1]] >= mine:
+        while len(queue) > head and key[queue[-1]] >= mine:
             queue.pop()
         queue.append(j)
     cuts, j = [], len(at) - 1

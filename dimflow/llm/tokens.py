@@ -2,16 +2,17 @@
 
 Both public BPE vocabularies cut a text into pieces before any merge, and never
 merge across a cut.  A single space between two characters that are no white
-space is always such a cut.  A batch of texts is therefore split at spaces, each
-distinct chunk of the batch is encoded once, and the ids of the texts are put
-together by one numpy gather.  Chunks are remembered per Python worker, in
-bounded dictionaries.
+space is always such a cut.  A slice of texts is therefore split at spaces, its
+distinct words are cut into pieces by one pattern search, and the ids of the
+texts are put together by one numpy gather.  The ids of pieces are remembered per
+Python worker, in a bounded dictionary.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -25,20 +26,23 @@ LATIN_NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 WHITE_SPACE = "\t-\r \x85\xa0"
 #: The cut patterns of the two vocabularies, for such characters.
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
+MARK = "\x1f"  # stands between the words of a slice; a piece of its own
 BYTE_PIECES = re.compile(
-    f"{CONTRACTIONS}| ?[{LATIN_LETTERS}]+| ?[{LATIN_NUMBERS}]+"
-    f"| ?[^{WHITE_SPACE}{LATIN_LETTERS}{LATIN_NUMBERS}]+"
-    f"|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+"
+    f"{MARK}|{CONTRACTIONS}| ?[{LATIN_LETTERS}]+| ?[{LATIN_NUMBERS}]+"
+    f"| ?[^{MARK}{WHITE_SPACE}{LATIN_LETTERS}{LATIN_NUMBERS}]+"
+    f"|[{WHITE_SPACE}]+(?![^{MARK}{WHITE_SPACE}])|[{WHITE_SPACE}]+"
 )
 WORD_PIECES = re.compile(
-    f"{CONTRACTIONS}|[{LATIN_LETTERS}]+|[{LATIN_NUMBERS}]"
-    f"|[^{WHITE_SPACE}{LATIN_LETTERS}{LATIN_NUMBERS}]+"
+    f"{MARK}|{CONTRACTIONS}|[{LATIN_LETTERS}]+|[{LATIN_NUMBERS}]"
+    f"|[^{MARK}{WHITE_SPACE}{LATIN_LETTERS}{LATIN_NUMBERS}]+"
 )
 NOT_LATIN = re.compile("[^\x00-į]")
+#: A space beside white space or an end: no cut.  All that Python calls white space.
+SPACES = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+SPACE_RUN = f"^ | $|{SPACES} | {SPACES}"
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 
-REMEMBERED_CHUNKS = 250_000
-REMEMBERED_PIECES = 250_000
+REMEMBERED = 600_000
 SLICE_BYTES = 6 << 20  # of text that is put together at a time
 
 
@@ -69,6 +73,50 @@ class Remembered(dict):
         return value
 
 
+class Pieces:
+    """Words to ids by way of pieces.  ``piece`` gives the ids of a piece as
+    bytes, ``whole`` those of any text that the pattern does not fit."""
+
+    def __init__(self, pattern: re.Pattern, lower: bool, specials: list[str], dtype, piece, whole):
+        self._find, self._lower, self._specials = pattern.findall, lower, specials
+        self.dtype, self.known, self._whole = dtype, Remembered(piece, REMEMBERED), whole
+        self.known[MARK] = b""
+
+    def _odd(self, text: str) -> bool:
+        return bool(NOT_LATIN.search(text)) or any(s in text for s in self._specials)
+
+    def ids(self, bare: list[str], spaced: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all words in one array, with start and number of each word's.
+        ``spaced`` words come last and have a space before them."""
+        text, odd, rest = self._joined(bare, spaced), [], []
+        n = len(bare) + len(spaced)
+        if self._odd(text) or text.count(MARK) != n - 1:
+            words = bare + [" " + w for w in spaced]
+            odd = [i for i, w in enumerate(words) if MARK in w or self._odd(w)]
+            rest = [self._whole(words[i]) for i in odd]
+            for i in odd:
+                words[i] = ""
+            text = self._joined(words, [])
+        found = self._find(text.lower() if self._lower else text)
+        self.known.setdefault(MARK, b"")
+        values = list(map(self.known.__getitem__, found))
+        size = np.fromiter(map(len, values), np.int64, len(values)) // self.dtype.itemsize
+        word = np.cumsum(size == 0)  # only the mark has no ids
+        sizes = np.bincount(word, size, minlength=n).astype(np.int64)[:n]
+        starts = np.cumsum(sizes) - sizes
+        if odd:
+            at = int(sizes.sum())
+            sizes[odd] = [len(x) // self.dtype.itemsize for x in rest]
+            starts[odd] = at + np.cumsum(sizes[odd]) - sizes[odd]
+            values += rest
+        return np.frombuffer(b"".join(values), self.dtype), starts, sizes
+
+    @staticmethod
+    def _joined(bare: list[str], spaced: list[str]) -> str:
+        second = [" " + f"{MARK} ".join(spaced)] if spaced else []
+        return MARK.join(bare + second)
+
+
 class Encoder:
     """Ids of texts by a vocabulary file, as ``Tokenizer.encode`` returns them
     without added special tokens, truncation or padding."""
@@ -80,30 +128,34 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(json.dumps(form))
         self.size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
-        self.specials = [t["content"] for t in form["added_tokens"]]
         self.drops_spaces = form["normalizer"] is not None
         self._letters = byte_letters()
-        self._pieces = Remembered(self._piece, REMEMBERED_PIECES)
-        self._chunks = Remembered(self._chunk, REMEMBERED_CHUNKS)
+        self.pieces = Pieces(
+            WORD_PIECES if self.drops_spaces else BYTE_PIECES,
+            self.drops_spaces,
+            [t["content"] for t in form["added_tokens"]],
+            self.dtype,
+            self._piece,
+            self._whole,
+        )
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, self.dtype).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        letters = "".join(map(self._letters.__getitem__, piece.encode()))
-        return np.array([t.id for t in self.tokenizer.model.tokenize(letters)], self.dtype).tobytes()
-
-    def _chunk(self, chunk: str) -> bytes:
-        if NOT_LATIN.search(chunk) or any(s in chunk for s in self.specials):
-            return self._whole(chunk)
-        pieces = WORD_PIECES.findall(chunk.lower()) if self.drops_spaces else BYTE_PIECES.findall(chunk)
-        return b"".join(map(self._pieces.__getitem__, pieces))
+        word = piece.removeprefix(" ")
+        if word.isascii() and word.isalpha():
+            letters = piece.replace(" ", self._letters[32])
+        else:
+            letters = "".join(map(self._letters.__getitem__, piece.encode()))
+        ids = [t.id for t in self.tokenizer.model.tokenize(letters)]
+        return array("H" if self.dtype.itemsize == 2 else "I", ids).tobytes()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and the number of ids of each text.
         Null texts count as empty."""
-        return gather_chunks(texts, self._chunks.__getitem__, self.drops_spaces, self.dtype)
+        return gather(texts, self.pieces, self.drops_spaces)
 
 
 def slices(batch: pa.RecordBatch, column: str) -> list[pa.RecordBatch]:
@@ -119,13 +171,10 @@ def slices(batch: pa.RecordBatch, column: str) -> list[pa.RecordBatch]:
     ]
 
 
-def gather_chunks(
-    texts: pa.Array, value_of, drops_spaces: bool, dtype: np.dtype
-) -> tuple[np.ndarray, np.ndarray]:
-    """``value_of`` gives the bytes of a chunk.  Returns the values of all texts
-    in one array and the number of values of each text.
+def gather(texts: pa.Array, pieces: Pieces, drops_spaces: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts in one array and the number of ids of each text.
 
-    A chunk is what stands between two single spaces, with the space before it.
+    A word is what stands between two single spaces, with the space before it.
     Where ``drops_spaces`` is false, a space that has white space beside it is
     no cut.
     """
@@ -135,56 +184,37 @@ def gather_chunks(
     coded = split.flatten().dictionary_encode()
     codes = np.asarray(coded.indices).astype(np.int64)
     words = coded.dictionary.to_pylist()
-    if drops_spaces:
-        values = [value_of(w) for w in words]
-    else:
-        unsafe = np.array([not w or w[0].isspace() or w[-1].isspace() for w in words], bool)
-        values = [b"" if u else value_of(" " + w) for w, u in zip(words, unsafe, strict=True)]
-        codes = _first_chunks(codes, offsets, words, unsafe, values, value_of)
-        codes, offsets = _recut(codes, offsets, texts, unsafe, values, value_of)
-    sizes = np.fromiter(map(len, values), np.int64, len(values)) // dtype.itemsize
-    pool = np.frombuffer(b"".join(values), dtype)
-    starts = np.cumsum(sizes) - sizes
+    bare = words
+    if not drops_spaces:
+        codes, offsets, bare = cut_with_spaces(texts, codes, offsets, words)
+    pool, starts, sizes = pieces.ids(bare, [] if drops_spaces else words)
     counts = sizes[codes]
     ends = np.cumsum(counts)
     total = int(ends[-1]) if len(ends) else 0
+    places = np.repeat((starts[codes] - (ends - counts)).astype(np.int32), counts)
+    places += np.arange(total, dtype=np.int32)
     before = np.concatenate([[0], ends])
-    shift = starts[codes] - (ends - counts)
-    flat = pool[np.repeat(shift, counts) + np.arange(total)] if total else np.empty(0, dtype)
-    return flat, np.diff(before[offsets])
-
-
-def _first_chunks(codes, offsets, words, unsafe, values, value_of):
-    """The first chunk of a text has no space before it: give it a code of its own."""
-    own: dict[int, int] = {}
-    codes = codes.copy()
-    for at in offsets[:-1]:
-        code = int(codes[at])
-        if not unsafe[code]:
-            if code not in own:
-                own[code] = len(values)
-                values.append(value_of(words[code]))
-            codes[at] = own[code]
-    return codes
-
-
-def _recut(codes, offsets, texts, unsafe, values, value_of):
-    """Cut texts with runs of white space anew, at safe spaces only."""
-    is_unsafe = np.concatenate([unsafe, np.zeros(len(values) - len(unsafe), bool)])
-    hits = np.concatenate([[0], np.cumsum(is_unsafe[codes])])
-    rows = np.flatnonzero(np.diff(hits[offsets]))
-    if not len(rows):
-        return codes, offsets
-    pieces, last = [], 0
-    sizes = np.diff(offsets)
-    for row in rows:
-        pieces.append(codes[offsets[last] : offsets[row]])
-        new = []
-        for i, chunk in enumerate(SAFE_CUT.split(texts[int(row)].as_py())):
-            new.append(len(values))
-            values.append(value_of(" " + chunk if i else chunk))
-        pieces.append(np.array(new, np.int64))
+    return pool[places], np.diff(before[offsets])
+
+
+def cut_with_spaces(texts, codes, offsets, words):
+    """Codes of the words of the texts, where bare words come before those with a
+    space before them.  The first word of a text is bare; texts with runs of white
+    space are cut anew, at safe spaces only."""
+    first, own = np.unique(codes[offsets[:-1]], return_inverse=True)
+    rows = np.flatnonzero(pc.match_substring_regex(texts, SPACE_RUN))
+    bare = [words[i] for i in first.tolist()]
+    recut = [SAFE_CUT.split(texts[row].as_py()) for row in rows.tolist()]
+    begin = len(bare)
+    for new in recut:
+        bare += [" " + w if i else w for i, w in enumerate(new)]
+    codes = codes + len(bare)
+    codes[offsets[:-1]] = own
+    parts, sizes, last = [], np.diff(offsets), 0
+    for row, new in zip(rows.tolist(), recut, strict=True):
+        parts += [codes[offsets[last] : offsets[row]], np.arange(begin, begin + len(new))]
+        begin += len(new)
         sizes[row] = len(new)
         last = row + 1
-    pieces.append(codes[offsets[last] :])
-    return np.concatenate(pieces), np.concatenate([[0], np.cumsum(sizes)])
+    parts.append(codes[offsets[last] :])
+    return np.concatenate(parts), np.concatenate([[0], np.cumsum(sizes)]), bare
