@@ -11,18 +11,17 @@ vocabulary together.
 from __future__ import annotations
 
 import json
-import unicodedata
+import re
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from dimflow.llm.tokens import (
-    CONTRACTIONS,
     WORD_PIECES,
     Pieces,
     byte_letters,
@@ -30,8 +29,6 @@ from dimflow.llm.tokens import (
     slices,
 )
 
-ANY_WORD_PIECES = regex.compile(rf"{CONTRACTIONS}|\p{{L}}+|\p{{N}}|[^\s\p{{L}}\p{{N}}]+")
-
 
 class WordBpe:
     """Encoder and decoder of a BPE vocabulary that drops white space, lowers
@@ -40,6 +37,7 @@ class WordBpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             form = json.load(file)
+        self._tokenizer = Tokenizer.from_file(path)  # cuts rare texts into pieces
         model = form["model"]
         self.ids: dict[str, int] = model["vocab"]
         self.suffix = model["end_of_word_suffix"] or ""
@@ -51,7 +49,7 @@ class WordBpe:
         names = {i: s for s, i in self.ids.items()} | {i: s for s, i in self.specials.items()}
         self.names = [names.get(i, "").encode() for i in range(max(names) + 1)]
         self.letters = byte_letters()
-        self._special = regex.compile("|".join(map(regex.escape, self.specials)) or r"\b\B")
+        self._special = re.compile("|".join(map(re.escape, self.specials)) or r"\b\B")
         self.pieces = Pieces(
             WORD_PIECES, True, list(self.specials), np.dtype("<u4"), self._piece, self._whole
         )
@@ -82,13 +80,17 @@ class WordBpe:
         return [s for s in symbols if s >= 0]
 
     def _piece(self, piece: str) -> bytes:
-        letters = [self.letters[b] for b in piece.encode()]
+        return self._merged([self.letters[b] for b in piece.encode()])
+
+    def _merged(self, letters: list[str]) -> bytes:
         letters[-1] += self.suffix
         return np.array(self.merge([self.ids[x] for x in letters]), "<u4").tobytes()
 
     def _plain(self, text: str) -> bytes:
-        normal = "".join(map(str.lower, unicodedata.normalize("NFC", text)))
-        return b"".join(map(self._piece, ANY_WORD_PIECES.findall(normal)))
+        """Ids of any text without special symbols; the library cuts it."""
+        normal = self._tokenizer.normalizer.normalize_str(text)
+        pieces = self._tokenizer.pre_tokenizer.pre_tokenize_str(normal)
+        return b"".join(self._merged([*piece]) for piece, _ in pieces)
 
     def _whole(self, text: str) -> bytes:
         """Ids of any text: special symbols first, then what lies between them."""
