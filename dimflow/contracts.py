@@ -388,6 +388,13 @@ REJECT_LOG = TableContract(
     mode=INSERT,
 )
 
+# Source rows that no fact could be made of yet, as a dimension misses their key.
+WAITING = TableContract(
+    "fact_waiting",
+    "fact string, owner_id int, record_date date",
+    key=("fact", "record_date", "owner_id"),
+)
+
 STAR_KEYS = (
     "dim_fund_key bigint, dim_manager_key bigint, category_id bigint, dim_custodian_key bigint"
 )
@@ -458,7 +465,7 @@ STAR = (
     ),
 )
 
-CONTRACTS = {c.name: c for c in (*RELATIONAL, AUDIT_LOG, REJECT_LOG, *STAR)}
+CONTRACTS = {c.name: c for c in (*RELATIONAL, AUDIT_LOG, REJECT_LOG, WAITING, *STAR)}
 
 
 def contract_checks(contract: TableContract) -> dict[str, Column]:

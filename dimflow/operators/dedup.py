@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimflow.session import cut_lineage
+
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*order)
@@ -47,9 +49,9 @@ def keep_first_code(df: DataFrame, code: str, position: str) -> DataFrame:
 
 def distinct_names(df: DataFrame, key: str, name: str, overrides: dict | None = None) -> DataFrame:
     """Make names unique: an override by key replaces the name, and a name that
-    a lower key already holds becomes ``"name (key)"``.
-
-    A name that equals another row's suffixed form is suffixed too.
+    a lower key already holds becomes ``"name (key)"``, again and again until no
+    lower key holds it.  Each round is stored; there are as many as the longest
+    chain of names that run into each other.
     """
     label = F.col(name)
     fixed = F.lit(False)
@@ -57,12 +59,12 @@ def distinct_names(df: DataFrame, key: str, name: str, overrides: dict | None =
         label = F.when(F.col(key) == value, F.lit(text)).otherwise(label)
         fixed = fixed | (F.col(key) == value)
     named = df.withColumn(name, label).withColumn("_fixed", fixed)
-    taken = _mark_taken(named, key, name, named.select(key, name))
-    suffixed = taken.filter("_taken").select(key, _with_key(name, key).alias(name))
-    again = _mark_taken(named, key, name, named.select(key, name).unionByName(suffixed))
-    return again.withColumn(
-        name, F.when(F.col("_taken"), _with_key(name, key)).otherwise(F.col(name))
-    ).select(*df.columns)
+    while True:
+        taken = cut_lineage(_mark_taken(named, key, name, named.select(key, name)))
+        if taken.filter("_taken").isEmpty():
+            return taken.select(*df.columns)
+        suffixed = F.when(F.col("_taken"), _with_key(name, key)).otherwise(F.col(name))
+        named = taken.withColumn(name, suffixed).drop("_taken")
 
 
 def _with_key(name: str, key: str) -> Column:

@@ -48,9 +48,7 @@ def number_absent(known: DataFrame, incoming: DataFrame, key: list[str], out: st
     return number_rows(absent, key, out, after=known)
 
 
-def resolve_keys(
-    children: DataFrame, key_map: DataFrame, key: list[str], out: str
-) -> tuple[DataFrame, DataFrame]:
-    """Children with the number of their parent, and children without one."""
-    joined = children.join(key_map.select(*key, out), key, "left")
-    return joined.filter(F.col(out).isNotNull()), joined.filter(F.col(out).isNull()).drop(out)
+def resolve_keys(children: DataFrame, key_map: DataFrame, key: list[str], out: str) -> DataFrame:
+    """Children with the number of their parent, null where there is none.  One
+    join; a caller that wants both kinds of rows stores it before it filters."""
+    return children.join(key_map.select(*key, out), key, "left")

@@ -31,6 +31,15 @@ def rejected(marked: DataFrame) -> DataFrame:
     return marked.filter("reject_reason IS NOT NULL")
 
 
+def reject_rows(bad: DataFrame, name: str, key: list[str], batch: str) -> DataFrame:
+    return bad.select(
+        F.lit(name).alias("table_name"),
+        F.concat_ws(",", *[F.col(k).cast("string") for k in key]).alias("record_pk"),
+        "reject_reason",
+        F.lit(batch).alias("batch"),
+    )
+
+
 def reject_counts(marked: DataFrame) -> DataFrame:
     return rejected(marked).groupBy("reject_reason").agg(F.count("*").alias("n_rows"))
 
@@ -149,7 +158,17 @@ def sum_checkpoint(
 
 
 def fingerprint(df: DataFrame, columns: list[Column]) -> DataFrame:
-    """Row count and an order-free sum of row digests: equal for equal results."""
-    text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("\\N")) for c in columns])
-    digest = F.conv(F.left(F.md5(text), F.lit(15)), 16, 10).cast("decimal(38,0)")
-    return df.agg(F.count("*").alias("n_rows"), F.sum(digest).alias("digest"))
+    """Row count and an order-free sum of row digests: equal for equal results.
+
+    Each field stands with its length, so fields cannot run together, and both
+    halves of the 128-bit digest are summed.
+    """
+    fields = [c.cast("string") for c in columns]
+    sized = [F.coalesce(F.concat_ws(":", F.length(f), f), F.lit("-")) for f in fields]
+    text = F.concat_ws("|", *[F.when(f.isNull(), F.lit("-")).otherwise(s) for f, s in zip(fields, sized)])
+    digest = F.md5(text)
+    halves = [
+        F.sum(F.conv(F.substring(digest, at, 16), 16, 10).cast("decimal(38,0)")).cast("string")
+        for at in (1, 17)
+    ]
+    return df.agg(F.count("*").alias("n_rows"), F.concat_ws("-", *halves).alias("digest"))

@@ -40,8 +40,8 @@ SALES_COMPANIES = (
 )
 FUND_INDEX = (
     "Id int, Name string, InvestmentManagerId int, CustodianBankId int, IsinCode string, "
-    "BloombergQuote string, Type int, Currency variant, Sharia boolean, "
-    "ExchangeTradedFund boolean, Index boolean, Dividend boolean, IpoDate string, "
+    "BloombergQuote string, Type int, Currency variant, Sharia variant, "
+    "ExchangeTradedFund variant, Index variant, Dividend variant, IpoDate string, "
     "LastUpdate string, ConservativeCategory string"
 )
 PRODUCTS = "Fund struct<Id:int,FkClassFundId:int>"
@@ -49,7 +49,7 @@ MANAGER_AUM = "fkFundManager int, Date string, Aum double, TotalUnit double"
 POINTS = "array<struct<Date:string,Value:double,ClassTotalValue:double>>"
 
 
-def snapshot_shape(rating_field: str = "ProviderRating") -> str:
+def snapshot_shape(rating_field: str) -> str:
     """Shape of a fund snapshot; the source names one rating after itself."""
     return (
         "Detail struct<IsActive:variant,IpoDate:string,Description:string,"
@@ -59,11 +59,11 @@ def snapshot_shape(rating_field: str = "ProviderRating") -> str:
         "InvestmentBond:variant,InvestmentEquity:variant,InvestmentMoneyMarket:variant>, "
         f"NetAssetValues {POINTS}, AssetUnderManagements {POINTS}, "
         "TotalUnits array<struct<Date:string,Value:double>>, "
-        "Performances array<struct<Period:int,Return:double,StandardDeviation:double,"
+        "Performances array<struct<Period:variant,Return:double,StandardDeviation:double,"
         "Beta:double,SharpeRatio:double,ModifiedSharpeRatio:double,TreynorRatio:double,"
         "SortinoRatio:double,TrackingError:double,MaxDrawdown:double,Cagr:double,"
         "JensenAlpha:double>>, "
-        "Rankings array<struct<Period:int,Category:variant,RiskRank:int,RatingRank:int,"
+        "Rankings array<struct<Period:variant,Category:variant,RiskRank:int,RatingRank:int,"
         f"AllRiskRank:int,{rating_field}:double,RiskRating:double,AllRiskRating:double>>, "
         "Benchmark struct<Id:int>, "
         "Benchmarks array<struct<Id:int,Name:string,"
@@ -229,7 +229,6 @@ def funds(index: DataFrame, snapshots: DataFrame, classes: DataFrame) -> DataFra
         text.fee_percent_value,
         text.decimal_number_value,
     )
-    no = F.lit(False)
     return joined.select(
         "fund_id",
         F.col("InvestmentManagerId").alias("manager_id"),
@@ -244,10 +243,10 @@ def funds(index: DataFrame, snapshots: DataFrame, classes: DataFrame) -> DataFra
         F.when(F.col("Currency").isNull(), F.lit(0))
         .otherwise(F.try_variant_get("Currency", "$", "int"))
         .alias("currency"),
-        F.coalesce("Sharia", no).alias("is_sharia"),
-        F.coalesce("ExchangeTradedFund", no).alias("is_etf"),
-        F.coalesce("Index", no).alias("is_index"),
-        F.coalesce("Dividend", no).alias("has_dividend"),
+        text.flag_value(F.col("Sharia"), absent=False).alias("is_sharia"),
+        text.flag_value(F.col("ExchangeTradedFund"), absent=False).alias("is_etf"),
+        text.flag_value(F.col("Index"), absent=False).alias("is_index"),
+        text.flag_value(F.col("Dividend"), absent=False).alias("has_dividend"),
         text.flag_value(F.col("d.IsActive"), absent=True).alias("is_active"),
         dates.parse_date(text.first_given(F.col("d.IpoDate"), F.col("IpoDate"))).alias("ipo_date"),
         F.col("d.Description").alias("description"),
@@ -459,7 +458,7 @@ def _dated(snapshots: DataFrame, items: str) -> DataFrame:
 def performance(snapshots: DataFrame) -> DataFrame:
     rows = _dated(snapshots, "Performances").select(
         "fund_id",
-        F.col("m.Period").alias("period_code"),
+        F.try_variant_get("m.Period", "$", "int").alias("period_code"),
         "as_of_date",
         *[F.col(f"m.{source}").alias(out) for out, source in METRIC_FIELDS.items()],
         "pos",
@@ -467,13 +466,13 @@ def performance(snapshots: DataFrame) -> DataFrame:
     return rows.filter(given(["period_code", "as_of_date"]))
 
 
-def ranking(snapshots: DataFrame, rating_field: str = "ProviderRating") -> DataFrame:
+def ranking(snapshots: DataFrame, rating_field: str) -> DataFrame:
     category = F.when(F.col("m.Category").isNull(), F.lit(0)).otherwise(
         F.try_variant_get("m.Category", "$", "int")
     )
     rows = _dated(snapshots, "Rankings").select(
         "fund_id",
-        F.col("m.Period").alias("period_code"),
+        F.try_variant_get("m.Period", "$", "int").alias("period_code"),
         category.alias("category_code"),
         "as_of_date",
         F.col("m.RiskRank").alias("risk_rank"),

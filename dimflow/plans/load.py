@@ -32,6 +32,7 @@ from dimflow.operators.quality import (
     drop_zero_rows,
     first_reason,
     label_consistency,
+    reject_rows,
     rejected,
     sum_anomalies,
     sum_checkpoint,
@@ -43,10 +44,6 @@ from dimflow.sources.published import Published
 # Categories whose source name is wrong.
 CATEGORY_NAMES = {9: "Real Estate"}
 SOURCE_ORDER = ("file_name", "pos")
-# Above this number of columns the checked rows are stored before they are
-# filtered: what the optimizer infers from a filter over typed columns doubles
-# with each of them.  The long series tables are all narrow.
-WIDE = 8
 # Tables whose rows carry numbers that another table gives out.
 NUMBERED_PARENTS = {"portfolio_allocation", "portfolio_holding"}
 
@@ -91,7 +88,10 @@ def prepared(
         df = df.join(published.read("security").select("code", "security_id"), "code")
     if name in ("portfolio_allocation", "portfolio_holding"):
         snapshots = published.read("portfolio_snapshot")
-        return resolve_keys(df, snapshots, ["fund_id", "date_based"], "snapshot_id")
+        key = ["fund_id", "date_based"]
+        resolved = cut_lineage(resolve_keys(df, snapshots, key, "snapshot_id"))
+        lost = resolved.filter("snapshot_id IS NULL").drop("snapshot_id")
+        return resolved.filter("snapshot_id IS NOT NULL"), lost
     return df, None
 
 
@@ -99,15 +99,6 @@ def source_order(df: DataFrame) -> list[str]:
     return [c for c in SOURCE_ORDER if c in df.columns]
 
 
-def reject_rows(bad: DataFrame, name: str, key: list[str], batch: str) -> DataFrame:
-    return bad.select(
-        F.lit(name).alias("table_name"),
-        F.concat_ws(",", *[F.col(k).cast("string") for k in key]).alias("record_pk"),
-        "reject_reason",
-        F.lit(batch).alias("batch"),
-    )
-
-
 def merge_table(
     published: Published, name: str, new: DataFrame, batch: str, batch_ts: datetime, actor: str
 ) -> tuple[DataFrame | None, DataFrame]:
@@ -120,9 +111,9 @@ def merge_table(
     rules = {rule: ~holds for rule, holds in contract_checks(contract).items()}
     reason = F.coalesce("_misfit", first_reason(rules))
     marked = typed.withColumn("reject_reason", reason).drop("_misfit")
-    if len(contract.schema) > WIDE:
-        marked = cut_lineage(marked)
-    # Rejects are found before rows are compared, so listing them takes no shuffle.
+    # Stored, as accepted and rejected rows are both read from it, and as what the
+    # optimizer infers from a filter over typed columns doubles with each of them.
+    marked = cut_lineage(marked)
     bad = reject_rows(rejected(marked), name, key, batch)
     good, old = accepted(marked), published.read(name)
     order, columns = source_order(good), contract.schema.fieldNames()
@@ -159,7 +150,7 @@ def load(
     audits, rejects = [], []
 
     def note(log: list, rows: DataFrame | None) -> None:
-        if rows is not None and not rows.isEmpty():
+        if rows is not None:
             log.append(rows)
 
     def merge(name: str) -> None:

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimflow.contracts import CONTRACTS, conform
+from dimflow.contracts import CONTRACTS, REJECT_LOG, WAITING, conform, misfits
 from dimflow.functions import dates, labels
 from dimflow.operators.history import current_versions, scd1_insert, scd2_merge
 from dimflow.operators.merge import absent_rows, span_of
+from dimflow.operators.quality import accepted, first_reason, reject_rows, rejected
 from dimflow.operators.series import latest_return, nav_return
-from dimflow.session import run_together
+from dimflow.session import cut_lineage, run_together
 from dimflow.sources.published import Published
 
 FUND_TRACKED = [
@@ -70,19 +72,18 @@ def load_mart(published: Published, batch: str, effective: date, full: bool = Fa
     latest value per fund.
 
     Facts are made of the rows that this run has appended to the relational
-    tables.  A fact table that is not there yet, or ``full``, looks at all rows.
+    tables, and of those that earlier runs could not place because a dimension
+    missed their key (``fact_waiting``).  A fact table that is not there yet, or
+    ``full``, looks at all rows.  A fact with a value that does not fit its column
+    goes to the reject log.  Days and latest prices come from the appended rows
+    and from what is stored, not from the whole history.
     """
     funds = published.read("mutual_fund")
     nav = published.read("nav_record")
 
     run_together(
         [
-            lambda: _append(
-                published,
-                "dim_date",
-                calendar([nav, published.read("aum_record")], "record_date"),
-                batch,
-            ),
+            lambda: _append(published, "dim_date", _days(published, full), batch),
             lambda: published.replace("dim_category", _categories(published, funds), batch),
             lambda: published.replace(
                 "dim_fund",
@@ -142,38 +143,109 @@ def load_mart(published: Published, batch: str, effective: date, full: bool = Fa
     )
     manager_keys = current_versions(dim_manager).select("manager_id", "dim_manager_key")
 
-    def new_rows(source: str, fact: str) -> DataFrame | None:
-        everything = full or fact not in published.folders
-        return published.read(source) if everything else published.read_added(source)
+    waited = published.read(WAITING.name)
+    waiting, rejects = [], []
+
+    def new_rows(source: str, fact: str, owner: str) -> DataFrame | None:
+        if full or fact not in published.folders:
+            return published.read(source)
+        mine = waited.filter(F.col("fact") == fact)
+        span = span_of(mine, "record_date")
+        added = published.read_added(source)
+        if span is None:
+            return added
+        old = published.read(source).filter(F.col("record_date").between(span[1], span[2]))
+        late = old.join(
+            mine.select(F.col("owner_id").alias(owner), "record_date"),
+            [owner, "record_date"],
+            "left_semi",
+        )
+        # stored, as its dates are looked up before its rows are read
+        return cut_lineage(late if added is None else added.unionByName(late))
 
-    def nav_facts() -> None:
-        rows = new_rows("nav_record", "fact_nav_daily")
-        if rows is not None:
-            known = "fact_nav_daily" in published.folders and not full
-            returns = nav_return(nav, rows if known else None)
-            facts = fact_rows(returns, keys, "fund_id", "record_date")
-            _append(published, "fact_nav_daily", facts, batch, rows)
+    def add_facts(
+        source: str, fact: str, owner: str, owner_keys: DataFrame, measures=lambda rows, known: rows
+    ) -> None:
+        rows = new_rows(source, fact, owner)
+        if rows is None:
+            return
+        known = fact in published.folders and not full
+        facts = fact_rows(measures(rows, known), owner_keys, owner, "record_date")
+        rejects.append(_append(published, fact, facts, batch, rows))
+        unplaced = rows.join(owner_keys.select(owner), owner, "left_anti").filter(
+            F.col("record_date").isNotNull()
+        )
+        waiting.append(
+            unplaced.select(
+                F.lit(fact).alias("fact"), F.col(owner).alias("owner_id"), "record_date"
+            ).distinct()
+        )
 
-    def monthly_facts(source: str, fact: str, owner: str, owner_keys: DataFrame) -> None:
-        rows = new_rows(source, fact)
-        if rows is not None:
-            facts = fact_rows(rows, owner_keys, owner, "record_date")
-            _append(published, fact, facts, batch, rows)
+    def nav_measures(rows: DataFrame, known: bool) -> DataFrame:
+        return nav_return(nav, rows if known else None)
 
     def latest() -> None:
-        newest = latest_return(nav, ["fund_id"], "record_date", "nav_value")
-        published.replace("latest_nav", conform(newest, CONTRACTS["latest_nav"]), batch)
+        newest = _latest(published, nav, full)
+        if newest is not None:
+            published.replace("latest_nav", conform(newest, CONTRACTS["latest_nav"]), batch)
 
     run_together(
         [
-            nav_facts,
-            lambda: monthly_facts("aum_record", "fact_aum_monthly", "fund_id", keys),
-            lambda: monthly_facts(
+            lambda: add_facts("nav_record", "fact_nav_daily", "fund_id", keys, nav_measures),
+            lambda: add_facts("aum_record", "fact_aum_monthly", "fund_id", keys),
+            lambda: add_facts(
                 "manager_aum_record", "fact_manager_aum_monthly", "manager_id", manager_keys
             ),
             latest,
         ]
     )
+    if waiting:
+        seen = reduce(DataFrame.unionByName, waiting)
+        published.replace(WAITING.name, seen, batch)
+    if rejects:
+        published.append(REJECT_LOG.name, reduce(DataFrame.unionByName, rejects), batch)
+
+
+def _days(published: Published, full: bool) -> DataFrame:
+    """The calendar over the prices and values, or over what is new of them and the
+    days that are stored."""
+    sources = ("nav_record", "aum_record")
+    if full or "dim_date" not in published.folders:
+        return calendar([published.read(s) for s in sources], "record_date")
+    stored = published.read("dim_date").select(F.col("full_date").alias("record_date"))
+    added = [published.read_added(s) for s in sources]
+    return calendar([stored, *[a for a in added if a is not None]], "record_date")
+
+
+def _latest(published: Published, nav: DataFrame, full: bool) -> DataFrame | None:
+    """The newest price and return of each fund; None if this run adds no price.
+
+    A fund whose added prices are newer than its stored one needs these only.  The
+    history is read for funds that got an older price, and it may be their last
+    but one.
+    """
+    order = ("record_date", "nav_value")
+    if full or "latest_nav" not in published.folders:
+        return latest_return(nav, ["fund_id"], *order)
+    added = published.read_added("nav_record")
+    if added is None:
+        return None
+    stored = published.read("latest_nav")
+    added = added.select("fund_id", *order)
+    touched = added.select("fund_id").distinct()
+    older = (
+        added.join(stored.select("fund_id", F.col("record_date").alias("_known")), "fund_id")
+        .filter("record_date < _known")
+        .select("fund_id")
+        .distinct()
+    )
+    both = added.unionByName(stored.select("fund_id", *order).join(touched, "fund_id", "left_semi"))
+    plain = both.join(older, "fund_id", "left_anti")
+    newest = latest_return(plain, ["fund_id"], *order).unionByName(
+        latest_return(nav.join(older, "fund_id", "left_semi"), ["fund_id"], *order)
+    )
+    untouched = stored.join(touched, "fund_id", "left_anti")
+    return conform(newest, CONTRACTS["latest_nav"]).unionByName(untouched)
 
 
 def _categories(published: Published, funds: DataFrame) -> DataFrame:
@@ -186,13 +258,16 @@ def _categories(published: Published, funds: DataFrame) -> DataFrame:
 
 def _append(
     published: Published, name: str, rows: DataFrame, batch: str, dated: DataFrame | None = None
-) -> None:
+) -> DataFrame:
     """Append the absent rows; ``dated`` gives the dates they can have, outside
-    of which the stored facts need not be read."""
+    of which the stored facts need not be read.  Returns the rejected ones."""
     contract = CONTRACTS[name]
     span = None
     if dated is not None:
         span = span_of(dated.select(dates.date_key(F.col("record_date")).alias("date_id")), "date_id")
-    typed = conform(rows, contract)
-    fresh = absent_rows(published.read(name), typed, list(contract.key), span=span)
-    published.append(name, fresh, batch)
+    key = list(contract.key)
+    reason = first_reason(misfits(rows, contract)).alias("reject_reason")
+    typed = conform(rows, contract, (), reason)
+    fresh = cut_lineage(absent_rows(published.read(name), typed, key, span=span))
+    published.append(name, accepted(fresh), batch)
+    return reject_rows(rejected(fresh), name, key, batch)

@@ -23,8 +23,9 @@ def refresh(
     batch_ts: datetime,
     scope: str = "full",
     subset: int | None = None,
-    rating_field: str = "ProviderRating",
     full: bool = False,
+    *,
+    rating_field: str,
 ) -> Published:
     """Documents to clean tables, to published tables, to the star schema.
 
@@ -34,7 +35,7 @@ def refresh(
     """
     batch = batch_ts.strftime("%Y%m%dT%H%M%S")
     clean = Clean(spark, f"{work.rstrip('/')}/{batch}")
-    names = transform(spark, raw, clean, scope, subset, rating_field)
+    names = transform(spark, raw, clean, scope, subset, rating_field=rating_field)
     published = Published(spark, root)
     load(published, clean, names, batch, batch_ts)
     load_mart(published, batch, batch_ts.date(), full)

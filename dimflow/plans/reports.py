@@ -83,11 +83,14 @@ def holders_of(
     snapshots: DataFrame,
     funds: DataFrame,
 ) -> DataFrame:
-    """Funds and dates that hold one instrument.  ``code`` is unique, so the one
-    security row is broadcast and the holdings are filtered where they are read."""
-    wanted = securities.filter(F.col("code") == code).select("security_id")
+    """Funds and dates that hold one instrument, or the instruments of one code.
+
+    Their numbers are looked up first and become constants of the filter, which
+    therefore reaches the files of the holdings; these are laid out by number.
+    """
+    wanted = [r["security_id"] for r in securities.filter(F.col("code") == code).collect()]
     return (
-        holdings.join(F.broadcast(wanted), "security_id")
+        holdings.filter(F.col("security_id").isin(wanted))
         .join(snapshots.select("snapshot_id", "fund_id", "date_based"), "snapshot_id")
         .join(funds.select("fund_id", "name"), "fund_id")
         .select("name", "date_based", "value_pct")

@@ -141,7 +141,8 @@ def transform(
     clean: Clean,
     scope: str = "full",
     subset: int | None = None,
-    rating_field: str = "ProviderRating",
+    *,
+    rating_field: str,
 ) -> list[str]:
     """Make the clean tables of a scope; returns their names.
 
@@ -222,21 +223,35 @@ def _made_from(*sources: str) -> set[str]:
 
 
 FOLDERS = ("manager_aum", "products", "snapshot", "portfolio", "quarterly", "sales_companies")
+MASTERS = ("managers", "banks", "sales", "fund_index")
 
 
 def landing_report(spark: SparkSession, raw: str) -> DataFrame:
-    """Number of landed documents per folder and status."""
+    """Number of landed documents per folder or master file and status; a master
+    file that has not landed is ``missing``."""
+    raw = raw.rstrip("/")
     parts = [
-        docs.landing_status(docs.read_documents(spark, f"{raw.rstrip('/')}/{name}"), F.lit(name))
+        docs.landing_status(docs.read_documents(spark, f"{raw}/{name}"), F.lit(name))
         for name in FOLDERS
     ]
+    for name in MASTERS:
+        found = docs.landing_status(docs.read_documents(spark, f"{raw}/{name}.json"), F.lit(name))
+        absent = spark.range(1).select(
+            F.lit(name).alias("source"), F.lit("missing").alias("status"), F.lit(1).alias("n_documents")
+        )
+        parts.append(found.unionByName(absent.join(found.select("source"), "source", "left_anti")))
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)
     return report
 
 
-def pending_quarters(spark: SparkSession, raw: str, force: bool = False) -> DataFrame:
+def pending_quarters(
+    spark: SparkSession,
+    raw: str,
+    force: bool = False,
+    years: tuple[int, ...] = docs.QUARTERLY_YEARS,
+) -> DataFrame:
     """Fund and year pairs whose quarterly document has not landed yet."""
     raw = raw.rstrip("/")
     index = docs.read_documents(spark, f"{raw}/fund_index.json")
@@ -245,5 +260,5 @@ def pending_quarters(spark: SparkSession, raw: str, force: bool = False) -> Data
     landed = docs.read_documents(spark, f"{raw}/quarterly").select(
         entity.alias("fund_id"), period.alias("year")
     )
-    wanted = docs.expected_keys(ids, list(docs.QUARTERLY_YEARS), "year")
+    wanted = docs.expected_keys(ids, list(years), "year")
     return docs.pending(wanted, landed, ["fund_id", "year"], force)

@@ -35,7 +35,7 @@ def shared_folder(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if context.master != "local" and not context.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="dimflow-checkpoint-")
         context.setCheckpointDir(folder)

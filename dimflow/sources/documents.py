@@ -15,17 +15,36 @@ LANDED = "file_name string, file_key string, body string"
 QUARTERLY_YEARS = (2022, 2023, 2024, 2025, 2026)
 
 
+# White space of JSON, and a field that ends a wrapped document.
+JSON_SPACE = " \t\n\r"
+LAST_FIELD = "~end of document"
+
+
+def document_value(body: Column) -> Column:
+    """Compact text of the one JSON value of a document; null where the document
+    is none, such as one that is cut off or goes on after its value.
+
+    The value is parsed as a field before another, so both fields are there only
+    if it is whole and alone.
+    """
+    wrapped = F.concat(F.lit('{"d":'), body, F.lit(f',"{LAST_FIELD}":1}}'))
+    fields = F.from_json(wrapped, "map<string,string>")
+    alone = (F.size(fields) == 2) & F.map_contains_key(fields, LAST_FIELD)
+    missing = F.trim(body, F.lit(JSON_SPACE)) == ""
+    return F.when(alone & ~missing, F.coalesce(F.get(F.map_values(fields), 0), F.lit("null")))
+
+
 def document_status(body: Column) -> Column:
     """``data``, ``empty`` for an empty array, ``null``, ``failed`` for a document
     that records a fetch error, or ``unreadable``."""
-    length = F.json_array_length(body)
-    fields = F.json_object_keys(body)
+    value = document_value(body)
+    failed = F.map_contains_key(F.from_json(body, "map<string,string>"), "_error")
     return (
-        F.when(F.trim(body) == "null", F.lit("null"))
-        .when(length == 0, F.lit("empty"))
-        .when(length > 0, F.lit("data"))
-        .when(F.array_contains(fields, "_error"), F.lit("failed"))
-        .when(fields.isNotNull(), F.lit("data"))
+        F.when(value.isNull(), F.lit("unreadable"))
+        .when(F.trim(body, F.lit(JSON_SPACE)) == "null", F.lit("null"))
+        .when(value == "[]", F.lit("empty"))
+        .when(value.startswith("["), F.lit("data"))
+        .when(value.startswith("{"), F.when(failed, F.lit("failed")).otherwise(F.lit("data")))
         .otherwise(F.lit("unreadable"))
     )
 
@@ -59,10 +78,10 @@ def _elements(documents: DataFrame, opening: str, shape: T.StructType) -> DataFr
     """Elements of the documents that start with ``opening``, as column ``d``.
 
     An object parses as an array of one; a null, broken or empty document has
-    no element.  Filters sit behind the generator and name only its output, so
+    no element: those that :func:`document_status` calls ``data`` are read.  Filters sit behind the generator and name only its output, so
     Spark cannot copy the parser into them and each text is parsed once.
     """
-    held = documents.filter(F.ltrim("body").startswith(opening))
+    held = documents.filter(document_value(F.col("body")).startswith(opening))
     parsed = F.from_json("body", T.ArrayType(shape).simpleString())
     rows = held.select("file_name", "file_key", F.posexplode_outer(parsed).alias("pos", "d"))
     return rows.filter(F.col("d").isNotNull())

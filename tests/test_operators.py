@@ -30,13 +30,15 @@ def test_keep_first_code(spark):
 def test_distinct_names_like_a_loop(spark):
     generator = random.Random(1)
     for _ in range(4):
-        names = [(i, generator.choice(["a", "b", "a (3)", "b (4)", "real"])) for i in range(12)]
+        choices = ["a", "b", "a (3)", "b (4)", "real", "a (3) (5)", "a (3) (5) (6)"]
+        names = [(i, generator.choice(choices)) for i in range(12)]
         seen, want = set(), []
         for i, name in names:
             if i == 7:
                 name = "real"
-            elif name in seen:
-                name = f"{name} ({i})"
+            else:
+                while name in seen:
+                    name = f"{name} ({i})"
             seen.add(name)
             want.append((i, name))
         df = spark.createDataFrame(names, "id int, name string")
@@ -62,8 +64,8 @@ def test_number_absent_goes_on(spark):
 def test_resolve_keys(spark):
     children = spark.createDataFrame([(1, "x"), (999, "y")], "ref int, v string")
     key_map = spark.createDataFrame([(1, 42)], "ref int, id int")
-    found, lost = keys.resolve_keys(children, key_map, ["ref"], "id")
-    assert rows(found, "v", "id") == [("x", 42)] and rows(lost, "v") == [("y",)]
+    found = keys.resolve_keys(children, key_map, ["ref"], "id")
+    assert {(r["v"], r["id"]) for r in found.collect()} == {("x", 42), ("y", None)}
 
 
 def test_upsert_keeps_unlisted_columns(spark):

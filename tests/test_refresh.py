@@ -22,7 +22,7 @@ from raw_fixture import write_raw
 def first(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("chain")
     raw = write_raw(base / "raw")
-    published = refresh(spark, str(raw), str(base / "work"), str(base / "root"), datetime(2026, 7, 1, 8))
+    published = refresh(spark, str(raw), str(base / "work"), str(base / "root"), datetime(2026, 7, 1, 8), rating_field="ProviderRating")
     return base, published
 
 
@@ -144,7 +144,7 @@ def test_reports(spark, first):
 
 def test_second_run_changes_nothing(spark, first):
     base, p = first
-    again = refresh(spark, str(base / "raw"), str(base / "work"), str(base / "root"), datetime(2026, 7, 2, 8), full=True)
+    again = refresh(spark, str(base / "raw"), str(base / "work"), str(base / "root"), datetime(2026, 7, 2, 8), full=True, rating_field="ProviderRating")
     assert again.counts == p.counts
     for name in p.folders:
         columns = [c for c in p.read(name).columns if c not in ("scraped_at", "personnel_id", "shareholder_id")]
@@ -159,7 +159,7 @@ def test_changed_sources(spark, first, tmp_path):
     shutil.copytree(base / "root", root)
     # The list of folders names the first root; the copy starts from its newest line.
     raw = write_raw(tmp_path / "raw", rename=True, more_days=True)
-    changed = refresh(spark, str(raw), str(tmp_path / "work"), str(root), datetime(2026, 8, 1, 8))
+    changed = refresh(spark, str(raw), str(tmp_path / "work"), str(root), datetime(2026, 8, 1, 8), rating_field="ProviderRating")
     log = {(r["table_name"], r["record_pk"]) for r in changed.read("audit_log").collect()}
     assert log == {("investment_manager", "1"), ("mutual_fund", "102")}
     versions = table(changed, "dim_manager", "manager_id", "name", "valid_to", "is_current")
@@ -183,7 +183,7 @@ def test_daily_scope_touches_only_its_tables(spark, first, tmp_path):
     root = tmp_path / "root"
     shutil.copytree(base / "root", root)
     raw = write_raw(tmp_path / "raw", more_days=True)
-    daily = refresh(spark, str(raw), str(tmp_path / "work"), str(root), datetime(2026, 8, 2, 8), scope="daily")
+    daily = refresh(spark, str(raw), str(tmp_path / "work"), str(root), datetime(2026, 8, 2, 8), scope="daily", rating_field="ProviderRating")
     assert daily.counts["nav_record"] == p.counts["nav_record"] + 2
     assert daily.folders["portfolio_holding"] == p.folders["portfolio_holding"]
 
@@ -198,7 +198,7 @@ def test_readers_see_whole_batches(spark, first):
 
 def test_subset(spark, tmp_path):
     raw = write_raw(tmp_path / "raw")
-    run = refresh(spark, str(raw), str(tmp_path / "work"), str(tmp_path / "root"), datetime(2026, 7, 1), subset=1)
+    run = refresh(spark, str(raw), str(tmp_path / "work"), str(tmp_path / "root"), datetime(2026, 7, 1), subset=1, rating_field="ProviderRating")
     assert table(run, "mutual_fund", "fund_id") == [(101,)]
     assert {r[0] for r in table(run, "nav_record", "fund_id")} == {101}
     assert len(table(run, "investment_manager")) == 2
@@ -248,9 +248,91 @@ def test_compact_keeps_the_rows(spark, tmp_path):
 
 def test_nothing_landed(spark, tmp_path):
     (tmp_path / "raw" / "snapshot").mkdir(parents=True)
-    run = refresh(spark, str(tmp_path / "raw"), str(tmp_path / "work"), str(tmp_path / "root"), datetime(2026, 7, 1))
+    run = refresh(spark, str(tmp_path / "raw"), str(tmp_path / "work"), str(tmp_path / "root"), datetime(2026, 7, 1), rating_field="ProviderRating")
     assert set(run.counts.values()) == {0}
     assert integrity_report(run).collect() == []
     write_raw(tmp_path / "raw")
-    run = refresh(spark, str(tmp_path / "raw"), str(tmp_path / "work"), str(tmp_path / "root"), datetime(2026, 7, 2))
+    run = refresh(spark, str(tmp_path / "raw"), str(tmp_path / "work"), str(tmp_path / "root"), datetime(2026, 7, 2), rating_field="ProviderRating")
     assert run.counts["fact_nav_daily"] == run.counts["nav_record"] == 4
+
+
+def test_late_dimension_and_misfit_by_default(spark, tmp_path):
+    """Prices of a fund whose manager lands a day later become facts then, without
+    a full run; a return that does not fit its column is logged."""
+    from dimflow.plans.mart import load_mart
+
+    day = [datetime(2026, 1, d).date() for d in (1, 2, 5)]
+
+    def fund(i, manager):
+        return {"fund_id": i, "name": f"f{i}", "manager_id": manager, "bank_id": 1,
+                "conservative_label": "Saham", "fund_type": 1, "currency": 0}
+
+    def frame(p, name, rows):
+        schema = p.read(name).schema
+        full = [tuple(r.get(f.name) for f in schema) for r in rows]
+        return spark.createDataFrame(full, schema)
+
+    def nav(i, d, value):
+        return {"fund_id": i, "record_date": d, "nav_value": Decimal(value)}
+
+    p = Published(spark, str(tmp_path / "root"))
+    p.replace("mutual_fund", frame(p, "mutual_fund", [fund(1, 1), fund(2, 2)]), "a")
+    p.replace("investment_manager", frame(p, "investment_manager", [{"manager_id": 1, "name": "m"}]), "a")
+    p.replace("custodian_bank", frame(p, "custodian_bank", [{"bank_id": 1, "name": "b"}]), "a")
+    prices = [nav(1, day[0], "1"), nav(2, day[0], "1"), nav(2, day[1], "2"), nav(1, day[1], "100000")]
+    p.append("nav_record", frame(p, "nav_record", prices), "a")
+    load_mart(p, "a", day[0])
+    p.publish("a")
+    assert table(p, "fact_nav_daily", "fund_id", "date_id") == [(1, 20260101)]
+    assert table(p, "fact_waiting", "owner_id") == [(2,), (2,)]
+    assert table(p, "reject_log", "table_name", "record_pk") == [("fact_nav_daily", "20260102,1")]
+    for batch in ("b", "c"):  # the second of them changes nothing
+        p = Published(spark, str(tmp_path / "root"))
+        managers = [{"manager_id": i, "name": "m"} for i in (1, 2)]
+        p.replace("investment_manager", frame(p, "investment_manager", managers), batch)
+        if batch == "b":
+            p.append("nav_record", frame(p, "nav_record", [nav(2, day[2], "3")]), batch)
+        load_mart(p, batch, day[1])
+        p.publish(batch)
+        got = table(p, "fact_nav_daily", "fund_id", "date_id", "daily_return")
+        assert got == [
+            (1, 20260101, None), (2, 20260101, None), (2, 20260102, Decimal("1")),
+            (2, 20260105, Decimal("0.5")),
+        ]
+        assert table(p, "fact_waiting") == []
+        assert table(p, "latest_nav", "fund_id", "nav_value", "daily_return")[1] == (
+            2, Decimal("3"), Decimal("0.5"),
+        )
+        assert p.read("dim_date").count() == 5
+
+
+def test_default_run_is_repeatable(spark, first, tmp_path):
+    base, p = first
+    root = tmp_path / "root"
+    shutil.copytree(base / "root", root)
+    again = refresh(spark, str(base / "raw"), str(tmp_path / "work"), str(root), datetime(2026, 7, 3, 8),
+                    rating_field="ProviderRating")
+    for name in p.folders:
+        if name not in ("audit_log", "reject_log"):
+            columns = [c for c in p.read(name).columns if c not in ("scraped_at", "personnel_id", "shareholder_id")]
+            assert table(again, name, *columns) == table(p, name, *columns), name
+
+
+def test_every_whole_document_is_read(spark, tmp_path):
+    bodies = {
+        "newline": '\n[{"Id": 1}]', "tab": '\t[{"Id": 2}]\r\n', "space": '  [{"Id": 3}] ',
+        "nan": '[{"Id": 4, "x": NaN}]', "trailing": '[{"Id": 5}] x', "twice": '[{"Id": 6}][{"Id": 7}]',
+        "more": '[{"Id": 8}], "q": [1]', "cut": '[{"Id": 9}', "blank": " \n", "empty": "\n[]", "null": " null\n",
+        "failed": '\n{"_error": null}', "object": '\n{"Id": 10}', "number": "5",
+    }
+    for name, body in bodies.items():
+        (tmp_path / f"{name}.json").write_text(body)
+    found = docs.read_documents(spark, str(tmp_path))
+    arrays = docs.parse_arrays(found, "Id int")
+    assert sorted(r["Id"] for r in arrays.collect()) == [1, 2, 3, 4]
+    assert [r["Id"] for r in docs.parse_objects(found, "Id int").collect()] == [10]
+    status = found.select("file_key", docs.document_status(F.col("body")).alias("s"))
+    want = {n: "unreadable" for n in ("trailing", "twice", "more", "cut", "blank", "number")}
+    want |= {n: "data" for n in ("newline", "tab", "space", "nan", "object")}
+    want |= {"empty": "empty", "null": "null", "failed": "failed"}
+    assert {r["file_key"]: r["s"] for r in status.collect()} == want

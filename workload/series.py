@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -234,13 +236,13 @@ def batch_coverage(t):
     SELECT c_name AS name, CAST(o_orderdate AS DATE) AS date_based, l_quantity AS value_pct
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
     JOIN part ON l_partkey = p_partkey
-    WHERE 'P' || LPAD(CAST(p_partkey AS VARCHAR), 9, '0') = 'P000000017'
+    WHERE MD5('P' || p_partkey) = MD5('P17')
     """
 )
 def instrument_lookup(t):
-    code = F.concat(F.lit("P"), F.lpad(F.col("p_partkey").cast("string"), 9, "0"))
+    code = F.md5(F.concat(F.lit("P"), F.col("p_partkey").cast("string")))
     return reports.holders_of(
-        "P000000017",
+        hashlib.md5(b"P17").hexdigest(),
         t.part.select(F.col("p_partkey").alias("security_id"), code.alias("code")),
         t.lineitem.select(
             F.col("l_orderkey").alias("snapshot_id"),
@@ -259,12 +261,13 @@ def instrument_lookup(t):
 @query(
     """
     SELECT CAST(COUNT(*) AS BIGINT) AS n_rows,
-           CAST(SUM(CAST('0x' || LEFT(MD5(
-               o_orderkey || '|' || o_custkey || '|' || o_orderstatus || '|'
-               || CAST(ROUND(o_totalprice * 100) AS BIGINT) || '|'
-               || STRFTIME(o_orderdate, '%Y-%m-%d') || '|' || o_orderpriority), 15)
-             AS BIGINT)) AS VARCHAR) AS digest
-    FROM orders
+           CAST(SUM(CAST('0x' || SUBSTR(h, 1, 16) AS UBIGINT)) AS VARCHAR) || '-'
+             || CAST(SUM(CAST('0x' || SUBSTR(h, 17, 16) AS UBIGINT)) AS VARCHAR) AS digest
+    FROM (SELECT MD5(ARRAY_TO_STRING(LIST_TRANSFORM([
+        CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus,
+        CAST(CAST(ROUND(o_totalprice * 100) AS BIGINT) AS VARCHAR),
+        STRFTIME(o_orderdate, '%Y-%m-%d'), o_orderpriority],
+        lambda f: COALESCE(LENGTH(f) || ':' || f, '-')), '|')) AS h FROM orders)
     """
 )
 def result_fingerprint(t):
@@ -276,7 +279,7 @@ def result_fingerprint(t):
         day("o_orderdate"),
         F.col("o_orderpriority"),
     ]
-    return fingerprint(t.orders, columns).withColumn("digest", F.col("digest").cast("string"))
+    return fingerprint(t.orders, columns)
 
 
 @query(

@@ -152,7 +152,7 @@ def product_documents(t: Tables) -> DataFrame:
 )
 def shred_parent_detail(t):
     index = shred.real_funds(docs.parse_arrays(index_documents(t), shred.FUND_INDEX))
-    snapshots = docs.parse_objects(detail_documents(t), shred.snapshot_shape())
+    snapshots = docs.parse_objects(detail_documents(t), shred.snapshot_shape("ProviderRating"))
     classes = shred.class_map(docs.parse_arrays(product_documents(t), shred.PRODUCTS))
     return shred.funds(index, snapshots, classes).select(
         "fund_id",
@@ -230,7 +230,7 @@ def series_documents(t: Tables) -> DataFrame:
 
 
 def snapshots_of(t: Tables) -> DataFrame:
-    return docs.parse_objects(series_documents(t), shred.snapshot_shape())
+    return docs.parse_objects(series_documents(t), shred.snapshot_shape("ProviderRating"))
 
 
 @query(
@@ -308,7 +308,7 @@ def shred_asof_metrics(t):
     """
 )
 def shred_rankings(t):
-    ranks = shred.ranking(snapshots_of(t)).select(
+    ranks = shred.ranking(snapshots_of(t), "ProviderRating").select(
         "fund_id", "period_code", "category_code", "as_of_date", "risk_rank", "provider_rating"
     )
     return ranks
