@@ -26,16 +26,18 @@ def refresh(
     full: bool = False,
     *,
     rating_field: str,
+    landed: str | None = None,
 ) -> Published:
     """Documents to clean tables, to published tables, to the star schema.
 
     Readers see the new state only when the whole run is done.  Running it
     again on the same documents changes nothing but the batch time of upserted
     rows.  ``full`` checks all rows for missing facts, not only the new ones.
+    ``landed`` names the folder of landed tables, see :func:`transform`.
     """
     batch = batch_ts.strftime("%Y%m%dT%H%M%S")
     clean = Clean(spark, f"{work.rstrip('/')}/{batch}")
-    names = transform(spark, raw, clean, scope, subset, rating_field=rating_field)
+    names = transform(spark, raw, clean, scope, subset, rating_field=rating_field, landed=landed)
     published = Published(spark, root)
     load(published, clean, names, batch, batch_ts)
     load_mart(published, batch, batch_ts.date(), full)

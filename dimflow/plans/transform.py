@@ -78,13 +78,21 @@ class Clean:
 
 class Documents:
     """Parsed documents of a landing folder, restricted to a subset of funds
-    when ``subset`` gives their number."""
+    when ``subset`` gives their number.  ``landed`` names the folder of the tables
+    that hold the small documents, where these have been stored as such."""
 
     def __init__(
-        self, spark: SparkSession, raw: str, clean: Clean, subset: int | None, rating_field: str
+        self,
+        spark: SparkSession,
+        raw: str,
+        clean: Clean,
+        subset: int | None,
+        rating_field: str,
+        landed: str | None = None,
     ):
         self.spark = spark
         self.raw = raw.rstrip("/")
+        self.landed = landed and landed.rstrip("/")
         self.rating_field = rating_field
         index = shred.real_funds(self._master("fund_index", shred.FUND_INDEX))
         index = docs.first_entities(index, ["pos"], subset) if subset else index
@@ -97,6 +105,8 @@ class Documents:
         return docs.parse_arrays(docs.read_documents(self.spark, f"{self.raw}/{name}.json"), shape)
 
     def _folder(self, name: str) -> DataFrame:
+        if self.landed:
+            return docs.read_landed(self.spark, f"{self.landed}/{name}")
         return docs.read_documents(self.spark, f"{self.raw}/{name}")
 
     def _of_subset(self, found: DataFrame) -> DataFrame:
@@ -143,14 +153,19 @@ def transform(
     subset: int | None = None,
     *,
     rating_field: str,
+    landed: str | None = None,
 ) -> list[str]:
     """Make the clean tables of a scope; returns their names.
 
+    With ``landed``, the many small documents come from the tables in that folder,
+    one per source, that :mod:`dimflow.streaming.landing` keeps, and no folder of
+    files is listed.
+
     The folders of many small documents are parsed once into Parquet
     (``parsed_…``); every table that is made from them reads only its own
     nested columns of that.
     """
-    found = Documents(spark, raw, clean, subset, rating_field)
+    found = Documents(spark, raw, clean, subset, rating_field, landed)
     names = tables_of(scope)
     wanted = set(names)
 
@@ -246,6 +261,28 @@ def landing_report(spark: SparkSession, raw: str) -> DataFrame:
     return report
 
 
+# The master whose ids name the documents of a folder.
+NAMED_BY = {
+    "manager_aum": "managers",
+    "products": "managers",
+    "snapshot": "fund_index",
+    "portfolio": "fund_index",
+}
+
+
+def pending_documents(
+    spark: SparkSession, raw: str, folder: str, force: bool = False
+) -> DataFrame:
+    """Ids whose document has not landed in ``folder`` yet."""
+    raw = raw.rstrip("/")
+    master = docs.read_documents(spark, f"{raw}/{NAMED_BY[folder]}.json")
+    ids = docs.parse_arrays(master, "Id int").select(F.col("Id").alias("id")).distinct()
+    landed = docs.read_documents(spark, f"{raw}/{folder}").select(
+        F.col("file_key").try_cast("int").alias("id")
+    )
+    return docs.pending(ids, landed, ["id"], force)
+
+
 def pending_quarters(
     spark: SparkSession,
     raw: str,

@@ -74,6 +74,17 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def read_landed(spark: SparkSession, table: str) -> DataFrame:
+    """Documents that :func:`dimflow.streaming.landing.land_new` has stored in a
+    Parquet table.  A table that is not there has no rows."""
+    try:
+        return spark.read.schema(LANDED).parquet(table)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty_table(spark, LANDED)
+
+
 def _elements(documents: DataFrame, opening: str, shape: T.StructType) -> DataFrame:
     """Elements of the documents that start with ``opening``, as column ``d``.
 

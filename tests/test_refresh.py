@@ -11,7 +11,14 @@ from dimflow.operators.series import batch_coverage, benchmark_return
 from dimflow.plans import reports
 from dimflow.plans.load import label_report, merge_table, portfolio_report
 from dimflow.plans.refresh import counts, integrity_report, refresh
-from dimflow.plans.transform import Clean, landing_report, pending_quarters, tables_of
+from dimflow.plans.transform import (
+    FOLDERS,
+    Clean,
+    landing_report,
+    pending_documents,
+    pending_quarters,
+    tables_of,
+)
 from dimflow.sources import documents as docs
 from dimflow.sources.published import Published
 from dimflow.streaming.landing import land_new
@@ -336,3 +343,25 @@ def test_every_whole_document_is_read(spark, tmp_path):
     want |= {n: "data" for n in ("newline", "tab", "space", "nan", "object")}
     want |= {"empty": "empty", "null": "null", "failed": "failed"}
     assert {r["file_key"]: r["s"] for r in status.collect()} == want
+
+
+def test_refresh_from_landed_tables(spark, first, tmp_path):
+    base, p = first
+    for name in FOLDERS:
+        folder = base / "raw" / name
+        if folder.exists():
+            land_new(spark, str(folder), str(tmp_path / "landed" / name), str(tmp_path / "progress" / name))
+    run = refresh(spark, str(base / "raw"), str(tmp_path / "work"), str(tmp_path / "root"),
+                  datetime(2026, 7, 1, 8), rating_field="ProviderRating", landed=str(tmp_path / "landed"))
+    assert run.counts == p.counts
+
+
+def test_pending_documents_and_missing_masters(spark, first):
+    base, _ = first
+    raw = str(base / "raw")
+    ids = {r["Id"] for r in docs.parse_arrays(docs.read_documents(spark, f"{raw}/fund_index.json"), "Id int").collect()}
+    have = {int(f.stem) for f in (base / "raw" / "snapshot").glob("*.json") if f.stem.isdigit()}
+    assert {r["id"] for r in pending_documents(spark, raw, "snapshot").collect()} == ids - have
+    assert {r["id"] for r in pending_documents(spark, raw, "snapshot", force=True).collect()} == ids
+    nowhere = {(r["source"], r["status"]) for r in landing_report(spark, f"{raw}/nowhere").collect()}
+    assert nowhere == {(m, "missing") for m in ("managers", "banks", "sales", "fund_index")}
