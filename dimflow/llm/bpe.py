@@ -118,8 +118,9 @@ class Decoder:
         sizes = self.sizes[ids]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
-        places = np.repeat((self.ends[ids] - ends).astype(np.int32), sizes)
-        places += np.arange(total, dtype=np.int32)
+        kind = np.int32 if total < 1 << 31 else np.int64
+        places = np.repeat((self.ends[ids] - ends).astype(kind), sizes)
+        places += np.arange(total, dtype=kind)
         joined = self.pool[places].tobytes()
         cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].tolist()
         return [joined[a : max(a, b - 1)] for a, b in zip(cuts, cuts[1:], strict=False)]

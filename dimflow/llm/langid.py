@@ -29,6 +29,7 @@ SAMPLE_BYTES = 32768  # longer texts are not taken into the sample
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 HASH_RANGE = 1 << 40
+STEP = 1 << 20  # bytes that are scored at a time
 
 
 class Lookup:
@@ -128,11 +129,13 @@ class Model:
             return out
         windows = text_windows([texts[i] for i in filled])
         starts = np.cumsum(sizes[filled]) - sizes[filled]
-        step = 1 << 20
-        cost = np.empty((len(windows), len(self.languages)), np.float32)
-        for a in range(0, len(windows), step):
-            cost[a : a + step] = self.cost(windows[a : a + step])
-        out[filled] = np.add.reduceat(cost, starts, axis=0, dtype=np.float64)
+        ends = starts + sizes[filled]
+        for a in range(0, len(windows), STEP):
+            z = min(a + STEP, len(windows))
+            first, last = np.searchsorted(ends, [a, z - 1], side="right")
+            within = slice(first, last + 1)
+            begin = np.maximum(starts[within] - a, 0)
+            out[filled[within]] += np.add.reduceat(self.cost(windows[a:z]), begin, axis=0)
         return out
 
 

@@ -191,8 +191,9 @@ def gather(texts: pa.Array, pieces: Pieces, drops_spaces: bool) -> tuple[np.ndar
     counts = sizes[codes]
     ends = np.cumsum(counts)
     total = int(ends[-1]) if len(ends) else 0
-    places = np.repeat((starts[codes] - (ends - counts)).astype(np.int32), counts)
-    places += np.arange(total, dtype=np.int32)
+    kind = np.int32 if max(total, len(pool)) < 1 << 31 else np.int64
+    places = np.repeat((starts[codes] - (ends - counts)).astype(kind), counts)
+    places += np.arange(total, dtype=kind)
     before = np.concatenate([[0], ends])
     return pool[places], np.diff(before[offsets])
 
