@@ -28,7 +28,7 @@ class Stored:
     """
 
     def __init__(self, spark: SparkSession):
-        self._spark, self._folders = spark, []
+        self._spark, self._folders, self._tables = spark, [], []
 
     def keep(self, df: DataFrame, last: bool = False, **options: str) -> DataFrame:
         folder = new_folder(self._spark)
@@ -37,9 +37,20 @@ class Stored:
             self._folders.append(folder)
         return self._spark.read.schema(df.schema).parquet(folder)
 
+    def keep_bucketed(self, df: DataFrame, buckets: int, by: str) -> DataFrame:
+        """Like ``keep``, in buckets, so that joins on ``by`` do not shuffle it."""
+        folder, table = new_folder(self._spark), f"stored_{uuid4().hex}"
+        options = {"path": folder, "compression": "none"}
+        df.write.bucketBy(buckets, by).options(**options).saveAsTable(table)
+        self._folders.append(folder)
+        self._tables.append(table)
+        return self._spark.table(table)
+
     def __enter__(self) -> Stored:
         return self
 
     def __exit__(self, *_) -> None:
+        for table in self._tables:
+            self._spark.sql(f"DROP TABLE IF EXISTS {table}")
         for folder in self._folders:
             drop_folder(self._spark, folder)

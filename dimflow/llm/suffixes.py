@@ -28,7 +28,6 @@ so the answers come to them and the text is not shuffled.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimflow.llm.storage import Stored, new_folder
+from dimflow.llm.storage import Stored
 
 #: Perfect difference sets by modulus.
 COVERS = {
@@ -345,19 +344,11 @@ def remove_repeats(docs: DataFrame, held: Stored, span: int = 200, text: str = "
     texts.  Rows that repeat a text are copies of each other.  Texts under
     ``span`` bytes keep all.  An empty table gives no rows.
     """
-    spark = docs.sparkSession
     shards = make_shards(docs, text)
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     bits = max(4, (total // TARGET_BYTES).bit_length())  # a name of 8 bytes per 8 bytes at most
     buckets = min(100_000, 1 + total // (2 * TARGET_BYTES))
-    name = f"shards_{uuid4().hex}"
-    (
-        shards.write.bucketBy(buckets, "shard")
-        .option("path", new_folder(spark))
-        .option("compression", "none")
-        .saveAsTable(name)
-    )
-    bucketed = spark.table(name)
+    bucketed = held.keep_bucketed(shards, buckets, "shard")
 
     def sent(table: DataFrame, names_of, short: bool) -> DataFrame:
         columns = [c for c in table.columns if c not in ("rows",)]
