@@ -28,25 +28,33 @@ def document_value(body: Column) -> Column:
     if it is whole and alone.
     """
     wrapped = F.concat(F.lit('{"d":'), body, F.lit(f',"{LAST_FIELD}":1}}'))
-    fields = F.from_json(wrapped, "map<string,string>")
-    alone = (F.size(fields) == 2) & F.map_contains_key(fields, LAST_FIELD)
-    missing = F.trim(body, F.lit(JSON_SPACE)) == ""
-    return F.when(alone & ~missing, F.coalesce(F.get(F.map_values(fields), 0), F.lit("null")))
+    blank = F.trim(body, F.lit(JSON_SPACE)) == ""
+
+    def value(fields: Column) -> Column:
+        alone = (F.size(fields) == 2) & F.map_contains_key(fields, LAST_FIELD)
+        return F.when(alone & ~blank, F.coalesce(F.get(F.map_values(fields), 0), F.lit("null")))
+
+    # a lambda, so that the parsed fields are named several times and made once
+    return F.get(F.transform(F.array(F.from_json(wrapped, "map<string,string>")), value), 0)
 
 
 def document_status(body: Column) -> Column:
     """``data``, ``empty`` for an empty array, ``null``, ``failed`` for a document
     that records a fetch error, or ``unreadable``."""
-    value = document_value(body)
+    blank_null = F.trim(body, F.lit(JSON_SPACE)) == "null"
     failed = F.map_contains_key(F.from_json(body, "map<string,string>"), "_error")
-    return (
-        F.when(value.isNull(), F.lit("unreadable"))
-        .when(F.trim(body, F.lit(JSON_SPACE)) == "null", F.lit("null"))
-        .when(value == "[]", F.lit("empty"))
-        .when(value.startswith("["), F.lit("data"))
-        .when(value.startswith("{"), F.when(failed, F.lit("failed")).otherwise(F.lit("data")))
-        .otherwise(F.lit("unreadable"))
-    )
+
+    def status(value: Column) -> Column:
+        return (
+            F.when(value.isNull(), F.lit("unreadable"))
+            .when(blank_null, F.lit("null"))
+            .when(value == "[]", F.lit("empty"))
+            .when(value.startswith("["), F.lit("data"))
+            .when(value.startswith("{"), F.when(failed, F.lit("failed")).otherwise(F.lit("data")))
+            .otherwise(F.lit("unreadable"))
+        )
+
+    return F.get(F.transform(F.array(document_value(body)), status), 0)
 
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -90,11 +98,12 @@ def _elements(documents: DataFrame, opening: str, shape: T.StructType) -> DataFr
 
     An object parses as an array of one; a null, broken or empty document has
     no element: those that :func:`document_status` calls ``data`` are read.  Filters sit behind the generator and name only its output, so
-    Spark cannot copy the parser into them and each text is parsed once.
+    Spark cannot copy the parser into them and each text is parsed once for its
+    status and once for its elements.
     """
-    held = documents.filter(document_value(F.col("body")).startswith(opening))
-    parsed = F.from_json("body", T.ArrayType(shape).simpleString())
-    rows = held.select("file_name", "file_key", F.posexplode_outer(parsed).alias("pos", "d"))
+    wanted = document_value(F.col("body")).startswith(opening)
+    parsed = F.when(wanted, F.from_json("body", T.ArrayType(shape).simpleString()))
+    rows = documents.select("file_name", "file_key", F.posexplode_outer(parsed).alias("pos", "d"))
     return rows.filter(F.col("d").isNotNull())
 
 
