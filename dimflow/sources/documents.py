@@ -96,10 +96,10 @@ def read_landed(spark: SparkSession, table: str) -> DataFrame:
 def _elements(documents: DataFrame, opening: str, shape: T.StructType) -> DataFrame:
     """Elements of the documents that start with ``opening``, as column ``d``.
 
-    An object parses as an array of one; a null, broken or empty document has
-    no element: those that :func:`document_status` calls ``data`` are read.  Filters sit behind the generator and name only its output, so
-    Spark cannot copy the parser into them and each text is parsed once for its
-    status and once for its elements.
+    An object parses as an array of one; a null, broken or empty document has no
+    element: those that :func:`document_status` calls ``data`` are read.  Filters sit
+    behind the generator and name only its output, so Spark cannot copy the parser
+    into them, and each text is parsed once for its status and once for its elements.
     """
     wanted = document_value(F.col("body")).startswith(opening)
     parsed = F.when(wanted, F.from_json("body", T.ArrayType(shape).simpleString()))
