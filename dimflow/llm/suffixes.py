@@ -111,7 +111,8 @@ class Shard:
         tail = self.letters[last]
         short = sizes < LETTER
         if short.any():
-            tail = np.where(short, tail & ((np.uint64(1) << (8 * sizes).astype(np.uint64)) - np.uint64(1)), tail)
+            low = (np.uint64(1) << (8 * sizes).astype(np.uint64)) - np.uint64(1)
+            tail = np.where(short, tail & low, tail)
         return _mix(_mix(mixed ^ tail, k), k)
 
     def wide(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
