@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from dimflow.operators import merge
 from dimflow.operators.dedup import first_per_key, last_per_key
 from dimflow.operators.keys import number_absent, number_rows, resolve_keys
+from dimflow.plans.load import load
+from dimflow.plans.transform import Clean
+from dimflow.session import shared_folder
+from dimflow.sources.published import Published
 from workload.tables import cents, day, query
 
 
@@ -174,3 +181,40 @@ def resolve_parent_keys(t):
     lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"))
     resolved = resolve_keys(lines, key_map, ["o_orderkey"], "snapshot_id")
     return resolved.groupBy("o_orderkey", "snapshot_id").agg(F.count("*").alias("n_lines"))
+
+
+@query(
+    """
+    SELECT CAST(c_custkey AS INTEGER) AS manager_id,
+           CASE WHEN c_custkey % 10 = 0 THEN c_name || ' renamed' ELSE c_name END AS name,
+           c_acctbal >= 0 AS is_active, CAST(c_custkey % 10 = 0 AS BIGINT) AS n_changes
+    FROM customer WHERE c_custkey % 7 <> 3
+    """
+)
+def load_with_audit(t):
+    """The load plan over stored clean rows, run for two batches, as another reader
+    sees the published result.  A row without a code is rejected, and a renamed one
+    leaves an audit row."""
+    root = f"{shared_folder(t.spark)}/{uuid4().hex}"
+    number = F.col("c_custkey")
+    first = t.customer.select(
+        number.alias("manager_id"),
+        F.col("c_name").alias("name"),
+        F.when(number % 7 != 3, F.col("c_mktsegment")).alias("ojk_code"),
+        (F.col("c_acctbal") >= 0).alias("is_active"),
+    )
+    renamed = F.when(F.col("manager_id") % 10 == 0, F.concat("name", F.lit(" renamed")))
+    second = first.withColumn("name", F.coalesce(renamed, "name"))
+    for n, rows in enumerate((first, second), 1):
+        batch = f"day{n}"
+        clean = Clean(t.spark, f"{root}/clean/{batch}")
+        clean.save("investment_manager", rows)
+        published = Published(t.spark, f"{root}/published")
+        load(published, clean, ["investment_manager"], batch, datetime(2024, 2, n))
+        published.publish(batch)
+    seen = Published(t.spark, f"{root}/published")
+    changes = seen.read("audit_log").groupBy(F.col("record_pk").cast("int").alias("manager_id")).agg(
+        F.count("*").alias("n_changes")
+    )
+    managers = seen.read("investment_manager").select("manager_id", "name", "is_active")
+    return managers.join(changes, "manager_id", "left").fillna({"n_changes": 0})
