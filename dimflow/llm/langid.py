@@ -154,16 +154,31 @@ def text_windows(texts: list[bytes]) -> np.ndarray:
 
 
 def sample_per_language(labelled: DataFrame) -> DataFrame:
-    """At most ``SAMPLE_DOCUMENTS`` distinct texts of each language, the first by
-    hash.  Rows far from the front by their hash are dropped before any shuffle."""
-    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    hashed = labelled.withColumn("at", F.pmod(F.xxhash64("text"), F.lit(HASH_RANGE)))
+    """The first ``SAMPLE_DOCUMENTS`` distinct texts of each language by hash, or all
+    where there are fewer.
+
+    The hashes alone are made distinct and counted.  Texts far from the front by
+    their hash are then dropped before any shuffle, as are copies within a task.
+    """
+    hashed = labelled.withColumn("hash", F.xxhash64("text")).withColumn(
+        "at", F.pmod("hash", F.lit(HASH_RANGE))
+    )
+    sizes = hashed.select("lang", "hash").distinct().groupBy("lang").agg(F.count("*").alias("n"))
     front = F.lit(False)
-    for lang, n in sizes.items():
+    for lang, n in sizes.collect():
         share = min(1.0, 4 * SAMPLE_DOCUMENTS / n)
         front = front | ((F.col("lang") == lang) & (F.col("at") <= int(share * HASH_RANGE)))
-    distinct = hashed.filter(front).dropDuplicates(["lang", "at"])
-    first = Window.partitionBy("lang").orderBy("at")
+
+    def drop_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
+        for batch in batches:
+            keys = zip(batch.column("lang").to_pylist(), batch.column("hash").to_pylist(), strict=True)
+            new = [i for i, k in enumerate(keys) if not (k in seen or seen.add(k))]
+            yield batch.take(pa.array(new, pa.int64()))
+
+    near = hashed.filter(front).select("text", "lang", "hash", "at")
+    distinct = near.mapInArrow(drop_copies, near.schema).dropDuplicates(["lang", "hash"])
+    first = Window.partitionBy("lang").orderBy("at", "hash")
     return distinct.withColumn("rank", F.row_number().over(first)).filter(
         F.col("rank") <= SAMPLE_DOCUMENTS
     )

@@ -91,6 +91,17 @@ def test_language_of_held_out_texts(spark, make_docs):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_copies_do_not_thin_the_sample(spark):
+    few = F.format_string("only %s", F.col("id") % 50)
+    many = F.when(F.col("id") < 90_000, F.lit("copied")).otherwise(F.format_string("own %s", "id"))
+    rows = spark.range(100_000)
+    table = rows.select(F.lit("few").alias("lang"), few.alias("text")).unionByName(
+        rows.select(F.lit("many").alias("lang"), many.alias("text"))
+    )
+    found = langid.sample_per_language(table).groupBy("lang").agg(F.countDistinct("text"), F.count("*"))
+    assert sorted(map(tuple, found.collect())) == [("few", 50, 50), ("many", 1000, 1000)]
+
+
 def slow_bits(model_counts, text, language):
     """Code length by walking the contexts of one language."""
     counts, total = model_counts, 0.0
