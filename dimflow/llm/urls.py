@@ -6,10 +6,12 @@ along links, distrust flows from hosts with blocked pages against them, as
 personalised PageRank.  A host whose distrust is above ``RATIO`` times its trust
 is blocked.
 
-Scores are whole numbers, so sums do not depend on the order of rows.  Links are
-kept once per pair of hosts, degrees and flows are sums combined before each
-shuffle, and every round is stored; nothing but one comparison per round reaches
-the driver.
+Scores are whole numbers, so sums do not depend on the order of rows.  A page
+counts as ``FINE`` units in decimals of 38 digits: a flow is lost only where it is
+below 1e-20 of a page, and up to 1e11 pages that rules decide the sums fit; more
+than fit raise an error.  Links are kept once per pair of hosts, degrees and flows
+are sums combined before each shuffle, and every round is stored; nothing but one
+comparison per round reaches the driver.
 """
 
 from __future__ import annotations
@@ -23,7 +25,9 @@ from dimflow.llm.storage import Stored
 
 ROUNDS = 20
 DAMPING = 85  # per cent of a score that flows on
-UNIT = 1_000_000  # score of one page that a rule decides
+UNIT = 1_000_000  # score of one page that a rule decides, in SQL
+FINE = 10**20  # the same here
+SCORE = "decimal(38,0)"
 RATIO = 2
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 REST = r"(?s)^.*?://(.*)$"
@@ -89,16 +93,17 @@ def spread(seeds: DataFrame, links: DataFrame, held: Stored) -> DataFrame:
     flows = held.keep(along.unionByName(against))
     degree = flows.groupBy("kind", "from").agg(F.count("*").alias("degree"))
     flows = held.keep(flows.join(degree, ["kind", "from"]))
-    now = held.keep(seeds.select("host", "kind", _part("score", 100 - DAMPING).alias("score")))
+    whole = seeds.withColumn("score", F.col("score").cast(SCORE))
+    now = held.keep(whole.select("host", "kind", _part("score", 100 - DAMPING).alias("score")))
     start = now
     before = None
     for _ in range(ROUNDS):
-        share = F.expr(f"score * {DAMPING} div (100 * degree)")
+        share = _floored(F.col("score") * DAMPING, 100 * F.col("degree"))
         moved = (
             flows.join(now.withColumnRenamed("host", "from"), ["kind", "from"])
             .select(F.col("to").alias("host"), "kind", share.alias("score"))
         )
-        after = start.unionByName(moved).groupBy("host", "kind").agg(F.sum("score").alias("score"))
+        after = start.unionByName(moved).groupBy("host", "kind").agg(_total("score").alias("score"))
         now = held.keep(after)
         hashed = F.xxhash64("host", "kind", "score").cast("decimal(38,0)")
         state = tuple(now.agg(F.count("*"), F.sum(hashed)).first())
@@ -108,8 +113,23 @@ def spread(seeds: DataFrame, links: DataFrame, held: Stored) -> DataFrame:
     return now
 
 
+def _floored(score: Column, by: Column) -> Column:
+    """Whole part of a quotient of decimals: ``div`` would give 64 bits."""
+    by = by.cast("decimal(23,0)")
+    return _sure(((score - score % by) / by).cast(SCORE))
+
+
 def _part(column: str, per_cent: int) -> Column:
-    return F.expr(f"{column} * {per_cent} div 100")
+    return _floored(F.col(column) * per_cent, F.lit(100))
+
+
+def _total(column: str) -> Column:
+    return _sure(F.sum(column).cast(SCORE))
+
+
+def _sure(score: Column) -> Column:
+    """An overflow is an error in sessions that make it null, too."""
+    return F.coalesce(score, F.raise_error(F.lit("a score exceeds 38 digits")).cast(SCORE))
 
 
 def judge(
@@ -136,7 +156,7 @@ def judge(
     seeds = (
         judged.filter("best IS NOT NULL")
         .groupBy("host", kind)
-        .agg((F.count("*") * UNIT).alias("score"))
+        .agg((F.count("*").cast(SCORE) * F.lit(str(FINE)).cast(SCORE)).cast(SCORE).alias("score"))
     )
     scores = spread(seeds, links, held)
     of_kind = [F.sum(F.when(F.col("kind") == k, F.col("score")).otherwise(0)) for k in (0, 1)]

@@ -153,6 +153,28 @@ def test_scores_by_hand(spark, held):
     }
 
 
+def test_scores_reach_over_high_degrees(spark, held):
+    """Distrust of one blocked page over degrees of 1,000 and then 127, then 50."""
+    rows = [(0, "http://spam.com/de/0", "")]
+    for i in range(1000):
+        rows.append((1 + i, f"http://a{i}.net/", "<a href=//spam.com/>x</a>"))
+    for i in range(127):
+        rows.append((2000 + i, f"http://b{i}.net/", "<a href=//a0.net/>x</a>"))
+    for i in range(50):
+        rows.append((3000 + i, f"http://c{i}.net/", "<a href=//b0.net/>x</a>"))
+    found = {r["host"]: r["verdict"] for r in urls.judge(pages(spark, rows), URL_RULES, held).collect()}
+    assert len(found) == 1 + 1000 + 127 + 50 and set(found.values()) == {"block"}
+
+
+def test_scores_of_many_pages_do_not_overflow(spark, held):
+    seed = urls.FINE * 10**11
+    seeds = spark.createDataFrame([("a", 0, str(seed))], "host string, kind int, score string")
+    links = spark.createDataFrame([("a", "b"), ("a", "c")], "a string, b string")
+    scores = {r["host"]: int(r["score"]) for r in urls.spread(seeds, links, held).collect()}
+    start = seed * 15 // 100
+    assert scores == {"a": start, "b": start * 85 // 200, "c": start * 85 // 200}
+
+
 def test_urls_of_an_empty_table(spark, held):
     assert urls.judge(pages(spark, []), URL_RULES, held).count() == 0
 
