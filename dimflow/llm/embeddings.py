@@ -7,8 +7,9 @@ shard is scanned, and the beam must have found nearly all of their links.
 Cosines of what the beams hold are verified in double precision.
 
 Copies of one vector are one node with a count.  Of the links that a task finds
-for a block, the counts and a spanning forest go on, not the pairs.  Queries
-travel in blocks; a task streams the blocks of its shard past one graph.
+for a block, the counts and a spanning forest go on, not the pairs: these are
+verified and folded in runs of bounded size.  Queries travel in blocks; a task
+streams the blocks of its shard past one graph.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ BEAM = 32
 AUDITED = 16  # queries of a block that are checked by a scan
 RECALL = 0.99
 NEAR = 1e-4  # single precision may be off by this
+RUN = 1 << 22  # cosines that are held together
+RUN_BYTES = 1 << 25  # of each side of the pairs that are verified together
 
 
 def pack_vectors(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -91,60 +94,111 @@ class ShardIndex:
 
     def links(self, queries: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (query, place in the shard) with a cosine of ``threshold`` or more."""
+        runs = [(np.empty(0, int), np.empty(0, int)), *self.runs(queries, threshold)]
+        return np.concatenate([r[0] for r in runs]), np.concatenate([r[1] for r in runs])
+
+    def runs(self, queries: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same pairs in runs, each of which takes bounded memory."""
+        step = max(1, RUN_BYTES // self.vectors[:1].nbytes)
+        for rows, places in self.candidates(queries, threshold):
+            for a in range(0, len(rows), step):
+                row, place = rows[a : a + step], places[a : a + step]
+                exact = np.einsum("ij,ij->i", queries[row], self.vectors[place])
+                yield row[exact >= threshold], place[exact >= threshold]
+
+    def candidates(
+        self, queries: np.ndarray, threshold: float
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         beam, left = BEAM, np.arange(len(queries))
         single = queries.astype(np.float32)
         audited = left[:: max(1, len(left) // AUDITED)]
-        rows, places = [], []
         while len(left):
             if 2 * beam >= len(self.nodes):  # as cheap as the beam, and whole
-                found = self.scan(queries[left], threshold)
-                rows.append(left[found[0]])
-                places.append(found[1])
+                for part in parts(left, len(self.nodes)):
+                    rows, places = self.scan(queries[part], threshold)
+                    yield part[rows], places
                 break
-            ids, near = self.graph.search(single[left], beam)
-            hits, at = np.nonzero((near >= threshold - NEAR) & (ids >= 0))
-            ends_above = (near[:, -1] >= threshold - NEAR) & (ids[:, -1] >= 0)
+            again = []
             checked = np.isin(left, audited)
-            missed = self._missed(queries[left[checked]], ids[checked], threshold)
-            again = np.ones(len(left), bool) if missed else ends_above
-            settled = ~again[hits]
-            rows.append(left[hits[settled]])
-            places.append(ids[hits[settled], at[settled]])
-            left, beam = left[again], 2 * beam
-        rows, places = np.concatenate(rows or [[]]).astype(int), np.concatenate(places or [[]]).astype(int)
-        exact = np.einsum("ij,ij->i", queries[rows], self.vectors[places])
-        return rows[exact >= threshold], places[exact >= threshold]
+            if self._missed(queries, single, left[checked], beam, threshold):
+                beam *= 2
+                continue
+            for part in parts(left, beam):
+                ids, near = self.graph.search(single[part], beam)
+                ends_above = (near[:, -1] >= threshold - NEAR) & (ids[:, -1] >= 0)
+                hits, at = np.nonzero(
+                    (near >= threshold - NEAR) & (ids >= 0) & ~ends_above[:, None]
+                )
+                yield part[hits], ids[hits, at]
+                again.append(part[ends_above])
+            left, beam = np.concatenate(again), 2 * beam
 
     def scan(self, queries: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
         return np.nonzero(queries @ self.vectors.T >= threshold)
 
-    def _missed(self, queries: np.ndarray, ids: np.ndarray, threshold: float) -> bool:
+    def _missed(
+        self, queries: np.ndarray, single: np.ndarray, checked: np.ndarray, beam: int, threshold: float
+    ) -> bool:
         """Whether the beams have too few of the links that end within them."""
-        rows, places = self.scan(queries, threshold)
-        size = np.bincount(rows, minlength=len(queries))
-        fits = size[rows] < ids.shape[1]  # the others are widened in any case
-        held = (ids[rows[fits]] == places[fits, None]).any(axis=1)
-        return bool(held.sum() < RECALL * len(held))
-
-
-def forest(left: np.ndarray, right: np.ndarray) -> tuple[list[int], list[int]]:
-    """The links that join nodes not joined by those before them."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
+        total = held = 0
+        for part in parts(checked, max(beam, len(self.nodes))):
+            ids, _ = self.graph.search(single[part], beam)
+            rows, places = self.scan(queries[part], threshold)
+            for i, size in enumerate(np.bincount(rows, minlength=len(part)).tolist()):
+                if size < beam:  # the others are widened in any case
+                    total += size
+                    held += int(np.isin(places[rows == i], ids[i]).sum())
+        return held < RECALL * total
+
+
+def parts(left: np.ndarray, width: int) -> list[np.ndarray]:
+    """``left`` in parts that take ``RUN`` values at a ``width`` for each, or one."""
+    step = max(1, RUN // width)
+    return [left[a : a + step] for a in range(0, len(left), step)]
+
+
+class Fold:
+    """Counts and a spanning forest of the links of a block, run by run."""
+
+    def __init__(self, ids: np.ndarray, nodes: np.ndarray, counts: np.ndarray):
+        self.ids, self.nodes, self.counts = ids, nodes, counts
+        self.found = np.zeros(len(ids), np.int64)
+        self.first = np.full(len(nodes), -1)  # the query that a place was first linked to
+        self.met = np.zeros((len(ids), len(ids)), bool)  # queries with a place in common
+        self.parent: dict[int, int] = {}
+        self.left: list[int] = []
+        self.right: list[int] = []
+
+    def add(self, rows: np.ndarray, places: np.ndarray) -> None:
+        other = self.nodes[places] != self.ids[rows]
+        rows, places = rows[other], places[other]
+        weights = self.counts[places]
+        self.found += np.bincount(rows, weights, minlength=len(self.ids)).astype(np.int64)
+        fresh = self.first[places] < 0
+        self.first[places[fresh][::-1]] = rows[fresh][::-1]
+        first = self.first[places]
+        begins = fresh & (first == rows)
+        self._join(self.ids[rows[begins]], self.nodes[places[begins]])
+        news = np.flatnonzero(~begins & ~self.met[rows, first])  # the rest joins what is joined
+        _, one = np.unique(rows[news] * len(self.ids) + first[news], return_index=True)
+        news = news[one]
+        self.met[rows[news], first[news]] = True
+        self._join(self.ids[rows[news]], self.nodes[places[news]])
+
+    def _root(self, x: int) -> int:
+        parent = self.parent
         while (up := parent.setdefault(x, x)) != x:
             parent[x] = parent[up]
             x = up
         return x
 
-    a, b = [], []
-    for x, y in zip(left.tolist(), right.tolist(), strict=True):
-        rx, ry = root(x), root(y)
-        if rx != ry:
-            parent[rx] = ry
-            a.append(x)
-            b.append(y)
-    return a, b
+    def _join(self, left: np.ndarray, right: np.ndarray) -> None:
+        for x, y in zip(left.tolist(), right.tolist(), strict=True):
+            rx, ry = self._root(x), self._root(y)
+            if rx != ry:
+                self.parent[rx] = ry
+                self.left.append(x)
+                self.right.append(y)
 
 
 def near_duplicates(
@@ -232,12 +286,11 @@ def near_duplicates(
                 width = row["size"]
                 raw = row["body"]
                 asked = unit([raw[a : a + width] for a in range(0, len(raw), width)])
-                rows, places = index.links(asked, threshold)
-                other = index.nodes[places] != ids[rows]
-                rows, places = rows[other], places[other]
-                found = np.bincount(rows, index.counts[places], minlength=len(ids)).astype(np.int64)
+                fold = Fold(ids, index.nodes, index.counts)
+                for rows, places in index.runs(asked, threshold):
+                    fold.add(rows, places)
+                found, a, b = fold.found, fold.left, fold.right
                 some = np.flatnonzero(found)
-                a, b = forest(ids[rows], index.nodes[places])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids[some].tolist() + a, pa.int64()),

@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -81,6 +82,52 @@ def test_graph_search_against_a_scan():
     assert recall >= 0.9
 
 
+def test_links_of_a_large_group_in_bounded_memory():
+    """A million pairs of 64 dimensions: 0.5 GB a side if they are gathered at once."""
+    rng = np.random.default_rng(5)
+    group = rng.normal(size=64) + rng.normal(size=(2000, 64)) * 0.03
+    vectors = np.concatenate([group, rng.normal(size=(400, 64))])
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    n = len(vectors)
+    raw = Graph.build(vectors).to_bytes()
+    index = ShardIndex(
+        {"nodes": list(range(n)), "counts": [1] * n, "vectors": vectors.tobytes(), "graph": raw}
+    )
+    tracemalloc.start()
+    rows, places = index.links(vectors[:512], 0.95)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    true = index.scan(vectors[:512], 0.95)
+    assert len(true[0]) == 512 * 2000
+    assert {*zip(rows.tolist(), places.tolist())} == {*zip(true[0].tolist(), true[1].tolist())}
+    assert peak < 300e6
+
+
+def test_runs_fold_to_counts_and_a_forest():
+    rng = np.random.default_rng(6)
+    for _ in range(60):
+        nodes = rng.permutation(60)[:40]
+        ids = rng.permutation(60)[:25]
+        counts = rng.integers(1, 4, 40)
+        links = np.argwhere(rng.random((25, 40)) < rng.choice([0.02, 0.05, 0.4]))
+        fold = embeddings.Fold(ids, nodes, counts)
+        for run in np.array_split(rng.permutation(links), 5):
+            fold.add(run[:, 0], run[:, 1])
+        pairs = [(ids[i], nodes[j], counts[j]) for i, j in links if ids[i] != nodes[j]]
+        for i, x in enumerate(ids):
+            assert fold.found[i] == sum(c for a, _, c in pairs if a == x)
+
+        def groups(edges):
+            root = list(range(60))
+            for a, b in edges:
+                root = [root[b] if r == root[a] else r for r in root]
+            return {frozenset(i for i in range(60) if root[i] == r) for r in root}
+
+        kept = list(zip(fold.left, fold.right, strict=True))
+        assert groups(kept) == groups([(a, b) for a, b, _ in pairs])
+        assert len(kept) == 60 - len(groups(kept))
+
+
 def test_embeddings_of_an_empty_table_and_repeated_keys(spark, held):
     shape = "vec_id bigint, embedding array<float>"
     assert embeddings.near_duplicates(spark.createDataFrame([], shape), held).count() == 0
