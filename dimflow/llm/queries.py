@@ -17,6 +17,7 @@ from dimflow.llm import (
     quality,
     simhash,
     suffixes,
+    token_counts,
     token_files,
     urls,
 )
@@ -277,3 +278,16 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
             ),
             last=True,
         )
+
+
+@query()
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cache of this query is new in each run, so that it counts every text."""
+    with Stored(spark) as held:
+        found = token_counts.count_tokens(
+            table(spark, sf_dir, "documents"), BYTE_BPE, held.folder(), held, limit=1024
+        )
+        return held.keep(
+            found.select(F.col("key").alias("doc_id"), "n_bytes", "n_tokens", "over_limit"),
+            last=True,
+        )

@@ -37,6 +37,11 @@ class Stored:
             self._folders.append(folder)
         return self._spark.read.schema(df.schema).parquet(folder)
 
+    def folder(self) -> str:
+        """The name of a folder that is dropped with the tables."""
+        self._folders.append(new_folder(self._spark))
+        return self._folders[-1]
+
     def keep_bucketed(self, df: DataFrame, buckets: int, by: str) -> DataFrame:
         """Like ``keep``, in buckets, so that joins on ``by`` do not shuffle it."""
         folder, table = new_folder(self._spark), f"stored_{uuid4().hex}"

@@ -157,6 +157,11 @@ class Encoder:
         Null texts count as empty."""
         return gather(texts, self.pieces, self.drops_spaces)
 
+    def count(self, texts: pa.Array) -> np.ndarray:
+        """The number of ids of each text."""
+        _, _, counts, offsets = located(texts, self.pieces, self.drops_spaces)
+        return np.diff(np.concatenate([[0], np.cumsum(counts)])[offsets])
+
 
 def slices(batch: pa.RecordBatch, column: str) -> list[pa.RecordBatch]:
     """``batch`` in runs of rows of about ``SLICE_BYTES`` of text; a longer text
@@ -172,7 +177,19 @@ def slices(batch: pa.RecordBatch, column: str) -> list[pa.RecordBatch]:
 
 
 def gather(texts: pa.Array, pieces: Pieces, drops_spaces: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts in one array and the number of ids of each text.
+    """Ids of all texts in one array and the number of ids of each text."""
+    pool, starts, counts, offsets = located(texts, pieces, drops_spaces)
+    ends = np.cumsum(counts)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, len(pool)) < 1 << 31 else np.int64
+    places = np.repeat((starts - (ends - counts)).astype(kind), counts)
+    places += np.arange(total, dtype=kind)
+    return pool[places], np.diff(np.concatenate([[0], ends])[offsets])
+
+
+def located(texts: pa.Array, pieces: Pieces, drops_spaces: bool):
+    """Ids of the distinct words, the place and number of ids of each word of the
+    texts, and the words that each text begins and ends with.
 
     A word is what stands between two single spaces, with the space before it.
     Where ``drops_spaces`` is false, a space that has white space beside it is
@@ -188,14 +205,7 @@ def gather(texts: pa.Array, pieces: Pieces, drops_spaces: bool) -> tuple[np.ndar
     if not drops_spaces:
         codes, offsets, bare = cut_with_spaces(texts, codes, offsets, words)
     pool, starts, sizes = pieces.ids(bare, [] if drops_spaces else words)
-    counts = sizes[codes]
-    ends = np.cumsum(counts)
-    total = int(ends[-1]) if len(ends) else 0
-    kind = np.int32 if max(total, len(pool)) < 1 << 31 else np.int64
-    places = np.repeat((starts[codes] - (ends - counts)).astype(kind), counts)
-    places += np.arange(total, dtype=kind)
-    before = np.concatenate([[0], ends])
-    return pool[places], np.diff(before[offsets])
+    return pool, starts[codes], sizes[codes], offsets
 
 
 def cut_with_spaces(texts, codes, offsets, words):
