@@ -12,6 +12,7 @@ from dimflow.llm import (
     bpe,
     embeddings,
     langid,
+    negatives,
     packing,
     preferences,
     quality,
@@ -280,6 +281,44 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
 
+@query(
+    """
+    WITH taking AS (
+        SELECT row_number() OVER () AS r, vec_id,
+            CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS l,
+            list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r, b.vec_id, a.l = b.l AS same,
+            list_inner_product(a.v, b.v)::BIGINT AS score
+        FROM taking a JOIN taking b ON a.vec_id % 100 = 0 AND a.r <> b.r AND len(a.v) = len(b.v)
+    ), positives AS (
+        SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, r) AS place
+        FROM scored WHERE same QUALIFY place <= 5
+    )
+    SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER (
+            PARTITION BY p.anchor, p.place ORDER BY n.score DESC, n.vec_id, n.r
+        )::INTEGER AS rank, n.vec_id AS negative_id, p.score AS positive_score,
+        n.score AS negative_score
+    FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.same
+        AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+    QUALIFY rank <= 10
+    """
+)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("vec_id")
+    moved = F.when(key % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    with Stored(spark) as held:
+        found = negatives.mine(
+            table(spark, sf_dir, "embeddings"), held, is_anchor=key % 100 == 0, label=moved,
+            scale=256, positives=5, negatives=10, low=30, high=90,
+        )
+        names = {c: f"{c}_id" for c in ("anchor", "positive", "negative")}
+        return held.keep(found.withColumnsRenamed(names), last=True)
+
+
 @query()
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cache of this query is new in each run, so that it counts every text."""
