@@ -21,6 +21,7 @@ from dimflow.llm import (
     token_counts,
     token_files,
     urls,
+    vector_codes,
 )
 from dimflow.llm.storage import Stored, new_folder
 
@@ -319,6 +320,22 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
         return held.keep(found.withColumnsRenamed(names), last=True)
 
 
+@query(vector_codes.compress_sql(rounds=4))
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Stored(spark) as held:
+        codes, books = vector_codes.compress(
+            table(spark, sf_dir, "embeddings"), held, scale=1024, parts=4, entries=256, rounds=4
+        )
+        found = vector_codes.label_errors(codes).select(
+            F.col("key").alias("vec_id"),
+            "code",
+            "error",
+            "label_error",
+            F.lit(vector_codes.books_digest(books)).alias("codebooks_sha256"),
+        )
+        return held.keep(found, last=True)
+
+
 @query()
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cache of this query is new in each run, so that it counts every text."""
