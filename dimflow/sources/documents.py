@@ -15,9 +15,9 @@ LANDED = "file_name string, file_key string, body string"
 QUARTERLY_YEARS = (2022, 2023, 2024, 2025, 2026)
 
 
-# White space of JSON, and a field that ends a wrapped document.
+# White space of JSON, and the fields of a wrapped document.
 JSON_SPACE = " \t\n\r"
-LAST_FIELD = "~end of document"
+FIELD, LAST_FIELD = "~document", "~end of document"
 
 
 def document_value(body: Column) -> Column:
@@ -93,32 +93,47 @@ def read_landed(spark: SparkSession, table: str) -> DataFrame:
         return empty_table(spark, LANDED)
 
 
-def _elements(documents: DataFrame, opening: str, shape: T.StructType) -> DataFrame:
-    """Elements of the documents that start with ``opening``, as column ``d``.
+def document_as(body: Column, kind: str) -> Column:
+    """The one JSON value of a document as a value of type ``kind``; null where the
+    document is no such value, or none at all, or more than one.
 
-    An object parses as an array of one; a null, broken or empty document has no
-    element: those that :func:`document_status` calls ``data`` are read.  Filters sit
-    behind the generator and name only its output, so Spark cannot copy the parser
-    into them, and each text is parsed once for its status and once for its elements.
+    The document is parsed once, as the only element of an array in a field before
+    another field.  A text that is cut off breaks the whole; one that goes on after
+    its value makes a second element or a third field, and a map keeps every field.
     """
-    wanted = document_value(F.col("body")).startswith(opening)
-    parsed = F.when(wanted, F.from_json("body", T.ArrayType(shape).simpleString()))
-    rows = documents.select("file_name", "file_key", F.posexplode_outer(parsed).alias("pos", "d"))
-    return rows.filter(F.col("d").isNotNull())
+    wrapped = F.concat(F.lit(f'{{"{FIELD}":['), body, F.lit(f'],"{LAST_FIELD}":[]}}'))
+    fields = F.from_json(wrapped, f"map<string,array<{kind}>>")
+
+    def alone(found: Column) -> Column:
+        values = F.try_element_at(found, F.lit(FIELD))
+        ended = F.size(F.try_element_at(found, F.lit(LAST_FIELD))) == 0
+        return F.when((F.size(found) == 2) & ended & (F.size(values) == 1), F.get(values, 0))
+
+    # a lambda, so that the parsed fields are named several times and made once
+    return F.get(F.transform(F.array(fields), alone), 0)
 
 
 def parse_objects(documents: DataFrame, schema: str) -> DataFrame:
     """Fields of the documents that hold one object; failed fetches, which carry
     an ``_error`` field, are left out."""
     shape = T.StructType.fromDDL(schema).add("_error", T.VariantType())
-    found = _elements(documents, "{", shape).filter(F.col("d._error").isNull())
+    one = F.array(document_as(F.col("body"), shape.simpleString()))
+    found = _exploded(documents, one).filter(F.col("d._error").isNull())
     return found.select("file_name", "file_key", "d.*").drop("_error")
 
 
 def parse_arrays(documents: DataFrame, schema: str) -> DataFrame:
     """Elements of the documents that hold an array, with their position."""
-    found = _elements(documents, "[", T.StructType.fromDDL(schema))
-    return found.select("file_name", "file_key", "pos", "d.*")
+    elements = document_as(F.col("body"), T.ArrayType(T.StructType.fromDDL(schema)).simpleString())
+    return _exploded(documents, elements).select("file_name", "file_key", "pos", "d.*")
+
+
+def _exploded(documents: DataFrame, elements: Column) -> DataFrame:
+    """The elements as column ``d``; those of null, broken or empty documents are
+    left out.  The filter sits behind the generator and names only its output, so
+    Spark cannot copy the parser into it."""
+    rows = documents.select("file_name", "file_key", F.posexplode_outer(elements).alias("pos", "d"))
+    return rows.filter(F.col("d").isNotNull())
 
 
 def composite_key(file_key: Column) -> tuple[Column, Column]:

@@ -139,3 +139,12 @@ def test_copies_of_a_key_go_before_the_shuffle(spark, no_broadcast, hot):
     text = plan(fresh)
     assert "WindowGroupLimit" in text.split("Exchange hashpartitioning")[1]
     assert sorted(r["k"] for r in fresh.collect())[:3] == [3, 5, 7]
+
+
+def test_documents_are_parsed_once(spark):
+    """Whatever is read of the elements, the plan has one parser."""
+    found = spark.createDataFrame([("1.json", "1", '[{"Id": 1}]')], docs.LANDED)
+    for parse in (docs.parse_arrays, docs.parse_objects):
+        rows = parse(found, "Id int, x array<struct<y:int>>").filter("Id > 0")
+        rows = rows.select("file_key", "Id", F.explode_outer("x").alias("x")).filter("x IS NULL OR x.y > 0")
+        assert plan(rows).split("Initial Plan")[0].count("from_json(") == 1

@@ -330,6 +330,7 @@ def test_every_whole_document_is_read(spark, tmp_path):
         "newline": '\n[{"Id": 1}]', "tab": '\t[{"Id": 2}]\r\n', "space": '  [{"Id": 3}] ',
         "nan": '[{"Id": 4, "x": NaN}]', "trailing": '[{"Id": 5}] x', "twice": '[{"Id": 6}][{"Id": 7}]',
         "more": '[{"Id": 8}], "q": [1]', "cut": '[{"Id": 9}', "blank": " \n", "empty": "\n[]", "null": " null\n",
+        "closes": '[{"Id": 11}]],"q":[[2]', "again": '[{"Id": 11}]],"~document":[[{"Id": 12}]',
         "failed": '\n{"_error": null}', "object": '\n{"Id": 10}', "number": "5",
     }
     for name, body in bodies.items():
@@ -339,7 +340,7 @@ def test_every_whole_document_is_read(spark, tmp_path):
     assert sorted(r["Id"] for r in arrays.collect()) == [1, 2, 3, 4]
     assert [r["Id"] for r in docs.parse_objects(found, "Id int").collect()] == [10]
     status = found.select("file_key", docs.document_status(F.col("body")).alias("s"))
-    want = {n: "unreadable" for n in ("trailing", "twice", "more", "cut", "blank", "number")}
+    want = {n: "unreadable" for n in ("trailing", "twice", "more", "cut", "blank", "number", "closes", "again")}
     want |= {n: "data" for n in ("newline", "tab", "space", "nan", "object")}
     want |= {"empty": "empty", "null": "null", "failed": "failed"}
     assert {r["file_key"]: r["s"] for r in status.collect()} == want
