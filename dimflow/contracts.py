@@ -31,6 +31,7 @@ class TableContract:
     surrogate: str | None = None
     span: str | None = None
     cluster: tuple[str, ...] = ()
+    slice: str | None = None
     audited: bool = False
 
     @property
@@ -89,6 +90,11 @@ METRIC_COLUMNS = (
 RANK_COLUMNS = ("risk_rank", "rating_rank", "all_risk_rank")
 RATING_COLUMNS = ("provider_rating", "risk_rating", "all_risk_rating")
 
+# Slices: what a batch touches of a table is written anew by these.
+MONTH = "date_format({}, 'yyyy-MM')"
+MANAGERS = "manager_id DIV 1000"
+VERSIONS = "if(is_current, 'current', 'closed')"
+
 TO_MANAGER = {"manager_id": ("investment_manager", "manager_id")}
 TO_FUND = {"fund_id": ("mutual_fund", "fund_id")}
 TO_SNAPSHOT = {"snapshot_id": ("portfolio_snapshot", "snapshot_id")}
@@ -208,6 +214,7 @@ RELATIONAL = (
         parents=TO_MANAGER,
         surrogate="personnel_id",
         cluster=("manager_id", "name"),
+        slice=MANAGERS,
     ),
     TableContract(
         "manager_shareholder",
@@ -220,6 +227,7 @@ RELATIONAL = (
         parents=TO_MANAGER,
         surrogate="shareholder_id",
         cluster=("manager_id", "shareholder_name"),
+        slice=MANAGERS,
     ),
     TableContract(
         "manager_aum_record",
@@ -306,6 +314,8 @@ RELATIONAL = (
         + _typed(METRIC_COLUMNS, "decimal(12,8)"),
         key=("fund_id", "period_code", "as_of_date"),
         parents=TO_FUND,
+        cluster=("as_of_date", "fund_id"),
+        slice=MONTH.format("as_of_date"),
     ),
     TableContract(
         "fund_ranking",
@@ -319,12 +329,16 @@ RELATIONAL = (
             **{f"{c} in 1..5": f"{c} BETWEEN 1 AND 5" for c in RATING_COLUMNS},
         },
         parents=TO_FUND,
+        cluster=("as_of_date", "fund_id"),
+        slice=MONTH.format("as_of_date"),
     ),
     TableContract(
         "fund_quarterly_return",
         "fund_id int, quarter_start date, return_pct decimal(12,8)",
         key=("fund_id", "quarter_start"),
         parents=TO_FUND,
+        cluster=("quarter_start", "fund_id"),
+        slice="year(quarter_start)",
     ),
     TableContract(
         "benchmark_data_point",
@@ -423,6 +437,7 @@ STAR = (
         "is_current boolean",
         key=("fund_id",),
         surrogate="dim_fund_key",
+        slice=VERSIONS,
     ),
     TableContract(
         "dim_manager",
@@ -430,6 +445,7 @@ STAR = (
         "is_active boolean, valid_from date, valid_to date, is_current boolean",
         key=("manager_id",),
         surrogate="dim_manager_key",
+        slice=VERSIONS,
     ),
     TableContract(
         "dim_custodian",
@@ -437,6 +453,7 @@ STAR = (
         "valid_from date, valid_to date, is_current boolean",
         key=("bank_id",),
         surrogate="dim_custodian_key",
+        slice=VERSIONS,
     ),
     TableContract(
         "fact_nav_daily",

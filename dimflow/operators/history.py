@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dimflow.functions.checks import differs, row_image
 from dimflow.operators.keys import number_absent, number_rows
+from dimflow.session import cut_lineage
 
 
 def change_audit(
@@ -49,6 +50,54 @@ def _of(alias: str, columns: list[str]) -> list[Column]:
     return [F.col(f"{alias}.{c}") for c in columns]
 
 
+KEPT, CLOSED, OPENED = "kept", "closed", "opened"
+
+
+def scd2_states(
+    current: DataFrame,
+    source: DataFrame,
+    key: list[str],
+    tracked: list[str],
+    carried: list[str],
+    effective: date,
+) -> DataFrame:
+    """What becomes of the current versions and the source rows of one batch.
+
+    One full outer join; each of its rows gives one version or two, marked in
+    column ``_state``: ``kept``, ``closed`` at ``effective`` as tracked columns
+    have changed, or ``opened`` for a source key without a remaining current
+    version.  Opened versions have no surrogate number yet.
+    """
+    cur = current.select(*[F.col(k).alias(f"_{k}") for k in key], F.struct("*").alias("cur"))
+    src = source.select(
+        *[F.col(k).alias(f"_of_{k}") for k in key], F.struct(*key, *tracked, *carried).alias("src")
+    )
+    joined = cur.join(src, [F.col(f"_{k}") == F.col(f"_of_{k}") for k in key], "full_outer")
+    today = F.lit(effective).cast("date")
+    known, given = F.col("cur").isNotNull(), F.col("src").isNotNull()
+    changed = known & given & differs(_of("cur", tracked), _of("src", tracked))
+
+    def version(state: Column, values: dict[str, Column], row: str) -> Column:
+        present = {*key, *tracked, *carried} if row == "src" else set(current.columns)
+        columns = [
+            values.get(f.name, F.col(f"{row}.{f.name}") if f.name in present else F.lit(None))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in current.schema
+        ]
+        return F.struct(*columns, state.alias("_state"))
+
+    ends = {
+        "valid_to": F.when(changed, today).otherwise(F.col("cur.valid_to")),
+        "is_current": ~changed,
+    }
+    old = version(F.when(changed, F.lit(CLOSED)).otherwise(F.lit(KEPT)), ends, "cur")
+    begins = {"valid_from": today, "valid_to": F.lit(None), "is_current": F.lit(True)}
+    new = version(F.lit(OPENED), begins, "src")
+    both = F.array(F.when(known, old), F.when(~known | changed, new))
+    return joined.select(F.inline(F.array_compact(both)))
+
+
 def scd2_merge(
     dim: DataFrame,
     source: DataFrame,
@@ -65,32 +114,14 @@ def scd2_merge(
     new one.  Keys that the source no longer holds stay as they are, and a
     change in ``carried`` columns alone makes no version.
     """
-    today = F.lit(effective).cast("date")
-    closed = dim.filter(~F.col("is_current"))
-    current = dim.filter("is_current").alias("cur")
-    incoming = source.select(*key, *tracked, *carried).alias("src")
-    same_key = [F.col(f"cur.{k}") == F.col(f"src.{k}") for k in key]
-    changed = differs(_of("cur", tracked), _of("src", tracked))
-    ends = F.col(f"src.{key[0]}").isNotNull() & changed
-
-    def kept(name: str) -> Column:
-        if name == "valid_to":
-            return F.when(ends, today)
-        if name == "is_current":
-            return ~ends
-        return F.col(f"cur.{name}")
-
-    versions = current.join(incoming, same_key, "left").select(
-        *[kept(c).alias(c) for c in dim.columns]
-    )
-    opened = (
-        incoming.join(current, [*same_key, ~changed], "left_anti")
-        .withColumn("valid_from", today)
-        .withColumn("valid_to", F.lit(None).cast("date"))
-        .withColumn("is_current", F.lit(True))
-    )
+    current = dim.filter("is_current")
+    states = cut_lineage(scd2_states(current, source, key, tracked, carried, effective))
+    known = states.filter(F.col("_state") != OPENED).select(*dim.columns)
+    opened = states.filter(F.col("_state") == OPENED).drop("_state", surrogate)
     numbered = number_rows(opened, key, surrogate, after=dim)
-    return closed.unionByName(versions).unionByName(numbered.select(*dim.columns))
+    return (
+        dim.filter(~F.col("is_current")).unionByName(known).unionByName(numbered.select(*dim.columns))
+    )
 
 
 def current_versions(dim: DataFrame) -> DataFrame:

@@ -117,10 +117,14 @@ def merge_table(
     bad = reject_rows(rejected(marked), name, key, batch)
     good, old = accepted(marked), published.read(name)
     order, columns = source_order(good), contract.schema.fieldNames()
+    if contract.slice:
+        slices = published.touched(name, good)
+        before = published.read_slices(name, slices)
     if contract.mode == CHILDREN:
         rows = good.select(*columns).drop(contract.surrogate)
         numbered = number_rows(rows, rows.columns, contract.surrogate, after=old)
-        published.replace(name, replace_children(old, numbered, contract.key[0]), batch)
+        replaced = replace_children(before, numbered, contract.key[0])
+        published.replace_slices(name, slices, replaced, batch)
         return None, bad
     if contract.mode == INSERT:
         span = span_of(new, contract.span) if contract.span else None
@@ -130,6 +134,9 @@ def merge_table(
         published.append(name, fresh, batch)
         return None, bad
     state = (last_per_key(good, key, order) if order else good).select(*columns)
+    if contract.slice:
+        published.replace_slices(name, slices, upsert(before, state, key), batch)
+        return None, bad
     published.replace(name, upsert(old, state, key), batch)
     if not contract.audited:
         return None, bad

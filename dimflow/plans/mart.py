@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from dimflow.contracts import CONTRACTS, REJECT_LOG, WAITING, conform, misfits
 from dimflow.functions import dates, labels
-from dimflow.operators.history import current_versions, scd1_insert, scd2_merge
+from dimflow.operators.history import CLOSED, KEPT, OPENED, current_versions, scd1_insert, scd2_states
+from dimflow.operators.keys import number_rows
 from dimflow.operators.merge import absent_rows, span_of
 from dimflow.operators.quality import accepted, first_reason, reject_rows, rejected
 from dimflow.operators.series import latest_return, nav_return
@@ -67,6 +68,41 @@ def fact_rows(measures: DataFrame, keys: DataFrame, owner: str, day: str) -> Dat
     return measures.join(keys, owner).withColumn("date_id", dates.date_key(F.col(day)))
 
 
+def version_dimension(
+    published: Published,
+    name: str,
+    source: DataFrame,
+    tracked: list[str],
+    carried: list[str],
+    effective: date,
+    batch: str,
+) -> None:
+    """Bring a stored history up to date.
+
+    Only the current versions are joined to the source, once, and written anew.
+    Versions that end are added in a folder of their own; those that ended before
+    are not read but for their numbers, and a batch without changes writes nothing.
+    """
+    contract = CONTRACTS[name]
+    key, surrogate = list(contract.key), contract.surrogate
+    current = published.read_slices(name, ["current"])
+    states = cut_lineage(scd2_states(current, source, key, tracked, carried, effective))
+    sizes = dict(states.groupBy("_state").count().collect())
+    if not sizes.get(CLOSED) and not sizes.get(OPENED):
+        published.folders.setdefault(name, [])
+        published.counts.setdefault(name, 0)
+        return
+
+    def of(state: str) -> DataFrame:
+        return states.filter(F.col("_state") == state).drop("_state")
+
+    numbered = number_rows(of(OPENED).drop(surrogate), key, surrogate, after=published.read(name))
+    if sizes.get(CLOSED):
+        published.append(name, of(CLOSED), f"{batch}-closed")
+    now = of(KEPT).unionByName(numbered.select(*current.columns))
+    published.replace_slices(name, ["current"], now, batch)
+
+
 def load_mart(published: Published, batch: str, effective: date, full: bool = False) -> None:
     """Dimensions first, then facts on their natural grain, then the stored
     latest value per fund.
@@ -85,43 +121,31 @@ def load_mart(published: Published, batch: str, effective: date, full: bool = Fa
         [
             lambda: _append(published, "dim_date", _days(published, full), batch),
             lambda: published.replace("dim_category", _categories(published, funds), batch),
-            lambda: published.replace(
+            lambda: version_dimension(
+                published,
                 "dim_fund",
-                scd2_merge(
-                    published.read("dim_fund"),
-                    funds.withColumn("currency_code", labels.currency_code(F.col("currency"))),
-                    ["fund_id"],
-                    FUND_TRACKED,
-                    ["ipo_date"],
-                    effective,
-                    "dim_fund_key",
-                ),
+                funds.withColumn("currency_code", labels.currency_code(F.col("currency"))),
+                FUND_TRACKED,
+                ["ipo_date"],
+                effective,
                 batch,
             ),
-            lambda: published.replace(
+            lambda: version_dimension(
+                published,
                 "dim_manager",
-                scd2_merge(
-                    published.read("dim_manager"),
-                    published.read("investment_manager"),
-                    ["manager_id"],
-                    ["name", "ojk_code", "is_active"],
-                    [],
-                    effective,
-                    "dim_manager_key",
-                ),
+                published.read("investment_manager"),
+                ["name", "ojk_code", "is_active"],
+                [],
+                effective,
                 batch,
             ),
-            lambda: published.replace(
+            lambda: version_dimension(
+                published,
                 "dim_custodian",
-                scd2_merge(
-                    published.read("dim_custodian"),
-                    published.read("custodian_bank"),
-                    ["bank_id"],
-                    ["name", "ownership_status"],
-                    [],
-                    effective,
-                    "dim_custodian_key",
-                ),
+                published.read("custodian_bank"),
+                ["name", "ownership_status"],
+                [],
+                effective,
                 batch,
             ),
         ]

@@ -2,7 +2,12 @@
 
 A batch writes new folders and then adds one line to the list.  Readers follow
 the newest line, so they see all of a batch or none of it.  Tables of the
-insert-if-absent kind grow by a folder of new rows; other tables are replaced.
+insert-if-absent kind grow by a folder of new rows.  Tables whose contract names
+a slice, such as a month or a range of keys, have a folder per slice, and a batch
+writes those it touches anew; the others stay.  Other tables are replaced.
+
+The line also holds the last batch of each stream that was loaded, so a stream
+batch and the note that it is done become visible together.
 """
 
 from __future__ import annotations
@@ -10,13 +15,19 @@ from __future__ import annotations
 import json
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dimflow.contracts import CONTRACTS, TableContract
 from dimflow.session import empty_table
 
-LINE = "seq bigint, batch string, folders string, counts string"
+LINE = "seq bigint, batch string, folders string, counts string, slices string, streams string"
+NO_SLICE = "none"  # of a row whose slice is null
+
+
+def slice_of(contract: TableContract) -> Column:
+    """Slice of a row, as text."""
+    return F.coalesce(F.expr(contract.slice).cast("string"), F.lit(NO_SLICE))
 
 
 class Published:
@@ -24,10 +35,15 @@ class Published:
         self.spark = spark
         self.root = root.rstrip("/")
         self._list = f"{self.root}/published"
-        self.seq, self.folders, self.counts = self._newest()
+        self.seq, newest = self._newest()
+        self.folders: dict[str, list[str]] = newest.get("folders", {})
+        self.counts: dict[str, int] = newest.get("counts", {})
+        #: folder and number of rows by table and slice
+        self.slices: dict[str, dict[str, list]] = newest.get("slices", {})
+        self.streams: dict[str, int] = newest.get("streams", {})
         self.added: dict[str, str] = {}
 
-    def _newest(self) -> tuple[int, dict, dict]:
+    def _newest(self) -> tuple[int, dict]:
         try:
             lines = self.spark.read.schema(LINE).json(self._list)
             newest = lines.orderBy(F.desc("seq")).first()
@@ -36,19 +52,25 @@ class Published:
                 raise
             newest = None
         if newest is None:
-            return 0, {}, {}
-        return newest["seq"], json.loads(newest["folders"]), json.loads(newest["counts"])
+            return 0, {}
+        parts = ("folders", "counts", "slices", "streams")
+        return newest["seq"], {k: json.loads(newest[k]) for k in parts if newest[k]}
 
     def read(self, name: str) -> DataFrame:
         """The table as this object sees it, including what it has written."""
+        return self._read(name, self.folders.get(name))
+
+    def _read(self, name: str, folders: list[str] | None) -> DataFrame:
         schema = CONTRACTS[name].schema
-        folders = self.folders.get(name)
         if not folders:
             return empty_table(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*folders)
 
+    def _folder(self, name: str, batch: str) -> str:
+        return f"{self.root}/tables/{name}/v{self.seq + 1:06d}-{batch}"
+
     def _write(self, contract: TableContract, df: DataFrame, batch: str) -> tuple[str, int]:
-        folder = f"{self.root}/tables/{contract.name}/v{self.seq + 1:06d}-{batch}"
+        folder = self._folder(contract.name, batch)
         counted = Observation()
         layout = list(contract.layout)
         (
@@ -62,7 +84,14 @@ class Published:
         return folder, counted.get["n"]
 
     def replace(self, name: str, df: DataFrame, batch: str) -> int:
-        folder, n = self._write(CONTRACTS[name], df, batch)
+        contract = CONTRACTS[name]
+        if contract.slice:
+            held, self.slices[name] = self.folders.get(name, []), {}
+            n = self._write_slices(contract, df, batch)
+            self.folders[name] = [f for f in self.folders[name] if f not in held]
+            self.counts[name] = n
+            return n
+        folder, n = self._write(contract, df, batch)
         self.folders[name], self.counts[name] = [folder], n
         return n
 
@@ -75,6 +104,58 @@ class Published:
             self.added[name] = folder
         return n
 
+    def touched(self, name: str, rows: DataFrame) -> list[str]:
+        """Slices of the table that the rows belong to.  Call it on stored rows."""
+        found = rows.select(slice_of(CONTRACTS[name]).alias("slice")).distinct().collect()
+        return sorted(r["slice"] for r in found)
+
+    def read_slices(self, name: str, slices: list[str]) -> DataFrame:
+        """The rows of some slices; no other folder is read."""
+        self._slice_old_table(name)
+        held = self.slices.get(name, {})
+        return self._read(name, [held[s][0] for s in slices if s in held])
+
+    def replace_slices(self, name: str, slices: list[str], df: DataFrame, batch: str) -> int:
+        """Write the given slices anew; ``df`` has all their rows and no others."""
+        self._slice_old_table(name)
+        held = self.slices.setdefault(name, {})
+        n = self._write_slices(CONTRACTS[name], df, batch, [s for s in slices if s in held])
+        self.counts.setdefault(name, 0)
+        return n
+
+    def _write_slices(
+        self, contract: TableContract, df: DataFrame, batch: str, gone: list[str] | None = None
+    ) -> int:
+        """Write rows by slice, then take out the slices that are ``gone``."""
+        name, layout = contract.name, list(contract.layout)
+        folder = self._folder(name, f"{batch}-slices")
+        columns = contract.schema.fieldNames()
+        (
+            df.select(*columns, slice_of(contract).alias("_slice"))
+            .repartitionByRange("_slice", *layout)
+            .sortWithinPartitions("_slice", *layout)
+            .write.mode("overwrite")
+            .partitionBy("_slice")
+            .parquet(folder)
+        )
+        shape = contract.schema.add("_slice", "string")
+        counted = self.spark.read.schema(shape).parquet(folder).groupBy("_slice").count().collect()
+        fresh = {r["_slice"]: [f"{folder}/_slice={r['_slice']}", r["count"]] for r in counted}
+        held = dict(self.slices.get(name, {}))
+        lost = [held.pop(s) for s in gone or ()]
+        self.slices[name] = {**held, **fresh}
+        old = {part[0] for part in lost}
+        kept = [f for f in self.folders.get(name, []) if f not in old]
+        self.folders[name] = kept + [part[0] for part in fresh.values()]
+        n = sum(part[1] for part in fresh.values())
+        self.counts[name] = self.counts.get(name, 0) + n - sum(part[1] for part in lost)
+        return n
+
+    def _slice_old_table(self, name: str) -> None:
+        """Slice a table that was written whole, once."""
+        if self.folders.get(name) and name not in self.slices:
+            self.replace(name, self.read(name), "sliced")
+
     def read_added(self, name: str) -> DataFrame | None:
         """The rows that this object has appended to the table, if any."""
         if name not in self.added:
@@ -82,13 +163,18 @@ class Published:
         return self.spark.read.schema(CONTRACTS[name].schema).parquet(self.added[name])
 
     def compact(self, name: str, batch: str) -> int:
-        """Rewrite a table that has grown by many small folders as one."""
+        """Rewrite a table that has grown by many small folders as one, or as one
+        folder per slice."""
         return self.replace(name, self.read(name), batch)
 
-    def publish(self, batch: str) -> None:
-        """Make everything written so far visible, in one line."""
+    def publish(self, batch: str, stream: str | None = None, number: int = 0) -> None:
+        """Make everything written so far visible, in one line, and with it that a
+        batch of a stream is done."""
         self.seq += 1
-        line = (self.seq, batch, json.dumps(self.folders), json.dumps(self.counts))
+        if stream is not None:
+            self.streams[stream] = number
+        state = (self.folders, self.counts, self.slices, self.streams)
+        line = (self.seq, batch, *map(json.dumps, state))
         self.spark.createDataFrame([line], LINE).coalesce(1).write.mode("append").json(self._list)
 
 
