@@ -28,6 +28,7 @@ class TableContract:
     checks: dict[str, str] = field(default_factory=dict)
     widths: dict[str, int] = field(default_factory=dict)
     parents: dict[str, tuple[str, str]] = field(default_factory=dict)
+    restricted: tuple[str, ...] = ()  # foreign keys whose parent cannot be deleted
     surrogate: str | None = None
     span: str | None = None
     cluster: tuple[str, ...] = ()
@@ -270,6 +271,7 @@ RELATIONAL = (
             "bank_id": ("custodian_bank", "bank_id"),
             "class_group_id": ("fund_class", "class_group_id"),
         },
+        restricted=("manager_id", "bank_id", "class_group_id"),
         audited=True,
     ),
     TableContract(
@@ -372,6 +374,7 @@ RELATIONAL = (
         not_null=("value_pct",),
         checks=_pct("value_pct"),
         parents={**TO_SNAPSHOT, "category_id": ("asset_category", "category_id")},
+        restricted=("category_id",),
         surrogate="allocation_id",
     ),
     TableContract(
@@ -382,6 +385,7 @@ RELATIONAL = (
         not_null=("value_pct",),
         checks=_pct("value_pct"),
         parents={**TO_SNAPSHOT, "security_id": ("security", "security_id")},
+        restricted=("security_id",),
         surrogate="holding_id",
         cluster=("security_id", "snapshot_id"),
     ),

@@ -7,8 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.contracts import RELATIONAL, STAR, contract_checks
-from dimflow.operators.quality import duplicate_keys, orphans, violations
+from dimflow.contracts import CHILDREN, RELATIONAL, STAR, VERSIONS, contract_checks
+from dimflow.operators.rules import Rules, broken_rules
 from dimflow.plans.load import load
 from dimflow.plans.mart import load_mart
 from dimflow.plans.transform import Clean, transform
@@ -49,35 +49,24 @@ def counts(published: Published) -> DataFrame:
     return table_counts({name: published.read(name) for name in published.folders})
 
 
-def integrity_report(published: Published) -> DataFrame:
-    """Rows against the contracts of the relational tables: failed checks,
-    repeated unique values and foreign keys without a parent."""
-    parts = []
-
-    def add(table: str, rule, df: DataFrame, count) -> None:
-        parts.append(
-            df.groupBy(rule.alias("rule"))
-            .agg(count.alias("n_rows"))
-            .select(F.lit(table).alias("table_name"), "rule", "n_rows")
-        )
-
+def contract_rules() -> dict[str, Rules]:
+    """The rules of all contracts: checks, unique columns, row keys and foreign keys of
+    the relational tables, and one current version per key of a history."""
+    rules = {}
     for contract in RELATIONAL:
-        df, name = published.read(contract.name), contract.name
-        failed = violations(df, list(contract.key), contract_checks(contract))
-        add(name, F.col("violation"), failed, F.count("*"))
-        for unique in contract.unique:
-            repeated = duplicate_keys(df, list(unique))
-            add(name, F.lit(f"unique {unique}"), repeated, F.sum("n_rows"))
-        for column, (parent, parent_key) in contract.parents.items():
-            lost = orphans(df, [column], published.read(parent), [parent_key])
-            add(name, F.lit(f"{column} in {parent}"), lost, F.sum("n_rows"))
+        unique = {f"unique {u}": (list(u), None) for u in contract.unique}
+        if contract.mode != CHILDREN:
+            unique["unique key"] = (list(contract.key), None)
+        rules[contract.name] = Rules(contract_checks(contract), unique, contract.parents)
     for contract in STAR:
-        if contract.name.startswith("dim_") and "is_current" in contract.schema.fieldNames():
-            versions = published.read(contract.name)
-            repeated = duplicate_keys(versions, list(contract.key), F.col("is_current"))
-            add(contract.name, F.lit("one current version"), repeated, F.sum("n_rows"))
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report.filter("n_rows > 0")
+        if contract.slice == VERSIONS:
+            one = {"one current version": (list(contract.key), F.col("is_current"))}
+            rules[contract.name] = Rules(unique=one)
+    return rules
 
+
+def integrity_report(published: Published) -> DataFrame:
+    """Rows against the contracts: failed checks, repeated unique values and keys, and
+    foreign keys without a parent.  Each table is scanned once."""
+    rules = contract_rules()
+    return broken_rules({name: published.read(name) for name in rules}, rules)

@@ -145,6 +145,59 @@ class Documents:
         return docs.parse_arrays(self._folder("sales_companies"), shred.FUND_SALES)
 
 
+def snapshot_jobs(snapshots: DataFrame, rating_field: str) -> dict:
+    """Builders of the tables that come from fund snapshots alone."""
+    mentions = shred.fund_benchmarks(snapshots)
+    return {
+        "nav_record": lambda: shred.nav(snapshots),
+        "aum_record": lambda: shred.aum(snapshots),
+        "fund_performance": lambda: shred.performance(snapshots),
+        "fund_ranking": lambda: shred.ranking(snapshots, rating_field),
+        "benchmark": lambda: shred.benchmarks(mentions),
+        "benchmark_data_point": lambda: shred.benchmark_points(mentions),
+        "fund_benchmark": lambda: shred.benchmark_links(mentions),
+    }
+
+
+def portfolio_jobs(clean: Clean, portfolios: DataFrame, valid: DataFrame) -> dict:
+    """Builders of the tables that come from portfolios."""
+    nested = clean.save("parsed_portfolio", shred.portfolio_snapshots(portfolios, valid))
+    lines = clean.save("portfolio_line", shred.portfolio_lines(nested))
+    return {
+        "portfolio_snapshot": lambda: nested.drop("Assets"),
+        "asset_category": lambda: shred.categories(lines),
+        "security": lambda: shred.securities(lines),
+        "portfolio_allocation": lambda: shred.allocations(lines),
+        "portfolio_holding": lambda: shred.holdings(lines),
+    }
+
+
+def transform_documents(
+    documents: DataFrame, source: str, clean: Clean, valid: DataFrame, rating_field: str | None = None
+) -> list[str]:
+    """Make the clean tables of the given documents of one folder, for the funds in
+    ``valid``; returns their names.  The masters, and what needs the fund index, are
+    left to :func:`transform`."""
+    if source == "snapshot":
+        parsed = docs.parse_objects(documents, shred.snapshot_shape(rating_field))
+        jobs = snapshot_jobs(clean.save("parsed_snapshot", parsed), rating_field)
+    elif source == "portfolio":
+        jobs = portfolio_jobs(clean, docs.parse_arrays(documents, shred.PORTFOLIO), valid)
+    elif source == "quarterly":
+        found = docs.parse_arrays(documents, shred.QUARTERLY)
+        jobs = {"fund_quarterly_return": lambda: shred.quarterly_returns(found, valid)}
+    elif source == "manager_aum":
+        found = docs.parse_arrays(documents, shred.MANAGER_AUM)
+        jobs = {"manager_aum_record": lambda: shred.manager_aum(found)}
+    elif source == "sales_companies":
+        found = docs.parse_arrays(documents, shred.FUND_SALES)
+        jobs = {"fund_sales_company": lambda: shred.fund_sales(found, valid)}
+    else:
+        raise ValueError(f"no tables are made from {source} alone")
+    run_together([partial(_save, clean, name, job) for name, job in jobs.items()])
+    return list(jobs)
+
+
 def transform(
     spark: SparkSession,
     raw: str,
@@ -192,19 +245,12 @@ def transform(
         if not wanted & _made_from("snapshot", "fund_index", "products"):
             return
         snapshots = clean.save("parsed_snapshot", found.snapshots())
-        mentions = shred.fund_benchmarks(snapshots)
         save_all(
             {
                 "mutual_fund": lambda: shred.funds(
                     found.fund_index, snapshots, shred.class_map(found.products())
                 ),
-                "nav_record": lambda: shred.nav(snapshots),
-                "aum_record": lambda: shred.aum(snapshots),
-                "fund_performance": lambda: shred.performance(snapshots),
-                "fund_ranking": lambda: shred.ranking(snapshots, rating_field),
-                "benchmark": lambda: shred.benchmarks(mentions),
-                "benchmark_data_point": lambda: shred.benchmark_points(mentions),
-                "fund_benchmark": lambda: shred.benchmark_links(mentions),
+                **snapshot_jobs(snapshots, rating_field),
             }
         )
         save_all({"fund_class": lambda: shred.fund_classes(clean.read("mutual_fund"))})
@@ -212,18 +258,7 @@ def transform(
     def from_portfolios() -> None:
         if not wanted & _made_from("portfolio"):
             return
-        nested = shred.portfolio_snapshots(found.portfolios(), found.valid)
-        nested = clean.save("parsed_portfolio", nested)
-        lines = clean.save("portfolio_line", shred.portfolio_lines(nested))
-        save_all(
-            {
-                "portfolio_snapshot": lambda: nested.drop("Assets"),
-                "asset_category": lambda: shred.categories(lines),
-                "security": lambda: shred.securities(lines),
-                "portfolio_allocation": lambda: shred.allocations(lines),
-                "portfolio_holding": lambda: shred.holdings(lines),
-            }
-        )
+        save_all(portfolio_jobs(clean, found.portfolios(), found.valid))
 
     run_together([from_snapshots, from_portfolios, from_masters])
     return names

@@ -74,6 +74,10 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return empty_table(spark, LANDED)
+    return _named(files)
+
+
+def _named(files: DataFrame) -> DataFrame:
     name = F.col("_metadata.file_name")
     return files.select(
         name.alias("file_name"),
@@ -82,6 +86,24 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def document_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON files of a folder, as they arrive."""
+    files = (
+        spark.readStream.format("text")
+        .schema("value string")
+        .option("wholetext", True)
+        .option("pathGlobFilter", "*.json")
+        .load(folder)
+    )
+    return _named(files)
+
+
+def landed_stream(spark: SparkSession, table: str) -> DataFrame:
+    """Rows of a landed Parquet table (see :mod:`dimflow.streaming.landing`), as they
+    are added."""
+    return spark.readStream.schema(LANDED).parquet(table)
+
+
 def read_landed(spark: SparkSession, table: str) -> DataFrame:
     """Documents that :func:`dimflow.streaming.landing.land_new` has stored in a
     Parquet table.  A table that is not there has no rows."""

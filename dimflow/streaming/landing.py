@@ -7,7 +7,8 @@ run takes the documents that have arrived since the last one and stops.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+
+from dimflow.sources.documents import document_stream
 
 
 def land_new(spark: SparkSession, folder: str, landed: str, progress: str) -> None:
@@ -16,19 +17,7 @@ def land_new(spark: SparkSession, folder: str, landed: str, progress: str) -> No
     ``progress`` keeps the list of files already taken.  A second run without
     new files does nothing, and a failed run is taken up where it stopped.
     """
-    files = (
-        spark.readStream.format("text")
-        .schema("value string")
-        .option("wholetext", True)
-        .option("pathGlobFilter", "*.json")
-        .load(folder)
-    )
-    name = F.col("_metadata.file_name")
-    documents = files.select(
-        name.alias("file_name"),
-        F.regexp_replace(name, r"\.json$", "").alias("file_key"),
-        F.col("value").alias("body"),
-    )
+    documents = document_stream(spark, folder)
     (
         documents.writeStream.format("parquet")
         .option("path", landed)

@@ -218,3 +218,48 @@ def load_with_audit(t):
     )
     managers = seen.read("investment_manager").select("manager_id", "name", "is_active")
     return managers.join(changes, "manager_id", "left").fillna({"n_changes": 0})
+
+
+RETURNS_SQL = """
+    SELECT o_custkey, o_orderdate, SUM(CAST(ROUND(o_totalprice, 2) AS DECIMAL(18, 2))) AS amount
+    FROM orders WHERE {where} AND o_orderkey <> 0 GROUP BY 1, 2
+"""
+
+
+@query(
+    f"""
+    WITH old AS ({RETURNS_SQL.format(where=EARLY)}), new AS ({RETURNS_SQL.format(where=LATE)}),
+    now AS (SELECT * FROM new UNION ALL SELECT * FROM old ANTI JOIN new USING (o_custkey, o_orderdate))
+    SELECT CAST(o_custkey AS INTEGER) AS fund_id, CAST(o_orderdate AS DATE) AS as_of_date,
+           CAST(amount * 100 AS BIGINT) AS cents,
+           CASE WHEN o_orderdate >= DATE '1998-01-01' THEN 'second' ELSE 'first' END AS written_by
+    FROM now
+    """
+)
+def upsert_touched_slices(t):
+    """A dated table is loaded twice; the second batch writes the months it touches
+    and leaves the folders of the others."""
+    root = f"{shared_folder(t.spark)}/{uuid4().hex}"
+    for n, where in enumerate((EARLY, LATE)):
+        amount = F.sum(cents("o_totalprice")) / 1000000
+        rows = t.orders.filter(where).filter("o_orderkey <> 0").groupBy("o_custkey", "o_orderdate")
+        rows = rows.agg(amount.alias("return_pct")).select(
+            F.col("o_custkey").alias("fund_id"),
+            F.lit(1).alias("period_code"),
+            day("o_orderdate").alias("as_of_date"),
+            "return_pct",
+            F.lit(None).cast("double").alias("treynor_ratio"),
+        )
+        batch = ("first", "second")[n]
+        clean = Clean(t.spark, f"{root}/clean/{batch}")
+        clean.save("fund_performance", rows)
+        published = Published(t.spark, f"{root}/published")
+        load(published, clean, ["fund_performance"], batch, datetime(2024, 2, 1 + n))
+        published.publish(batch)
+    parts = Published(t.spark, f"{root}/published").slices["fund_performance"]
+    writers = {m: "second" if "-second-" in folder else "first" for m, (folder, _) in parts.items()}
+    months = t.spark.createDataFrame(list(writers.items()), "month string, written_by string")
+    found = Published(t.spark, f"{root}/published").read("fund_performance")
+    found = found.withColumn("month", F.date_format("as_of_date", "yyyy-MM")).join(months, "month")
+    whole = (F.col("return_pct") * 100000000).cast("bigint").alias("cents")
+    return found.select("fund_id", "as_of_date", whole, "written_by")

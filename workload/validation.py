@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dimflow.operators import quality
+from dimflow.operators.cascade import Link, sweep
+from dimflow.operators.rules import Rules, broken_rules
+from dimflow.plans.delete import deleted_counts
 from dimflow.sources.published import table_counts as counts_of
 from workload.tables import Tables, query
 
@@ -137,6 +140,101 @@ def cascade_children(t):
     return quality.children_of(rows, ["l_orderkey"], parents)
 
 
+TREE = [
+    Link("nation", "n_regionkey", "region", "r_regionkey"),
+    Link("customer", "c_nationkey", "nation", "n_nationkey"),
+    Link("supplier", "s_nationkey", "nation", "n_nationkey"),
+    Link("orders", "o_custkey", "customer", "c_custkey"),
+    Link("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    Link("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+]
+
+
+@query(
+    """
+    WITH n AS (SELECT n_nationkey FROM nation WHERE n_regionkey IN (2, 4)),
+    c AS (SELECT c_custkey FROM customer WHERE c_nationkey IN (SELECT * FROM n)),
+    s AS (SELECT s_suppkey FROM supplier WHERE s_nationkey IN (SELECT * FROM n)),
+    o AS (SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT * FROM c)),
+    flags AS (
+        SELECT 'region' AS table_name, r_regionkey IN (2, 4) AS gone FROM region
+        UNION ALL SELECT 'nation', n_regionkey IN (2, 4) FROM nation
+        UNION ALL SELECT 'customer', c_nationkey IN (SELECT * FROM n) FROM customer
+        UNION ALL SELECT 'supplier', s_nationkey IN (SELECT * FROM n) FROM supplier
+        UNION ALL SELECT 'orders', o_custkey IN (SELECT * FROM c) FROM orders
+        UNION ALL SELECT 'lineitem', l_orderkey IN (SELECT * FROM o) OR l_suppkey IN (SELECT * FROM s)
+        FROM lineitem)
+    SELECT table_name, CAST(COUNT(*) FILTER (gone) AS BIGINT) AS n_deleted,
+           CAST(COUNT(*) FILTER (NOT gone) AS BIGINT) AS n_left
+    FROM flags GROUP BY 1
+    """
+)
+def cascade_levels(t):
+    """Two regions are deleted and all that hangs on them, over four levels; lines go
+    with their order or with their supplier."""
+    keys = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey",
+            "supplier": "s_suppkey", "orders": "o_orderkey", "lineitem": "l_linenumber"}
+    tables = {}
+    for name, key in keys.items():
+        used = {key, *[link.column for link in TREE if link.child == name]}
+        tables[name] = getattr(t, name).select(*sorted(used))
+    start = t.region.filter("r_regionkey IN (2, 4)").select("r_regionkey")
+    return deleted_counts(sweep(tables, TREE, "region", start))
+
+
+@query(
+    """
+    WITH broken AS (
+        SELECT 'orders' AS table_name, 'total not small' AS rule, COUNT(*) AS n
+        FROM orders WHERE NOT o_totalprice >= 50000
+        UNION ALL SELECT 'orders', 'status is O or F', COUNT(*)
+        FROM orders WHERE o_orderstatus NOT IN ('O', 'F')
+        UNION ALL SELECT 'orders', 'unique day of customer', SUM(n) FROM (
+            SELECT COUNT(*) AS n FROM orders GROUP BY o_custkey, o_orderdate HAVING COUNT(*) > 1)
+        UNION ALL SELECT 'orders', 'one open order', SUM(n) FROM (
+            SELECT COUNT(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY o_custkey
+            HAVING COUNT(*) > 1)
+        UNION ALL SELECT 'orders', 'o_custkey in customer', COUNT(*) FROM orders
+        WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)
+        UNION ALL SELECT 'lineitem', 'l_partkey in part', COUNT(*) FROM lineitem
+        WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 45)
+        UNION ALL SELECT 'lineitem', 'l_orderkey in orders', COUNT(*) FROM lineitem
+        WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+        UNION ALL SELECT 'lineitem', 'quantity below 45', COUNT(*) FROM lineitem WHERE l_quantity >= 45
+        UNION ALL SELECT 'part', 'unique name', SUM(n) FROM (
+            SELECT COUNT(*) AS n FROM part WHERE p_size < 45 GROUP BY p_name HAVING COUNT(*) > 1))
+    SELECT table_name, rule, CAST(n AS BIGINT) AS n_rows FROM broken WHERE n > 0
+    """
+)
+def rules_in_one_scan(t):
+    """Checks, unique keys and foreign keys of four tables, each of them read once."""
+    tables = {
+        "customer": t.customer.filter("c_acctbal > 0"),
+        "part": t.part.filter("p_size < 45"),
+        "orders": t.orders,
+        "lineitem": t.lineitem,
+    }
+    rules = {
+        "part": Rules(unique={"unique name": (["p_name"], None)}),
+        "orders": Rules(
+            checks={
+                "total not small": F.col("o_totalprice") >= 50000,
+                "status is O or F": F.col("o_orderstatus").isin("O", "F"),
+            },
+            unique={
+                "unique day of customer": (["o_custkey", "o_orderdate"], None),
+                "one open order": (["o_custkey"], F.col("o_orderstatus") == "P"),
+            },
+            parents={"o_custkey": ("customer", "c_custkey")},
+        ),
+        "lineitem": Rules(
+            checks={"quantity below 45": F.col("l_quantity") < 45},
+            parents={"l_partkey": ("part", "p_partkey"), "l_orderkey": ("orders", "o_orderkey")},
+        ),
+    }
+    return broken_rules(tables, rules)
+
+
 @query(
     " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, CAST(COUNT(*) AS BIGINT) AS n_rows FROM {name}"
