@@ -406,6 +406,25 @@ REJECT_LOG = TableContract(
     mode=INSERT,
 )
 
+# Values of the source that a table cannot hold, once each.
+CELL_LOG = TableContract(
+    "cell_log",
+    "table_name string, record_pk string, column_name string, raw_value string, reason string, "
+    "batch string",
+    key=("table_name", "record_pk", "column_name", "raw_value"),
+    mode=INSERT,
+    cluster=("table_name", "record_pk"),
+)
+
+# Count, mean and squared deviations of the daily returns of a label, a month and a
+# bucket of funds, with a bitmap of these funds; rows of one key are merged when read.
+MOMENTS = TableContract(
+    "category_moments",
+    "label string, month int, bucket bigint, n bigint, mean double, m2 double, funds binary",
+    key=("month", "label", "bucket"),
+    mode=INSERT,
+)
+
 # Source rows that no fact could be made of yet, as a dimension misses their key.
 WAITING = TableContract(
     "fact_waiting",
@@ -486,7 +505,7 @@ STAR = (
     ),
 )
 
-CONTRACTS = {c.name: c for c in (*RELATIONAL, AUDIT_LOG, REJECT_LOG, WAITING, *STAR)}
+CONTRACTS = {c.name: c for c in (*RELATIONAL, AUDIT_LOG, REJECT_LOG, CELL_LOG, WAITING, MOMENTS, *STAR)}
 
 
 def contract_checks(contract: TableContract) -> dict[str, Column]:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +19,22 @@ def number_rows(
     """Number rows 1, 2, … in the order of ``order``, or on from the highest
     number in column ``out`` of ``after``.
 
-    One range-partitioned sort; no window over all rows.  The sorted rows are
+    Where there are other columns, the distinct keys alone are sorted and numbered,
+    rows with one key share its number, and the columns are joined back; ``df`` is
+    read twice then and should be cheap to read.  Where there are none, equal rows
+    get numbers of their own.
+    """
+    others = [c for c in df.columns if c not in order]
+    if not others:
+        return _numbered(df, order, out, after)
+    keys = _numbered(df.select(*order).distinct(), order, out, after)
+    named = keys.select(*[F.col(c).alias(f"_key{i}") for i, c in enumerate(order)], out)
+    same = [F.col(c).eqNullSafe(F.col(f"_key{i}")) for i, c in enumerate(order)]
+    return df.join(named, reduce(and_, same)).select(*df.columns, out)
+
+
+def _numbered(df: DataFrame, order: list[str], out: str, after: DataFrame | None) -> DataFrame:
+    """One range-partitioned sort; no window over all rows.  The sorted rows are
     stored first, so that a lost executor cannot move a row to another
     partition between counting and numbering.  Only one count per partition of
     the sort reaches the driver.

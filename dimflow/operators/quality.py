@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.functions.checks import all_zero, given
+from dimflow.functions.text import blank_to_null
 
 # Tolerances of the source checks, in percent.
 ALLOCATION_TOLERANCE_PCT = 5
@@ -40,6 +41,32 @@ def reject_rows(bad: DataFrame, name: str, key: list[str], batch: str) -> DataFr
     )
 
 
+LOST = "lost_cells"
+
+
+def lost_cells(cells: dict[str, tuple[Column, Column, str]]) -> Column:
+    """The given values that a table cannot hold, as an array in the row itself:
+    ``cells`` has the raw text, the parsed value and the reason by column.  Blank texts
+    are not lost."""
+    found = [
+        F.when(
+            blank_to_null(raw).isNotNull() & parsed.isNull(),
+            F.struct(
+                F.lit(name).alias("column_name"), raw.alias("raw_value"), F.lit(reason).alias("reason")
+            ),
+        )
+        for name, (raw, parsed, reason) in cells.items()
+    ]
+    return F.array_compact(F.array(*found)).alias(LOST)
+
+
+def lost_rows(df: DataFrame, name: str, key: list[str], batch: str) -> DataFrame:
+    """One row per lost value of a stored table."""
+    record = F.concat_ws(",", *[F.col(k).cast("string") for k in key])
+    lost = df.filter(F.size(LOST) > 0).select(record.alias("record_pk"), F.inline(LOST))
+    return lost.select(F.lit(name).alias("table_name"), "*", F.lit(batch).alias("batch"))
+
+
 def reject_counts(marked: DataFrame) -> DataFrame:
     return rejected(marked).groupBy("reject_reason").agg(F.count("*").alias("n_rows"))
 

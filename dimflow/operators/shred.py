@@ -16,7 +16,7 @@ from dimflow.functions import dates, labels, text
 from dimflow.functions.checks import given
 from dimflow.operators.dedup import first_per_key, last_per_key
 from dimflow.operators.merge import sum_duplicates
-from dimflow.operators.quality import mark_rejects
+from dimflow.operators.quality import lost_cells, mark_rejects
 
 # Shapes of the source documents.
 MANAGERS = (
@@ -90,6 +90,18 @@ def _text_columns(fields: dict[str, str]) -> list[Column]:
     return [text.blank_to_null(F.col(source)).alias(out) for source, out in fields.items()]
 
 
+NO_DATE, NO_NUMBER = "no date", "no number"
+
+
+def _lost_date(name: str, raw: Column) -> dict[str, tuple[Column, Column, str]]:
+    return {name: (raw, dates.parse_date(raw), NO_DATE)}
+
+
+def _lost_number(name: str, value: Column) -> dict[str, tuple[Column, Column, str]]:
+    raw = F.try_variant_get(value, "$", "string")
+    return {name: (raw, text.whole_number_value(value), NO_NUMBER)}
+
+
 def managers(documents: DataFrame) -> DataFrame:
     return documents.select(
         F.col("Id").alias("manager_id"),
@@ -112,6 +124,13 @@ def managers(documents: DataFrame) -> DataFrame:
         text.whole_number_value(F.col("PaidInCapital")).alias("paid_in_capital"),
         text.flag_value(F.col("IsActive"), absent=True).alias("is_active"),
         dates.parse_date(F.col("DataLastUpdate")).alias("data_last_update"),
+        lost_cells(
+            {
+                **_lost_date("data_last_update", F.col("DataLastUpdate")),
+                **_lost_number("capital", F.col("Capital")),
+                **_lost_number("paid_in_capital", F.col("PaidInCapital")),
+            }
+        ),
     )
 
 
@@ -172,6 +191,7 @@ def banks(documents: DataFrame) -> DataFrame:
         ),
         text.flag_value(F.col("IsActive"), absent=True).alias("is_active"),
         dates.parse_date(F.col("DataLastUpdate")).alias("data_last_update"),
+        lost_cells(_lost_date("data_last_update", F.col("DataLastUpdate"))),
     )
 
 
@@ -229,6 +249,7 @@ def funds(index: DataFrame, snapshots: DataFrame, classes: DataFrame) -> DataFra
         text.fee_percent_value,
         text.decimal_number_value,
     )
+    ipo_date = text.first_given(F.col("d.IpoDate"), F.col("IpoDate"))
     return joined.select(
         "fund_id",
         F.col("InvestmentManagerId").alias("manager_id"),
@@ -248,7 +269,7 @@ def funds(index: DataFrame, snapshots: DataFrame, classes: DataFrame) -> DataFra
         text.flag_value(F.col("Index"), absent=False).alias("is_index"),
         text.flag_value(F.col("Dividend"), absent=False).alias("has_dividend"),
         text.flag_value(F.col("d.IsActive"), absent=True).alias("is_active"),
-        dates.parse_date(text.first_given(F.col("d.IpoDate"), F.col("IpoDate"))).alias("ipo_date"),
+        dates.parse_date(ipo_date).alias("ipo_date"),
         F.col("d.Description").alias("description"),
         F.col("d.OfficialBenchmark").alias("official_benchmark"),
         amount(F.col("d.MinSubNum")).alias("min_subscription"),
@@ -266,6 +287,16 @@ def funds(index: DataFrame, snapshots: DataFrame, classes: DataFrame) -> DataFra
         dates.parse_date(F.col("LastUpdate")).alias("last_update"),
         F.col("ConservativeCategory").alias("source_label"),
         "pos",
+        lost_cells(
+            {
+                **_lost_date("ipo_date", ipo_date),
+                **_lost_date("last_update", F.col("LastUpdate")),
+                **_lost_number("min_subscription", F.col("d.MinSubNum")),
+                **_lost_number("min_next_subscription", F.col("d.MinNextSubNum")),
+                **_lost_number("min_redemption", F.col("d.MinRedNum")),
+                **_lost_number("min_balance", F.col("d.MinBalanceNum")),
+            }
+        ),
     ).withColumn(
         "conservative_label",
         labels.conservative_label(F.col("fund_type"), F.col("is_index"), F.col("is_etf")),

@@ -28,10 +28,12 @@ from dimflow.operators.history import change_audit
 from dimflow.operators.keys import number_absent, number_rows, resolve_keys
 from dimflow.operators.merge import absent_rows, replace_children, span_of, stamp, upsert
 from dimflow.operators.quality import (
+    LOST,
     accepted,
     drop_zero_rows,
     first_reason,
     label_consistency,
+    lost_rows,
     reject_rows,
     rejected,
     sum_anomalies,
@@ -172,6 +174,15 @@ def load(
     ordered = [c.name for c in RELATIONAL if c.name in names]
     run_together([partial(merge, n) for n in ordered if n not in NUMBERED_PARENTS])
     run_together([partial(merge, n) for n in ordered if n in NUMBERED_PARENTS])
+    lost = [
+        lost_rows(df, n, list(CONTRACTS[n].key), batch)
+        for n in ordered
+        if LOST in (df := clean.read(n)).columns
+    ]
+    if lost:
+        key = list(CONTRACTS["cell_log"].key)
+        found = reduce(DataFrame.unionByName, lost).dropDuplicates(key)
+        published.append("cell_log", absent_rows(published.read("cell_log"), found, key), batch)
     if audits:
         published.append("audit_log", reduce(DataFrame.unionByName, audits), batch)
     if rejects:

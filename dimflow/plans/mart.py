@@ -8,13 +8,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimflow.contracts import CONTRACTS, REJECT_LOG, WAITING, conform, misfits
+from dimflow.contracts import CONTRACTS, MOMENTS, REJECT_LOG, WAITING, conform, misfits
 from dimflow.functions import dates, labels
 from dimflow.operators.history import CLOSED, KEPT, OPENED, current_versions, scd1_insert, scd2_states
 from dimflow.operators.keys import number_rows
 from dimflow.operators.merge import absent_rows, span_of
 from dimflow.operators.quality import accepted, first_reason, reject_rows, rejected
 from dimflow.operators.series import latest_return, nav_return
+from dimflow.plans.reports import monthly_moments
 from dimflow.session import cut_lineage, run_together
 from dimflow.sources.published import Published
 
@@ -223,6 +224,10 @@ def load_mart(published: Published, batch: str, effective: date, full: bool = Fa
             latest,
         ]
     )
+    added = published.read_added("fact_nav_daily")
+    if added is not None:
+        dims = published.read("dim_category"), published.read("dim_date")
+        published.append(MOMENTS.name, monthly_moments(added, *dims), batch)
     if waiting:
         seen = reduce(DataFrame.unionByName, waiting)
         published.replace(WAITING.name, seen, batch)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from dimflow.contracts import CHILDREN, RELATIONAL, STAR, VERSIONS, contract_che
 from dimflow.operators.rules import Rules, broken_rules
 from dimflow.plans.load import load
 from dimflow.plans.mart import load_mart
-from dimflow.plans.transform import Clean, transform
+from dimflow.plans.transform import Clean, tables_of, transform
 from dimflow.sources.published import Published, table_counts
 
 
@@ -32,19 +33,38 @@ def refresh(
 
     Readers see the new state only when the whole run is done.  Running it
     again on the same documents changes nothing but the batch time of upserted
-    rows.  ``full`` checks all rows for missing facts, not only the new ones.
-    ``landed`` names the folder of landed tables, see :func:`transform`.
+    rows.  A run that failed goes on from its last finished stage when it is called
+    with the same ``batch_ts`` and folders.  ``full`` checks all rows for missing
+    facts, not only the new ones.  ``landed`` names the folder of landed tables, see
+    :func:`transform`.
     """
     batch = batch_ts.strftime("%Y%m%dT%H%M%S")
     clean = Clean(spark, f"{work.rstrip('/')}/{batch}")
-    names = transform(spark, raw, clean, scope, subset, rating_field=rating_field, landed=landed)
     published = Published(spark, root)
-    load(published, clean, names, batch, batch_ts)
-    load_mart(published, batch, batch_ts.date(), full)
+    names = tables_of(scope)
+    stages = {
+        "transform": lambda: transform(
+            spark, raw, clean, scope, subset, rating_field=rating_field, landed=landed
+        ),
+        "load": lambda: load(published, clean, names, batch, batch_ts),
+        "mart": lambda: load_mart(published, batch, batch_ts.date(), full),
+    }
+    run_stages(published, batch, stages)
     published.publish(batch)
     return published
 
 
+def run_stages(published: Published, batch: str, stages: dict[str, Callable[[], object]]) -> list[str]:
+    """Run the stages of a batch that are not done yet, in order, and note each;
+    returns the names of those that were run."""
+    done = published.resume(batch)
+    left = [name for name in stages if name not in done]
+    for name in left:
+        stages[name]()
+        published.note(batch, name)
+    return left
+
+
 def counts(published: Published) -> DataFrame:
     return table_counts({name: published.read(name) for name in published.folders})
 

@@ -69,6 +69,56 @@ def category_volatility(
     )
 
 
+def monthly_moments(facts: DataFrame, dim_category: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Mergeable state of the daily returns: count, mean and sum of squared deviations
+    per label, month and bucket of funds, and a bitmap of the funds of the bucket.  One
+    aggregate, combined before the shuffle; rows are as many as labels, months and
+    buckets of 32,768 funds."""
+    days = dim_date.select("date_id")
+    labelled = facts.join(days, "date_id", "left_semi").join(
+        dim_category.select("category_id", "label"), "category_id"
+    )
+    value = F.col("daily_return").cast("double")
+    fund = F.col("fund_id").cast("bigint")
+    n = F.count(value)
+    return labelled.groupBy(
+        "label",
+        F.floor(F.col("date_id") / 100).cast("int").alias("month"),
+        F.bitmap_bucket_number(fund).alias("bucket"),
+    ).agg(
+        n.alias("n"),
+        F.avg(value).alias("mean"),
+        (F.var_pop(value) * n).alias("m2"),
+        F.bitmap_construct_agg(F.bitmap_bit_position(fund)).alias("funds"),
+    )
+
+
+def volatility_of_moments(moments: DataFrame, year: int) -> DataFrame:
+    """As :func:`category_volatility`, from the states of any number of batches; no
+    daily row is read again."""
+    mine = moments.filter(F.col("month").between(year * 100 + 1, year * 100 + 12))
+    mean = F.col("mean")
+    buckets = mine.groupBy("label", "bucket").agg(
+        F.bitmap_count(F.bitmap_or_agg("funds")).alias("n_fund"),
+        F.sum("n").alias("n"),
+        F.sum(F.col("n") * mean).alias("total"),
+        F.sum(F.coalesce("m2", F.lit(0.0)) + F.col("n") * F.coalesce(mean * mean, F.lit(0.0))).alias("squares"),
+    )
+    sums = buckets.groupBy("label").agg(
+        *[F.sum(c).alias(c) for c in ("n_fund", "n", "total", "squares")]
+    )
+    n = F.col("n")
+    average = F.col("total") / F.nullif(n, F.lit(0).cast("bigint"))
+    spread = F.greatest(F.col("squares") - n * average * average, F.lit(0.0))
+    deviation = F.sqrt(spread / F.nullif(n - 1, F.lit(0).cast("bigint")))
+    return sums.select(
+        "label",
+        "n_fund",
+        F.when(n > 1, deviation * F.sqrt(F.lit(TRADING_DAYS))).alias("ann_volatility"),
+        (average * TRADING_DAYS).alias("ann_return"),
+    ).orderBy(F.desc_nulls_first("ann_volatility"))
+
+
 def totals_by_currency(amounts: DataFrame, currency: str, amount: str, by: list[str]) -> DataFrame:
     """Money adds up within one currency only, so the currency is a group key."""
     return amounts.groupBy(*by, currency).agg(

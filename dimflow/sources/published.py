@@ -22,6 +22,10 @@ from dimflow.contracts import CONTRACTS, TableContract
 from dimflow.session import empty_table
 
 LINE = "seq bigint, batch string, folders string, counts string, slices string, streams string"
+STAGE_LINE = (
+    "seq bigint, batch string, number int, stage string, folders string, counts string, slices string, "
+    "streams string, added string"
+)
 NO_SLICE = "none"  # of a row whose slice is null
 
 
@@ -35,6 +39,7 @@ class Published:
         self.spark = spark
         self.root = root.rstrip("/")
         self._list = f"{self.root}/published"
+        self._stages = f"{self.root}/stages"
         self.seq, newest = self._newest()
         self.folders: dict[str, list[str]] = newest.get("folders", {})
         self.counts: dict[str, int] = newest.get("counts", {})
@@ -42,6 +47,7 @@ class Published:
         self.slices: dict[str, dict[str, list]] = newest.get("slices", {})
         self.streams: dict[str, int] = newest.get("streams", {})
         self.added: dict[str, str] = {}
+        self._noted = 0  # stages of the batch that is being written
 
     def _newest(self) -> tuple[int, dict]:
         try:
@@ -167,6 +173,33 @@ class Published:
         folder per slice."""
         return self.replace(name, self.read(name), batch)
 
+    def note(self, batch: str, stage: str) -> None:
+        """Remember that a stage of a batch is done, with all that it has written; what
+        readers see does not change."""
+        self._noted += 1
+        parts = (self.folders, self.counts, self.slices, self.streams, self.added)
+        line = (self.seq, batch, self._noted, stage, *map(json.dumps, parts))
+        self.spark.createDataFrame([line], STAGE_LINE).coalesce(1).write.mode("append").json(self._stages)
+
+    def resume(self, batch: str) -> set[str]:
+        """Go on from the last stage noted of a batch that was not published; returns
+        the stages that are done.  Notes from before another batch was published do
+        not count, as its folders are not in them."""
+        try:
+            notes = self.spark.read.schema(STAGE_LINE).json(self._stages)
+            found = notes.filter((F.col("batch") == batch) & (F.col("seq") == self.seq)).collect()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            found = []
+        if not found:
+            return set()
+        last = max(found, key=lambda r: r["number"])
+        self._noted = last["number"]
+        parts = (json.loads(last[p]) for p in ("folders", "counts", "slices", "streams", "added"))
+        self.folders, self.counts, self.slices, self.streams, self.added = parts
+        return {r["stage"] for r in found}
+
     def publish(self, batch: str, stream: str | None = None, number: int = 0) -> None:
         """Make everything written so far visible, in one line, and with it that a
         batch of a stream is done."""

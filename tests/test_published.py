@@ -280,3 +280,65 @@ def test_landing_log(spark, tmp_path):
     assert newest == {"a": "empty", "b": "empty", "c": "fetched", "d": "empty", "e": "failed", "f": "missing",
                       "g": "fetched", "h": "missing"}
     assert attempts.to_attempt(keys("a", "e", "z"), made).collect() == [("x", "z")]
+
+
+def test_numbers_are_stored_with_their_keys_alone(spark, monkeypatch):
+    from dimflow.operators import keys
+
+    stored = []
+    monkeypatch.setattr(keys, "cut_lineage", lambda df: stored.append(df.columns) or df)
+    rows = spark.createDataFrame([("b", 1, "x"), ("a", 2, "y"), (None, 3, "z"), ("b", 4, "w")], "k string, v int, t string")
+    found = keys.number_rows(rows, ["k"], "n").collect()
+    assert sorted((r["n"], r["v"], r["t"]) for r in found) == [(1, 3, "z"), (2, 2, "y"), (3, 1, "x"), (3, 4, "w")]
+    assert stored == [["k", "_at"]]
+    alone = keys.number_rows(rows.select("k"), ["k"], "n").collect()
+    assert sorted(r["n"] for r in alone) == [1, 2, 3, 4]  # equal rows have numbers of their own
+
+
+def test_a_stopped_run_goes_on(spark, tmp_path, monkeypatch):
+    from dimflow.plans import refresh as plan_of
+
+    from raw_fixture import write_raw
+
+    raw = write_raw(tmp_path / "raw")
+    ran = []
+    for name in ("transform", "load", "load_mart"):
+        own = getattr(plan_of, name)
+        monkeypatch.setattr(plan_of, name, lambda *a, _f=own, _n=name, **k: ran.append(_n) or _f(*a, **k))
+    args = (spark, str(raw), str(tmp_path / "work"), str(tmp_path / "root"), datetime(2026, 7, 1, 8))
+
+    def fail(*_, **__):
+        ran.append("stopped")
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as stop:
+        stop.setattr(plan_of, "load_mart", fail)
+        with pytest.raises(RuntimeError):
+            plan_of.refresh(*args, rating_field="ProviderRating")
+    assert Published(spark, str(tmp_path / "root")).folders == {}
+    done = plan_of.refresh(*args, rating_field="ProviderRating")
+    assert ran == ["transform", "load", "stopped", "load_mart"]
+    assert done.counts["fact_nav_daily"] == done.counts["nav_record"] == 4
+    assert Published(spark, str(tmp_path / "root")).counts == done.counts
+    again = plan_of.refresh(*args, rating_field="ProviderRating")  # published: it runs anew
+    assert ran[4:] == ["transform", "load", "load_mart"] and again.counts == done.counts
+
+
+def test_moments_of_batches_merge(spark):
+    from dimflow.plans import reports
+
+    rows = [(20240100 + i % 28 + 1, 1 + i % 5 * 40_000, 1 + i % 2, 0.01 * ((i * 7) % 11 - 4)) for i in range(60)]
+    rows += [(20240201, 9, 3, 0.5), (20240202, 8, 3, None), (20240203, 7, 4, None), (20230101, 6, 1, 9.0), (20240231, 6, 1, 9.0)]
+    facts = spark.createDataFrame(rows, "date_id int, fund_id int, category_id int, daily_return double")
+    categories = spark.createDataFrame([(i, f"c{i}") for i in range(1, 5)], "category_id int, label string")
+    days = spark.createDataFrame([(d, d // 10000) for d in {r[0] for r in rows} - {20240231}], "date_id int, year int")
+    parts = [facts.filter(F.col("fund_id") % 3 == k) for k in range(3)]
+    states = [reports.monthly_moments(p, categories, days) for p in parts]
+    merged = reports.volatility_of_moments(states[0].unionByName(states[1]).unionByName(states[2]), 2024)
+    want = {r["label"]: r for r in reports.category_volatility(facts, categories, days, 2024).collect()}
+    got = {r["label"]: r for r in merged.collect()}
+    assert set(got) == set(want)
+    for label, row in want.items():
+        assert got[label]["n_fund"] == row["n_fund"]
+        for column in ("ann_volatility", "ann_return"):
+            assert got[label][column] == (pytest.approx(row[column]) if row[column] is not None else None)

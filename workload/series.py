@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,8 @@ from dimflow.operators.series import latest_return
 from dimflow.operators.series import period_return as returns_of
 from dimflow.plans import reports
 from dimflow.plans.mart import calendar
-from dimflow.session import cut_lineage
+from dimflow.session import cut_lineage, shared_folder
+from dimflow.sources.published import Published
 from workload.tables import Tables, cents, day, query, rounded
 
 SLOT = "week"  # the events span one month
@@ -192,16 +194,8 @@ def unit_integrity(t):
     )
 
 
-@query(
-    f"""
-    SELECT c_mktsegment AS label, CAST(COUNT(DISTINCT fund_id) AS BIGINT) AS n_fund,
-           ROUND(STDDEV_SAMP(daily_return) * SQRT(252), 4) AS ann_volatility,
-           ROUND(AVG(daily_return) * 252, 4) AS ann_return
-    FROM ({RETURN_SQL}) JOIN customer ON fund_id = c_custkey
-    WHERE YEAR(record_date) = 2024 GROUP BY 1
-    """
-)
-def category_volatility(t):
+def volatility_facts(t):
+    """Daily returns with their category, the categories, and the days."""
     returns = daily_returns(t).withColumn("daily_return", F.col("daily_return").cast("double"))
     owners = t.customer.select(
         F.col("c_custkey").alias("fund_id"), F.col("c_mktsegment").alias("category_id")
@@ -213,7 +207,39 @@ def category_volatility(t):
         F.col("c_mktsegment").alias("category_id"), F.col("c_mktsegment").alias("label")
     ).distinct()
     days = calendar([t.events.select(day("ts").alias("record_date"))], "record_date")
-    report = reports.category_volatility(facts, categories, days, 2024)
+    return facts, categories, days
+
+
+VOLATILITY_SQL = f"""
+    SELECT c_mktsegment AS label, CAST(COUNT(DISTINCT fund_id) AS BIGINT) AS n_fund,
+           ROUND(STDDEV_SAMP(daily_return) * SQRT(252), 4) AS ann_volatility,
+           ROUND(AVG(daily_return) * 252, 4) AS ann_return
+    FROM ({RETURN_SQL}) JOIN customer ON fund_id = c_custkey
+    WHERE YEAR(record_date) = 2024 GROUP BY 1
+    """
+
+
+@query(VOLATILITY_SQL)
+def category_volatility(t):
+    report = reports.category_volatility(*volatility_facts(t), 2024)
+    return report.withColumns({c: F.round(c, 4) for c in ("ann_volatility", "ann_return")})
+
+
+@query(VOLATILITY_SQL)
+def volatility_from_moments(t):
+    """From the stored states of two batches, of days in turn, so that every month is
+    in both."""
+    facts, categories, days = volatility_facts(t)
+    root = f"{shared_folder(t.spark)}/{uuid4().hex}"
+    facts = cut_lineage(facts)
+    for batch in (0, 1):
+        published = Published(t.spark, root)
+        mine = facts.filter(F.col("date_id") % 2 == batch)
+        states = reports.monthly_moments(mine, categories, days)
+        published.append("category_moments", states, f"b{batch}")
+        published.publish(f"b{batch}")
+    stored = Published(t.spark, root).read("category_moments")
+    report = reports.volatility_of_moments(stored, 2024)
     return report.withColumns({c: F.round(c, 4) for c in ("ann_volatility", "ann_return")})
 
 

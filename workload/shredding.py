@@ -6,6 +6,7 @@ the sources have, then parsed and shredded as a landing folder would be.
 
 from __future__ import annotations
 
+from datetime import datetime
 from uuid import uuid4
 
 from pyspark.sql import DataFrame
@@ -13,9 +14,11 @@ from pyspark.sql import functions as F
 
 from dimflow.operators import shred
 from dimflow.operators.keys import number_rows
+from dimflow.plans.load import load
 from dimflow.plans.transform import Clean
 from dimflow.session import cut_lineage, shared_folder
 from dimflow.sources import documents as docs
+from dimflow.sources.published import Published
 from workload.tables import Tables, day, query
 
 def landed(df: DataFrame, row: list[str], file_key, body) -> DataFrame:
@@ -554,3 +557,44 @@ def shred_manager_series(t):
     return shred.manager_aum(found).select(
         "manager_id", "record_date", "aum_value", "reject_reason"
     )
+
+
+@query(
+    """
+    SELECT CAST(c_custkey AS VARCHAR) AS record_pk, column_name, raw_value, reason FROM (
+        SELECT c_custkey, 'data_last_update' AS column_name, 'soon ' || c_name AS raw_value,
+               'no date' AS reason FROM customer WHERE c_nationkey % 5 = 1
+        UNION ALL
+        SELECT c_custkey, 'capital', c_mktsegment, 'no number' FROM customer WHERE c_nationkey % 3 = 0)
+    """
+)
+def rejected_cells(t):
+    """Dates and amounts of a master that cannot be read, loaded twice; each is logged
+    once, with its text.  A dash, a blank and an absent value are nothing."""
+    nation = F.col("c_nationkey")
+    update = (
+        F.when(nation % 5 == 0, F.lit("10-09-2020"))
+        .when(nation % 5 == 1, F.concat(F.lit("soon "), "c_name"))
+        .when(nation % 5 == 2, F.lit(" - "))
+        .when(nation % 5 == 3, F.lit("2020-09-10T00:00:00"))
+    )
+    capital = F.when(nation % 3 == 0, F.col("c_mktsegment")).when(nation % 3 == 1, F.lit("Rp 1.000"))
+    manager = F.struct(
+        F.col("c_custkey").alias("Id"),
+        F.col("c_name").alias("Name"),
+        F.concat(F.lit("C"), "c_custkey").alias("OjkCode"),
+        update.alias("DataLastUpdate"),
+        capital.alias("Capital"),
+        F.lit(5).alias("PaidInCapital"),
+    )
+    documents = landed(t.customer, ["c_custkey"], F.col("c_custkey"), F.to_json(F.array(manager)))
+    managers = shred.managers(docs.parse_arrays(documents, shred.MANAGERS))
+    root = f"{shared_folder(t.spark)}/{uuid4().hex}"
+    for n in (1, 2):
+        clean = Clean(t.spark, f"{root}/clean/{n}")
+        clean.save("investment_manager", managers)
+        published = Published(t.spark, f"{root}/published")
+        load(published, clean, ["investment_manager"], f"day{n}", datetime(2024, 2, n))
+        published.publish(f"day{n}")
+    log = Published(t.spark, f"{root}/published").read("cell_log")
+    return log.select("record_pk", "column_name", "raw_value", "reason")

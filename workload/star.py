@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 from uuid import uuid4
 
 from pyspark.sql import functions as F
@@ -12,6 +12,9 @@ from dimflow.operators.history import scd2_merge
 from dimflow.operators.keys import number_rows
 from dimflow.operators.merge import insert_if_absent
 from dimflow.plans import mart
+from dimflow.plans.load import load
+from dimflow.plans.refresh import run_stages
+from dimflow.plans.transform import Clean
 from dimflow.session import cut_lineage, empty_table, run_together, shared_folder
 from dimflow.sources.published import Published
 from workload.series import MONTHLY_SQL, RETURN_SQL, daily_returns, monthly_amounts
@@ -207,3 +210,58 @@ def fact_late_dimension(t):
     facts = published.read("fact_aum_monthly").join(managers, "dim_manager_key")
     units = F.col("total_units").cast("double").alias("total_units")
     return facts.select("date_id", "fund_id", "manager_id", "aum_value", units)
+
+
+@query(
+    f"""
+    SELECT CAST(STRFTIME(record_date, '%Y%m%d') AS INTEGER) AS date_id,
+           CAST(fund_id AS INTEGER) AS manager_id, CAST(aum_value * 100 AS BIGINT) AS cents,
+           'transform' AS first_run, 'mart' AS second_run
+    FROM ({MONTHLY_SQL}) JOIN customer ON fund_id = c_custkey
+    """
+)
+def resumed_run(t):
+    """A run stops after its load.  The next call with the same batch finds the noted
+    stages and loads the star from what the first has written."""
+    root = f"{shared_folder(t.spark)}/{uuid4().hex}"
+    amounts = monthly_amounts(t).select(
+        F.col("fund_id").alias("manager_id"), "record_date", "aum_value", "total_units"
+    )
+    managers = t.customer.select(F.col("c_custkey").alias("manager_id"), F.col("c_name").alias("name"))
+    ran = []
+
+    def run(stop: bool) -> None:
+        published = Published(t.spark, f"{root}/published")
+        clean = Clean(t.spark, f"{root}/clean")
+
+        def transform() -> None:
+            clean.save("manager_aum_record", amounts)
+            code = F.col("manager_id").cast("string").alias("ojk_code")
+            active = F.lit(True).alias("is_active")
+            clean.save("investment_manager", managers.select("manager_id", "name", code, active))
+
+        stages = {
+            "transform": transform,
+            "load": lambda: load(
+                published, clean, ["investment_manager", "manager_aum_record"], "b", datetime(2024, 2, 1)
+            ),
+            "mart": lambda: mart.load_mart(published, "b", LOAD_DAY),
+        }
+        if stop:
+            del stages["mart"]
+        ran.append(run_stages(published, "b", stages))
+        if not stop:
+            published.publish("b")
+
+    run(stop=True)
+    run(stop=False)
+    published = Published(t.spark, f"{root}/published")
+    owners = published.read("dim_manager").select("dim_manager_key", F.col("manager_id").alias("owner"))
+    facts = published.read("fact_manager_aum_monthly").join(owners, "dim_manager_key")
+    return facts.select(
+        "date_id",
+        F.col("owner").alias("manager_id"),
+        (F.col("aum_value") * 100).cast("bigint").alias("cents"),
+        F.lit(ran[0][0]).alias("first_run"),
+        F.lit(",".join(ran[1])).alias("second_run"),
+    )
