@@ -10,8 +10,8 @@ and penalties:
 
 Padding is ``length - (j - i)``, so the least ``cost(i) + i`` of a sliding range
 is wanted, which a monotone queue yields in constant time; a window whose length
-is a power of two is not padded, and the ``i`` for half and a quarter of
-``length`` are looked at one by one.
+is a power of two is not padded, and the ``i`` at each such distance are looked at
+one by one.
 
 Nothing is shuffled: a partition packs itself, and only its last sequence can be
 short.  The stream is solved in blocks; the last window of a block is opened
@@ -47,19 +47,30 @@ def padding(n: int, length: int) -> int:
     return 0 if n & (n - 1) == 0 else length - n
 
 
+def unpadded(places: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of indexes (end, begin) of the windows shorter than ``length`` that need
+    no padding, by end."""
+    index = np.full(int(places[-1]) + 1, -1, np.int32)
+    index[places] = np.arange(len(places))
+    ends, begins = [], []
+    for n in range(1, length):
+        if padding(n, length) == 0:
+            first = np.searchsorted(places, n)
+            found = index[places[first:] - n]
+            hit = np.flatnonzero(found >= 0)
+            ends.append(hit + first)
+            begins.append(found[hit])
+    end, begin = np.concatenate(ends), np.concatenate(begins)
+    order = np.argsort(end, kind="stable")
+    return end[order], begin[order]
+
+
 def best_cuts(places: np.ndarray, penalties: np.ndarray, length: int) -> list[int]:
     """Indexes into ``places`` of the best window ends.  ``places`` rise from 0
     in steps of at most ``length``; the last is always a cut."""
-    index = np.full(int(places[-1]) + 1, -1, np.int32)
-    index[places] = np.arange(len(places))
-    powers = np.array([p for p in (length // 2, length // 4) if p & (p - 1) == 0])
-    wanted = places[:, None] - powers
-    found = index[np.maximum(wanted, 0)]
-    found[wanted < 0] = -1
-    rows, columns = np.nonzero(found >= 0)
-    even: dict[int, list[int]] = {}
-    for j, i in zip(rows.tolist(), found[rows, columns].tolist(), strict=True):
-        even.setdefault(j, []).append(i)
+    ends, begins = unpadded(places, length)
+    first = np.searchsorted(ends, np.arange(len(places) + 1)).tolist()
+    begins = begins.tolist()
     at, penalty = places.tolist(), (penalties + WINDOW).tolist()
     n = len(at)
     cost, back, key = [0] * n, [0] * n, [0] * n
@@ -71,10 +82,9 @@ def best_cuts(places: np.ndarray, penalties: np.ndarray, length: int) -> list[in
             head += 1
         i = queue[head]
         best = key[i] + length - here
-        if j in even:
-            for k in even[j]:
-                if cost[k] < best:
-                    best, i = cost[k], k
+        for k in begins[first[j] : first[j + 1]]:
+            if cost[k] < best:
+                best, i = cost[k], k
         best += penalty[j]
         cost[j], back[j] = best, i
         mine = key[j] = best + here
@@ -113,51 +123,67 @@ def places_of(ends: np.ndarray, is_sentence: np.ndarray, length: int):
 
 
 class Packer:
-    """Packs one stream of documents; holds at most a block and a document."""
+    """Packs one stream of documents; holds at most a block and what is added at once.
+
+    Places are those of the stream: ``begin`` is the first id that is not packed yet.
+    """
 
     def __init__(self, length: int, sentence_end: np.ndarray, first_sequence: int):
         self.length, self.sentence_end, self.sequence = length, sentence_end, first_sequence
-        # the documents not yet cut: [doc_id, its ids, ids of it that are already out]
-        self.waiting: list[list] = []
-        self.held = 0
-
-    def add(self, doc_id, ids: np.ndarray) -> Iterator[dict]:
-        self.waiting.append([doc_id, ids, 0])
-        self.held += len(ids)
-        if self.held >= BLOCK:
-            yield from self.cut(final=False)
-
-    def cut(self, final: bool) -> Iterator[dict]:
-        if not self.waiting:
-            return
-        ids = np.concatenate([d[1][d[2] :] for d in self.waiting])
-        ends = np.cumsum([len(d[1]) - d[2] for d in self.waiting])
-        places, penalties = places_of(ends, self.sentence_end[ids], self.length)
+        self.begin = 0
+        self.ids = np.zeros(0, np.uint32)
+        # the documents that are not packed whole
+        self.keys, self.starts, self.sizes = pa.array([], pa.int64()), np.zeros(0, int), np.zeros(0, int)
+
+    def add(self, keys: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Documents with their ids, one after the other."""
+        end = self.begin + len(self.ids)
+        self.keys = pa.concat_arrays([self.keys, keys])
+        self.starts = np.concatenate([self.starts, end + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, ids])
+        while len(self.ids) >= BLOCK:
+            yield self.cut(BLOCK)
+
+    def finish(self) -> Iterator[pa.RecordBatch]:
+        if len(self.ids):
+            yield self.cut(len(self.ids))
+
+    def cut(self, n: int) -> pa.RecordBatch:
+        """Pieces of the windows of the next ``n`` ids; the last window is left to be
+        cut again, unless the stream ends with it."""
+        ends = self.starts + self.sizes - self.begin
+        places, penalties = places_of(ends[ends <= n], self.sentence_end[self.ids[:n]], self.length)
         cuts = places[best_cuts(places, penalties, self.length)]
-        if not final:
+        if n == BLOCK:  # the next block may go on with the last window
             cuts = cuts[:-1]
-        begin, at = 0, 0
-        for end in cuts.tolist():
-            used = 0
-            while used < end - begin:
-                doc_id, doc, out = self.waiting[at]
-                take = min(len(doc) - out, end - begin - used)
-                yield {
-                    "key": doc_id,
-                    "start": out,
-                    "length": take,
-                    "doc_tokens": len(doc),
-                    "sequence_id": self.sequence,
-                    "offset": used,
-                    "ids": doc[out : out + take].astype("<u4").tobytes(),
-                }
-                used += take
-                self.waiting[at][2] = out + take
-                at += out + take == len(doc)
-            begin = end
-            self.sequence += 1
-        self.waiting = self.waiting[at:]
-        self.held -= begin
+        done = int(cuts[-1])
+        bounds = np.unique(np.concatenate([[0], cuts, ends[ends < done]]))
+        first, last = bounds[:-1], bounds[1:]
+        doc = np.searchsorted(ends, first, side="right")
+        window = np.searchsorted(cuts, first, side="right")
+        begins = np.concatenate([[0], cuts])
+        raw = pa.py_buffer(self.ids[:done].astype("<u4"))
+        offsets = pa.py_buffer((4 * bounds).astype(np.int32))
+        out = pa.RecordBatch.from_arrays(
+            [
+                self.keys.take(pa.array(doc)),
+                pa.array(self.begin + first - self.starts[doc]),
+                pa.array(last - first),
+                pa.array(self.sizes[doc]),
+                pa.array(self.sequence + window),
+                pa.array(first - begins[window]),
+                pa.Array.from_buffers(pa.binary(), len(first), [None, offsets, raw]),
+            ],
+            schema=FIELDS,
+        )
+        gone = int(np.searchsorted(ends, done, side="right"))
+        self.keys = self.keys.slice(gone)
+        self.starts, self.sizes = self.starts[gone:], self.sizes[gone:]
+        self.ids = self.ids[done:]
+        self.begin += done
+        self.sequence += len(cuts)
+        return out
 
 
 def sentence_ends(encoder: Encoder) -> np.ndarray:
@@ -187,18 +213,11 @@ def pack(
         encoder = Encoder(tokenizer)
         packer = Packer(length, sentence_ends(encoder), TaskContext.get().partitionId() << 36)
         for batch in batches:
-            rows: list[dict] = []
             for part in slices(batch, "text"):
                 flat, counts = encoder.encode(part.column("text"))
-                ends = np.cumsum(counts)
-                for doc_id, a, b in zip(
-                    part.column("key").to_pylist(), (ends - counts).tolist(), ends.tolist(),
-                    strict=True,
-                ):
-                    ids = np.append(flat[a:b], flat.dtype.type(end_id))
-                    rows.extend(packer.add(doc_id, ids))
-            yield pa.RecordBatch.from_pylist(rows, schema=FIELDS)
-        yield pa.RecordBatch.from_pylist(list(packer.cut(final=True)), schema=FIELDS)
+                ids = np.insert(flat.astype(np.uint32), np.cumsum(counts), end_id)
+                yield from packer.add(part.column("key"), ids, counts + 1)
+        yield from packer.finish()
 
     chosen = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
     return chosen.mapInArrow(run, SCHEMA)

@@ -6,6 +6,9 @@ space is always such a cut.  A slice of texts is therefore split at spaces, its
 distinct words are cut into pieces by one pattern search, and the ids of the
 texts are put together by one numpy gather.  The ids of pieces are remembered per
 Python worker, in a bounded dictionary.
+
+Where the ids of a vocabulary rise in the order of its merges, they serve as ranks
+of merges, and the words or pieces go through tiktoken, which merges by rank.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from array import array
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import tiktoken
 from tokenizers import Tokenizer
 
 #: Letters, numbers and white space up to U+012F, where normal
@@ -36,6 +40,18 @@ WORD_PIECES = re.compile(
     f"{MARK}|{CONTRACTIONS}|[{LATIN_LETTERS}]+|[{LATIN_NUMBERS}]"
     f"|[^{MARK}{WHITE_SPACE}{LATIN_LETTERS}{LATIN_NUMBERS}]+"
 )
+#: Fixed value: the cut pattern of the byte-level vocabulary, for all characters.
+BYTE_PATTERN = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+FEED = "\x0c"  # stands between the words of a slice that is encoded at once
+#: All that Python calls white space up to U+012F.
+SPACE_LETTERS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0"
+#: White space beside a mark, but for the space that begins a word, and empty words.
+BESIDE = [s + FEED for s in SPACE_LETTERS] + [
+    FEED + c + s for s in SPACE_LETTERS for c in ("", " ") if c + s != " "
+]
+SPACE_AT_END = re.compile(r"\A(?:\s(?!\S)|[^\S ]|\Z)|\s\Z")
 NOT_LATIN = re.compile("[^\x00-į]")
 #: A space beside white space or an end: no cut.  All that Python calls white space.
 SPACES = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -117,6 +133,75 @@ class Pieces:
         return MARK.join(bare + second)
 
 
+class Words:
+    """Words to ids of a byte-level vocabulary, all words of a slice in one call.
+
+    A form feed stands between the words: white space that has none beside it is a
+    piece of its own.  Words with white space at an end, with a form feed, with
+    letters beyond the pattern's or with special tokens go to ``whole`` one by one.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], specials: list[str], dtype, whole):
+        name = f"dimflow-{len(ranks)}"
+        self._encode = tiktoken.Encoding(
+            name, pat_str=BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={}
+        ).encode_ordinary
+        self._mark, self._specials, self.dtype, self._whole = ranks[FEED.encode()], specials, dtype, whole
+
+    def _odd(self, text: str) -> bool:
+        return bool(NOT_LATIN.search(text)) or any(s in text for s in self._specials)
+
+    def ids(self, bare: list[str], spaced: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As :meth:`Pieces.ids`."""
+        words, odd = bare + [" " + w for w in spaced], []
+        text = FEED.join(words)
+        if (
+            self._odd(text)
+            or text.count(FEED) != len(words) - 1
+            or any(s in text for s in BESIDE)
+            or any(SPACE_AT_END.search(w) for w in words[:1] + words[-1:])
+        ):
+            odd = [i for i, w in enumerate(words) if FEED in w or SPACE_AT_END.search(w) or self._odd(w)]
+            rest = [self._whole(words[i]) for i in odd]
+            for i in odd:
+                words[i] = "a"
+            text = FEED.join(words)
+        found = np.array(self._encode(text), self.dtype)
+        marks = np.flatnonzero(found == self._mark)
+        starts = np.concatenate([[0], marks + 1])[: len(words)]
+        sizes = np.append(marks, len(found))[: len(words)] - starts
+        if odd:
+            sizes[odd] = [len(x) // self.dtype.itemsize for x in rest]
+            starts[odd] = len(found) + np.cumsum(sizes[odd]) - sizes[odd]
+            found = np.concatenate([found, np.frombuffer(b"".join(rest), self.dtype)])
+        return found, starts, sizes
+
+
+def merge_ranks(form: dict, letters: list[str]) -> dict[bytes, int] | None:
+    """Ids by the bytes of their tokens, if the ids of the merged tokens rise in the
+    order of the merges, so that they rank these.  Of a vocabulary with word ends, a
+    token that ends a word has 128 added to its last byte, and only ASCII tokens are
+    there."""
+    model = form["model"]
+    vocab, ending = model["vocab"], model.get("end_of_word_suffix") or ""
+    pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    made = [vocab.get("".join(p)) for p in pairs]
+    if None in made or any(a >= b for a, b in zip(made, made[1:], strict=False)):
+        return None
+    byte_of, ranks = {c: i for i, c in enumerate(letters)}, {}
+    specials = {t["content"] for t in form["added_tokens"]}
+    for token, at in vocab.items():
+        whole = bool(ending) and token.endswith(ending)
+        body = token.removesuffix(ending) if whole else token
+        if token in specials or any(c not in byte_of for c in body):
+            continue
+        raw = bytes(byte_of[c] for c in body)
+        if ending and not raw.isascii():
+            continue
+        ranks[raw[:-1] + bytes([raw[-1] | 128]) if whole else raw] = at
+    return ranks if all(bytes([b]) in ranks for b in range(256)) else None
+
+
 class Encoder:
     """Ids of texts by a vocabulary file, as ``Tokenizer.encode`` returns them
     without added special tokens, truncation or padding."""
@@ -130,12 +215,21 @@ class Encoder:
         self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
         self.drops_spaces = form["normalizer"] is not None
         self._letters = byte_letters()
+        specials = [t["content"] for t in form["added_tokens"]]
+        ranks = merge_ranks(form, self._letters)
+        if ranks and not self.drops_spaces:
+            self.pieces = Words(ranks, specials, self.dtype, self._whole)
+            return
+        if ranks:
+            self._merge = tiktoken.Encoding(
+                "dimflow-words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={}
+            )._core_bpe.encode_single_piece
         self.pieces = Pieces(
             WORD_PIECES if self.drops_spaces else BYTE_PIECES,
             self.drops_spaces,
-            [t["content"] for t in form["added_tokens"]],
+            specials,
             self.dtype,
-            self._piece,
+            self._ranked_piece if ranks else self._piece,
             self._whole,
         )
 
@@ -143,6 +237,13 @@ class Encoder:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, self.dtype).tobytes()
 
+    def _ranked_piece(self, piece: str) -> bytes:
+        if not piece.isascii():
+            return self._piece(piece)
+        raw = piece.encode()
+        kind = "H" if self.dtype.itemsize == 2 else "I"
+        return array(kind, self._merge(raw[:-1] + bytes([raw[-1] | 128]))).tobytes()
+
     def _piece(self, piece: str) -> bytes:
         word = piece.removeprefix(" ")
         if word.isascii() and word.isalpha():
