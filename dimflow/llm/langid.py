@@ -7,6 +7,10 @@ in the context that is one byte shorter, down to a uniform choice of 256.  The
 statistics are frozen after training, so the cost of a byte depends on the four
 bytes that end with it alone, and the code length of a text is a sum of table
 lookups, done for all bytes of a batch at once.
+
+How well a text fits its language is told by its bits per byte against those that
+texts of the language took which the trees had not seen: part of the sample is scored
+by trees of the other part.
 """
 
 from __future__ import annotations
@@ -25,7 +29,9 @@ from dimflow.llm.tokens import slices
 
 ORDER = 3
 SAMPLE_DOCUMENTS = 1000  # labelled texts per language that the trees are fitted on
-SAMPLE_BYTES = 32768  # longer texts are not taken into the sample
+SAMPLE_BYTES = 32768  # longer texts are taken only where there are too few others
+SAMPLE_TOTAL = 32 << 20  # bytes per language after which no further text is taken
+CALIBRATED = 5  # one in so many texts of the sample is scored by trees of the others
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 HASH_RANGE = 1 << 40
@@ -85,6 +91,7 @@ class Model:
     def __init__(self, languages: list[str], counts: dict[int, tuple]):
         """``counts``: for each order, window, language and times as arrays."""
         self.languages = languages
+        self.rates = np.full(len(languages), 8.0)  # expected bits per byte
         self.levels: list[Level] = []
         for order in range(ORDER + 1):
             window, language, times = counts[order]
@@ -155,19 +162,34 @@ def text_windows(texts: list[bytes]) -> np.ndarray:
 
 def sample_per_language(labelled: DataFrame) -> DataFrame:
     """The first ``SAMPLE_DOCUMENTS`` distinct texts of each language by hash, or all
-    where there are fewer.
+    where there are fewer; texts over ``SAMPLE_BYTES`` come after the others, and none
+    is taken after ``SAMPLE_TOTAL`` bytes.
 
     The hashes alone are made distinct and counted.  Texts far from the front by
     their hash are then dropped before any shuffle, as are copies within a task.
     """
-    hashed = labelled.withColumn("hash", F.xxhash64("text")).withColumn(
-        "at", F.pmod("hash", F.lit(HASH_RANGE))
+    hashed = labelled.withColumns(
+        {
+            "hash": F.xxhash64("text"),
+            "size": F.octet_length("text").cast("bigint"),
+            "long": F.octet_length("text") > SAMPLE_BYTES,
+        }
+    ).withColumn("at", F.pmod("hash", F.lit(HASH_RANGE)))
+    sizes = (
+        hashed.select("lang", "hash", "long")
+        .distinct()
+        .groupBy("lang")
+        .agg(F.count_if(~F.col("long")).alias("n_short"), F.count_if("long").alias("n_long"))
     )
-    sizes = hashed.select("lang", "hash").distinct().groupBy("lang").agg(F.count("*").alias("n"))
-    front = F.lit(False)
-    for lang, n in sizes.collect():
-        share = min(1.0, 4 * SAMPLE_DOCUMENTS / n)
-        front = front | ((F.col("lang") == lang) & (F.col("at") <= int(share * HASH_RANGE)))
+
+    def share(n: str) -> Column:
+        most = F.lit(4.0 * SAMPLE_DOCUMENTS) / F.greatest(F.col(n), F.lit(1))
+        return F.least(most, F.lit(1.0)) * HASH_RANGE
+
+    missing = F.col("n_short") < SAMPLE_DOCUMENTS
+    front = F.when(~F.col("long"), share("n_short")).when(missing, share("n_long")).otherwise(-1)
+    near = hashed.join(sizes, "lang").filter(F.col("at") <= front)
+    near = near.select("text", "lang", "hash", "long", "at", "size")
 
     def drop_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple] = set()
@@ -176,60 +198,83 @@ def sample_per_language(labelled: DataFrame) -> DataFrame:
             new = [i for i, k in enumerate(keys) if not (k in seen or seen.add(k))]
             yield batch.take(pa.array(new, pa.int64()))
 
-    near = hashed.filter(front).select("text", "lang", "hash", "at")
     distinct = near.mapInArrow(drop_copies, near.schema).dropDuplicates(["lang", "hash"])
-    first = Window.partitionBy("lang").orderBy("at", "hash")
-    return distinct.withColumn("rank", F.row_number().over(first)).filter(
+    first = Window.partitionBy("lang").orderBy("long", "at", "hash")
+    ranked = distinct.withColumn("rank", F.row_number().over(first)).filter(
         F.col("rank") <= SAMPLE_DOCUMENTS
     )
+    before = F.sum("size").over(first.rowsBetween(Window.unboundedPreceding, -1))
+    return ranked.withColumn("before", F.coalesce(before, F.lit(0))).filter(
+        F.col("before") <= SAMPLE_TOTAL
+    )
 
 
 def train(labelled: DataFrame, text: str, lang: str) -> Model:
     """Context trees of the languages in column ``lang``.
 
     Rows without language or text are left out.  The driver receives one row per
-    context window and language of the sample, which its two limits bound.
+    context window and language of the sample, which the limits of that bound for
+    each language; there must be few enough languages for their trees to fit a task.
     """
     chosen = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter(
-        F.col("lang").isNotNull() & F.octet_length("text").between(1, SAMPLE_BYTES)
+        F.col("lang").isNotNull() & (F.octet_length("text") > 0)
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
-            langs = batch.column("lang").to_pylist()
-            for name in sorted(set(langs)):
-                windows = text_windows([t for t, x in zip(texts, langs, strict=True) if x == name])
+            groups = list(zip(batch.column("lang").to_pylist(), batch.column("held").to_pylist(), strict=True))
+            for group in sorted(set(groups)):
+                windows = text_windows([t for t, x in zip(texts, groups, strict=True) if x == group])
                 values, times = np.unique(windows, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([name] * len(values), pa.string()),
+                        pa.array([group[0]] * len(values), pa.string()),
+                        pa.array([group[1]] * len(values), pa.bool_()),
                         pa.array(values.astype(np.int64)),
                         pa.array(times.astype(np.int64)),
                     ],
-                    names=["lang", "win", "n"],
+                    names=["lang", "held", "win", "n"],
                 )
 
-    windows = (
+    found = (
         sample_per_language(chosen)
-        .select("text", "lang")
-        .mapInArrow(count, "lang string, win bigint, n bigint")
-        .groupBy("lang", "win")
+        .select("text", "lang", (F.col("rank") % CALIBRATED == 0).alias("held"))
+        .mapInArrow(count, "lang string, held boolean, win bigint, n bigint")
+        .groupBy("lang", "held", "win")
         .agg(F.sum("n").alias("n"))
         .toArrow()
     )
     names, language = np.unique(
-        np.array(windows.column("lang").to_pylist(), dtype=object), return_inverse=True
+        np.array(found.column("lang").to_pylist(), dtype=object), return_inverse=True
     )
-    window = np.asarray(windows.column("win")).astype(np.uint32)
-    times = np.asarray(windows.column("n"))
-    counts = {k: (low_bytes(window, k + 1), language, times) for k in range(ORDER + 1)}
-    return Model(list(names), counts)
+    window = np.asarray(found.column("win")).astype(np.uint32)
+    times = np.asarray(found.column("n"))
+    held = np.asarray(found.column("held")).astype(bool)
+    model = fitted(list(names), window, language, times)
+    if held.any() and not held.all():
+        seen = fitted(list(names), window[~held], language[~held], times[~held])
+    else:
+        seen, held = model, np.ones(len(window), bool)
+    for i in range(len(names)):
+        mine = held & (language == i)
+        scorer = seen
+        if not mine.any():  # too few texts to keep one back
+            mine, scorer = language == i, model
+        bits = scorer.cost(window[mine])[:, i]
+        model.rates[i] = (bits * times[mine]).sum() / times[mine].sum()
+    return model
+
+
+def fitted(names: list[str], window: np.ndarray, language: np.ndarray, times: np.ndarray) -> Model:
+    return Model(names, {k: (low_bytes(window, k + 1), language, times) for k in range(ORDER + 1)})
 
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Language of each whole text and the share of it in the posterior of all
-    languages, taken as equally likely.
+    """Language of each whole text and a score from 0 to 1: the share of the language
+    in the posterior of all, taken as equally likely, times the bits per byte that its
+    texts are expected to take over those that this text takes, at most 1.  Text of
+    another language or script, or of no language, takes many more bits.
 
     A null text, one without a letter, and any text where nothing was learned,
     get ``und`` and 0.  Among languages of equal code length the first by name
@@ -260,10 +305,14 @@ def classify(model: Model, texts: list[str | None]) -> tuple[list[str], list[flo
     names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
     spoken = [i for i, t in enumerate(texts) if t and LETTER.search(t)]
     if model.languages and spoken:
-        bits = model.bits([texts[i].encode() for i in spoken])
+        raw = [texts[i].encode() for i in spoken]
+        bits = model.bits(raw)
         best = bits.argmin(axis=1)
-        share = 1 / np.exp2(np.minimum(bits.min(axis=1, keepdims=True) - bits, 0)).sum(axis=1)
-        for i, b, s in zip(spoken, best.tolist(), share.tolist(), strict=True):
+        least = bits.min(axis=1)
+        share = 1 / np.exp2(np.minimum(least[:, None] - bits, 0)).sum(axis=1)
+        rate = np.maximum(least / np.fromiter(map(len, raw), float, len(raw)), 1e-9)
+        score = share * np.minimum(model.rates[best] / rate, 1)
+        for i, b, s in zip(spoken, best.tolist(), score.tolist(), strict=True):
             names[i], scores[i] = model.languages[b], s
     return names, scores
 

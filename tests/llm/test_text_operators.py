@@ -153,6 +153,59 @@ def test_unknown_texts(make_docs):
     assert langid.predict(make_docs([]), model).count() == 0
 
 
+def prose_model(spark, make_docs):
+    rng = random.Random(5)
+    kinds = {"xx": "aeioulmn", "yy": "aeioukzt"}
+    names = [rng.choice([*kinds]) for _ in range(400)]
+    texts = [language(rng, kinds[n], 60) for n in names]
+    return rng, kinds, langid.train(make_docs(texts, lang=names), "text", "lang")
+
+
+def test_score_tells_prose_from_junk_and_other_scripts(spark, make_docs):
+    rng, kinds, model = prose_model(spark, make_docs)
+    clean = [language(rng, letters, n) for letters in kinds.values() for n in (10, 60, 2000)]
+    junk = [
+        language(rng, "#$%&*^@|~q", 60), language(rng, "BCDFGHJKLM", 60), language(rng, "0123456789abcdef", 60),
+        language(rng, "абвгдежзик", 60), language(rng, "日本語文字列", 60), language(rng, "bcdfghjpqrsvwxy", 60),
+    ]
+    names, scores = langid.classify(model, clean + junk)
+    assert names[:6] == ["xx"] * 3 + ["yy"] * 3
+    assert min(scores[:6]) > 0.8 and max(scores[6:]) < 0.5
+    assert all(0 <= s <= 1 for s in scores)
+
+
+def test_one_long_text_scores_as_its_parts(spark, make_docs):
+    """A text longer than a scoring step is scored whole."""
+    rng, kinds, model = prose_model(spark, make_docs)
+    text = language(rng, kinds["xx"], 400_000)
+    assert len(text) > langid.STEP
+    (alone,) = model.bits([text.encode()])
+    before, after = model.bits([text[:1_000_000].encode(), text[999_997:].encode()])
+    seam = model.bits([text[999_997:1_000_000].encode()])[0]
+    assert alone == pytest.approx(before + after - seam, rel=1e-9)
+    assert langid.classify(model, [text, text + "б"])[0] == ["xx", "xx"]
+
+
+def test_equal_code_lengths_take_the_first_name(make_docs):
+    docs = make_docs(["abc"] * 4, lang=["m", "k", "k", "m"])
+    model = langid.train(docs, "text", "lang")
+    assert langid.classify(model, ["abc", "cab"]) == (["k", "k"], [pytest.approx(0.5), pytest.approx(0.5, abs=0.5)])
+
+
+def test_a_language_of_long_texts_is_learned(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_BYTES", 100)
+    rng = random.Random(6)
+    texts = [language(rng, "aeiou", 80) for _ in range(6)] + [language(rng, "xyzvw", 8) for _ in range(6)]
+    docs = make_docs(texts, lang=["long"] * 6 + ["short"] * 6)
+    model = langid.train(docs, "text", "lang")
+    assert model.languages == ["long", "short"]
+    assert langid.classify(model, [texts[0], texts[-1]])[0] == ["long", "short"]
+    monkeypatch.setattr(langid, "SAMPLE_TOTAL", 150)
+    kept = langid.sample_per_language(docs.select("text", "lang"))
+    sizes = {r["lang"]: r["n"] for r in kept.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    assert sizes["long"] == 1 and 1 < sizes["short"] <= 6
+
+
 # SimHash
 
 
