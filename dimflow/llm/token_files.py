@@ -19,10 +19,10 @@ The rank table lies beside them.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,60 +64,47 @@ def decode_block(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, key: str, text: str) -> DataFrame:
-    """Key, number of ids and packed ids of each document."""
+    """Key, number of ids and ids of each document, in as many bytes as the vocabulary
+    needs; and after the documents of each task, a row without ids for every id that
+    the task has seen, as ``key``, with its count, as ``n``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, press = Encoder(tokenizer), zstandard.ZstdCompressor(level=3)
+        encoder, kind = Encoder(tokenizer), id_type(tokenizer, end_id)
+        seen = np.zeros(max(encoder.size, end_id + 1), np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
                 flat, counts = encoder.encode(part.column("text"))
-                end = np.array([end_id], "<u4").tobytes()
-                wide = flat.astype("<u4").tobytes()
-                ends = np.cumsum(counts)
-                whole = [
-                    wide[4 * a : 4 * b] + end
-                    for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True)
-                ]
+                ids = np.insert(flat.astype(kind), np.cumsum(counts), end_id)
+                seen += np.bincount(ids, minlength=len(seen))
+                bounds = np.concatenate([[0], np.cumsum(counts + 1)]) * ids.itemsize
+                raw = pa.Array.from_buffers(
+                    pa.large_binary(), len(counts), [None, pa.py_buffer(bounds), pa.py_buffer(ids)]
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("key"),
-                        pa.array(counts + 1),
-                        pa.array([press.compress(_planes(w)) for w in whole], pa.binary()),
-                    ],
+                    [part.column("key"), pa.array(counts + 1), raw.cast(pa.binary())],
                     names=["key", "n", "ids"],
                 )
+        used = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used), pa.array(seen[used]), pa.nulls(len(used), pa.binary())],
+            names=["key", "n", "ids"],
+        )
 
     chosen = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
     return chosen.mapInArrow(run, "key bigint, n bigint, ids binary")
 
 
-def _planes(ids: bytes) -> bytes:
-    """Bytes of ids by significance, which compress better."""
-    return np.frombuffer(ids, np.uint8).reshape(-1, 4).T.tobytes()
-
-
-def _unpack(packed: bytes, n: int) -> np.ndarray:
-    raw = zstandard.decompress(packed, max_output_size=4 * n)
-    return np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view("<u4").reshape(-1)
+@cache
+def id_type(tokenizer: str, end_id: int) -> np.dtype:
+    size = max(Encoder(tokenizer).size, end_id + 1)
+    return np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
 
 
 def frequency_ranks(tokens: DataFrame) -> list[int]:
     """The ids that occur, by their count over all documents, the most frequent
     first.  What reaches the driver is bounded by the vocabulary."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            for packed, n in zip(*map(pa.Array.to_pylist, batch.columns), strict=True):
-                mine = np.bincount(_unpack(packed, n), minlength=len(total))
-                mine[: len(total)] += total
-                total = mine
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
-
-    counted = tokens.select("ids", "n").mapInArrow(count, "id bigint, n bigint")
-    rows = counted.groupBy("id").agg(F.sum("n").alias("n")).collect()
-    return [r["id"] for r in sorted(rows, key=lambda r: (-r["n"], r["id"]))]
+    counted = tokens.filter("ids IS NULL").groupBy("key").agg(F.sum("n").alias("n")).collect()
+    return [r["key"] for r in sorted(counted, key=lambda r: (-r["n"], r["key"]))]
 
 
 def write_token_files(
@@ -127,19 +114,20 @@ def write_token_files(
     """Write the ids of all documents to ``folder`` in ascending key order.
 
     Each document's ids end with ``end_id``; a null or empty text gives that id
-    alone.  Rows with one key follow each other in the order of their packed
-    ids; a null key comes first.  Other columns are ignored.  An empty table
-    gives files without blocks.
+    alone.  Rows with one key follow each other in the order of a hash of their ids,
+    and may lie in several parts; a null key comes first.  Other columns are
+    ignored.  An empty table gives files without blocks.
     """
     spark = docs.sparkSession
     held = new_folder(spark)
     encode_documents(docs, tokenizer, end_id, key, text).write.option(
-        "compression", "none"
+        "compression", "zstd"
     ).parquet(held)
     tokens = spark.read.parquet(held)
     ranked = frequency_ranks(tokens)
     ranks = np.zeros(max(ranked, default=0) + 1, "<u4")
     ranks[ranked] = np.arange(len(ranked))
+    kind = id_type(tokenizer, end_id)
     pairs = [(i, rank) for rank, i in enumerate(ranked)]
     spark.createDataFrame(pairs, "id bigint, rank bigint").coalesce(1).write.parquet(f"{folder}/ranks")
 
@@ -163,14 +151,21 @@ def write_token_files(
             for k, n, packed in zip(*map(pa.Array.to_pylist, batch.columns), strict=True):
                 keys.append(k)
                 counts.append(n)
-                ids.append(_unpack(packed, n))
+                ids.append(np.frombuffer(packed, kind))
                 held_ids += n
                 if held_ids >= BLOCK_IDS:
                     yield close()
         if keys:
             yield close()
 
-    in_order = tokens.repartitionByRange("key").sortWithinPartitions("key", "ids")
+    # rows of one key are told apart by their ids, equal ones by their place
+    order = ["key", "hash", "place"]
+    in_order = (
+        tokens.filter("ids IS NOT NULL")
+        .withColumns({"hash": F.xxhash64("ids"), "place": F.monotonically_increasing_id()})
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+    )
     in_order.select("key", "n", "ids").mapInArrow(blocks, BLOCK_SCHEMA).write.parquet(
         f"{folder}/blocks"
     )
