@@ -7,9 +7,15 @@ shard is scanned, and the beam must have found nearly all of their links.
 Cosines of what the beams hold are verified in double precision.
 
 Copies of one vector are one node with a count.  Of the links that a task finds
-for a block, the counts and a spanning forest go on, not the pairs: these are
-verified and folded in runs of bounded size.  Queries travel in blocks; a task
-streams the blocks of its shard past one graph.
+for a block, the counts and a spanning forest go on: pairs are verified and folded
+in runs of bounded size.  Queries travel in blocks; a task streams the blocks of its
+shard past one graph.
+
+A search by beam may miss a link that the search from its other end finds.  So the
+few links of a query whose beam sufficed go on as pairs, too, and one that was found
+from one end only is credited to the other.  A query that was answered by a scan has
+missed nothing; of its links those go on that lead to a place with few neighbours in
+its own shard, as only such a place is searched by beam elsewhere.
 """
 
 from __future__ import annotations
@@ -18,15 +24,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.llm.components import components
 from dimflow.llm.hnsw import Graph
 from dimflow.llm.storage import Stored
 
-SHARDS = 8  # at least
-SHARD_VECTORS = 100_000  # at most in a graph, up to the evenness of the deal
+SHARDS = 8  # at least, where each gets LEAST_VECTORS
+LEAST_VECTORS = 1024
+SHARD_BYTES = 48 << 20  # of vectors in a graph, up to the evenness of the deal
 SLICES = 4  # tasks per shard
 BLOCK = 512  # queries that are searched together
 BEAM = 32
@@ -67,10 +74,14 @@ def unit(packed: list[bytes]) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def build_shard(nodes: pa.Table) -> pa.Table:
-    """The graph of one shard, as one row."""
+def build_shard(nodes: pa.Table, threshold: float) -> pa.Table:
+    """The graph of one shard, as one row; ``sparse`` are the places whose links within
+    the shard end within a beam."""
     nodes = nodes.sort_by("node")
     vectors = unit(nodes.column("packed").to_pylist())
+    graph = Graph.build(vectors)
+    _, near = graph.search(vectors.astype(np.float32), BEAM)
+    sparse = near[:, -1] < threshold - NEAR
     return pa.table(
         {
             "size": nodes.column("size").slice(0, 1),
@@ -78,7 +89,8 @@ def build_shard(nodes: pa.Table) -> pa.Table:
             "nodes": pa.array([nodes.column("node").to_pylist()], pa.list_(pa.int64())),
             "counts": pa.array([nodes.column("copies").to_pylist()], pa.list_(pa.int64())),
             "vectors": pa.array([vectors.tobytes()], pa.binary()),
-            "graph": pa.array([Graph.build(vectors).to_bytes()], pa.binary()),
+            "graph": pa.array([graph.to_bytes()], pa.binary()),
+            "sparse": pa.array([np.packbits(sparse).tobytes()], pa.binary()),
         }
     )
 
@@ -90,33 +102,40 @@ class ShardIndex:
         self.nodes = np.array(row["nodes"], np.int64)
         self.counts = np.array(row["counts"], np.int64)
         self.vectors = np.frombuffer(row["vectors"], np.float64).reshape(len(self.nodes), -1)
-        self.graph = Graph.from_bytes(row["graph"])
+        self.graph = Graph.from_bytes(row["graph"], self.vectors)
+        bits = np.frombuffer(row.get("sparse") or b"", np.uint8)
+        self.sparse = np.unpackbits(bits, count=len(self.nodes)).astype(bool) if len(bits) else None
 
     def links(self, queries: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (query, place in the shard) with a cosine of ``threshold`` or more."""
-        runs = [(np.empty(0, int), np.empty(0, int)), *self.runs(queries, threshold)]
+        runs = [(np.empty(0, int), np.empty(0, int), True), *self.runs(queries, threshold)]
         return np.concatenate([r[0] for r in runs]), np.concatenate([r[1] for r in runs])
 
-    def runs(self, queries: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """The same pairs in runs, each of which takes bounded memory."""
+    def runs(
+        self, queries: np.ndarray, threshold: float, scanned: list | None = None
+    ) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+        """The same pairs in runs, each of which takes bounded memory, and whether they
+        were found by a scan; ``scanned`` gets the queries that were answered so."""
         step = max(1, RUN_BYTES // self.vectors[:1].nbytes)
-        for rows, places in self.candidates(queries, threshold):
+        for rows, places, by_scan in self.candidates(queries, threshold, scanned):
             for a in range(0, len(rows), step):
                 row, place = rows[a : a + step], places[a : a + step]
                 exact = np.einsum("ij,ij->i", queries[row], self.vectors[place])
-                yield row[exact >= threshold], place[exact >= threshold]
+                yield row[exact >= threshold], place[exact >= threshold], by_scan
 
     def candidates(
-        self, queries: np.ndarray, threshold: float
-    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        self, queries: np.ndarray, threshold: float, scanned: list | None = None
+    ) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
         beam, left = BEAM, np.arange(len(queries))
         single = queries.astype(np.float32)
         audited = left[:: max(1, len(left) // AUDITED)]
         while len(left):
             if 2 * beam >= len(self.nodes):  # as cheap as the beam, and whole
+                if scanned is not None:
+                    scanned.extend(left.tolist())
                 for part in parts(left, len(self.nodes)):
                     rows, places = self.scan(queries[part], threshold)
-                    yield part[rows], places
+                    yield part[rows], places, True
                 break
             again = []
             checked = np.isin(left, audited)
@@ -129,7 +148,7 @@ class ShardIndex:
                 hits, at = np.nonzero(
                     (near >= threshold - NEAR) & (ids >= 0) & ~ends_above[:, None]
                 )
-                yield part[hits], ids[hits, at]
+                yield part[hits], ids[hits, at], False
                 again.append(part[ends_above])
             left, beam = np.concatenate(again), 2 * beam
 
@@ -201,6 +220,50 @@ class Fold:
                 self.right.append(y)
 
 
+LINKS = "kind int, a bigint, b bigint, n bigint"
+#: Of a row of links: the links that the search of ``a`` found, an edge of the forest,
+#: that ``a`` was answered by a scan in shard ``b``, a link found from ``a``.
+COUNT, EDGE, SCANNED, PAIR = range(4)
+
+
+def links_found(kind: int, a: np.ndarray, b: np.ndarray | None, n: np.ndarray | None = None):
+    size = len(a)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([kind] * size, pa.int32()),
+            pa.array(a, pa.int64()),
+            pa.nulls(size, pa.int64()) if b is None else pa.array(b, pa.int64()),
+            pa.nulls(size, pa.int64()) if n is None else pa.array(n, pa.int64()),
+        ],
+        names=["kind", "a", "b", "n"],
+    )
+
+
+def shard_of(node: Column, shards: int) -> Column:
+    return F.pmod(F.xxhash64(node), F.lit(shards)).cast("int")
+
+
+def missed_links(found: DataFrame, nodes: DataFrame, shards: int) -> DataFrame:
+    """``node`` and ``n``: the vectors of links that were found from their other end
+    alone.  A node that was answered by a scan in the shard of the other has missed
+    none there."""
+    pairs = found.filter((F.col("kind") == PAIR) & (F.col("a") != F.col("b")))
+    once = (
+        pairs.groupBy(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
+        .agg(F.min("a").alias("finder"), F.max("a").alias("other"))
+        .filter("finder = other")
+        .withColumn("node", F.col("low") + F.col("high") - F.col("finder"))
+    )
+    scanned = found.filter(F.col("kind") == SCANNED).select(
+        F.col("a").alias("node"), F.col("b").cast("int").alias("shard")
+    )
+    missed = once.withColumn("shard", shard_of(F.col("finder"), shards)).join(
+        scanned, ["node", "shard"], "left_anti"
+    )
+    copies = nodes.select(F.col("node").alias("finder"), F.col("copies").alias("n"))
+    return missed.join(copies, "finder").select("node", "n")
+
+
 def near_duplicates(
     vectors: DataFrame, held: Stored, threshold: float = 0.95,
     key: str = "vec_id", vector: str = "embedding",
@@ -218,19 +281,20 @@ def near_duplicates(
     usable = packed.filter("packed IS NOT NULL")
     grouped = usable.groupBy("packed").agg(F.count("*").alias("copies"), F.min("key").alias("low"))
     nodes = held.keep(grouped.withColumn("node", F.monotonically_increasing_id()))
-    total = nodes.count()
-    shards = max(SHARDS, -(-total // SHARD_VECTORS))
+    size = nodes.agg(F.count("*").alias("n"), F.sum(F.octet_length("packed")).alias("bytes")).first()
+    shards = max(1, min(SHARDS, size["n"] // LEAST_VECTORS), -(-(size["bytes"] or 0) // SHARD_BYTES))
     dealt = nodes.select(
         F.octet_length("packed").alias("size"),
-        F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int").alias("shard"),
+        shard_of(F.col("node"), shards).alias("shard"),
         "node",
         "copies",
         "packed",
     )
     graphs = held.keep(
         dealt.groupBy("size", "shard").applyInArrow(
-            build_shard,
-            "size int, shard int, nodes array<bigint>, counts array<bigint>, vectors binary, graph binary",
+            lambda nodes: build_shard(nodes, threshold),
+            "size int, shard int, nodes array<bigint>, counts array<bigint>, vectors binary, "
+            "graph binary, sparse binary",
         )
     )
 
@@ -265,10 +329,11 @@ def near_duplicates(
         nothing.cast("array<bigint>").alias("nodes"),
         nothing.cast("array<bigint>").alias("counts"),
         nothing.cast("binary").alias("graph"),
+        nothing.cast("binary").alias("sparse"),
     )
     served = graphs.withColumn("slice", slices).select(
         "size", "shard", "slice", F.lit(0).alias("kind"), nothing.cast("binary").alias("ids"),
-        F.col("vectors").alias("body"), "nodes", "counts", "graph",
+        F.col("vectors").alias("body"), "nodes", "counts", "graph", "sparse",
     )
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,26 +351,28 @@ def near_duplicates(
                 width = row["size"]
                 raw = row["body"]
                 asked = unit([raw[a : a + width] for a in range(0, len(raw), width)])
-                fold = Fold(ids, index.nodes, index.counts)
-                for rows, places in index.runs(asked, threshold):
+                fold, scanned, pairs = Fold(ids, index.nodes, index.counts), [], []
+                for rows, places, by_scan in index.runs(asked, threshold, scanned):
                     fold.add(rows, places)
-                found, a, b = fold.found, fold.left, fold.right
-                some = np.flatnonzero(found)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids[some].tolist() + a, pa.int64()),
-                        pa.array([None] * len(some) + b, pa.int64()),
-                        pa.array(found[some].tolist() + [0] * len(a), pa.int64()),
-                    ],
-                    names=["a", "b", "n"],
-                )
+                    if by_scan:
+                        rows, places = rows[index.sparse[places]], places[index.sparse[places]]
+                    pairs.append((ids[rows], index.nodes[places]))
+                some = np.flatnonzero(fold.found)
+                yield links_found(COUNT, ids[some], None, fold.found[some])
+                yield links_found(EDGE, np.array(fold.left), np.array(fold.right))
+                yield links_found(SCANNED, ids[scanned], np.full(len(scanned), row["shard"]))
+                for one, other in pairs:
+                    yield links_found(PAIR, one, other)
 
     units = served.unionByName(asked).repartition(
         shards * SLICES, "size", "shard", "slice"
     ).sortWithinPartitions("size", "shard", "slice", "kind")
-    found = held.keep(units.mapInArrow(answer, "a bigint, b bigint, n bigint"))
-    links = found.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
-    roots = components(found.filter("b IS NOT NULL").select("a", "b"), held)
+    found = held.keep(units.mapInArrow(answer, LINKS))
+    by_search = found.filter(F.col("kind") == COUNT).select(F.col("a").alias("node"), "n")
+    credited = missed_links(found, nodes, shards)
+    links = by_search.unionByName(credited).groupBy("node").agg(F.sum("n").alias("n"))
+    edges = found.filter(F.col("kind") == EDGE)
+    roots = components(edges.select("a", "b"), held)
     joined = (
         nodes.join(links, "node", "left")
         .join(roots, "node", "left")

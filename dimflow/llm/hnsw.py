@@ -45,16 +45,17 @@ class Graph:
         return graph
 
     def to_bytes(self) -> bytes:
+        """Levels and links; the vectors are kept by the caller."""
         out = io.BytesIO()
         layers = {f"layer{k}": x for k, x in enumerate(self.links)}
-        np.savez(out, vectors=self.vectors, level=self.level, **layers)
+        np.savez(out, level=self.level, **layers)
         return out.getvalue()
 
     @classmethod
-    def from_bytes(cls, raw: bytes) -> Graph:
+    def from_bytes(cls, raw: bytes, vectors: np.ndarray) -> Graph:
         with np.load(io.BytesIO(raw)) as held:
-            links = [held[f"layer{k}"] for k in range(len(held.files) - 2)]
-            graph = cls(held["vectors"], held["level"], links)
+            links = [held[f"layer{k}"] for k in range(len(held.files) - 1)]
+            graph = cls(vectors.astype(np.float32), held["level"], links)
         graph.entry = int(np.argmax(graph.level)) if len(graph.level) else -1
         return graph
 
