@@ -17,9 +17,10 @@ bytes recur need to be looked at.
    their prefix of ``span`` bytes; the names are sorted, and neighbours with equal
    prefixes are repeated strings.
 
-Names are 64-bit hashes; in steps 2 and 3 the target of a name comes from a second,
-independent hash, which is compared too.  Texts are cut into shards of some
-megabytes.  For each step a shard sends each of its names once, in one packed
+Step 1 only discards, so 64-bit hashes are names enough there.  In steps 2 and 3 a
+name is 128 bits, two hashes of different form, and strings of one name are taken as
+equal: among 10**13 places that are two different strings with a chance of 10**-13.
+Texts are cut into shards of some megabytes.  For each step a shard sends each of its names once, in one packed
 block per target, and gets back one bit per name.  So a name that a third of all
 documents hold costs one entry per shard.  Shards are stored bucketed by number,
 so the answers come to them and the text is not shuffled.
@@ -93,8 +94,11 @@ class Shard:
                 found.append(places[places + width <= size] + start)
         return np.concatenate(found) if found else np.empty(0, np.int64)
 
-    def names(self, places: np.ndarray, sizes: np.ndarray | int, factor: int) -> np.ndarray:
+    def names(
+        self, places: np.ndarray, sizes: np.ndarray | int, factor: int, mix=None
+    ) -> np.ndarray:
         """Hash of the ``sizes`` bytes at each place."""
+        mix = mix or _mix
         mixed = np.full(len(places), factor, np.uint64)
         sizes = np.broadcast_to(np.asarray(sizes, np.int64), places.shape)
         mixed += sizes.astype(np.uint64)
@@ -104,16 +108,20 @@ class Shard:
         last = places + np.maximum(sizes - LETTER, 0)
         for step in range(0, max(most - LETTER, 0), LETTER):
             if same:
-                mixed = _mix(mixed ^ self.letters[places + step], k)
+                mixed = mix(mixed ^ self.letters[places + step], k)
             else:
                 more = np.flatnonzero(step < sizes - LETTER)
-                mixed[more] = _mix(mixed[more] ^ self.letters[places[more] + step], k)
+                mixed[more] = mix(mixed[more] ^ self.letters[places[more] + step], k)
         tail = self.letters[last]
         short = sizes < LETTER
         if short.any():
             low = (np.uint64(1) << (8 * sizes).astype(np.uint64)) - np.uint64(1)
             tail = np.where(short, tail & low, tail)
-        return _mix(_mix(mixed ^ tail, k), k)
+        return mix(mix(mixed ^ tail, k), k)
+
+    def strong_names(self, places: np.ndarray, sizes: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+        """Both halves of the 128-bit hash of the ``sizes`` bytes at each place."""
+        return self.names(places, sizes, FACTORS[0]), self.names(places, sizes, FACTORS[1], _turn)
 
     def wide(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and size of the longer strings around rising sample places.  Near
@@ -132,20 +140,31 @@ def _mix(value: np.ndarray, factor: np.uint64) -> np.ndarray:
     return value ^ (value >> np.uint64(32))
 
 
+def _turn(value: np.ndarray, factor: np.uint64) -> np.ndarray:
+    value = (value << np.uint64(29)) | (value >> np.uint64(35))
+    value = (value ^ (value >> np.uint64(31))) * factor + np.uint64(FACTORS[0])
+    return value ^ (value >> np.uint64(33))
+
+
 class Names:
     """Distinct names of a shard in the order they are sent in: by target, then
-    by name.  ``row`` leads from a place to its name."""
+    by name.  ``row`` leads from a place to its name; ``more`` has the other half of
+    names of 128 bits."""
 
-    def __init__(self, names: np.ndarray, targets: np.ndarray):
-        order = np.argsort(names, kind="stable")
-        order = order[np.argsort(targets[order], kind="stable")]
+    def __init__(self, names: np.ndarray, targets: np.ndarray, more: np.ndarray | None = None):
+        keys = [names, targets] if more is None else [more, names, targets]
+        order = np.lexsort(keys)
         names, targets = names[order], targets[order]
         new = np.ones(len(order), bool)
         new[1:] = (names[1:] != names[:-1]) | (targets[1:] != targets[:-1])
+        if more is not None:
+            more = more[order]
+            new[1:] |= more[1:] != more[:-1]
         self.row = np.empty(len(order), np.int64)
         self.row[order] = np.cumsum(new) - 1
         self.first = order[new]  # the place that holds a name first
         self.names, self.targets = names[new], targets[new]
+        self.more = None if more is None else more[new]
         self.many = np.diff(np.append(np.flatnonzero(new), len(order))) > 1
 
     def blocks(self, number: int, short: bool, bits: int) -> pa.RecordBatch:
@@ -160,7 +179,8 @@ class Names:
                 rest = self.names[a:b] << np.uint64(bits)
                 keys.append(rest.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes())
             else:
-                keys.append(self.names[a:b].astype(">u8").tobytes())
+                halves = np.stack([self.names[a:b], self.more[a:b]], axis=1)
+                keys.append(halves.astype(">u8").tobytes())
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([int(self.targets[a]) for a in starts], pa.int64()),
@@ -187,19 +207,20 @@ def recurring(blocks: pa.Table) -> pa.Table:
     raw = b"".join(blocks.column("names").to_pylist())
     total = int(counts.sum())
     width = len(raw) // total
-    wide = np.zeros((total, 8), np.uint8)
-    wide[:, 8 - width :] = np.frombuffer(raw, np.uint8).reshape(total, width)
-    names = wide.view(">u8").reshape(-1).astype(np.uint64)
+    halves = -(-width // 8)  # names of 40 or of 128 bits
+    wide = np.zeros((total, 8 * halves), np.uint8)
+    wide[:, 8 * halves - width :] = np.frombuffer(raw, np.uint8).reshape(total, width)
+    names = wide.view(">u8").reshape(total, halves).astype(np.uint64)
     many = np.concatenate(
         [
             np.unpackbits(np.frombuffer(m, np.uint8), count=n)
             for m, n in zip(blocks.column("many").to_pylist(), counts.tolist(), strict=True)
         ]
     ).astype(bool)
-    order = np.argsort(names, kind="stable")
+    order = np.lexsort(names.T[::-1])
     names = names[order]
     new = np.ones(total, bool)
-    new[1:] = names[1:] != names[:-1]
+    new[1:] = (names[1:] != names[:-1]).any(axis=1)
     run = np.cumsum(new) - 1
     again = np.bincount(run) > 1
     again |= np.bincount(run, weights=many[order]) > 0
@@ -256,8 +277,8 @@ class Steps:
         kept = self.places[answered(answers, "repeated")[names.row]]
         self.starts, sizes = self.shard.wide(kept)
         self.last = self.starts + sizes - self.shard.span
-        a, b = (self.shard.names(self.starts, sizes, f) for f in FACTORS)
-        return Names(b, self.targets(a))
+        a, b = self.shard.strong_names(self.starts, sizes)
+        return Names(b, self.targets(a), a)
 
     def rest(self, answers, longer_answers) -> Names:
         """``self.known``: starts known to be repeated; ``self.open``: places to send."""
@@ -271,8 +292,8 @@ class Steps:
         told = self._between(self.starts, self.last, repeated & ~(first & holder))
         every = np.ones(len(self.starts), bool)
         self.open = np.flatnonzero(self._between(self.starts, self.last, every) & ~told)
-        a, b = (shard.names(self.open, shard.span, f) for f in FACTORS)
-        return Names(b, self.targets(a))
+        a, b = shard.strong_names(self.open, shard.span)
+        return Names(b, self.targets(a), a)
 
     def covered(self, answers, longer_answers, rest_answers) -> np.ndarray:
         """Whether each byte belongs to a repeated string."""
@@ -343,7 +364,8 @@ def remove_repeats(docs: DataFrame, held: Stored, span: int = 200, text: str = "
     and ``kept`` (the remaining bytes).  Texts are UTF-8 bytes, a null one is
     empty.  Strings are judged on the input; they may overlap, and none crosses
     texts.  Rows that repeat a text are copies of each other.  Texts under
-    ``span`` bytes keep all.  An empty table gives no rows.
+    ``span`` bytes keep all.  An empty table gives no rows.  A text is read by one
+    task, whatever its length, which takes some 20 bytes for each of its bytes.
     """
     shards = make_shards(docs, text)
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
