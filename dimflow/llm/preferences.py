@@ -52,9 +52,11 @@ def segments(turns: Column) -> Column:
     return F.flatten(F.transform(turns, of_turn))
 
 
-def format_pairs(pairs: DataFrame, key: str, chosen: str, rejected: str) -> DataFrame:
-    """``key``, ``common`` (turns in the prompt), ``prompt``, and the segments of
-    ``chosen`` and ``rejected``.
+def format_pairs(
+    pairs: DataFrame, key: str, chosen: str, rejected: str, carried: tuple[str, ...] = ()
+) -> DataFrame:
+    """``key``, the ``carried`` columns, ``common`` (turns in the prompt), ``prompt``, and
+    the segments of ``chosen`` and ``rejected``.
 
     Conversations are arrays of structs of role and text; a null one is empty.
     Equal conversations are all prompt and have empty completions, as has one
@@ -64,6 +66,7 @@ def format_pairs(pairs: DataFrame, key: str, chosen: str, rejected: str) -> Data
     turns = "array<struct<role:string,text:string>>"
     both = pairs.select(
         F.col(key).alias("key"),
+        *carried,
         F.coalesce(F.col(chosen).cast(turns), F.array().cast(turns)).alias("chosen"),
         F.coalesce(F.col(rejected).cast(turns), F.array().cast(turns)).alias("rejected"),
     ).withColumn("common", common_turns(F.col("chosen"), F.col("rejected")))
@@ -74,6 +77,7 @@ def format_pairs(pairs: DataFrame, key: str, chosen: str, rejected: str) -> Data
 
     return both.select(
         "key",
+        *carried,
         "common",
         render(F.slice("chosen", F.lit(1), F.col("common"))).alias("prompt"),
         segments(rest(F.col("chosen"))).alias("chosen"),
@@ -84,9 +88,15 @@ def format_pairs(pairs: DataFrame, key: str, chosen: str, rejected: str) -> Data
 def reply_pairs(
     turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role", text: str = "text"
 ) -> DataFrame:
-    """A pair per conversation that has a reply: ``chosen`` ends with its last
-    assistant turn; ``rejected`` says there what the assistant said before, or
-    nothing if it had not spoken.
+    """Pairs of ``chosen``, a whole conversation, and ``rejected``, the same with one
+    reply changed; ``changed`` is the place of that turn, from 1.
+
+    A conversation gives a pair whose last assistant turn says what the assistant said
+    before, or nothing if it had not spoken; and, with two replies or more, a pair whose
+    first assistant turn says what the second one does.  Later turns follow in both, so
+    the second pair differs early and goes on.  Replies of equal text leave the two
+    conversations equal.  A conversation without a reply gives one pair of equals, with
+    ``changed`` null.
 
     Turns follow ``order``, ties role and text; a null order comes first.
     Repeated rows are turns of their own.  A row without a key is a conversation
@@ -108,15 +118,26 @@ def reply_pairs(
         ),
         lambda i: i.isNotNull(),
     )
-    placed = grouped.unionByName(alone).withColumn("said", said).filter("size(said) > 0")
-    last, before = F.element_at("said", -1), F.get("said", F.size("said") - 2)
     pure = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    other = F.struct(
-        F.lit(ASSISTANT).alias("role"),
-        F.coalesce(F.get("turns", before - 1)["text"], F.lit("")).alias("text"),
+    placed = grouped.unionByName(alone).select("key", pure.alias("turns"), said.alias("said"))
+    n = F.size("said")
+
+    def change(place: Column, taken: Column) -> Column:
+        return F.struct(place.alias("changed"), taken.alias("taken"))
+
+    nothing = F.lit(None).cast("int")
+    last = F.when(n > 0, change(F.get("said", n - 1), F.get("said", n - 2)))
+    first = F.when(n > 1, change(F.get("said", F.lit(0)), F.get("said", F.lit(1))))
+    none = F.when(n == 0, change(nothing, nothing))
+    changes = F.array_compact(F.array(last, first, none))
+    pairs = placed.select("key", "turns", F.explode(changes).alias("change")).select(
+        "key", "turns", "change.*"
     )
-    return placed.select(
-        "key",
-        F.slice(pure, F.lit(1), last).alias("chosen"),
-        F.concat(F.slice(pure, F.lit(1), last - 1), F.array(other)).alias("rejected"),
+    other = F.coalesce(F.get("turns", F.col("taken") - 1)["text"], F.lit(""))
+    rejected = F.transform(
+        "turns",
+        lambda t, i: F.when(
+            i + 1 == F.col("changed"), F.struct(t["role"].alias("role"), other.alias("text"))
+        ).otherwise(t),
     )
+    return pairs.select("key", "changed", F.col("turns").alias("chosen"), rejected.alias("rejected"))

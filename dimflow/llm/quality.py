@@ -26,13 +26,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimflow.llm.storage import Stored
+from dimflow.llm.tokens import slices
 
 WHITE = b" \t\n\v\f\r"
 SYMBOLS = b"#*$%&|<>"
 CONTINUATION = bytes(range(0x80, 0xC0))
 
 MIN_DOCUMENTS = 20  # a line in at most so many documents of a host stays
-HOST_SHARE = 100  # and so does one in at most a 100th of the host's documents
+HOST_SHARE = 100  # and so does one in at most a 100th of the host's documents,
+MOST_DOCUMENTS = 10_000  # unless it is in more than so many
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # per cent of words in repeated windows
 LEAST_LEFT = 30  # per cent of words that must remain
@@ -92,8 +94,11 @@ def features(docs: DataFrame, key: str, text: str, host: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            found = [describe(t) for t in texts]
+            found = [
+                describe(t or b"")
+                for part in slices(batch, "text")
+                for t in part.column("text").cast(pa.binary()).to_pylist()
+            ]
             sizes = np.fromiter((len(f[5]) for f in found), np.int32, len(found))
             lines = pa.StructArray.from_arrays(
                 [
@@ -163,7 +168,10 @@ def judge(
     frequent = (
         per_line.filter(F.col("documents") > MIN_DOCUMENTS)
         .join(sizes, "host")
-        .filter(F.col("documents") * HOST_SHARE > F.col("host_documents"))
+        .filter(
+            (F.col("documents") * HOST_SHARE > F.col("host_documents"))
+            | (F.col("documents") > MOST_DOCUMENTS)
+        )
         .select("host", "hash", F.col("first.text_hash").alias("first_text"))
     )
     gone = (
@@ -213,6 +221,7 @@ def strip_lines(texts: pd.Series, removed: pd.Series) -> pd.Series:
             return text
         gone = {bytes(h) for h in hashes}
         lines = text.split("\n")
-        return "\n".join(x for x in lines if not x.strip() or line_hash(x.encode()) not in gone)
+        kept = (x for x in lines if not (raw := x.encode()).split() or line_hash(raw) not in gone)
+        return "\n".join(kept)
 
     return pd.Series([strip(t, h) for t, h in zip(texts, removed, strict=True)], dtype=object)

@@ -85,15 +85,20 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), said AS (
         SELECT *, list_filter(range(1, len(l) + 1), lambda i: coalesce(l[i].r, '') = 'assistant') AS s
         FROM grouped
+    ), changes AS (
+        SELECT conv_id, l, s[-1] AS changed, s[-2] AS taken FROM said WHERE len(s) > 0
+        UNION ALL SELECT conv_id, l, s[1], s[2] FROM said WHERE len(s) > 1
+        UNION ALL SELECT conv_id, l, NULL, NULL FROM said WHERE len(s) = 0
     ), pairs AS (
-        SELECT conv_id, l[1:s[-1]] AS c, list_append(l[1:s[-1] - 1], struct_pack(r := 'assistant',
-            t := CASE WHEN len(s) > 1 THEN coalesce(l[s[-2]].t, '') ELSE '' END)) AS j
-        FROM said WHERE len(s) > 0
+        SELECT conv_id, changed, l AS c, list_transform(range(1, len(l) + 1), lambda i:
+            CASE WHEN i = changed THEN struct_pack(r := l[i].r, t := coalesce(l[taken].t, ''))
+                ELSE l[i] END) AS j
+        FROM changes
     ), common AS (
         SELECT *, coalesce(list_position(list_transform(range(1, len(c) + 1),
             lambda i: c[i] IS NOT DISTINCT FROM j[i]), false) - 1, len(c)) AS n FROM pairs
     ), heads AS (
-        SELECT conv_id, n,
+        SELECT conv_id, changed, n,
             list_transform(c, lambda x: '<|' || replace(coalesce(x.r, ''), '<|', '< |') || '|>' || chr(10)) AS ch,
             list_transform(c, lambda x: replace(coalesce(x.t, ''), '<|', '< |') || '<|end|>' || chr(10)) AS cb,
             list_transform(j, lambda x: '<|' || replace(coalesce(x.r, ''), '<|', '< |') || '|>' || chr(10)) AS jh,
@@ -102,7 +107,7 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             list_transform(j, lambda x: coalesce(x.r, '') = 'assistant') AS ja
         FROM common
     )
-    SELECT conv_id, n::INTEGER AS common_turns,
+    SELECT conv_id, changed::INTEGER AS changed_turn, n::INTEGER AS common_turns,
         coalesce(list_aggregate(list_transform(range(1, n + 1), lambda i: ch[i] || cb[i]), 'string_agg', ''), '') AS prompt,
         coalesce(list_aggregate(list_transform(range(n + 1, len(ch) + 1), lambda i: ch[i] || cb[i]), 'string_agg', ''), '') AS chosen,
         coalesce(list_aggregate(list_transform(range(n + 1, len(jh) + 1), lambda i: jh[i] || jb[i]), 'string_agg', ''), '') AS rejected,
@@ -115,7 +120,7 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op3_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = preferences.reply_pairs(table(spark, sf_dir, "conversations"))
-    found = preferences.format_pairs(pairs, "key", "chosen", "rejected")
+    found = preferences.format_pairs(pairs, "key", "chosen", "rejected", carried=("changed",))
 
     def text(column: str):
         return F.array_join(F.transform(column, lambda s: s["text"]), "")
@@ -129,6 +134,7 @@ def op3_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return found.select(
         F.col("key").alias("conv_id"),
+        F.col("changed").alias("changed_turn"),
         F.col("common").alias("common_turns"),
         "prompt",
         text("chosen").alias("chosen"),
@@ -167,7 +173,7 @@ def op3_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM (SELECT host, norm, text, min(doc_id) AS doc_id FROM lines GROUP BY ALL)
         JOIN (SELECT host, count(DISTINCT text) AS docs FROM d GROUP BY host) USING (host)
         GROUP BY host, norm
-        HAVING count(*) > 20 AND count(*) * 100 > any_value(docs)
+        HAVING count(*) > 20 AND (count(*) * 100 > any_value(docs) OR count(*) > 10000)
     ), gone AS (
         SELECT r, sum(n) AS n FROM lines JOIN frequent USING (host, norm)
         WHERE text <> first_text GROUP BY r

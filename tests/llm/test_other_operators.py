@@ -103,6 +103,51 @@ def test_links_of_a_large_group_in_bounded_memory():
     assert peak < 300e6
 
 
+def test_every_shard_is_searched_by_graph(spark, held, monkeypatch):
+    """Four shards of some 1,000 vectors: links by beams, and counts that agree with a
+    scan of all; what one end misses is credited from the other."""
+    rng = np.random.default_rng(9)
+    vectors = clustered(rng, 400, 2400, 1700, 24)
+    table = spark.createDataFrame(
+        [(i, v) for i, v in enumerate(vectors.tolist())], "vec_id bigint, embedding array<double>"
+    ).repartition(4)
+    seen = []
+    keep = held.keep
+
+    def watched(df, **options):
+        seen.append(keep(df, **options))
+        return seen[-1]
+
+    monkeypatch.setattr(held, "keep", watched)
+    monkeypatch.setattr(embeddings, "LEAST_VECTORS", 1000)
+    rows = {r["key"]: r for r in embeddings.near_duplicates(table, held, 0.95).collect()}
+    found = next(d for d in seen if d.columns == ["kind", "a", "b", "n"])
+    kinds = dict(found.groupBy("kind").count().collect())
+    assert kinds.get(embeddings.SCANNED, 0) == 0 and kinds[embeddings.PAIR] > 2000
+    graphs = next(d for d in seen if "graph" in d.columns)
+    assert graphs.count() == 4
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    true = (unit @ unit.T >= 0.95).sum(axis=1) - 1
+    got = np.array([rows[i]["n_links"] for i in range(len(vectors))])
+    assert got.sum() >= 0.99 * true.sum() and (got <= true).all()
+    assert got.sum() % 2 == 0  # every link counts at both ends
+
+
+def test_a_link_missed_at_one_end_is_credited(spark):
+    kinds = [
+        (embeddings.PAIR, 1, 2, None), (embeddings.PAIR, 2, 1, None),  # found from both
+        (embeddings.PAIR, 1, 3, None),  # missed by 3
+        (embeddings.PAIR, 4, 5, None),  # 5 was answered by a scan in the shard of 4
+        (embeddings.PAIR, 6, 6, None),
+    ]
+    shard = spark.range(7).select(embeddings.shard_of(F.col("id"), 3)).collect()
+    kinds.append((embeddings.SCANNED, 5, shard[4][0], None))
+    kinds.append((embeddings.SCANNED, 3, 1 + max(r[0] for r in shard), None))
+    found = spark.createDataFrame(kinds, embeddings.LINKS)
+    nodes = spark.createDataFrame([(i, 10 + i) for i in range(7)], "node bigint, copies bigint")
+    assert embeddings.missed_links(found, nodes, 3).collect() == [(3, 11)]
+
+
 def test_runs_fold_to_counts_and_a_forest():
     rng = np.random.default_rng(6)
     for _ in range(60):
@@ -181,7 +226,8 @@ def link_pages():
     return rows
 
 
-def test_trust_spreads_as_in_sql(spark, held):
+def test_trust_spreads_as_in_sql(spark, held, monkeypatch):
+    monkeypatch.setattr(urls, "TOLERANCE", 0.05)  # some 40 rounds, as in SQL
     table = pages(spark, link_pages())
     db = duckdb.connect()
     db.register("pages", table.toPandas())
@@ -191,7 +237,8 @@ def test_trust_spreads_as_in_sql(spark, held):
     assert {r[4] for r in got if r[3] is None} == {"allow", "block"}
 
 
-def test_scores_by_hand(spark, held):
+def test_scores_by_hand(spark, held, monkeypatch):
+    monkeypatch.setattr(urls, "TOLERANCE", 0)
     seeds = spark.createDataFrame([("a", 0, 1000), ("c", 1, 1000)], "host string, kind int, score bigint")
     links = spark.createDataFrame([("a", "b"), ("b", "c")], "a string, b string")
     scores = {(r["host"], r["kind"]): r["score"] for r in urls.spread(seeds, links, held).collect()}
@@ -213,6 +260,35 @@ def test_scores_reach_over_high_degrees(spark, held):
     assert len(found) == 1 + 1000 + 127 + 50 and set(found.values()) == {"block"}
 
 
+def test_a_long_chain_is_decided(spark, held):
+    """Forty links from a blocked page."""
+    rows = [(0, "http://h0.com/de/0", "")]
+    rows += [(i, f"http://h{i}.net/", f"<a href=//h{i - 1}.{'com' if i == 1 else 'net'}/>x</a>") for i in range(1, 42)]
+    found = {r["host"]: r["verdict"] for r in urls.judge(pages(spark, rows), URL_RULES, held).collect()}
+    assert set(found.values()) == {"block"} and len(found) == 42
+
+
+def test_cycles_come_to_rest(spark, held, monkeypatch):
+    monkeypatch.setattr(urls, "TOLERANCE", 1e-3)
+    seeds = spark.createDataFrame([("a", 0, str(urls.FINE))], "host string, kind int, score string")
+    links = spark.createDataFrame([("a", "b"), ("b", "a"), ("b", "c")], "a string, b string")
+    found = {r["host"]: float(r["score"]) / urls.FINE for r in urls.spread(seeds, links, held).collect()}
+    a = 0.15 / (1 - 0.85 * 0.85 / 2)
+    assert found["a"] == pytest.approx(a, abs=6e-3) and found["b"] == pytest.approx(0.85 * a, abs=6e-3)
+    monkeypatch.setattr(urls, "MOST_ROUNDS", 3)
+    with pytest.raises(RuntimeError, match="still grow"):
+        urls.spread(seeds, links, held)
+
+
+def test_the_longest_rule_and_ties(spark, held):
+    rules = [urls.Rule("block", "a.com", "/xy"), urls.Rule("allow", "xa.com", "/x"), urls.Rule("block", "com", "/x")]
+    html = "<a href='http://b.org/'>t</a>" * 40_000
+    rows = [(0, "http://xa.com/xyz", html), (1, "http://b.a.com/xyz", None), (2, "http://q.com/x", "")]
+    rules += [urls.Rule("allow", "q.com", ""), urls.Rule("block", "q.co", "m")]
+    found = {r["key"]: (r["rule"], r["verdict"]) for r in urls.judge(pages(spark, rows), rules, held).collect()}
+    assert found == {0: ("xa.com/x", "allow"), 1: ("a.com/xy", "block"), 2: ("com/x", "block")}
+
+
 def test_scores_of_many_pages_do_not_overflow(spark, held):
     seed = urls.FINE * 10**11
     seeds = spark.createDataFrame([("a", 0, str(seed))], "host string, kind int, score string")
@@ -262,14 +338,49 @@ def test_reply_pairs(spark):
     ]
     table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
     found = preferences.reply_pairs(table.withColumn("said", F.lit(1))).collect()
-    by_key = {r["key"]: r for r in found if r["key"] is not None}
-    assert [t["text"] for t in by_key[1]["chosen"]] == ["q", "a", "q", "b"]
-    assert [t["text"] for t in by_key[1]["rejected"]] == ["q", "a", "q", "a"]
-    assert [t["text"] for t in by_key[2]["rejected"]] == ["q", ""]
-    assert 3 not in by_key and sum(r["key"] is None for r in found) == 2
+    by_key = {(r["key"], r["changed"]): r for r in found if r["key"] is not None}
+    assert set(by_key) == {(1, 4), (1, 2), (2, 2), (3, None)}
+    assert [t["text"] for t in by_key[1, 4]["chosen"]] == ["q", "a", "q", "b", "late"]
+    assert [t["text"] for t in by_key[1, 4]["rejected"]] == ["q", "a", "q", "a", "late"]
+    assert [t["text"] for t in by_key[1, 2]["rejected"]] == ["q", "b", "q", "b", "late"]
+    assert [t["text"] for t in by_key[2, 2]["rejected"]] == ["q", ""]
+    assert by_key[3, None]["chosen"] == by_key[3, None]["rejected"]
+    assert sum(r["key"] is None for r in found) == 2
     assert preferences.reply_pairs(table.limit(0)).count() == 0
 
 
+def test_an_early_difference_is_found(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", f"t{i // 4}") for i in range(12)]
+    rows += [(2, i, "assistant" if i % 2 else "user", "same") for i in range(4)]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    pairs = preferences.reply_pairs(table)
+    formed = preferences.format_pairs(pairs, "key", "chosen", "rejected", carried=("changed",))
+    found = {(r["key"], r["changed"]): r for r in formed.collect()}
+    # the first two replies say the same, so that pair has no difference; the last differs
+    assert [(k, r["common"]) for k, r in sorted(found.items())] == [
+        ((1, 2), 12), ((1, 12), 12), ((2, 2), 4), ((2, 4), 4),
+    ]
+    rows = [(1, i, "assistant" if i % 2 else "user", f"t{i}") for i in range(12)]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    pairs = preferences.reply_pairs(table)
+    formed = preferences.format_pairs(pairs, "key", "chosen", "rejected", carried=("changed",))
+    found = {r["changed"]: r for r in formed.collect()}
+    assert found[2]["common"] == 1 and found[12]["common"] == 11
+    assert found[2]["prompt"] == "<|user|>\nt0<|end|>\n"
+    assert len(found[2]["chosen"]) == 22 and found[2]["rejected"][1]["text"] == "t3<|end|>\n"
+    assert [s["text"] for s in found[2]["chosen"][2:]] == [s["text"] for s in found[2]["rejected"][2:]]
+
+
+def test_ties_of_turns_and_very_long_ones(spark):
+    long = "word " * 400_000
+    rows = [(1, 0, "user", "b"), (1, 0, "user", "a"), (1, 0, "assistant", "c"), (1, None, "user", "first"),
+            (1, 1, "assistant", long)]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    found = {r["changed"]: r for r in preferences.reply_pairs(table).collect()}
+    assert [t["text"] for t in found[5]["chosen"]] == ["first", "c", "a", "b", long]
+    assert found[2]["rejected"][1]["text"] == long and found[5]["rejected"][4]["text"] == "c"
+
+
 def test_registered_names():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))

@@ -4,8 +4,10 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -58,6 +60,26 @@ def test_frequent_lines_and_depleted_documents(spark, make_docs, held):
     assert left[0].asDict().keys() == {*docs.columns}
 
 
+def test_a_line_in_very_many_documents_goes_whatever_its_share(make_docs, held, monkeypatch):
+    monkeypatch.setattr(quality, "MOST_DOCUMENTS", 30)
+    own = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(4000)]
+    texts = [f"{t}\nnotice of the host" if i < 40 else f"{t}\nrare" if i < 70 else t for i, t in enumerate(own)]
+    rows = {r["key"]: r["removed_words"] for r in quality.judge(make_docs(texts), held).collect()}
+    assert [rows[i] for i in (0, 1, 39)] == [0, 4, 4]  # 40 of 4,000 are a 100th, but over 30
+    assert all(rows[i] == 0 for i in range(40, 4000))
+
+
+def test_one_rule_of_white_space(make_docs, held):
+    """A line of no-break spaces is a line of words; both counts and texts say so."""
+    odd = "\xa0\xa0"
+    texts = [f"{' '.join(f'w{i}x{j}' for j in range(60))}\n{odd}" for i in range(25)]
+    docs = make_docs(texts)
+    verdicts = held.keep(quality.judge(docs, held))
+    assert sorted(r["removed_words"] for r in verdicts.collect()) == [0] + [1] * 24
+    left = [r["text"] for r in quality.without_lines(docs, verdicts, "text", "source").collect()]
+    assert sum(odd in t for t in left) == 1
+
+
 def test_hosts_are_apart_and_nulls_share_one(make_docs, held):
     rng = random.Random(2)
     notice = sentence(rng, 60)
@@ -320,6 +342,29 @@ def test_repeated_strings(make_docs, held, odd_texts, span):
         assert (row["n_bytes"], row["n_removed"], len(row["spans"]), bytes(row["kept"])) == expected
 
 
+def test_names_that_share_one_half_are_apart():
+    names = np.array([5, 5, 5, 7], np.uint64)
+    more = np.array([1, 2, 1, 1], np.uint64)
+    targets = np.zeros(4, np.int64)
+    held = suffixes.Names(names, targets, more)
+    assert held.row.tolist() == [0, 1, 0, 2] and held.many.tolist() == [True, False, False]
+    other = suffixes.Names(names[1:2] * 0 + 7, targets[:1], more[1:2])
+    blocks = pa.Table.from_batches([held.blocks(0, False, 4), other.blocks(1, False, 4)])
+    found = {r["shard"]: r for r in suffixes.recurring(blocks).to_pylist()}
+    bits = [np.unpackbits(np.frombuffer(found[i]["repeated"], np.uint8), count=n).tolist() for i, n in ((0, 3), (1, 1))]
+    assert bits == [[1, 0, 0], [0]]
+
+
+def test_both_hashes_tell_strings_apart():
+    rng = random.Random(8)
+    raw = bytes(rng.choice(b"ab") for _ in range(4000))
+    shard = suffixes.Shard([len(raw)], zstandard.compress(raw), 200)
+    places = np.arange(len(raw) - 40)
+    distinct = {raw[p : p + 40] for p in places.tolist()}
+    for half in shard.strong_names(places, 40):
+        assert len(np.unique(half)) == len(distinct)
+
+
 def test_every_shift_meets_the_cover():
     for v, cover in suffixes.COVERS.items():
         assert {(a - b) % v for a in cover for b in cover} == {*range(v)}
