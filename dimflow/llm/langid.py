@@ -160,13 +160,19 @@ def text_windows(texts: list[bytes]) -> np.ndarray:
     return value[places]
 
 
+def share_of(n: int) -> int:
+    """The place of a hash up to which ample texts of ``n`` are taken."""
+    return int(min(1.0, 4 * SAMPLE_DOCUMENTS / max(n, 1)) * HASH_RANGE)
+
+
 def sample_per_language(labelled: DataFrame) -> DataFrame:
     """The first ``SAMPLE_DOCUMENTS`` distinct texts of each language by hash, or all
     where there are fewer; texts over ``SAMPLE_BYTES`` come after the others, and none
     is taken after ``SAMPLE_TOTAL`` bytes.
 
-    The hashes alone are made distinct and counted.  Texts far from the front by
-    their hash are then dropped before any shuffle, as are copies within a task.
+    The hashes alone are made distinct and counted; the driver gets two counts per
+    language.  Texts far from the front by their hash are then dropped before any
+    shuffle, as are copies within a task.
     """
     hashed = labelled.withColumns(
         {
@@ -182,13 +188,14 @@ def sample_per_language(labelled: DataFrame) -> DataFrame:
         .agg(F.count_if(~F.col("long")).alias("n_short"), F.count_if("long").alias("n_long"))
     )
 
-    def share(n: str) -> Column:
-        most = F.lit(4.0 * SAMPLE_DOCUMENTS) / F.greatest(F.col(n), F.lit(1))
-        return F.least(most, F.lit(1.0)) * HASH_RANGE
-
-    missing = F.col("n_short") < SAMPLE_DOCUMENTS
-    front = F.when(~F.col("long"), share("n_short")).when(missing, share("n_long")).otherwise(-1)
-    near = hashed.join(sizes, "lang").filter(F.col("at") <= front)
+    shares = {
+        r["lang"]: [share_of(r["n_short"]), share_of(r["n_long"]) if r["n_short"] < SAMPLE_DOCUMENTS else -1]
+        for r in sizes.collect()
+    }
+    entries = [x for lang, pair in shares.items() for x in (F.lit(lang), F.array(*map(F.lit, pair)))]
+    of_lang = F.create_map(*entries).cast("map<string,array<bigint>>")
+    front = F.get(F.try_element_at(of_lang, F.col("lang")), F.col("long").cast("int"))
+    near = hashed.filter(F.col("at") <= front)
     near = near.select("text", "lang", "hash", "long", "at", "size")
 
     def drop_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
