@@ -133,9 +133,10 @@ def nav_return(nav: DataFrame, new: DataFrame | None = None) -> DataFrame:
     return with_return(known, "nav_value", "prev_nav_value", "daily_return")
 
 
-def benchmark_return(points: DataFrame) -> DataFrame:
+def benchmark_return(points: DataFrame, **options) -> DataFrame:
+    """Points of each benchmark with their return; options as :func:`period_return`."""
     series = points.select("benchmark_id", "record_date", "value")
-    returns = period_return(series, ["benchmark_id"], "record_date", "value", "_prev")
+    returns = period_return(series, ["benchmark_id"], "record_date", "value", "_prev", **options)
     return returns.drop("_prev")
 
 

@@ -435,6 +435,19 @@ def in_percent_range() -> Column:
     return F.col("value_pct").between(0, 100)
 
 
+def dropped_lines(lines: DataFrame) -> DataFrame:
+    """Number of lines per kind that :func:`allocations` and :func:`holdings` leave out,
+    with the reason."""
+    used = _is_category() | _is_instrument()
+    reason = (
+        F.when(~F.coalesce(used, F.lit(False)), F.lit("no category or code"))
+        .when(F.col("value_pct").isNull(), F.lit("no value"))
+        .when(~in_percent_range(), F.lit("outside 0..100"))
+    )
+    marked = lines.withColumn("reason", reason).filter("reason IS NOT NULL")
+    return marked.groupBy("line_type", "reason").agg(F.count("*").alias("n_lines"))
+
+
 def allocations(lines: DataFrame) -> DataFrame:
     rows = lines.filter(_is_category() & in_percent_range())
     return sum_duplicates(

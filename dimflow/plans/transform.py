@@ -6,6 +6,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimflow.operators import shred
 from dimflow.session import run_together
@@ -59,6 +60,7 @@ class Clean:
         self.root = root.rstrip("/")
         self.counts: dict[str, int] = {}
         self.rejects: dict[str, int] = {}
+        self._schemas: dict[str, T.StructType] = {}  # of the tables that this object has written
 
     def save(self, name: str, df: DataFrame) -> DataFrame:
         """Write a table, count it on the way and return it as read back."""
@@ -70,16 +72,21 @@ class Clean:
         counted.write.mode("overwrite").parquet(f"{self.root}/{name}")
         self.counts[name] = seen.get["rows"] - seen.get["rejects"]
         self.rejects[name] = seen.get["rejects"]
-        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
+        self._schemas[name] = df.schema
+        return self.read(name)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        reader = self.spark.read
+        if name in self._schemas:
+            reader = reader.schema(self._schemas[name])
+        return reader.parquet(f"{self.root}/{name}")
 
 
 class Documents:
     """Parsed documents of a landing folder, restricted to a subset of funds
     when ``subset`` gives their number.  ``landed`` names the folder of the tables
-    that hold the small documents, where these have been stored as such."""
+    that hold the documents, where these have been stored as such; a master without a
+    table there is read from its file."""
 
     def __init__(
         self,
@@ -102,7 +109,10 @@ class Documents:
         self._subset = subset
 
     def _master(self, name: str, shape: str) -> DataFrame:
-        return docs.parse_arrays(docs.read_documents(self.spark, f"{self.raw}/{name}.json"), shape)
+        found = self.landed and docs.landed_table(self.spark, f"{self.landed}/{name}")
+        if not found:
+            found = docs.read_documents(self.spark, f"{self.raw}/{name}.json")
+        return docs.parse_arrays(found, shape)
 
     def _folder(self, name: str) -> DataFrame:
         if self.landed:
@@ -272,6 +282,11 @@ def _made_from(*sources: str) -> set[str]:
     return {name for name, made_from in TABLE_SOURCES.items() if made_from & set(sources)}
 
 
+def line_report(clean: Clean) -> DataFrame:
+    """Portfolio lines that became neither an allocation nor a holding, by reason."""
+    return shred.dropped_lines(clean.read("portfolio_line"))
+
+
 FOLDERS = ("manager_aum", "products", "snapshot", "portfolio", "quarterly", "sales_companies")
 MASTERS = ("managers", "banks", "sales", "fund_index")
 

@@ -104,15 +104,21 @@ def landed_stream(spark: SparkSession, table: str) -> DataFrame:
     return spark.readStream.schema(LANDED).parquet(table)
 
 
-def read_landed(spark: SparkSession, table: str) -> DataFrame:
+def landed_table(spark: SparkSession, table: str) -> DataFrame | None:
     """Documents that :func:`dimflow.streaming.landing.land_new` has stored in a
-    Parquet table.  A table that is not there has no rows."""
+    Parquet table; None for a table that is not there."""
     try:
         return spark.read.schema(LANDED).parquet(table)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return empty_table(spark, LANDED)
+        return None
+
+
+def read_landed(spark: SparkSession, table: str) -> DataFrame:
+    """As :func:`landed_table`; a table that is not there has no rows."""
+    found = landed_table(spark, table)
+    return empty_table(spark, LANDED) if found is None else found
 
 
 def document_as(body: Column, kind: str) -> Column:

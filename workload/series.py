@@ -13,6 +13,7 @@ from dimflow.functions.dates import date_key
 from dimflow.operators.dedup import last_per_key, latest_per_key as newest_per_key
 from dimflow.operators.quality import fingerprint
 from dimflow.operators.series import batch_coverage as coverage
+from dimflow.operators.series import benchmark_return as benchmark_returns
 from dimflow.operators.series import latest_return
 from dimflow.operators.series import period_return as returns_of
 from dimflow.plans import reports
@@ -98,7 +99,7 @@ def benchmark_return(t):
     points = t.events.groupBy(
         F.col("event_type").alias("benchmark_id"), day("ts").alias("record_date")
     ).agg(F.sum(cents("value")).cast("decimal(18,4)").alias("value"))
-    returns = returns_of(points, ["benchmark_id"], "record_date", "value", "prev", slot=SLOT)
+    returns = benchmark_returns(points, slot=SLOT)
     return returns.select("benchmark_id", "record_date", rounded("value", 2), rounded("daily_return"))
 
 

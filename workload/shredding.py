@@ -559,6 +559,85 @@ def shred_manager_series(t):
     )
 
 
+@query(
+    f"""
+    SELECT line_type, reason, CAST(COUNT(*) AS BIGINT) AS n_lines FROM (
+        SELECT 0 AS line_type, CASE WHEN whole NOT BETWEEN 0 AND 100 THEN 'outside 0..100' END AS reason
+        FROM ({PORTFOLIO_SQL})
+        UNION ALL SELECT 1, CASE WHEN whole / 2 NOT BETWEEN 0 AND 100 THEN 'outside 0..100' END
+        FROM ({PORTFOLIO_SQL})
+        UNION ALL SELECT 1, 'no category or code' FROM ({PORTFOLIO_SQL}))
+    WHERE reason IS NOT NULL GROUP BY 1, 2
+    """
+)
+def dropped_portfolio_lines(t):
+    """Lines whose share cannot be one, and an instrument without a code."""
+    return shred.dropped_lines(portfolio_lines(t))
+
+
+@query(
+    """
+    SELECT CAST(LEFT(o_orderpriority, 1) AS SMALLINT) AS category_id, name FROM (
+        SELECT o_orderpriority, ARG_MIN(o_orderpriority, o_custkey) AS name FROM orders
+        WHERE o_custkey <> 0 AND o_orderstatus <> 'P' GROUP BY 1)
+    """
+)
+def shred_categories(t):
+    """Every class by its first mention, which comes before the one named "again"."""
+    kinds = shred.categories(portfolio_lines(t))
+    return kinds.select(F.col("category_id").cast("smallint").alias("category_id"), "name")
+
+
+@query(
+    """
+    SELECT CAST(s_suppkey AS INTEGER) AS company_id, s_name AS name, 'A' || s_suppkey AS aperd_id,
+           CASE WHEN s_nationkey % 2 = 0 THEN 'N-' || s_nationkey END AS npwp,
+           CASE WHEN s_acctbal >= 0 THEN s_name END AS contact_person
+    FROM supplier
+    """
+)
+def shred_sales_companies(t):
+    """Blank and dash texts are null, and texts are trimmed."""
+    number = F.col("s_nationkey")
+    company = F.struct(
+        F.col("s_suppkey").alias("Id"),
+        F.col("s_name").alias("Name"),
+        F.concat(F.lit("A"), "s_suppkey").alias("AperdId"),
+        F.when(number % 2 == 0, F.concat(F.lit(" N-"), number)).otherwise(F.lit(" - ")).alias("Npwp"),
+        F.when(F.col("s_acctbal") >= 0, F.concat("s_name", F.lit("\n"))).otherwise(F.lit("")).alias(
+            "ContactPerson"
+        ),
+    )
+    body = F.to_json(F.array(company))
+    found = docs.parse_arrays(landed(t.supplier, ["s_suppkey"], F.col("s_suppkey"), body), shred.SALES_COMPANIES)
+    return shred.sales_companies(found).select("company_id", "name", "aperd_id", "npwp", "contact_person")
+
+
+METRICS = list(shred.METRIC_FIELDS)
+
+
+@query(
+    f"""
+    SELECT CAST(o_orderkey AS INTEGER) AS fund_id, CAST(o_orderdate AS DATE) AS as_of_date,
+           {", ".join(f"(o_custkey + {i}) / 8 AS {name}" for i, name in enumerate(METRICS))}
+    FROM orders WHERE o_orderkey <> 0
+    """
+)
+def shred_all_metrics(t):
+    """All eleven metrics of a period, by their source names."""
+    values = [
+        ((F.col("o_custkey") + i) / 8).alias(field) for i, field in enumerate(shred.METRIC_FIELDS.values())
+    ]
+    point = F.struct(text_day("o_orderdate").alias("Date"), F.lit(1.0).alias("Value"))
+    snapshot = F.struct(
+        F.array(point).alias("NetAssetValues"),
+        F.array(F.struct(F.lit(1).alias("Period"), *values)).alias("Performances"),
+    )
+    documents = landed(t.orders, ["o_orderkey"], F.col("o_orderkey"), F.to_json(snapshot))
+    found = docs.parse_objects(documents, shred.snapshot_shape("ProviderRating"))
+    return shred.performance(found).select("fund_id", "as_of_date", *METRICS)
+
+
 @query(
     """
     SELECT CAST(c_custkey AS VARCHAR) AS record_pk, column_name, raw_value, reason FROM (

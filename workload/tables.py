@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-SCHEMAS: dict[str, T.StructType] = {}  # read from each file's footer once
+SCHEMAS: dict[tuple, T.StructType] = {}  # by path and time of change, from its footer
 
 
 class Tables:
@@ -23,9 +23,12 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         path = f"{self._folder}/{name}.parquet"
-        if path not in SCHEMAS:
-            SCHEMAS[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(SCHEMAS[path]).parquet(path)
+        file = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        status = file.getFileSystem(self.spark._jsc.hadoopConfiguration()).getFileStatus(file)
+        version = (path, status.getModificationTime())
+        if version not in SCHEMAS:
+            SCHEMAS[version] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(SCHEMAS[version]).parquet(path)
 
 
 def query(sql: str | None = None):
