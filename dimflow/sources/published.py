@@ -73,7 +73,13 @@ class Published:
         return self.spark.read.schema(schema).parquet(*folders)
 
     def _folder(self, name: str, batch: str) -> str:
-        return f"{self.root}/tables/{name}/v{self.seq + 1:06d}-{batch}"
+        """A folder that the table does not hold yet: a batch may write twice to a table.
+        What a failed run has left in it is overwritten."""
+        folder = f"{self.root}/tables/{name}/v{self.seq + 1:06d}-{batch}"
+        held = self.folders.get(name, [])
+        while any(f == folder or f.startswith(f"{folder}/") for f in held):
+            folder += "+"
+        return folder
 
     def _write(self, contract: TableContract, df: DataFrame, batch: str) -> tuple[str, int]:
         folder = self._folder(contract.name, batch)
@@ -105,7 +111,7 @@ class Published:
         """Add a folder of new rows; an empty batch adds nothing."""
         folder, n = self._write(CONTRACTS[name], df, batch)
         if n:
-            self.folders[name] = [f for f in self.folders.get(name, []) if f != folder] + [folder]
+            self.folders[name] = [*self.folders.get(name, []), folder]
             self.counts[name] = self.counts.get(name, 0) + n
             self.added[name] = folder
         return n

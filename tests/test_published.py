@@ -342,3 +342,17 @@ def test_moments_of_batches_merge(spark):
         assert got[label]["n_fund"] == row["n_fund"]
         for column in ("ann_volatility", "ann_return"):
             assert got[label][column] == (pytest.approx(row[column]) if row[column] is not None else None)
+
+
+def test_a_batch_may_write_twice_to_a_table(spark, tmp_path):
+    p = Published(spark, str(tmp_path))
+    rows = [{"table_name": "a", "record_pk": str(i), "reject_reason": "r", "batch": "b"} for i in range(3)]
+    p.append("reject_log", frame(spark, "reject_log", rows[:1]), "b")
+    p.append("reject_log", frame(spark, "reject_log", rows[1:]), "b")
+    merge_table(p, "fund_performance", performance(spark, (1, date(2026, 1, 5), 0.5)), "b", AT, "me")
+    merge_table(p, "fund_performance", performance(spark, (2, date(2026, 1, 6), 0.5)), "b", AT, "me")
+    p.publish("b")
+    again = Published(spark, str(tmp_path))
+    assert table(again, "reject_log", "record_pk") == [("0",), ("1",), ("2",)]
+    assert table(again, "fund_performance", "fund_id") == [(1,), (2,)]
+    assert again.counts["reject_log"] == 3 and again.counts["fund_performance"] == 2
