@@ -51,7 +51,11 @@ def documents_of(t: Tables) -> dict:
         (nation % 3 + 1).alias("Type"), F.lit("01-02-2020").alias("IpoDate"),
     )
     products = listed(F.struct(custkey.alias("Id"), nation.alias("FkClassFundId")).alias("Fund"))
-    link = F.struct(custkey.alias("fkFundId"), (custkey % 7 + 1).alias("fkFundSalesCompanyId"), F.lit(1.5).alias("CommissionFee"))
+    link = F.struct(
+        custkey.alias("fkFundId"),
+        (custkey % 7 + 1).alias("fkFundSalesCompanyId"),
+        F.lit(1.5).alias("CommissionFee"),
+    )
     links = listed(F.struct(F.array(link).alias("FundSalesCompanyFunds")).alias("FundSalesCompany"))
     orders = t.orders.filter("o_custkey <> 0")
     of_day = orders.groupBy("o_custkey", "o_orderdate").agg(F.max("o_totalprice").alias("price"))
@@ -59,7 +63,14 @@ def documents_of(t: Tables) -> dict:
     series = of_day.groupBy("o_custkey").agg(points.alias("points"))
     metric = F.array(F.struct(F.lit(1).alias("Period"), F.lit(0.5).alias("Return")))
     rank = F.array(F.struct(F.lit(1).alias("Period"), F.lit(2).alias("RiskRank")))
-    bench = F.array(F.struct((F.col("o_custkey") % 5 + 1).alias("Id"), F.concat(F.lit("X"), F.col("o_custkey") % 5).alias("Name"), F.slice("points", 1, 1).alias("Data")))
+    fifth = F.col("o_custkey") % 5
+    bench = F.array(
+        F.struct(
+            (fifth + 1).alias("Id"),
+            F.concat(F.lit("X"), fifth).alias("Name"),
+            F.slice("points", 1, 1).alias("Data"),
+        )
+    )
     snapshot = F.struct(
         F.col("points").alias("NetAssetValues"), F.slice("points", 1, 1).alias("AssetUnderManagements"),
         metric.alias("Performances"), rank.alias("Rankings"), bench.alias("Benchmarks"),
@@ -68,7 +79,8 @@ def documents_of(t: Tables) -> dict:
     def line(kind, category, code):
         stock = F.struct(code.alias("Code"), code.alias("Name"))
         return F.struct(
-            F.lit(kind).alias("Type"), category.cast("int").alias("SpesificType"), F.concat(F.lit("c"), category).alias("Name"),
+            F.lit(kind).alias("Type"), category.cast("int").alias("SpesificType"),
+            F.concat(F.lit("c"), category).alias("Name"),
             F.lit(40.0).alias("Value"), F.lit(1).alias("fkStockId"), stock.alias("Stock"),
         )
 
@@ -143,5 +155,6 @@ def whole_chain(t):
         t.spark, f"{root}/raw", f"{root}/work", f"{root}/tables", datetime(2026, 7, 1, 8),
         rating_field=RATING, landed=f"{root}/landed",
     )
-    logs = ("audit_log", "reject_log", "cell_log", "fact_waiting", "category_moments", "dim_date", "dim_category")
+    logs = ("audit_log", "reject_log", "cell_log", "fact_waiting", "category_moments")
+    logs += ("dim_date", "dim_category")
     return table_counts({n: published.read(n) for n in published.folders if n not in logs})
