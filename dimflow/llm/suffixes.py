@@ -17,9 +17,10 @@ bytes recur need to be looked at.
    their prefix of ``span`` bytes; the names are sorted, and neighbours with equal
    prefixes are repeated strings.
 
-Step 1 only discards, so 64-bit hashes are names enough there.  In steps 2 and 3 a
-name is 128 bits, two hashes of different form, and strings of one name are taken as
-equal: among 10**13 places that are two different strings with a chance of 10**-13.
+Step 1 only discards, so 32 bits beside the target are name enough there.  In steps 2
+and 3 a name is 96 bits beside the target, of two hashes of different form, and strings
+of one name are taken as equal: among 10**13 places that are two different strings with a
+chance of 10**-10, as there are 2**23 targets then.
 Texts are cut into shards of some megabytes.  For each step a shard sends each of its names once, in one packed
 block per target, and gets back one bit per name.  So a name that a third of all
 documents hold costs one entry per shard.  Shards are stored bucketed by number,
@@ -57,6 +58,7 @@ COVERS = {
 SHARD_BYTES = 4 << 20
 TARGET_BYTES = 16 << 20  # of names that one task sorts
 LETTER = 8
+LOW = np.uint64(0xFFFFFFFF)
 FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # of the two hashes; any odd numbers
 
 
@@ -148,8 +150,7 @@ def _turn(value: np.ndarray, factor: np.uint64) -> np.ndarray:
 
 class Names:
     """Distinct names of a shard in the order they are sent in: by target, then
-    by name.  ``row`` leads from a place to its name; ``more`` has the other half of
-    names of 128 bits."""
+    by name.  ``row`` leads from a place to its name; ``more`` has 32 further bits."""
 
     def __init__(self, names: np.ndarray, targets: np.ndarray, more: np.ndarray | None = None):
         keys = [names, targets] if more is None else [more, names, targets]
@@ -168,7 +169,7 @@ class Names:
         self.many = np.diff(np.append(np.flatnonzero(new), len(order))) > 1
 
     def blocks(self, number: int, short: bool, bits: int) -> pa.RecordBatch:
-        """One row per target.  Names that only discard are cut to 40 bits; the
+        """One row per target.  Names that only discard are cut to 32 bits; the
         target has the bits before them."""
         cuts = np.flatnonzero(np.diff(self.targets)) + 1
         starts = [0, *cuts.tolist()] if len(self.targets) else []
@@ -177,10 +178,11 @@ class Names:
         for a, b in zip(starts, ends, strict=True):
             if short:
                 rest = self.names[a:b] << np.uint64(bits)
-                keys.append(rest.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes())
+                keys.append(rest.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :4].tobytes())
             else:
-                halves = np.stack([self.names[a:b], self.more[a:b]], axis=1)
-                keys.append(halves.astype(">u8").tobytes())
+                halves = np.stack([self.more[a:b], self.names[a:b]], axis=1)
+                raw = halves.astype(">u8").view(np.uint8).reshape(-1, 16)
+                keys.append(raw[:, 4:].tobytes())
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([int(self.targets[a]) for a in starts], pa.int64()),
@@ -207,7 +209,7 @@ def recurring(blocks: pa.Table) -> pa.Table:
     raw = b"".join(blocks.column("names").to_pylist())
     total = int(counts.sum())
     width = len(raw) // total
-    halves = -(-width // 8)  # names of 40 or of 128 bits
+    halves = -(-width // 8)  # names of 32 or of 96 bits
     wide = np.zeros((total, 8 * halves), np.uint8)
     wide[:, 8 * halves - width :] = np.frombuffer(raw, np.uint8).reshape(total, width)
     names = wide.view(">u8").reshape(total, halves).astype(np.uint64)
@@ -278,7 +280,7 @@ class Steps:
         self.starts, sizes = self.shard.wide(kept)
         self.last = self.starts + sizes - self.shard.span
         a, b = self.shard.strong_names(self.starts, sizes)
-        return Names(b, self.targets(a), a)
+        return Names(b, self.targets(a), a & LOW)
 
     def rest(self, answers, longer_answers) -> Names:
         """``self.known``: starts known to be repeated; ``self.open``: places to send."""
@@ -293,7 +295,7 @@ class Steps:
         every = np.ones(len(self.starts), bool)
         self.open = np.flatnonzero(self._between(self.starts, self.last, every) & ~told)
         a, b = shard.strong_names(self.open, shard.span)
-        return Names(b, self.targets(a), a)
+        return Names(b, self.targets(a), a & LOW)
 
     def covered(self, answers, longer_answers, rest_answers) -> np.ndarray:
         """Whether each byte belongs to a repeated string."""
