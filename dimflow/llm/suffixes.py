@@ -18,9 +18,9 @@ bytes recur need to be looked at.
    prefixes are repeated strings.
 
 Step 1 only discards, so 32 bits beside the target are name enough there.  In steps 2
-and 3 a name is 96 bits beside the target, of two hashes of different form, and strings
+and 3 a name is 80 bits beside the target, of two hashes of different form, and strings
 of one name are taken as equal: among 10**13 places that are two different strings with a
-chance of 10**-10, as there are 2**23 targets then.
+chance of 10**-5, as there are 2**23 targets then.
 Texts are cut into shards of some megabytes.  For each step a shard sends each of its names once, in one packed
 block per target, and gets back one bit per name.  So a name that a third of all
 documents hold costs one entry per shard.  Shards are stored bucketed by number,
@@ -58,7 +58,7 @@ COVERS = {
 SHARD_BYTES = 4 << 20
 TARGET_BYTES = 16 << 20  # of names that one task sorts
 LETTER = 8
-LOW = np.uint64(0xFFFFFFFF)
+LOW = np.uint64(0xFFFF)
 FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # of the two hashes; any odd numbers
 
 
@@ -143,18 +143,17 @@ def _mix(value: np.ndarray, factor: np.uint64) -> np.ndarray:
 
 
 def _turn(value: np.ndarray, factor: np.uint64) -> np.ndarray:
-    value = (value << np.uint64(29)) | (value >> np.uint64(35))
-    value = (value ^ (value >> np.uint64(31))) * factor + np.uint64(FACTORS[0])
-    return value ^ (value >> np.uint64(33))
+    value = value ^ (value >> np.uint64(29))
+    return value * factor + np.uint64(FACTORS[0])
 
 
 class Names:
     """Distinct names of a shard in the order they are sent in: by target, then
-    by name.  ``row`` leads from a place to its name; ``more`` has 32 further bits."""
+    by name.  ``row`` leads from a place to its name; ``more`` has 16 further bits."""
 
     def __init__(self, names: np.ndarray, targets: np.ndarray, more: np.ndarray | None = None):
-        keys = [names, targets] if more is None else [more, names, targets]
-        order = np.lexsort(keys)
+        order = np.argsort(names, kind="stable")
+        order = order[np.argsort(targets[order], kind="stable")]
         names, targets = names[order], targets[order]
         new = np.ones(len(order), bool)
         new[1:] = (names[1:] != names[:-1]) | (targets[1:] != targets[:-1])
@@ -182,7 +181,7 @@ class Names:
             else:
                 halves = np.stack([self.more[a:b], self.names[a:b]], axis=1)
                 raw = halves.astype(">u8").view(np.uint8).reshape(-1, 16)
-                keys.append(raw[:, 4:].tobytes())
+                keys.append(raw[:, 6:].tobytes())
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([int(self.targets[a]) for a in starts], pa.int64()),
@@ -209,7 +208,7 @@ def recurring(blocks: pa.Table) -> pa.Table:
     raw = b"".join(blocks.column("names").to_pylist())
     total = int(counts.sum())
     width = len(raw) // total
-    halves = -(-width // 8)  # names of 32 or of 96 bits
+    halves = -(-width // 8)  # names of 32 or of 80 bits
     wide = np.zeros((total, 8 * halves), np.uint8)
     wide[:, 8 * halves - width :] = np.frombuffer(raw, np.uint8).reshape(total, width)
     names = wide.view(">u8").reshape(total, halves).astype(np.uint64)
@@ -219,7 +218,7 @@ def recurring(blocks: pa.Table) -> pa.Table:
             for m, n in zip(blocks.column("many").to_pylist(), counts.tolist(), strict=True)
         ]
     ).astype(bool)
-    order = np.lexsort(names.T[::-1])
+    order = np.argsort(names[:, -1], kind="stable")
     names = names[order]
     new = np.ones(total, bool)
     new[1:] = (names[1:] != names[:-1]).any(axis=1)
