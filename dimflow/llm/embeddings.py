@@ -226,16 +226,21 @@ LINKS = "kind int, a bigint, b bigint, n bigint"
 COUNT, EDGE, SCANNED, PAIR = range(4)
 
 
-def links_found(kind: int, a: np.ndarray, b: np.ndarray | None, n: np.ndarray | None = None):
-    size = len(a)
+def links_found(*parts: tuple) -> pa.RecordBatch:
+    """One batch of rows of several kinds: (kind, a, b, n), where b or n may be None."""
+    sizes = [len(a) for _, a, _, _ in parts]
+    kinds = np.repeat(np.array([p[0] for p in parts], np.int32), sizes)
+
+    def column(i: int) -> pa.Array:
+        return pa.concat_arrays(
+            [
+                pa.nulls(size, pa.int64()) if p[i] is None else pa.array(np.asarray(p[i], np.int64))
+                for p, size in zip(parts, sizes, strict=True)
+            ]
+        )
+
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array([kind] * size, pa.int32()),
-            pa.array(a, pa.int64()),
-            pa.nulls(size, pa.int64()) if b is None else pa.array(b, pa.int64()),
-            pa.nulls(size, pa.int64()) if n is None else pa.array(n, pa.int64()),
-        ],
-        names=["kind", "a", "b", "n"],
+        [pa.array(kinds), column(1), column(2), column(3)], names=["kind", "a", "b", "n"]
     )
 
 
@@ -358,11 +363,13 @@ def near_duplicates(
                         rows, places = rows[index.sparse[places]], places[index.sparse[places]]
                     pairs.append((ids[rows], index.nodes[places]))
                 some = np.flatnonzero(fold.found)
-                yield links_found(COUNT, ids[some], None, fold.found[some])
-                yield links_found(EDGE, np.array(fold.left), np.array(fold.right))
-                yield links_found(SCANNED, ids[scanned], np.full(len(scanned), row["shard"]))
-                for one, other in pairs:
-                    yield links_found(PAIR, one, other)
+                one, other = (np.concatenate([p[k] for p in pairs] or [ids[:0]]) for k in (0, 1))
+                yield links_found(
+                    (COUNT, ids[some], None, fold.found[some]),
+                    (EDGE, fold.left, fold.right, None),
+                    (SCANNED, ids[scanned], np.full(len(scanned), row["shard"]), None),
+                    (PAIR, one, other, None),
+                )
 
     units = served.unionByName(asked).repartition(
         shards * SLICES, "size", "shard", "slice"
