@@ -337,7 +337,11 @@ def nav(snapshots: DataFrame) -> DataFrame:
 
 def aum(snapshots: DataFrame) -> DataFrame:
     """Monthly values with the units of the same date, from two arrays of one
-    document.  Units may repeat a date; the last one counts."""
+    document.  Units may repeat a date; the last one counts.
+
+    Both sides grow with the documents, so the units are never broadcast: the wide
+    documents that they are a small part of make the planner take them for few.
+    """
     funds_ = _by_fund(snapshots)
     values = funds_.select("fund_id", F.posexplode("AssetUnderManagements").alias("pos", "a"))
     units = (
@@ -351,7 +355,7 @@ def aum(snapshots: DataFrame) -> DataFrame:
         F.col("a.Value").alias("_value"),
         F.col("a.ClassTotalValue").try_cast("bigint").alias("class_total_value"),
         "pos",
-    ).join(units, ["fund_id", "record_date"], "left")
+    ).join(units.hint("merge"), ["fund_id", "record_date"], "left")
     return mark_rejects(
         rows.withColumn("aum_value", F.col("_value").try_cast("bigint")).withColumn(
             "published_date", dates.published_date(F.col("record_date"))

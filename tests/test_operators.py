@@ -7,8 +7,9 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from dimflow.operators import dedup, history, keys, merge, quality, series
-from dimflow.session import empty_table
+from dimflow.operators import dedup, history, keys, merge, quality, series, shred
+from dimflow.session import cut_lineage, empty_table
+from dimflow.sources import documents as docs
 
 
 def rows(df, *columns):
@@ -241,3 +242,22 @@ def test_scd1_insert(spark):
     once = history.scd1_insert(dim, source, ["label"], "id")
     assert rows(once, "id", "label") == [(1, "a"), (2, "b")]
     assert rows(history.scd1_insert(once, source, ["label"], "id")) == rows(once)
+
+
+def test_units_of_wide_documents_are_not_broadcast(spark):
+    body = (
+        '{"AssetUnderManagements": [{"Date": "2026-01-31T00:00:00", "Value": 10.5}, '
+        '{"Date": "2026-02-28T00:00:00", "Value": 11.0}], '
+        '"TotalUnits": [{"Date": "2026-01-31T00:00:00", "Value": 2.0}, '
+        '{"Date": "2026-01-31T00:00:00", "Value": 3.0}]}'
+    )
+    landed = spark.createDataFrame([("7.json", "7", body), ("8.json", "8", body)], docs.LANDED)
+    # stored, as the size of stored documents is known
+    parsed = cut_lineage(docs.parse_objects(landed, shred.snapshot_shape("ProviderRating")))
+    found = shred.aum(parsed)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    january, february = date(2026, 1, 31), date(2026, 2, 28)
+    assert sorted(found.select("fund_id", "record_date", "aum_value", "total_units").collect()) == [
+        (7, january, 10, 3.0), (7, february, 11, None), (8, january, 10, 3.0), (8, february, 11, None)
+    ]
