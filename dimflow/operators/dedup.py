@@ -30,21 +30,26 @@ def latest_per_key(df: DataFrame, keys: list[str], order: str, columns: list[str
     )
 
 
-def keep_first_code(df: DataFrame, code: str, position: str) -> DataFrame:
-    """Null ``code`` on every row but the first that carries it.
-
-    ``position`` is unique.  The first position per code comes from a map-side
-    combined minimum and is joined back on the position, so neither a code
-    that fills the table nor the null code gathers in one task.
+def keep_first_code(df: DataFrame, code: str, *position: str) -> DataFrame:
+    """Null ``code`` on every row but the first that carries it, in the order of
+    ``position``.  Rows alike in all of these columns keep it together.
+
+    The first position per code comes from a map-side combined minimum and is
+    joined back on code and position, so neither a code that fills the table nor
+    the null code gathers in one task, and a row meets one first position at most,
+    even where many rows share a position.
     """
     firsts = (
         df.filter(F.col(code).isNotNull())
-        .groupBy(code)
-        .agg(F.min(position).alias(position))
-        .select(position, F.lit(True).alias("_first"))
+        .groupBy(F.col(code).alias("_code"))
+        .agg(F.min(F.struct(*position)).alias("_at"))
+        .select("_code", *[F.col(f"_at.{p}").alias(f"_{p}") for p in position], F.lit(True).alias("_first"))
     )
+    same = F.col(code) == F.col("_code")
+    for p in position:
+        same &= F.col(p).eqNullSafe(F.col(f"_{p}"))
     kept = F.when(F.col("_first"), F.col(code))
-    return df.join(firsts, position, "left").withColumn(code, kept).select(*df.columns)
+    return df.join(firsts, same, "left").withColumn(code, kept).select(*df.columns)
 
 
 def distinct_names(df: DataFrame, key: str, name: str, overrides: dict | None = None) -> DataFrame:

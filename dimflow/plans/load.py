@@ -64,7 +64,8 @@ def corrected(name: str, df: DataFrame) -> DataFrame:
             fixes[c] = checks.below(F.col(c), checks.FEE_LIMIT_PCT)
         for c in POLICY_COLUMNS:
             fixes[c] = checks.within(F.col(c), 0, 100)
-        return keep_first_code(df.withColumns(fixes), "isin_code", "pos")
+        # by fund too: in a landed table of many documents all may have one position
+        return keep_first_code(df.withColumns(fixes), "isin_code", "pos", "fund_id")
     if name == "fund_performance":
         ratio = F.col("treynor_ratio")
         return df.withColumn("treynor_ratio", checks.magnitude_below(ratio, checks.RATIO_LIMIT))

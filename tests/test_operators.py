@@ -28,6 +28,15 @@ def test_keep_first_code(spark):
     assert sorted(r["pos"] for r in dedup.keep_first_code(df, "code", "pos").collect() if r["code"]) == [1, 4]
 
 
+def test_keep_first_code_where_all_share_a_position(spark):
+    schema = "pos int, fund_id int, code string"
+    df = spark.createDataFrame([(0, 3, "X"), (0, 2, "X"), (0, 4, "Y"), (0, 1, None), (0, 5, None)], schema)
+    kept = dedup.keep_first_code(df, "code", "pos", "fund_id").select("fund_id", "code")
+    assert rows(kept) == [(1, None), (2, "X"), (3, None), (4, "Y"), (5, None)]
+    twice = dedup.keep_first_code(df, "code", "pos").select("fund_id", "code")
+    assert rows(twice) == [(1, None), (2, "X"), (3, "X"), (4, "Y"), (5, None)]
+
+
 def test_distinct_names_like_a_loop(spark):
     generator = random.Random(1)
     for _ in range(4):
