@@ -1,5 +1,7 @@
 """Packing, BPE and token files against the tokenizers library."""
 
+import gc
+import weakref
 import zlib
 
 import numpy as np
@@ -38,6 +40,21 @@ def test_batches_encode_as_the_library_does(path, texts):
     assert split(flat, counts) == [ids(tokenizer, t) for t in [*texts, None]]
 
 
+@pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
+def test_an_encoder_goes_with_its_last_user(path):
+    """A worker that runs many tasks does not hold the encoders of those that ended."""
+    gc.collect()
+    gc.disable()
+    try:
+        encoder = Encoder(path)
+        encoder.encode(pa.array(["a word", "日本", None], pa.string()))
+        held = weakref.ref(encoder), weakref.ref(encoder.pieces)
+        del encoder
+        assert [x() for x in held] == [None, None]
+    finally:
+        gc.enable()
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(max_size=30), max_size=5))
 def test_own_bpe_equals_the_library(texts):
