@@ -15,12 +15,13 @@ bytes recur need to be looked at.
    string in it is repeated, and only its first holder has to go on.
 3. *Merge the rest.*  All other places before a kept sample place are named by
    their prefix of ``span`` bytes; the names are sorted, and neighbours with equal
-   prefixes are repeated strings.
+   prefixes are repeated strings.  Such places follow each other, so their names are
+   made from hashes of 8, 16, 32 ... bytes that overlapping strings share.
 
 Step 1 only discards, so 32 bits beside the target are name enough there.  In steps 2
 and 3 a name is 80 bits beside the target, of two hashes of different form, and strings
 of one name are taken as equal: among 10**13 places that are two different strings with a
-chance of 10**-5, as there are 2**23 targets then.
+chance of 3 * 10**-5, as there are 2**23 targets then and a name is made in five steps at most.
 Texts are cut into shards of some megabytes.  For each step a shard sends each of its names once, in one packed
 block per target, and gets back one bit per name.  So a name that a third of all
 documents hold costs one entry per shard.  Shards are stored bucketed by number,
@@ -58,6 +59,7 @@ COVERS = {
 SHARD_BYTES = 4 << 20
 TARGET_BYTES = 16 << 20  # of names that one task sorts
 LETTER = 8
+SLICE = 1 << 14  # places hashed at once, so that they stay in the processor's cache
 LOW = np.uint64(0xFFFF)
 FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # of the two hashes; any odd numbers
 
@@ -101,23 +103,27 @@ class Shard:
     ) -> np.ndarray:
         """Hash of the ``sizes`` bytes at each place."""
         mix = mix or _mix
-        mixed = np.full(len(places), factor, np.uint64)
         sizes = np.broadcast_to(np.asarray(sizes, np.int64), places.shape)
-        mixed += sizes.astype(np.uint64)
-        k = np.uint64(factor)
-        most = int(sizes.max(initial=0))
-        same = bool(len(sizes)) and int(sizes.min()) == most
+        found = np.empty(len(places), np.uint64)
+        for a in range(0, len(places), SLICE):
+            some = slice(a, a + SLICE)
+            found[some] = self._names(places[some], sizes[some], np.uint64(factor), mix)
+        return found
+
+    def _names(self, places: np.ndarray, sizes: np.ndarray, k: np.uint64, mix) -> np.ndarray:
+        mixed = k + sizes.astype(np.uint64)
+        least, most = int(sizes.min()), int(sizes.max())
         last = places + np.maximum(sizes - LETTER, 0)
         for step in range(0, max(most - LETTER, 0), LETTER):
-            if same:
+            if step < least - LETTER:
                 mixed = mix(mixed ^ self.letters[places + step], k)
             else:
                 more = np.flatnonzero(step < sizes - LETTER)
                 mixed[more] = mix(mixed[more] ^ self.letters[places[more] + step], k)
         tail = self.letters[last]
-        short = sizes < LETTER
-        if short.any():
-            low = (np.uint64(1) << (8 * sizes).astype(np.uint64)) - np.uint64(1)
+        if least < LETTER:
+            short = sizes < LETTER
+            low = (np.uint64(1) << (8 * np.where(short, sizes, 0)).astype(np.uint64)) - np.uint64(1)
             tail = np.where(short, tail & low, tail)
         return mix(mix(mixed ^ tail, k), k)
 
@@ -125,6 +131,25 @@ class Shard:
         """Both halves of the 128-bit hash of the ``sizes`` bytes at each place."""
         return self.names(places, sizes, FACTORS[0]), self.names(places, sizes, FACTORS[1], _turn)
 
+    def near_names(self, places: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Like ``strong_names``, of strings of one size at rising places that mostly
+        follow each other.  Hashes of 8, 16, 32 ... bytes are made from those of half
+        the bytes, at all places at once; two that overlap make up the string."""
+        if size < LETTER:
+            return self.strong_names(places, size)
+        halves = np.empty((2, len(places)), np.uint64)
+        for a in range(0, len(places), SLICE):
+            some = places[a : a + SLICE]
+            new = np.flatnonzero(np.diff(some, prepend=-size - 1) > size)
+            ends = np.append(new[1:], len(some))
+            count = some[ends - 1] - some[new] + size - LETTER + 1
+            shift = some[new] - (np.cumsum(count) - count)
+            letters = self.letters[np.arange(int(count.sum())) + np.repeat(shift, count)]
+            at = some - np.repeat(shift, ends - new)
+            for half, factor, mix in zip(halves, FACTORS, (_mix, _turn), strict=True):
+                half[a : a + SLICE] = _doubled(letters, at, size, np.uint64(factor), mix)
+        return halves[0], halves[1]
+
     def wide(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and size of the longer strings around rising sample places.  Near
         the ends of a text several places have the same one; it counts once."""
@@ -147,13 +172,23 @@ def _turn(value: np.ndarray, factor: np.uint64) -> np.ndarray:
     return value * factor + np.uint64(FACTORS[0])
 
 
+def _doubled(letters: np.ndarray, at: np.ndarray, size: int, k: np.uint64, mix) -> np.ndarray:
+    """Hash of ``size`` bytes at places of a run of letters."""
+    mixed = mix(mix(letters ^ k, k), k)
+    m = LETTER
+    while 2 * m <= size:
+        mixed = mix(mix(mixed[:-m], k) ^ mixed[m:], k)
+        m *= 2
+    return mix(mix(mix(mixed[at], k) ^ mixed[at + (size - m)], k), k)
+
+
 class Names:
-    """Distinct names of a shard in the order they are sent in: by target, then
-    by name.  ``row`` leads from a place to its name; ``more`` has 16 further bits."""
+    """Distinct names of a shard in the order they are sent in: by target, then by
+    the first bits of the name.  ``row`` leads from a place to its name; ``more`` has
+    16 further bits.  A name that others of the same first bits part is sent again."""
 
     def __init__(self, names: np.ndarray, targets: np.ndarray, more: np.ndarray | None = None):
-        order = np.argsort(names, kind="stable")
-        order = order[np.argsort(targets[order], kind="stable")]
+        order = _order(names, targets)
         names, targets = names[order], targets[order]
         new = np.ones(len(order), bool)
         new[1:] = (names[1:] != names[:-1]) | (targets[1:] != targets[:-1])
@@ -197,6 +232,19 @@ class Names:
         )
 
 
+def _order(names: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    """Order by target, first bits of the name and place: one sort of whole numbers
+    that hold all three."""
+    low = len(names).bit_length()
+    high = int(targets.max(initial=0)).bit_length()
+    key = names >> np.uint64(high + low) << np.uint64(low)
+    if high:
+        key |= targets.astype(np.uint64) << np.uint64(64 - high)
+    key |= np.arange(len(names), dtype=np.uint64)
+    key.sort()
+    return (key & np.uint64((1 << low) - 1)).astype(np.int64)
+
+
 BLOCK_SCHEMA = "target bigint, shard bigint, n bigint, names binary, many binary"
 
 
@@ -293,7 +341,7 @@ class Steps:
         told = self._between(self.starts, self.last, repeated & ~(first & holder))
         every = np.ones(len(self.starts), bool)
         self.open = np.flatnonzero(self._between(self.starts, self.last, every) & ~told)
-        a, b = shard.strong_names(self.open, shard.span)
+        a, b = shard.near_names(self.open, shard.span)
         return Names(b, self.targets(a), a & LOW)
 
     def covered(self, answers, longer_answers, rest_answers) -> np.ndarray:
@@ -305,11 +353,16 @@ class Steps:
         return self._between(at, at + self.shard.span - 1, np.ones(len(at), bool))
 
     def _between(self, first: np.ndarray, last: np.ndarray, use: np.ndarray) -> np.ndarray:
-        n = len(self.shard.bytes)
-        change = np.bincount(first[use], minlength=n + 1) - np.bincount(
-            last[use] + 1, minlength=n + 1
-        )
-        return np.cumsum(change[:n]) > 0
+        """Whether each byte lies in a stretch; neither their starts nor ends fall."""
+        first, last = first[use], last[use]
+        if not len(first):
+            return np.zeros(len(self.shard.bytes), bool)
+        apart = np.flatnonzero(first[1:] > last[:-1] + 1)
+        edges = np.empty(2 * len(apart) + 2, np.int64)
+        edges[::2] = first[np.append(0, apart + 1)]
+        edges[1::2] = last[np.append(apart, len(last) - 1)] + 1
+        lengths = np.diff(edges, prepend=0, append=len(self.shard.bytes))
+        return np.repeat(np.arange(len(lengths)) % 2 == 1, lengths)
 
 
 def make_shards(docs: DataFrame, text: str) -> DataFrame:

@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 import zstandard
@@ -368,6 +369,68 @@ def test_both_hashes_tell_strings_apart():
         assert len(np.unique(half)) == len(distinct)
 
 
+def test_names_parted_by_one_of_the_same_first_bits():
+    names = np.array([8, 9, 8, 9, 8, 1 << 40], np.uint64)
+    more, targets = np.zeros(6, np.uint64), np.array([1, 1, 1, 0, 1, 1])
+    held = suffixes.Names(names, targets, more)
+    assert (held.names[held.row] == names).all() and (held.targets[held.row] == targets).all()
+    assert held.targets.tolist() == sorted(held.targets.tolist())
+    blocks = pa.Table.from_batches([held.blocks(0, False, 1)])
+    repeated = []
+    for target in (0, 1):
+        for r in suffixes.recurring(blocks.filter(pc.equal(blocks["target"], target))).to_pylist():
+            repeated += np.unpackbits(np.frombuffer(r["repeated"], np.uint8), count=r["n"]).tolist()
+    assert np.array(repeated)[held.row].tolist() == [1, 0, 1, 0, 1, 0]
+
+
+@pytest.mark.parametrize("size", [5, 8, 15, 16, 17, 40, 200])
+def test_near_names_are_equal_where_strings_are(size):
+    rng = random.Random(size)
+    part = bytes(rng.choice(b"ab") for _ in range(700))
+    raw = part + b"\0" * 300 + bytes(rng.choice(b"abc") for _ in range(40_000)) + part + b"ab" * 200
+    shard = suffixes.Shard([len(raw)], zstandard.compress(raw), 200)
+    places = np.arange(len(raw) - size + 1)
+    places = places[(places < 1500) | (places % 7 == 0) & (places < 9000) | (places > 20_000)]
+    strings = {raw[p : p + size]: i for i, p in enumerate(places.tolist())}
+    want = [strings[raw[p : p + size]] for p in places.tolist()]
+    for half in shard.near_names(places, size):
+        assert len(np.unique(half)) == len(strings)
+        assert (half == half[want]).all()
+
+
+def test_strings_that_overlap_share_their_hashes(monkeypatch):
+    """27 mixes for each half of a name of 200 bytes when each starts from its first."""
+    rng = random.Random(5)
+    part, other = rng.randbytes(5000), rng.randbytes(5000)
+    raw = part + other + part
+    mixes = [0]
+
+    def counted(mix):
+        def run(value, factor):
+            mixes[0] += len(value)
+            return mix(value, factor)
+
+        return run
+
+    for name in ("_mix", "_turn"):
+        monkeypatch.setattr(suffixes, name, counted(getattr(suffixes, name)))
+
+    def step(names_of, short):
+        steps = suffixes.Steps(suffixes.Shard([len(raw)], zstandard.compress(raw), 200), 0)
+        before = mixes[0]
+        names = names_of(steps)
+        blocks = pa.Table.from_batches([names.blocks(0, short, 0)])
+        return steps, suffixes.recurring(blocks).to_pylist(), mixes[0] - before
+
+    _, one, _ = step(lambda s: s.sampled(), True)
+    _, two, first_steps = step(lambda s: s.longer(one), False)
+    steps, three, all_steps = step(lambda s: s.rest(one, two), False)
+    assert len(steps.open) > 4000
+    assert all_steps - first_steps < 2 * 16 * len(steps.open)
+    covered = steps.covered(one, two, three)
+    assert covered[:5000].all() and covered[10_000:].all() and not covered[5010:9990].any()
+
+
 def test_every_shift_meets_the_cover():
     for v, cover in suffixes.COVERS.items():
         assert {(a - b) % v for a in cover for b in cover} == {*range(v)}
