@@ -49,7 +49,8 @@ def keep_first_code(df: DataFrame, code: str, *position: str) -> DataFrame:
     for p in position:
         same &= F.col(p).eqNullSafe(F.col(f"_{p}"))
     kept = F.when(F.col("_first"), F.col(code))
-    return df.join(firsts, same, "left").withColumn(code, kept).select(*df.columns)
+    # a merge, as there are as many codes as rows where codes are what they should be
+    return df.join(firsts.hint("merge"), same, "left").withColumn(code, kept).select(*df.columns)
 
 
 def distinct_names(df: DataFrame, key: str, name: str, overrides: dict | None = None) -> DataFrame:

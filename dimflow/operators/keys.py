@@ -8,7 +8,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimflow.session import cut_lineage
+from dimflow.session import cut_lineage, lookup
 
 ROW_BITS = 33  # monotonically_increasing_id keeps the row position in these low bits
 
@@ -26,15 +26,19 @@ def number_rows(
     """
     others = [c for c in df.columns if c not in order]
     if not others:
-        return _numbered(df, order, out, after)
-    keys = _numbered(df.select(*order).distinct(), order, out, after)
-    named = keys.select(*[F.col(c).alias(f"_key{i}") for i, c in enumerate(order)], out)
+        return _numbered(df, order, out, after)[0]
+    keys, n = _numbered(df.select(*order).distinct(), order, out, after)
+    named = lookup(keys.select(*[F.col(c).alias(f"_key{i}") for i, c in enumerate(order)], out), n)
     same = [F.col(c).eqNullSafe(F.col(f"_key{i}")) for i, c in enumerate(order)]
     return df.join(named, reduce(and_, same)).select(*df.columns, out)
 
 
-def _numbered(df: DataFrame, order: list[str], out: str, after: DataFrame | None) -> DataFrame:
-    """One range-partitioned sort; no window over all rows.  The sorted rows are
+def _numbered(
+    df: DataFrame, order: list[str], out: str, after: DataFrame | None
+) -> tuple[DataFrame, int]:
+    """The numbered rows and how many they are.
+
+    One range-partitioned sort; no window over all rows.  The sorted rows are
     stored first, so that a lost executor cannot move a row to another
     partition between counting and numbering.  Only one count per partition of
     the sort reaches the driver.
@@ -45,18 +49,20 @@ def _numbered(df: DataFrame, order: list[str], out: str, after: DataFrame | None
     if after is not None:
         known = after.agg(F.lit(-1).cast("bigint").alias("part"), F.max(out).alias("n"))
         counts = counts.unionByName(known)
-    offsets, total = [], 1
+    offsets, total, n = [], 1, 0
     for row in sorted(counts.filter("n IS NOT NULL").collect()):
         offsets.append((row["part"], total))
         total += row["n"]
+        n += row["n"] if row["part"] >= 0 else 0
     base = df.sparkSession.createDataFrame(offsets, "_part bigint, _base bigint")
     row_in_part = F.col("_at").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    return (
+    numbered = (
         placed.withColumn("_part", part)
         .join(F.broadcast(base), "_part")  # one row per partition of the sort
         .withColumn(out, F.col("_base") + row_in_part)
         .drop("_at", "_part", "_base")
     )
+    return numbered, n
 
 
 def number_absent(known: DataFrame, incoming: DataFrame, key: list[str], out: str) -> DataFrame:

@@ -38,7 +38,8 @@ def _before_each(
         "_before", F.lag(value).over(in_slot)
     )
     previous = F.when(F.col("_n") == 1, F.col("_carried")).otherwise(F.col("_before"))
-    return placed.join(carried, group, "left").withColumn(out, previous)
+    # a merge, as the rows lie by group already, and as slots grow with the series
+    return placed.join(carried.hint("merge"), group, "left").withColumn(out, previous)
 
 
 def previous_of(

@@ -6,7 +6,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from dimflow.contracts import (
@@ -40,7 +40,7 @@ from dimflow.operators.quality import (
     sum_checkpoint,
 )
 from dimflow.plans.transform import Clean
-from dimflow.session import cut_lineage, run_together
+from dimflow.session import cut_lineage, run_together, shuffle_long
 from dimflow.sources.published import Published
 
 # Categories whose source name is wrong.
@@ -84,13 +84,13 @@ def prepared(
         df = accepted(df)
     df = corrected(name, df)
     if name == "security":
-        known = published.read("security")
+        known = published.read_side("security")
         fresh = number_absent(known, df, ["code"], "security_id")
         return df.join(known.select("code", "security_id"), "code").unionByName(fresh), None
     if name == "portfolio_holding":
-        df = df.join(published.read("security").select("code", "security_id"), "code")
+        df = df.join(published.read_side("security").select("code", "security_id"), "code")
     if name in ("portfolio_allocation", "portfolio_holding"):
-        snapshots = published.read("portfolio_snapshot")
+        snapshots = published.read_side("portfolio_snapshot")
         key = ["fund_id", "date_based"]
         resolved = cut_lineage(resolve_keys(df, snapshots, key, "snapshot_id"))
         lost = resolved.filter("snapshot_id IS NULL").drop("snapshot_id")
@@ -116,9 +116,11 @@ def merge_table(
     marked = typed.withColumn("reject_reason", reason).drop("_misfit")
     # Stored, as accepted and rejected rows are both read from it, and as what the
     # optimizer infers from a filter over typed columns doubles with each of them.
-    marked = cut_lineage(marked)
+    seen = Observation()
+    marked = cut_lineage(marked.observe(seen, F.count(F.lit(1)).alias("rows")))
+    marked = shuffle_long(marked, seen.get["rows"])
     bad = reject_rows(rejected(marked), name, key, batch)
-    good, old = accepted(marked), published.read(name)
+    good, old = accepted(marked), published.read_side(name)
     order, columns = source_order(good), contract.schema.fieldNames()
     if contract.slice:
         slices = published.touched(name, good)
@@ -183,7 +185,7 @@ def load(
     if lost:
         key = list(CONTRACTS["cell_log"].key)
         found = reduce(DataFrame.unionByName, lost).dropDuplicates(key)
-        published.append("cell_log", absent_rows(published.read("cell_log"), found, key), batch)
+        published.append("cell_log", absent_rows(published.read_side("cell_log"), found, key), batch)
     if audits:
         published.append("audit_log", reduce(DataFrame.unionByName, audits), batch)
     if rejects:

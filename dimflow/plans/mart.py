@@ -16,7 +16,7 @@ from dimflow.operators.merge import absent_rows, span_of
 from dimflow.operators.quality import accepted, first_reason, reject_rows, rejected
 from dimflow.operators.series import latest_return, nav_return
 from dimflow.plans.reports import monthly_moments
-from dimflow.session import cut_lineage, run_together
+from dimflow.session import cut_lineage, lookup, run_together
 from dimflow.sources.published import Published
 
 FUND_TRACKED = [
@@ -51,8 +51,8 @@ def star_keys(
 ) -> DataFrame:
     """One row per fund with the keys of its current dimension versions.
 
-    Facts join this once instead of five dimensions in turn; its size is that
-    of the fund master, so it is broadcast as long as it fits the session's
+    Facts join this once instead of five dimensions in turn; it has a row per fund,
+    so :func:`load_mart` has it broadcast as long as these fit the session's
     threshold and shuffled beyond that.
     """
     return (
@@ -158,14 +158,15 @@ def load_mart(published: Published, batch: str, effective: date, full: bool = Fa
         F.col("conservative_label").alias("label"),
         F.col("fund_type").alias("fund_type_code"),
     )
-    dim_manager = published.read("dim_manager")
+    dim_manager = published.read_side("dim_manager")
     keys = star_keys(
         owners,
-        published.read("dim_fund"),
+        published.read_side("dim_fund"),
         dim_manager,
-        published.read("dim_custodian"),
-        published.read("dim_category"),
+        published.read_side("dim_custodian"),
+        published.read_side("dim_category"),
     )
+    keys = lookup(keys, published.counts.get("mutual_fund", 0))
     manager_keys = current_versions(dim_manager).select("manager_id", "dim_manager_key")
 
     waited = published.read(WAITING.name)
@@ -297,6 +298,6 @@ def _append(
     key = list(contract.key)
     reason = first_reason(misfits(rows, contract)).alias("reject_reason")
     typed = conform(rows, contract, (), reason)
-    fresh = cut_lineage(absent_rows(published.read(name), typed, key, span=span))
+    fresh = cut_lineage(absent_rows(published.read_side(name), typed, key, span=span))
     published.append(name, accepted(fresh), batch)
     return reject_rows(rejected(fresh), name, key, batch)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimflow.operators import shred
-from dimflow.session import run_together
+from dimflow.session import run_together, shuffle_long
 from dimflow.sources import documents as docs
 
 # Which landed sources each clean table is made from.
@@ -103,8 +103,10 @@ class Documents:
         self.rating_field = rating_field
         index = shred.real_funds(self._master("fund_index", shred.FUND_INDEX))
         index = docs.first_entities(index, ["pos"], subset) if subset else index
-        # Stored, so that the planner knows how small the list of funds is.
-        self.fund_index = clean.save("parsed_fund_index", index)
+        # Stored, so that it is parsed once and its rows are known.
+        stored = clean.save("parsed_fund_index", index)
+        self.n_funds = clean.counts["parsed_fund_index"]
+        self.fund_index = shuffle_long(stored, self.n_funds)
         self.valid = self.fund_index.select(F.col("Id").alias("fund_id"))
         self._subset = subset
 
@@ -258,7 +260,9 @@ def transform(
         save_all(
             {
                 "mutual_fund": lambda: shred.funds(
-                    found.fund_index, snapshots, shred.class_map(found.products())
+                    found.fund_index,
+                    snapshots,
+                    shuffle_long(shred.class_map(found.products()), found.n_funds),
                 ),
                 **snapshot_jobs(snapshots, rating_field),
             }

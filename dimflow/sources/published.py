@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dimflow.contracts import CONTRACTS, TableContract
-from dimflow.session import empty_table
+from dimflow.session import empty_table, shuffle_long
 
 LINE = "seq bigint, batch string, folders string, counts string, slices string, streams string"
 STAGE_LINE = (
@@ -66,6 +66,11 @@ class Published:
         """The table as this object sees it, including what it has written."""
         return self._read(name, self.folders.get(name))
 
+    def read_side(self, name: str) -> DataFrame:
+        """The table as a side of a join that is shuffled where its rows are too many
+        to be broadcast, however small its files are."""
+        return shuffle_long(self.read(name), self.counts.get(name, 0))
+
     def _read(self, name: str, folders: list[str] | None) -> DataFrame:
         schema = CONTRACTS[name].schema
         if not folders:
@@ -125,7 +130,8 @@ class Published:
         """The rows of some slices; no other folder is read."""
         self._slice_old_table(name)
         held = self.slices.get(name, {})
-        return self._read(name, [held[s][0] for s in slices if s in held])
+        parts = [held[s] for s in slices if s in held]
+        return shuffle_long(self._read(name, [p[0] for p in parts]), sum(p[1] for p in parts))
 
     def replace_slices(self, name: str, slices: list[str], df: DataFrame, batch: str) -> int:
         """Write the given slices anew; ``df`` has all their rows and no others."""

@@ -37,7 +37,7 @@ def load_batch(
         return False
     batch = f"{stream}-{number:08d}"
     clean = Clean(documents.sparkSession, f"{work.rstrip('/')}/{batch}")
-    valid = published.read("mutual_fund").select("fund_id")
+    valid = published.read_side("mutual_fund").select("fund_id")
     names = transform_documents(documents, source, clean, valid, rating_field)
     load(published, clean, names, batch, batch_ts)
     published.publish(batch, stream, number)
